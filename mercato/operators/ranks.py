@@ -73,15 +73,27 @@ def global_row_number(df: DataFrame, order: Sequence, out: str = "rank",
 def running_sum(df: DataFrame, order: Sequence, value: str, out: str,
                 partitions: int | None = None) -> DataFrame:
     """SUM(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed
-    (W08).  Inside a partition the sum is a window partitioned by the range
-    partition, so no task holds more than one range."""
+    (W08)."""
+    return running_sums(df, order, {out: value}, partitions)
+
+
+def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
+                 partitions: int | None = None) -> DataFrame:
+    """Several running sums over one sort in a single pass.  Inside a range
+    partition the sum is a window partitioned by that partition, so no task
+    holds more than one range; partition offsets come from a broadcast table
+    with one row per partition."""
     part = _partitioned(df, order, partitions)
-    off = _offsets(part, F.sum(value), "_offset")
+    per = part.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
+    prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select("_pid", *[F.coalesce(F.sum(f"_t_{o}").over(prior), F.lit(0)).alias(f"_o_{o}")
+                               for o in sums])
     w = (Window.partitionBy("_pid").orderBy("_pos")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (part.join(F.broadcast(off), "_pid")
-            .withColumn(out, F.col("_offset") + F.sum(value).over(w))
-            .drop("_pid", "_pos", "_offset"))
+    res = part.join(F.broadcast(off), "_pid")
+    for o, v in sums.items():
+        res = res.withColumn(o, F.col(f"_o_{o}") + F.sum(v).over(w))
+    return res.drop("_pid", "_pos", *[f"_o_{o}" for o in sums])
 
 
 def average_rank(df: DataFrame, value: str, out: str = "rank",
