@@ -24,6 +24,17 @@ from mercato.session import checkpoint_dir
 
 _LOW_BITS = 33
 
+# Tables with at most this many rows are ranked by a plain window (one task);
+# the size is checked with a bounded count before the plan is chosen.
+SMALL_TABLE_ROWS = 200_000
+
+
+def is_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> bool:
+    """True when ``df`` has at most ``limit`` rows; reads at most limit + 1."""
+    if limit <= 0:
+        return False
+    return df.limit(limit + 1).count() <= limit
+
 
 def _sort_cols(order: Sequence) -> list[Column]:
     cols = []
@@ -63,6 +74,8 @@ def global_row_number(df: DataFrame, order: Sequence, out: str = "rank",
     ``order`` items are column names (ascending, nulls first), ``(name, asc)``
     tuples (descending puts nulls last) or Columns.  The order must be total
     (end it with a unique key) for the numbering to be deterministic."""
+    if is_small(df):
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*_sort_cols(order))))
     part = _partitioned(df, order, partitions)
     off = _offsets(part, F.count(F.lit(1)), "_offset")
     return (part.join(F.broadcast(off), "_pid")
@@ -83,6 +96,12 @@ def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
     partition the sum is a window partitioned by that partition, so no task
     holds more than one range; partition offsets come from a broadcast table
     with one row per partition."""
+    if is_small(df):
+        w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        res = df
+        for o, v in sums.items():
+            res = res.withColumn(o, F.sum(v).over(w1))
+        return res
     part = _partitioned(df, order, partitions)
     per = part.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -26,9 +26,11 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                app_name: str = "mercato", extra: dict | None = None) -> SparkSession:
+                app_name: str = "mercato", extra: dict | None = None,
+                driver_memory: str = "8g") -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
