@@ -9,24 +9,25 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql.types import DoubleType
 from pyspark.sql import functions as F
 
 from mercato.functions import stat_tails as T
 from mercato.operators.ranks import rank_table, average_rank
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([T.t_two_sided_p(float(a), float(b)) if pd.notna(a) and pd.notna(b) else None
                       for a, b in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_critical(df: pd.Series) -> pd.Series:
     return pd.Series([T.t_quantile(0.975, float(v)) if pd.notna(v) else None for v in df], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_pvalue(x: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([T.chi2_sf(float(a), float(b)) if pd.notna(a) and pd.notna(b) else None
                       for a, b in zip(x, k)], dtype="float64")

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from mercato.plans import reg_quality, reg_stats, reg_study  # noqa: F401
+from mercato.plans import reg_measures, reg_quality, reg_stats, reg_study  # noqa: F401
