@@ -98,7 +98,7 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str], tol: fl
         x, y = F.col(f"a_{c}"), F.col(f"b_{c}")
         same = x.eqNullSafe(y)
         if tol:
-            same = same | (F.abs(x.cast("double") - y.cast("double")) <= tol)
+            same = same | F.coalesce(F.abs(x.cast("double") - y.cast("double")) <= tol, F.lit(False))
         flags.append((~same).alias(f"diff_{c}"))
     out = j.select(key, *flags)
     any_diff = None

@@ -205,8 +205,8 @@ def reject_oversize(df: DataFrame, text: str = "text", limit: int = 100_000,
     job error with ``raise_error``)."""
     too_long = F.length(F.col(text)) > limit
     if raise_error:
-        checked = df.withColumn("_chk", F.when(too_long, F.raise_error(
-            F.lit(f"a text exceeds {limit} characters")))).drop("_chk")
+        fail = F.raise_error(F.lit(f"a text exceeds {limit} characters"))
+        checked = df.filter(F.coalesce(F.when(too_long, fail).cast("boolean"), F.lit(True)))
         return checked, df.limit(0)
     return df.filter(~too_long | F.col(text).isNull()), df.filter(too_long)
 

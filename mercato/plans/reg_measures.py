@@ -104,15 +104,15 @@ def _filter_propagation(s, d):
     """A product-category filter changes item measures but leaves order
     measures unchanged (relationships are one-direction)."""
     sm = MS.semantic_model(full_model(s, d))
-    ctx = MS.Context(filters=[("DimProducts", F.col("category") == "MEDIUM")])
+    ctx = MS.Context(filters=[("DimProducts", F.col("category") == "medium")])
     return _dbl(sm.evaluate(["gmv", "orders_delivered", "gmv_items", "items_delivered"], ctx))
 
 
 register("filter_propagation", sql("""
 SELECT (SELECT CAST(SUM(item_value) FILTER (WHERE _lg) AS DOUBLE) FROM lg) AS gmv,
        (SELECT NULLIF(COUNT(*) FILTER (WHERE _lg), 0) FROM lg) AS orders_delivered,
-       (SELECT CAST(SUM(price) AS DOUBLE) FROM bi_items WHERE category = 'MEDIUM') AS gmv_items,
-       (SELECT NULLIF(COUNT(*), 0) FROM bi_items WHERE category = 'MEDIUM') AS items_delivered
+       (SELECT CAST(SUM(price) AS DOUBLE) FROM bi_items WHERE category = 'medium') AS gmv_items,
+       (SELECT NULLIF(COUNT(*), 0) FROM bi_items WHERE category = 'medium') AS items_delivered
 """, BI_SQL))(_filter_propagation)
 
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Accepted delimiters and encodings, envelope keys, role candidates.
 DELIMITERS = [",", ";", "\t", "|"]
@@ -54,44 +55,48 @@ def _sniff_delimiter(spark: SparkSession, path: str, encoding: str) -> str:
     return best
 
 
+MAX_COLUMNS = 500
+_NULL_MARK = "\u0000<null>"
+
+
 def read_reviews_delimited(spark: SparkSession, path: str, delimiter: str = "auto", encoding: str = "utf-8-sig",
-                           header: bool = True, strict: bool = True) -> DataFrame:
+                           header: bool = True, strict: bool = True, max_columns: int = MAX_COLUMNS) -> DataFrame:
     """A05 + A06 + A07: delimited review file -> all-string DataFrame.
 
-    Quoted fields may hold delimiters and newlines, quotes are doubled.  Blank
-    rows are dropped, short rows are padded with '' and a row with more
+    Quoted fields may hold delimiters and newlines, quotes are doubled.  The
+    file is parsed against ``max_columns`` string columns so that cells beyond
+    the header are seen; empty cells read as '' and absent cells as null.
+    Blank rows are dropped, short rows are padded with '' and a row with more
     non-blank cells than the header raises (``strict``) or is dropped."""
     enc = ENCODINGS.get(encoding, encoding)
     if delimiter == "auto":
         delimiter = _sniff_delimiter(spark, path, enc)
     if delimiter not in DELIMITERS:
         raise ValueError(f"unsupported delimiter: {delimiter!r}")
-    raw = (spark.read.option("sep", delimiter).option("encoding", enc).option("multiLine", True)
-           .option("quote", '"').option("escape", '"').option("header", False)
+    wide = StructType([StructField(f"_c{i}", StringType()) for i in range(max_columns)])
+    raw = (spark.read.schema(wide).option("sep", delimiter).option("encoding", enc).option("multiLine", True)
+           .option("quote", '"').option("escape", '"').option("header", False).option("nullValue", _NULL_MARK)
            .option("mode", "PERMISSIVE").csv(path))
     raw = raw.withColumn("_seq", F.monotonically_increasing_id())
+    cells = [f"_c{i}" for i in range(max_columns)]
     first = raw.orderBy("_seq").first()
-    cells = [c for c in raw.columns if c != "_seq"]
     head_vals = [first[c] for c in cells] if first is not None else []
-    width = max((i + 1 for i, v in enumerate(head_vals) if v is not None), default=0) if header else len(cells)
+    width = max((i + 1 for i, v in enumerate(head_vals) if v is not None), default=0)
     names = header_names(head_vals[:width], header)
     body = raw.filter(F.col("_seq") != first["_seq"]) if header and first is not None else raw
-    extra = [F.coalesce(F.trim(F.col(c)), F.lit("")) != "" for c in cells[width:]]
-    too_wide = F.lit(False)
-    for e in extra:
-        too_wide = too_wide | e
-    if strict and extra:
-        body = body.withColumn("_chk", F.when(too_wide, F.raise_error(F.lit(
-            "a row has more values than the header; check the delimiter")))).drop("_chk")
+    extra = cells[width:]
+    too_wide = (F.length(F.concat_ws("", *[F.col(c) for c in extra])) > 0) if extra else F.lit(False)
+    if strict:
+        fail = F.raise_error(F.lit("a row has more values than the header; check the delimiter"))
+        body = body.filter(F.coalesce(F.when(too_wide, fail).cast("boolean"), F.lit(True)))
     else:
         body = body.filter(~too_wide)
     out = body.select(F.col("_seq"), *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in zip(cells[:width], names)])
-    not_blank = F.lit(False)
-    for n in names:
-        not_blank = not_blank | (F.trim(F.col(n)) != "")
-    out = out.filter(not_blank)
-    return out.withColumn("row_id", F.row_number().over(Window.orderBy("_seq"))).drop("_seq") \
-        if out.isStreaming is False and _small_enough(out) else out.withColumnRenamed("_seq", "row_id")
+    joined = F.concat_ws("", *[F.col(n) for n in names]) if names else F.lit("")
+    out = out.filter(F.length(F.regexp_replace(joined, r"(?U)\s", "")) > 0)
+    if _small_enough(out):
+        return out.withColumn("row_id", F.row_number().over(Window.orderBy("_seq"))).drop("_seq")
+    return out.withColumnRenamed("_seq", "row_id")
 
 
 def _small_enough(df: DataFrame, limit: int = 1_000_000) -> bool:
