@@ -41,7 +41,15 @@ def _latin_table(lo: int = 0x00C0, hi: int = 0x024F) -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+def _stable_table(lo: int = 0x0080, hi: int = 0x024F) -> str:
+    """Non-ASCII characters that NFKD leaves as they are (e.g. ß, æ, ø)."""
+    return "".join(chr(cp) for cp in range(lo, hi + 1)
+                   if not unicodedata.combining(chr(cp)) and unicodedata.normalize("NFKD", chr(cp)) == chr(cp)
+                   and chr(cp).lower() == chr(cp) and chr(cp).isprintable())
+
+
 LATIN_SRC, LATIN_DST = _latin_table()
+LATIN_STABLE = _stable_table()
 
 
 @F.pandas_udf(StringType())
@@ -57,9 +65,23 @@ def normalize_text(col) -> Column:
     """Lower, NFKD, drop combining marks (exact)."""
     c = F.coalesce(_c(col), F.lit(""))
     fast = F.translate(F.lower(c), LATIN_SRC, LATIN_DST)
-    ascii_only = F.length(fast) == F.octet_length(fast)
-    slow = _normalize_udf(F.when(~ascii_only, c))
-    return F.when(ascii_only, fast).otherwise(slow)
+    rest = F.translate(fast, LATIN_STABLE, "")          # stable characters removed: the rest must be ASCII
+    exact = F.length(rest) == F.octet_length(rest)
+    slow = _normalize_udf(F.when(~exact, c))
+    return F.when(exact, fast).otherwise(slow)
+
+
+def with_normalized(df, col, out: str = "normalized"):
+    """X01 on a DataFrame: the JVM fast path is computed once in its own
+    projection (Catalyst keeps a non-cheap expression that is referenced
+    twice in a separate projection), then only rows that still need exact
+    NFKD send their text to the Arrow UDF."""
+    c = F.coalesce(_c(col), F.lit(""))
+    staged = (df.withColumn("_nf_fast", F.translate(F.lower(c), LATIN_SRC, LATIN_DST))
+              .withColumn("_nf_rest", F.translate(F.col("_nf_fast"), LATIN_STABLE, "")))
+    exact = F.length("_nf_rest") == F.octet_length("_nf_rest")
+    return (staged.withColumn(out, F.when(exact, F.col("_nf_fast")).otherwise(_normalize_udf(F.when(~exact, c))))
+            .drop("_nf_fast", "_nf_rest"))
 
 
 def is_blank(col) -> Column:

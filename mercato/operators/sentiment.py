@@ -70,14 +70,17 @@ def polarities(tokens: Column, lx: Lexicon = Lexicon()) -> Column:
         t = z["s0"]
         base = F.when(F.array_contains(pos, t), 1).when(F.array_contains(neg, t), -1).otherwise(0)
         negated = F.lit(False)
-        for k in range(LOOK_BACK, 0, -1):          # nearest token last in the fold, first in the walk
+        for k in range(LOOK_BACK, 0, -1):          # built inside out: nearest token is tested first
             w = z[f"s{k}"]
             hit = w.isNotNull() & F.array_contains(negators, w)
             stop = w.isNull() | F.array_contains(breakers, w)
-            negated = F.when(stop, F.lit(False)).otherwise(hit | negated) if k == LOOK_BACK else \
-                F.when(stop, F.lit(False)).otherwise(hit | negated)
-        return F.when(negated, -base).otherwise(base)
-    return F.when(n > 0, F.transform(zipped, one)).otherwise(F.array().cast("array<int>"))
+            negated = F.when(stop, F.lit(False)).otherwise(hit | negated)
+        # the look-back is only evaluated for polarity words (CASE short-circuits)
+        return F.when(base == 0, F.lit(0)).when(negated, -base).otherwise(base)
+    words = _arr(list(lx.positive) + list(lx.negative))
+    # documents without any polarity word skip the fold (hash-based overlap test)
+    return (F.when((n > 0) & F.coalesce(F.arrays_overlap(tokens, words), F.lit(False)), F.transform(zipped, one))
+            .otherwise(F.array().cast("array<int>")))
 
 
 def _counts(p: Column) -> Column:
@@ -97,7 +100,9 @@ def lexicon_sentiment(tokens: Column, blank: Column, lx: Lexicon = Lexicon()) ->
 def evidence_words(tokens: Column, lx: Lexicon = Lexicon()) -> Column:
     """Polarity words in order of first appearance."""
     words = _arr(list(lx.positive) + list(lx.negative))
-    return F.array_distinct(F.filter(tokens, lambda t: F.array_contains(words, t)))
+    hits = F.array_distinct(F.filter(tokens, lambda t: F.array_contains(words, t)))
+    return F.when(F.coalesce(F.arrays_overlap(tokens, words), F.lit(False)), hits).otherwise(
+        F.array().cast("array<string>"))
 
 
 def themes_by_token(tokens: Column, themes: dict | None = None) -> Column:

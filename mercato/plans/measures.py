@@ -283,6 +283,19 @@ VISUALS: dict[str, tuple[list[str], list[tuple[str, str]]]] = {
 }
 
 
+def visual_with_total(sm: SemanticModel, names: Sequence[str], group: tuple[str, str],
+                      filters: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+    """A table visual with its total row: the total is the measure evaluated
+    without the grouping (recomputed from totals, never summed from rows)."""
+    rows = sm.evaluate(names, Context(group_by=[group], filters=filters)).withColumn("is_total", F.lit(0))
+    total = sm.evaluate(names, Context(filters=filters)).select(
+        F.lit(None).cast("string").alias(group[1]), *names).withColumn("is_total", F.lit(1))
+    return rows.unionByName(total)
+
+
+ALL_MEASURES = [n for n in MEASURES if not n.startswith("_") and MEASURES[n].post_rank is None]
+
+
 def visual(sm: SemanticModel, name: str, filters: Sequence[tuple[str, Column]] = ()) -> DataFrame:
     names, group = VISUALS[name]
     return sm.evaluate(names, Context(group_by=group, filters=filters))

@@ -166,3 +166,80 @@ SELECT CAST(d AS DATE) AS Date, strftime(d, '%Y-%m') AS Mois, CAST(year(d) AS IN
 FROM generate_series((SELECT date_trunc('month', MIN(purchase_date)) FROM fact_orders),
                      (SELECT last_day(MAX(purchase_date)) FROM fact_orders), INTERVAL 1 DAY) t(d)
 """))(_calendar)
+
+
+register("visual_cohort_table", sql("""
+SELECT cohort_month, NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS eligible_customers,
+       CAST(SUM(repeat_90) FILTER (WHERE eligible_90 = 1) AS BIGINT) AS repeat_customers,
+       CAST(SUM(repeat_90) FILTER (WHERE eligible_90 = 1) AS DOUBLE)
+         / CAST(NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS DOUBLE) AS repeat_rate_90,
+       CAST(GROUPING(cohort_month) AS INTEGER) AS is_total
+FROM customer_cohorts GROUP BY ROLLUP (cohort_month)
+HAVING eligible_customers IS NOT NULL OR GROUPING(cohort_month) = 1
+"""))(lambda s, d: _dbl(MS.visual_with_total(MS.semantic_model(full_model(s, d)),
+                                             ["eligible_customers", "repeat_customers", "repeat_rate_90"],
+                                             ("Cohorts", "cohort_month"))))
+
+
+def _all_measures(s, d):
+    sm = MS.semantic_model(full_model(s, d))
+    return _dbl(sm.evaluate(MS.ALL_MEASURES))
+
+
+register("measures_all", sql(f"""
+SELECT o.*, r.*, i.*, c.*,
+       CASE WHEN o.orders_delivered >= 500 THEN o.late_rate END AS late_rate_500,
+       CASE WHEN c.eligible_customers >= 200 THEN c.repeat_rate_90 END AS repeat_rate_200
+FROM (SELECT NULLIF(COUNT(*) FILTER (WHERE analysis_period = 1), 0) AS orders, {OD} AS orders_delivered,
+             {GMV} AS gmv, {GMV} / CAST({OD} AS DOUBLE) AS avg_basket,
+             CAST(NULLIF(COUNT(*) FILTER (WHERE analysis_period = 1 AND order_status = 'canceled'), 0) AS DOUBLE)
+               / CAST(NULLIF(COUNT(*) FILTER (WHERE analysis_period = 1), 0) AS DOUBLE) AS cancel_rate,
+             NULLIF(COUNT(is_late) FILTER (WHERE _lg), 0) AS deliveries_assessable,
+             CAST(SUM(is_late) FILTER (WHERE _lg) AS BIGINT) AS late_orders, {LATE} AS late_rate,
+             MEDIAN(delivery_days) FILTER (WHERE _lg) AS median_delivery_days,
+             CAST(SUM(review_score) FILTER (WHERE _lg) AS DOUBLE)
+               / CAST(NULLIF(COUNT(review_score) FILTER (WHERE _lg), 0) AS DOUBLE) AS mean_score,
+             NULLIF(COUNT(review_score) FILTER (WHERE _lg), 0) AS reviews_available,
+             CAST(SUM(bad_review) FILTER (WHERE _lg) AS BIGINT) AS bad_reviews,
+             CAST(SUM(bad_review) FILTER (WHERE _lg) AS DOUBLE)
+               / CAST(NULLIF(COUNT(review_score) FILTER (WHERE _lg), 0) AS DOUBLE) AS bad_review_rate
+      FROM lg) o,
+     (SELECT CAST(SUM(review_score) AS DOUBLE) / COUNT(review_score) AS mean_score_after_receipt,
+             NULLIF(COUNT(*), 0) AS reviews_after_receipt FROM ra) r,
+     (SELECT CAST(SUM(price) AS DOUBLE) AS gmv_items, NULLIF(COUNT(*), 0) AS items_delivered,
+             NULLIF(COUNT(DISTINCT order_id), 0) AS orders_with_items,
+             NULLIF(COUNT(DISTINCT seller_id), 0) AS active_sellers FROM bi_items) i,
+     (SELECT NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS eligible_customers,
+             CAST(SUM(repeat_90) FILTER (WHERE eligible_90 = 1) AS BIGINT) AS repeat_customers,
+             CAST(SUM(repeat_90) FILTER (WHERE eligible_90 = 1) AS DOUBLE)
+               / CAST(NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS DOUBLE) AS repeat_rate_90,
+             CAST(SUM(item_value) FILTER (WHERE eligible_90 = 1) AS DOUBLE)
+               / CAST(NULLIF(COUNT(item_value) FILTER (WHERE eligible_90 = 1), 0) AS DOUBLE) AS first_basket
+      FROM customer_cohorts) c
+""", BI_SQL))(_all_measures)
+
+
+def _labels(s, d):
+    t = MS.bi_tables(full_model(s, d))
+    fo = t["FactOrders"].select("order_id", "livraison_statut", "commande_type",
+                                F.year("purchase_date").alias("year"), F.month("purchase_date").alias("month"),
+                                F.weekday("purchase_date").alias("day_of_week"))
+    return fo
+
+
+register("bi_order_labels", sql("""
+SELECT order_id,
+       CASE WHEN is_late IS NULL THEN 'Non évaluable' WHEN is_late = 1 THEN 'En retard' ELSE 'À l''heure' END
+         AS livraison_statut,
+       CASE WHEN seller_count IS NULL THEN 'Sans articles' WHEN seller_count > 1 THEN 'Plusieurs vendeurs'
+            ELSE 'Un vendeur' END AS commande_type,
+       CAST(year(purchase_date) AS INTEGER) AS year, CAST(month(purchase_date) AS INTEGER) AS month,
+       CAST(isodow(purchase_date) - 1 AS INTEGER) AS day_of_week
+FROM fact_orders
+"""))(_labels)
+
+register("bi_cohort_labels", sql("""
+SELECT customer_unique_id, cohort_month,
+       CASE WHEN repeat_90 = 1 THEN 'Avec réachat' ELSE 'Sans réachat' END AS Reachat
+FROM customer_cohorts
+"""))(lambda s, d: MS.bi_tables(full_model(s, d))["Cohorts"].select("customer_unique_id", "cohort_month", "Reachat"))

@@ -281,3 +281,34 @@ SELECT doc_id, md5(regexp_replace(text, '^(\s*[=+@\-])', '''\1')) AS cell_hash,
        regexp_matches(text, '^\s*[=+@\-]') AS neutralized FROM documents
 """)(lambda s, d: s.read.parquet(table_path(d, "documents")).select(
     "doc_id", F.md5(neutralize_formulas(F.col("text"))).alias("cell_hash"), F.col("text").rlike(r"(?U)^\s*[=+@\-]").alias("neutralized")))
+
+# Fixed values of the fixture: custom theme rules made of words that occur.
+FIXTURE_THEME_RULES = {"Prix": ["cher", "trop cher"], "Insultes": ["idiot", "moron", "pathetic"]}
+
+
+def _phrase_themes(s, d):
+    rows = R.analyze_reviews(R.fixture_reviews(s, d), "texte", None, "note", LX, FIXTURE_THEME_RULES)
+    return rows.select("row_id", F.array_join("themes", " | ").alias("themes"))
+
+
+register("themes_by_phrase", rsql(r"""
+SELECT row_id, concat_ws(' | ',
+  CASE WHEN regexp_matches(nt, '(^|[^\pL\pN_])(cher|trop cher)([^\pL\pN_]|$)') THEN 'Prix' END,
+  CASE WHEN regexp_matches(nt, '(^|[^\pL\pN_])(idiot|moron|pathetic)([^\pL\pN_]|$)') THEN 'Insultes' END)
+  AS themes
+FROM annot
+"""))(_phrase_themes)
+
+
+def _preview(s, d):
+    from mercato.sources.reviews import preview_with_coverage
+    imported = R.fixture_reviews(s, d)
+    analysed = R.fixture_analyzed(s, d).filter(F.col("langue") == "fr")
+    return preview_with_coverage(analysed, imported, 5).select("row_id", "sentiment", "analysed", "imported")
+
+
+register("preview_with_coverage", rsql("""
+SELECT row_id, sentiment, (SELECT COUNT(*) FROM annot WHERE langue = 'fr') AS analysed,
+       (SELECT COUNT(*) FROM annot) AS imported
+FROM annot WHERE langue = 'fr' ORDER BY row_id LIMIT 5
+"""))(_preview)

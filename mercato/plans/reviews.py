@@ -39,8 +39,7 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
                     lexicon: X.Lexicon = X.Lexicon(), theme_rules: dict | None = None,
                     scorer_factory: Callable | None = None) -> DataFrame:
     """One annotated row per input row (input columns kept)."""
-    out = (df.withColumn("text", T.compose_text(title_col, text_col))
-           .withColumn("normalized", T.normalize_text(F.col("text")))
+    out = (T.with_normalized(df.withColumn("text", T.compose_text(title_col, text_col)), "text", "normalized")
            .withColumn("tokens", T.tokenize(F.col("normalized")))
            .withColumn("_blank", T.is_blank(F.col("text"))))
     themes = (X.themes_by_phrase(F.col("normalized"), theme_rules) if theme_rules

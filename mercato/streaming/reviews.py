@@ -36,8 +36,7 @@ def stage_as_files(df: DataFrame, path: str, files: int = 8, key: str = "row_id"
 
 def rules_columns(df: DataFrame, text_col: str, rating_col: str | None, lexicon: X.Lexicon) -> DataFrame:
     """The stateless part of X18."""
-    out = (df.withColumn("text", T.compose_text(None, text_col))
-           .withColumn("normalized", T.normalize_text(F.col("text")))
+    out = (T.with_normalized(df.withColumn("text", T.compose_text(None, text_col)), "text", "normalized")
            .withColumn("tokens", T.tokenize(F.col("normalized"))))
     blank = T.is_blank(F.col("text"))
     return (out.withColumn("sentiment", X.lexicon_sentiment(F.col("tokens"), blank, lexicon))

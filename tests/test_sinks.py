@@ -42,3 +42,18 @@ def test_corrections_keep_initial(spark):
     assert got[1]["sentiment"] == "Positif" and got[1]["sentiment_initial"] == "Négatif"
     assert got[1]["corrected"] and not got[1]["uncertain"]
     assert got[2]["sentiment"] == "Positif" and not got[2]["corrected"]
+
+
+def test_write_model_and_bi_star(spark, tmp_path, sf_small):
+    from mercato.plans import measures as MS
+    from mercato.plans import registry
+    m = registry.full_model(spark, sf_small)
+    paths = sinks.write_model({"fact_orders": m.fact_orders.select("order_id", "purchase_month", "item_value")},
+                              str(tmp_path / "model"), partition_by={"fact_orders": ["purchase_month"]})
+    back = spark.read.parquet(paths[0])
+    assert back.count() == m.fact_orders.count()
+    assert any(p.name.startswith("purchase_month=") for p in (tmp_path / "model" / "fact_orders").iterdir())
+    star = sinks.export_bi_star(MS.bi_tables(m), str(tmp_path / "star"))
+    assert len(star) == 7
+    assert spark.read.parquet(str(tmp_path / "star" / "DimSellers")).filter(
+        F.col("Vendeur") == "Vendeur 0001").count() == 1
