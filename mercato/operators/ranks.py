@@ -115,6 +115,25 @@ def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
     return res.drop("_pid", "_pos", *[f"_o_{o}" for o in sums])
 
 
+def running_min(df: DataFrame, order: Sequence, value: str, out: str,
+                partitions: int | None = None) -> DataFrame:
+    """MIN(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed:
+    each range partition starts from the minimum of all earlier partitions
+    (a table with one row per partition)."""
+    if is_small(df):
+        w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.min(value).over(w1))
+    part = _partitioned(df, order, partitions)
+    per = part.groupBy("_pid").agg(F.min(value).alias("_pmin"))
+    prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select("_pid", F.min("_pmin").over(prior).alias("_omin"))
+    w = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = F.min(value).over(w)
+    return (part.join(F.broadcast(off), "_pid")
+            .withColumn(out, F.when(F.col("_omin").isNull(), local).otherwise(F.least(F.col("_omin"), local)))
+            .drop("_pid", "_pos", "_omin"))
+
+
 def average_rank(df: DataFrame, value: str, out: str = "rank",
                  partitions: int | None = None) -> DataFrame:
     """Mid-rank of ``value`` with ties sharing the average rank (as

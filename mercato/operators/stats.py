@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 from pyspark.sql import functions as F
 
 from mercato.functions import stat_tails as T
-from mercato.operators.ranks import rank_table, average_rank
+from mercato.operators.ranks import global_row_number, rank_table, running_min
 
 
 @F.pandas_udf(DoubleType())
@@ -117,14 +117,15 @@ def kruskal_test(df: DataFrame, group: str, metric: str, top_k: int | None = Non
 
 def benjamini_hochberg(df: DataFrame, p: str = "p_value", out: str = "q_bh", order: str = "id") -> DataFrame:
     """H-BH: step-up adjusted q, clipped to [0, 1].  Null p stays null and
-    does not count in m.  Meant for the small table of tests (one row each)."""
-    tested = df.filter(F.col(p).isNotNull())
+    does not count in m.  Ranks and the reverse running minimum use the
+    distributed rank operators, so a table of millions of p-values (one per
+    seller, say) never sits in one task."""
+    tested = df.filter(F.col(p).isNotNull()).select(order, p)
     m = tested.agg(F.count(F.lit(1)).alias("_m"))
-    ranked = tested.crossJoin(m).withColumn(
-        "_i", F.row_number().over(Window.orderBy(F.col(p).asc(), F.col(order).asc())))
-    ranked = ranked.withColumn("_adj", F.col(p) * F.col("_m") / F.col("_i"))
-    w = Window.orderBy(F.col("_i").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    q = ranked.withColumn(out, F.least(F.greatest(F.min("_adj").over(w), F.lit(0.0)), F.lit(1.0)))
+    ranked = global_row_number(tested, [(p, True), (order, True)], "_i")
+    ranked = ranked.crossJoin(F.broadcast(m)).withColumn("_adj", F.col(p) * F.col("_m") / F.col("_i"))
+    q = running_min(ranked, [("_i", False)], "_adj", "_qmin")
+    q = q.withColumn(out, F.least(F.greatest(F.col("_qmin"), F.lit(0.0)), F.lit(1.0)))
     return df.join(q.select(order, out), order, "left")
 
 

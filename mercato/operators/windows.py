@@ -77,19 +77,23 @@ def lag_growth(df: DataFrame, order: str, value: str, out: str, digits: int = 2)
     return df.withColumn(out, growth)
 
 
-def dense_rank_top(df: DataFrame, measure: str, top: int = 10, out: str | None = None,
-                   partition: Sequence[str] = ()) -> DataFrame:
+def dense_rank_top(df: DataFrame, measure: str, top: int = 10, out: str | None = None) -> DataFrame:
     """Keep the measure when its dense rank (descending) is <= top, else
-    null.  Ties share a rank, so more than ``top`` members may be kept.  Null
-    measures rank after all values (blank members stay in the ranking)."""
-    w = Window.partitionBy(*partition).orderBy(F.col(measure).desc_nulls_last())
+    null.  Ties share a rank, so more than ``top`` members may be kept.
+
+    Dense rank <= top holds exactly when the value is at least the top-th
+    largest distinct value; that threshold comes from a distributed top-k
+    (TakeOrderedAndProject) over distinct values, so no window holds all
+    members in one task.  Null measures are never kept."""
     out = out or measure
-    return df.withColumn(out, F.when(F.dense_rank().over(w) <= top, F.col(measure)))
+    threshold = (df.select(measure).filter(F.col(measure).isNotNull()).distinct()
+                 .orderBy(F.col(measure).desc()).limit(top).agg(F.min(measure).alias("_thr")))
+    return (df.crossJoin(F.broadcast(threshold))
+            .withColumn(out, F.when(F.col(measure) >= F.col("_thr"), F.col(measure))).drop("_thr"))
 
 
 def reverse_running_min(df: DataFrame, value: str, order: str, out: str) -> DataFrame:
-    """Running minimum from the largest ``order`` down to the current row.
-    Meant for tiny tables (one row per hypothesis test)."""
-    w = (Window.orderBy(F.col(order).desc(), F.col(value).desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out, F.min(value).over(w))
+    """Running minimum from the largest ``order`` down to the current row
+    (the Benjamini-Hochberg step), with the distributed running minimum."""
+    from mercato.operators.ranks import running_min
+    return running_min(df, [(order, False), (value, False)], value, out)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,42 +68,69 @@ def _spearman(df: DataFrame, hid: str, theme: str, x: str, y: str, direction: fl
                 p_value=F.col("p_value"))
 
 
-@dataclass
 class Populations:
-    d: DataFrame
-    di: DataFrame
-    rated: DataFrame
-    single: DataFrame
-    payd: DataFrame
-    cohorts: DataFrame
-    delivered_obs: DataFrame
-    sr: DataFrame
-    one: DataFrame
+    """The study populations, built on first use.  With ``persist`` each one
+    is checkpointed to the shared ``spark.checkpoint.dir`` when first read:
+    a dozen tests read each of them, and the cut lineage keeps the 26-branch
+    register plan small (and recoverable from the checkpoint when an
+    executor is lost).  Populations a query does not read are never built."""
+
+    def __init__(self, m: Model, persist: bool = True):
+        self.m, self.persist = m, persist
+        if persist:
+            checkpoint_dir(m.fact_orders.sparkSession)
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if self.persist else df
+
+    @cached_property
+    def f(self) -> DataFrame:
+        return self._keep(self.m.fact_orders)
+
+    @cached_property
+    def fi(self) -> DataFrame:
+        return self._keep(self.m.fact_items)
+
+    @cached_property
+    def d(self) -> DataFrame:
+        return self._keep(main_population(self.f))
+
+    @cached_property
+    def di(self) -> DataFrame:
+        return self._keep(main_population(self.fi))
+
+    @cached_property
+    def rated(self) -> DataFrame:
+        return self._keep(rated_population(self.f))
+
+    @cached_property
+    def single(self) -> DataFrame:
+        return self._keep(single_seller_population(self.f))
+
+    @cached_property
+    def payd(self) -> DataFrame:
+        return self._keep(first_order_population(self.f))
+
+    @cached_property
+    def cohorts(self) -> DataFrame:
+        return self._keep(build_customer_cohorts(self.f, self.m.params))
+
+    @cached_property
+    def delivered_obs(self) -> DataFrame:
+        end = F.lit(self.m.params.observation_end).cast("timestamp_ntz")
+        return self.f.filter((F.col("order_status") == "delivered") & (F.col("order_purchase_timestamp") <= end))
+
+    @cached_property
+    def sr(self) -> DataFrame:
+        return self.di.filter(F.col("item_count") == 1).join(self.rated.select("order_id"), "order_id", "left_semi")
+
+    @cached_property
+    def one(self) -> DataFrame:
+        return self.di.filter(F.col("item_count") == 1).join(self.payd.select("order_id"), "order_id", "left_semi")
 
 
 def populations(m: Model, persist: bool = True) -> Populations:
-    """The study populations.  With ``persist`` the facts and populations are
-    checkpointed to the shared ``spark.checkpoint.dir``: a dozen tests read
-    each of them, and the cut lineage keeps the 26-branch register plan small
-    (and recoverable from the checkpoint when an executor is lost)."""
-    if persist:
-        checkpoint_dir(m.fact_orders.sparkSession)
-
-    def keep(df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if persist else df
-    f, fi, p = keep(m.fact_orders), keep(m.fact_items), m.params
-    d = keep(main_population(f))
-    di = keep(main_population(fi))
-    rated = keep(rated_population(f))
-    single = keep(single_seller_population(f))
-    payd = keep(first_order_population(f))
-    cohorts = keep(build_customer_cohorts(f, p))
-    end = F.lit(p.observation_end).cast("timestamp_ntz")
-    delivered_obs = f.filter((F.col("order_status") == "delivered") & (F.col("order_purchase_timestamp") <= end))
-    single_item = di.filter(F.col("item_count") == 1)
-    sr = single_item.join(rated.select("order_id"), "order_id", "left_semi")
-    one = single_item.join(payd.select("order_id"), "order_id", "left_semi")
-    return Populations(d, di, rated, single, payd, cohorts, delivered_obs, sr, one)
+    return Populations(m, persist)
 
 
 def welch_specs(P: Populations, hp: HypothesisParams):
@@ -122,7 +150,8 @@ def welch_specs(P: Populations, hp: HypothesisParams):
         ("H19", "Paiement", P.payd.filter(F.col("payment_type").isin(hp.card_type, hp.boleto_type)),
          F.col("payment_type") == hp.card_type, "gross_value", 1.0),
         ("H23", "Satisfaction", r, F.col("has_comment") == 1, "review_score", -1.0),
-        ("H24", "Fidelisation", P.cohorts.filter((F.col("eligible_postdelivery_90") == 1) & F.col("is_late").isNotNull()),
+        ("H24", "Fidelisation", P.cohorts.filter((F.col("eligible_postdelivery_90") == 1)
+                                                 & F.col("is_late").isNotNull()),
          F.col("is_late") == 1, "repeat_after_delivery_90", -1.0),
     ]
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from mercato.functions import columns as C
 from mercato.operators.aggregates import ratio
 from mercato.operators.ranks import global_row_number
+from mercato.operators.windows import dense_rank_top
 from mercato.plans.model import Model, StudyParams, build_customer_cohorts, rated_population
 
 # BI relationships (child table, child key, parent table, parent key).
@@ -244,9 +245,8 @@ class SemanticModel:
                 out = out.withColumn(n, mdef.combine(cols))
                 cols[n] = F.col(n)
                 if mdef.post_rank:
-                    dim, measure = mdef.post_rank
-                    rank = F.dense_rank().over(Window.orderBy(F.col(measure).desc_nulls_last()))
-                    out = out.withColumn(n, F.when(rank <= 10, F.col(n)))
+                    _, measure = mdef.post_rank
+                    out = dense_rank_top(out.withColumn(n, F.col(measure)), n, 10)
         out = out.select(*keys, *names)
         if keys:
             any_value = None

@@ -43,3 +43,18 @@ def test_average_rank_matches_pandas(spark, mode):
             assert got[i] is None
         else:
             assert got[i] == pytest.approx(v)
+
+
+def test_running_min_descending(spark, mode):
+    vals = [(i, float((i * 13) % 17)) for i in range(150)]
+    df = spark.createDataFrame(vals, "i int, x double")
+    got = {r["i"]: r["m"] for r in ranks.running_min(df, [("i", False)], "x", "m", partitions=4).collect()}
+    for i, _ in vals:
+        assert got[i] == min(x for j, x in vals if j >= i)
+
+
+def test_dense_rank_top_keeps_ties(spark):
+    from mercato.operators.windows import dense_rank_top
+    df = spark.createDataFrame([(k, v) for k, v in enumerate([5, 9, 9, 7, 7, 7, 1, None, 3])], "k int, v int")
+    got = {r["k"]: r["top"] for r in dense_rank_top(df, "v", 3, "top").collect()}
+    assert {k for k, v in got.items() if v is not None} == {0, 1, 2, 3, 4, 5}
