@@ -204,6 +204,19 @@ def evaluate_labels(rows: DataFrame, expected: str = "expected", by: str = "lang
                                 F.count_if(F.col("sentiment") == UNDETERMINED).alias("abstentions"))
 
 
+# Column codes of the confusion matrix, in class order.
+CLASS_CODES = ["positive", "negative", "neutral", "mixed", "undetermined", "no_text"]
+
+
+def confusion_matrix(rows: DataFrame, expected: str = "expected") -> DataFrame:
+    """Expected label x predicted class counts (pivot over the six
+    classes, so the schema does not depend on the data)."""
+    code = F.element_at(F.create_map(*[x for pair in zip(SENTIMENTS, CLASS_CODES) for x in map(F.lit, pair)]),
+                        F.col("sentiment"))
+    return rows.withColumn("_code", code).groupBy(expected).pivot("_code", CLASS_CODES).agg(
+        F.count(F.lit(1))).na.fill(0, CLASS_CODES)
+
+
 def reject_oversize(df: DataFrame, text: str = "text", limit: int = 100_000,
                     raise_error: bool = False) -> tuple[DataFrame, DataFrame]:
     """Texts over ``limit`` characters are refused (reject table, or a

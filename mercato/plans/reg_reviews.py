@@ -312,3 +312,12 @@ SELECT row_id, sentiment, (SELECT COUNT(*) FROM annot WHERE langue = 'fr') AS an
        (SELECT COUNT(*) FROM annot) AS imported
 FROM annot WHERE langue = 'fr' ORDER BY row_id LIMIT 5
 """))(_preview)
+
+_CODES = dict(zip(X.SENTIMENTS, X.CLASS_CODES))
+register("confusion_matrix", rsql("SELECT CASE quality WHEN 1 THEN 'Positif' ELSE 'Négatif' END AS expected, "
+                                  + ", ".join(f"COUNT(*) FILTER (WHERE sentiment = '{s}') AS {c}"
+                                              for s, c in _CODES.items())
+                                  + " FROM annot WHERE quality IS NOT NULL GROUP BY 1"))(
+    lambda s, d: X.confusion_matrix(
+        analyzed(s, d).filter(F.col("quality").isNotNull())
+        .withColumn("expected", F.when(F.col("quality") == 1, "Positif").otherwise("Négatif"))))

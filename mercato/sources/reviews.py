@@ -39,6 +39,25 @@ def header_names(raw: Sequence[str | None], header: bool = True) -> list[str]:
     return names
 
 
+def detect_encoding(spark: SparkSession, path: str, lines: int = 200) -> str:
+    """Encoding 'auto': a UTF-16 byte-order mark gives UTF-16; text that
+    decodes as UTF-8 (a UTF-8 mark is dropped) stays UTF-8; otherwise
+    windows-1252.  Decided on the first lines read through Spark."""
+    head = spark.read.option("encoding", "UTF-8").text(path).limit(lines)
+    probe = head.agg(
+        F.max(F.when(F.col("value").startswith("\ufffd\ufffd"), 1).otherwise(0)).alias("bom16"),
+        F.max(F.when(F.col("value").contains("\u0000"), 1).otherwise(0)).alias("nul"),
+        F.max(F.when(F.try_validate_utf8(F.col("value")).isNull(), 1).otherwise(0)).alias("bad")).first()
+    if probe is None:
+        return "UTF-8"
+    if probe["bom16"] or probe["nul"]:
+        return "UTF-16"
+    if probe["bad"]:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        return "windows-1252"
+    return "UTF-8"
+
+
 def _sniff_delimiter(spark: SparkSession, path: str, encoding: str) -> str:
     """Auto delimiter: score each candidate on the first lines (DataFrame ops):
     the candidate giving the same, largest field count on most lines wins."""
@@ -68,7 +87,9 @@ def read_reviews_delimited(spark: SparkSession, path: str, delimiter: str = "aut
     the header are seen; empty cells read as '' and absent cells as null.
     Blank rows are dropped, short rows are padded with '' and a row with more
     non-blank cells than the header raises (``strict``) or is dropped."""
-    enc = ENCODINGS.get(encoding, encoding)
+    enc = detect_encoding(spark, path) if encoding == "auto" else ENCODINGS.get(encoding, encoding)
+    if enc == "windows-1252":
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     if delimiter == "auto":
         delimiter = _sniff_delimiter(spark, path, enc)
     if delimiter not in DELIMITERS:

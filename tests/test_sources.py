@@ -105,3 +105,15 @@ def test_raw_tables_manifest_profile_and_typing(spark, tmp_path):
     bad, _ = raw.coerce_types(t["orders"], {"price": "double"}, policy="raise")
     with pytest.raises(Exception):
         bad.collect()
+
+
+def test_encoding_auto(spark, tmp_path):
+    a = tmp_path / "a.csv"
+    a.write_bytes("texte;note\nTrès bien;5\n".encode("cp1252"))
+    b = tmp_path / "b.csv"
+    b.write_bytes("texte;note\nTrès bien;5\n".encode("utf-16"))
+    c = tmp_path / "c.csv"
+    c.write_bytes("﻿texte;note\nTrès bien;5\n".encode("utf-8"))
+    for p in (a, b, c):
+        df = read_reviews_delimited(spark, str(p), ";", "auto")
+        assert df.select("texte").first()[0] == "Très bien", p.name
