@@ -131,11 +131,9 @@ def read_reviews_json(spark: SparkSession, path: str, lines: bool | None = None)
     JSON text, null as ''); the column set is the union of keys."""
     if lines is None:
         lines = path.endswith((".jsonl", ".ndjson"))
-    reader = spark.read.option("multiLine", not lines)
     if lines:
-        rec = reader.schema("value map<string,string>").json(path) if False else \
-            spark.read.text(path).filter(F.trim("value") != "").select(
-                F.from_json("value", "map<string,string>").alias("r"))
+        rec = (spark.read.text(path).filter(F.trim("value") != "")
+               .select(F.from_json("value", "map<string,string>").alias("r")))
     else:
         doc = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
         is_list = F.startswith(F.col("v"), F.lit("["))
