@@ -77,8 +77,19 @@ ORDER_COLUMNS_FOR_ITEMS = ["order_id", "customer_state", "customer_zip_code_pref
                            "is_late", "review_score", "item_count", "seller_count"]
 
 
-def build_fact_items(t: dict[str, DataFrame], f_base: DataFrame, geo: DataFrame | None = None) -> DataFrame:
-    """Items + product + seller + order columns + geography + distance."""
+def build_fact_items(t: dict[str, DataFrame], f_base: DataFrame, geo: DataFrame | None = None,
+                     with_geo: bool = True) -> DataFrame:
+    """Items + product + seller + order columns + geography + distance.
+    ``with_geo=False`` leaves out the postal-prefix medians and the distance
+    (null) for callers that do not read them: the joins are not pruned by the
+    optimizer, so they are not built at all."""
+    if not with_geo:
+        return (t["order_items"]
+                .join(dim_products(t), "product_id", "left")
+                .join(t["sellers"], "seller_id", "left")
+                .join(f_base.select(*ORDER_COLUMNS_FOR_ITEMS), "order_id", "inner")
+                .withColumn("same_state", C.same_state())
+                .withColumn("distance_km", F.lit(None).cast("double")))
     geo = geo if geo is not None else geo_median(t["geolocation"])
     cust_geo = geo.select(F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
                           F.col("geolocation_lat").alias("customer_lat"),
@@ -123,6 +134,14 @@ def build_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
     return Model(fact_orders=f, fact_items=items, fact_orders_base=base, geo=geo, params=p)
 
 
+def build_light_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
+    """The facts without geography (no same_state / distance on orders, null
+    distance on items), for queries that never read them."""
+    base = build_fact_orders_base(t, p)
+    items = build_fact_items(t, base, with_geo=False)
+    return Model(fact_orders=base, fact_items=items, fact_orders_base=base, geo=None, params=p)
+
+
 def main_population(f: DataFrame) -> DataFrame:
     """In the analysis period and delivered."""
     return f.filter((F.col("analysis_period") == 1) & (F.col("order_status") == "delivered"))

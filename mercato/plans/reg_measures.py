@@ -11,7 +11,7 @@ from mercato.operators import quality as Qy
 from mercato.plans import measures as MS
 from mercato.plans.oracle_sql import q as sql
 from mercato.plans.reg_study import RATED_SQL
-from mercato.plans.registry import full_model, register
+from mercato.plans.registry import light_model, register
 
 BI_SQL = RATED_SQL.strip() + """,
 lg AS (SELECT *, analysis_period = 1 AND order_status = 'delivered' AS _lg FROM fact_orders),
@@ -32,7 +32,7 @@ def _dbl(df: DataFrame) -> DataFrame:
 
 def _visual(name):
     def run(s, d):
-        return _dbl(MS.visual(MS.semantic_model(full_model(s, d)), name))
+        return _dbl(MS.visual(MS.semantic_model(light_model(s, d)), name))
     return run
 
 
@@ -103,7 +103,7 @@ for _name in MS.VISUALS:
 def _filter_propagation(s, d):
     """A product-category filter changes item measures but leaves order
     measures unchanged (relationships are one-direction)."""
-    sm = MS.semantic_model(full_model(s, d))
+    sm = MS.semantic_model(light_model(s, d))
     ctx = MS.Context(filters=[("DimProducts", F.col("category") == "medium")])
     return _dbl(sm.evaluate(["gmv", "orders_delivered", "gmv_items", "items_delivered"], ctx))
 
@@ -117,7 +117,7 @@ SELECT (SELECT CAST(SUM(item_value) FILTER (WHERE _lg) AS DOUBLE) FROM lg) AS gm
 
 
 def _month_filtered_cards(s, d):
-    sm = MS.semantic_model(full_model(s, d))
+    sm = MS.semantic_model(light_model(s, d))
     ctx = MS.Context(filters=[("DimDate", F.col("Annee") == 1997)])
     return _dbl(sm.evaluate(["orders_delivered", "gmv", "gmv_items", "items_delivered"], ctx))
 
@@ -131,7 +131,7 @@ SELECT (SELECT NULLIF(COUNT(*) FILTER (WHERE _lg), 0) FROM lg WHERE year(purchas
 
 
 def _relationships(s, d):
-    t = MS.bi_tables(full_model(s, d))
+    t = MS.bi_tables(light_model(s, d))
     out = None
     for child, ck, parent, pk in MS.RELATIONSHIPS:
         r = Qy.dq_relationship(t[child], ck, t[parent], pk).select(
@@ -152,11 +152,11 @@ UNION ALL SELECT 'ReviewAnalysis.order_id -> FactOrders.order_id', 0,
 """, BI_SQL))(_relationships)
 
 register("seller_labels", sql("SELECT seller_id, Vendeur FROM dim_sellers", BI_SQL))(
-    lambda s, d: MS.seller_labels(full_model(s, d).fact_items.select("seller_id")))
+    lambda s, d: MS.seller_labels(light_model(s, d).fact_items.select("seller_id")))
 
 
 def _calendar(s, d):
-    t = MS.bi_tables(full_model(s, d))
+    t = MS.bi_tables(light_model(s, d))
     return t["DimDate"]
 
 
@@ -176,13 +176,13 @@ SELECT cohort_month, NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS eligi
        CAST(GROUPING(cohort_month) AS INTEGER) AS is_total
 FROM customer_cohorts GROUP BY ROLLUP (cohort_month)
 HAVING eligible_customers IS NOT NULL OR GROUPING(cohort_month) = 1
-"""))(lambda s, d: _dbl(MS.visual_with_total(MS.semantic_model(full_model(s, d)),
+"""))(lambda s, d: _dbl(MS.visual_with_total(MS.semantic_model(light_model(s, d)),
                                              ["eligible_customers", "repeat_customers", "repeat_rate_90"],
                                              ("Cohorts", "cohort_month"))))
 
 
 def _all_measures(s, d):
-    sm = MS.semantic_model(full_model(s, d))
+    sm = MS.semantic_model(light_model(s, d))
     return _dbl(sm.evaluate(MS.ALL_MEASURES))
 
 
@@ -220,7 +220,7 @@ FROM (SELECT NULLIF(COUNT(*) FILTER (WHERE analysis_period = 1), 0) AS orders, {
 
 
 def _labels(s, d):
-    t = MS.bi_tables(full_model(s, d))
+    t = MS.bi_tables(light_model(s, d))
     fo = t["FactOrders"].select("order_id", "livraison_statut", "commande_type",
                                 F.year("purchase_date").alias("year"), F.month("purchase_date").alias("month"),
                                 F.weekday("purchase_date").alias("day_of_week"))
@@ -242,4 +242,4 @@ register("bi_cohort_labels", sql("""
 SELECT customer_unique_id, cohort_month,
        CASE WHEN repeat_90 = 1 THEN 'Avec réachat' ELSE 'Sans réachat' END AS Reachat
 FROM customer_cohorts
-"""))(lambda s, d: MS.bi_tables(full_model(s, d))["Cohorts"].select("customer_unique_id", "cohort_month", "Reachat"))
+"""))(lambda s, d: MS.bi_tables(light_model(s, d))["Cohorts"].select("customer_unique_id", "cohort_month", "Reachat"))

@@ -9,7 +9,7 @@ from mercato.operators import stats as S
 from mercato.plans import hypotheses as H
 from mercato.plans.oracle_sql import q as sql
 from mercato.plans.reg_study import RATED_SQL
-from mercato.plans.registry import full_model, register
+from mercato.plans.registry import full_model, light_model, register
 
 # Fixed values of the fixture: member names standing in for the study's
 # 'credit_card', 'boleto' and 'SP'.
@@ -100,7 +100,7 @@ register("kruskal_test", KRUSKAL_SQL)(lambda s, d: H.kruskal_table(full_model(s,
 
 def _bh_rates(s, d):
     from mercato.plans.aggregates import sellers
-    rates = sellers(full_model(s, d).fact_items).select(
+    rates = sellers(light_model(s, d).fact_items).select(
         F.col("seller_id").alias("id"), F.col("late_rate").alias("p_value"))
     out = S.benjamini_hochberg(rates, "p_value", "q_bh", "id")
     return out.select("id", F.round("p_value", 9).alias("p_value"), F.round("q_bh", 9).alias("q_bh"))

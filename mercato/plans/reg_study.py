@@ -8,7 +8,7 @@ from mercato.plans import aggregates as A
 from mercato.plans.model import (first_order_population, rated_population,
                                  single_seller_population)
 from mercato.plans.oracle_sql import q as sql
-from mercato.plans.registry import cohorts, fact_base, full_model, params, register
+from mercato.plans.registry import cohorts, fact_base, full_model, light_model, params, register
 
 FIRST_YEAR = int(params().period_start[:4])
 
@@ -70,7 +70,7 @@ FROM main_pop GROUP BY customer_state
 register("categories", sql("""
 SELECT category, COUNT(*) AS items, COUNT(DISTINCT order_id) AS orders, CAST(SUM(price) AS DOUBLE) AS gmv
 FROM main_items GROUP BY category
-"""))(lambda s, d: A.categories(full_model(s, d).fact_items))
+"""))(lambda s, d: A.categories(light_model(s, d).fact_items))
 
 register("sellers", sql("""
 SELECT i.seller_id, i.items, i.gmv, o.orders, o.late_n, o.late_rate, o.review_n, o.review_score
@@ -80,7 +80,7 @@ JOIN (SELECT seller_id, COUNT(*) AS orders, COUNT(is_late) AS late_n,
              CAST(SUM(review_score) AS DOUBLE) / COUNT(review_score) AS review_score
       FROM (SELECT DISTINCT seller_id, order_id, is_late, review_score FROM main_items)
       GROUP BY seller_id) o USING (seller_id)
-"""))(lambda s, d: A.sellers(full_model(s, d).fact_items))
+"""))(lambda s, d: A.sellers(light_model(s, d).fact_items))
 
 RATED_SQL = """
 rated AS (
@@ -145,7 +145,7 @@ FROM (SELECT seller_id, gmv, ROW_NUMBER() OVER (ORDER BY gmv DESC, seller_id) AS
              SUM(gmv) OVER (ORDER BY gmv DESC, seller_id ROWS UNBOUNDED PRECEDING) AS cum,
              COUNT(*) OVER () AS n, SUM(gmv) OVER () AS total
       FROM (SELECT seller_id, SUM(price) AS gmv FROM main_items GROUP BY seller_id))
-"""))(lambda s, d: A.concentration_curve(full_model(s, d).fact_items))
+"""))(lambda s, d: A.concentration_curve(light_model(s, d).fact_items))
 
 register("weekday_weekend_rate", sql(f"""
 SELECT o.weekend_orders, o.weekday_orders, c.weekend_days, c.weekday_days,
@@ -196,7 +196,7 @@ register("top10_category_share", sql("""
 SELECT CAST(SUM(gmv) FILTER (WHERE rk <= 10) AS DOUBLE) / CAST(SUM(gmv) AS DOUBLE) AS top_share
 FROM (SELECT category, SUM(price) AS gmv, ROW_NUMBER() OVER (ORDER BY SUM(price) DESC, category) AS rk
       FROM main_items GROUP BY category)
-"""))(lambda s, d: A.top_share(full_model(s, d).fact_items, "category", 10))
+"""))(lambda s, d: A.top_share(light_model(s, d).fact_items, "category", 10))
 
 register("arg_max_month", sql(f"""
 SELECT purchase_month, COUNT(*) AS orders FROM main_pop WHERE year(order_purchase_timestamp) = {FIRST_YEAR}
