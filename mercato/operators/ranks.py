@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,14 @@ def is_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def _checked(df: DataFrame) -> tuple[DataFrame, bool]:
+    """Persist the input across the size check so its upstream plan runs
+    once: a small input stays cached (bounded by SMALL_TABLE_ROWS); a large
+    one is released by the caller once its checkpoint is written."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, is_small(kept)
+
+
 def _sort_cols(order: Sequence) -> list[Column]:
     cols = []
     for o in order:
@@ -74,9 +83,11 @@ def global_row_number(df: DataFrame, order: Sequence, out: str = "rank",
     ``order`` items are column names (ascending, nulls first), ``(name, asc)``
     tuples (descending puts nulls last) or Columns.  The order must be total
     (end it with a unique key) for the numbering to be deterministic."""
-    if is_small(df):
+    df, small = _checked(df)
+    if small:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*_sort_cols(order))))
     part = _partitioned(df, order, partitions)
+    df.unpersist()
     off = _offsets(part, F.count(F.lit(1)), "_offset")
     return (part.join(F.broadcast(off), "_pid")
             .withColumn(out, F.col("_offset") + F.col("_pos") + 1)
@@ -96,13 +107,15 @@ def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
     partition the sum is a window partitioned by that partition, so no task
     holds more than one range; partition offsets come from a broadcast table
     with one row per partition."""
-    if is_small(df):
+    df, small = _checked(df)
+    if small:
         w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         res = df
         for o, v in sums.items():
             res = res.withColumn(o, F.sum(v).over(w1))
         return res
     part = _partitioned(df, order, partitions)
+    df.unpersist()
     per = part.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select("_pid", *[F.coalesce(F.sum(f"_t_{o}").over(prior), F.lit(0)).alias(f"_o_{o}")
@@ -120,10 +133,12 @@ def running_min(df: DataFrame, order: Sequence, value: str, out: str,
     """MIN(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed:
     each range partition starts from the minimum of all earlier partitions
     (a table with one row per partition)."""
-    if is_small(df):
+    df, small = _checked(df)
+    if small:
         w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.min(value).over(w1))
     part = _partitioned(df, order, partitions)
+    df.unpersist()
     per = part.groupBy("_pid").agg(F.min(value).alias("_pmin"))
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select("_pid", F.min("_pmin").over(prior).alias("_omin"))
