@@ -54,8 +54,13 @@ def bi_tables(m: Model, cohorts: DataFrame | None = None) -> dict[str, DataFrame
                   "payment_type", "max_installments",
                   C.delivery_status_label().alias("livraison_statut"), C.order_type_label().alias("commande_type"))
     items = fi.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-    products = fi.select("product_id", "category").distinct()
-    sellers = fi.select("seller_id", "seller_state").distinct()
+    if m.tables is not None:             # dimensions from their own tables (every product and seller)
+        from mercato.plans.model import dim_products
+        products = dim_products(m.tables).select("product_id", "category")
+        sellers = m.tables["sellers"].select("seller_id", "seller_state")
+    else:
+        products = fi.select("product_id", "category").distinct()
+        sellers = fi.select("seller_id", "seller_state").distinct()
     sellers = sellers.join(seller_labels(sellers), "seller_id")
     bounds = f.agg(F.trunc(F.min("purchase_date"), "month").alias("a"),
                    F.last_day(F.max("purchase_date")).alias("b")).first()

@@ -120,8 +120,9 @@ class Model:
     fact_orders: DataFrame
     fact_items: DataFrame
     fact_orders_base: DataFrame
-    geo: DataFrame
+    geo: DataFrame | None
     params: StudyParams
+    tables: dict[str, DataFrame] | None = None
 
 
 def build_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
@@ -131,7 +132,7 @@ def build_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
     geo = geo_median(t["geolocation"])
     items = build_fact_items(t, base, geo)
     f = base.join(single_seller_geo(items), "order_id", "left")
-    return Model(fact_orders=f, fact_items=items, fact_orders_base=base, geo=geo, params=p)
+    return Model(fact_orders=f, fact_items=items, fact_orders_base=base, geo=geo, params=p, tables=t)
 
 
 def build_light_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
@@ -139,7 +140,7 @@ def build_light_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
     distance on items), for queries that never read them."""
     base = build_fact_orders_base(t, p)
     items = build_fact_items(t, base, with_geo=False)
-    return Model(fact_orders=base, fact_items=items, fact_orders_base=base, geo=None, params=p)
+    return Model(fact_orders=base, fact_items=items, fact_orders_base=base, geo=None, params=p, tables=t)
 
 
 def main_population(f: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ BI_SQL = RATED_SQL.strip() + """,
 lg AS (SELECT *, analysis_period = 1 AND order_status = 'delivered' AS _lg FROM fact_orders),
 bi_items AS (SELECT i.* FROM fact_items i JOIN lg ON lg.order_id = i.order_id AND lg._lg),
 dim_sellers AS (SELECT seller_id, 'Vendeur ' || lpad(CAST(ROW_NUMBER() OVER (ORDER BY seller_id) AS VARCHAR), 4, '0')
-                  AS Vendeur FROM (SELECT DISTINCT seller_id FROM fact_items)),
+                  AS Vendeur FROM s_sellers),
 ra AS (SELECT order_id, review_score,
               CASE WHEN delay_days <= 0 THEN 'A l''heure' WHEN delay_days <= 3 THEN '1-3 jours'
                    WHEN delay_days <= 7 THEN '4-7 jours' WHEN delay_days <= 14 THEN '8-14 jours'
@@ -152,7 +152,7 @@ UNION ALL SELECT 'ReviewAnalysis.order_id -> FactOrders.order_id', 0,
 """, BI_SQL))(_relationships)
 
 register("seller_labels", sql("SELECT seller_id, Vendeur FROM dim_sellers", BI_SQL))(
-    lambda s, d: MS.seller_labels(light_model(s, d).fact_items.select("seller_id")))
+    lambda s, d: MS.seller_labels(light_model(s, d).tables["sellers"].select("seller_id")))
 
 
 def _calendar(s, d):
