@@ -92,7 +92,9 @@ def bad_review(score="review_score") -> Column:                         # C11
 
 
 def has_comment(message="review_comment_message") -> Column:            # C12
-    return (F.length(F.trim(F.coalesce(_c(message), F.lit("")))) > 0).cast("int")
+    """1 when the message holds anything but whitespace (any Unicode space)."""
+    stripped = F.regexp_replace(F.coalesce(_c(message), F.lit("")), r"(?U)^\s+|\s+$", "")
+    return (F.length(stripped) > 0).cast("int")
 
 
 def in_period(ts, start: str, end: str) -> Column:                      # C13

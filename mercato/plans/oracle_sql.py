@@ -93,7 +93,8 @@ payment_totals AS (
   FROM s_payments GROUP BY order_id),
 ranked_reviews AS (
   SELECT order_id, review_score, review_answer_timestamp,
-         CAST(length(trim(coalesce(review_comment_message, ''))) > 0 AS INTEGER) AS has_comment,
+         CAST(length(regexp_replace(coalesce(review_comment_message, ''), '^\\s+|\\s+$', '', 'g')) > 0
+              AS INTEGER) AS has_comment,
          ROW_NUMBER() OVER (PARTITION BY order_id
            ORDER BY review_answer_timestamp DESC NULLS LAST, review_creation_date DESC NULLS LAST,
                     review_id DESC, l_suppkey DESC, l_linenumber DESC, l_extendedprice DESC,
