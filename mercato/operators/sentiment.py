@@ -130,14 +130,30 @@ def themes_by_phrase(normalized: Column, rules: dict) -> Column:
     return F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
 
 
+# Largest set of repeated keys that is broadcast to the rows (64-character
+# hashes: about 100 MB at this bound); beyond it the flags use a shuffle join.
+BROADCAST_REPEATED_KEYS = 1_000_000
+
+
 def flag_duplicates(df: DataFrame, normalized: str = "normalized", out: str = "duplicate") -> DataFrame:
     """Rows whose duplicate key is non-empty and shared by another row
-    (over all rows).  Keys are hashed, counted with a map-side combined
-    aggregate, and the repeated hashes joined back; no ungrouped window."""
+    (over all rows).  Keys are hashed and counted with a map-side combined
+    aggregate; no ungrouped window.  The set of repeated hashes is counted
+    first (bounded check): when it holds at most BROADCAST_REPEATED_KEYS it is
+    broadcast, so the annotated rows are never shuffled; otherwise the flags
+    come from a shuffle join (AQE splits a skewed key)."""
+    from pyspark import StorageLevel
+    from mercato.operators.ranks import is_small
     keyed = df.withColumn("_dk", duplicate_key(F.col(normalized)))
     keyed = keyed.withColumn("_dh", F.when(F.col("_dk") != "", F.sha2(F.col("_dk"), 256)))
-    repeated = (keyed.filter(F.col("_dh").isNotNull()).groupBy("_dh").agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > 1).select("_dh", F.lit(True).alias("_rep")))
+    repeated = (keyed.select("_dh").filter(F.col("_dh").isNotNull()).groupBy("_dh")
+                .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .select("_dh", F.lit(True).alias("_rep")))
+    repeated = repeated.persist(StorageLevel.MEMORY_AND_DISK)
+    if is_small(repeated, BROADCAST_REPEATED_KEYS):
+        repeated = F.broadcast(repeated)
+    else:
+        repeated.unpersist()
     return (keyed.join(repeated, "_dh", "left")
             .withColumn(out, F.coalesce(F.col("_rep"), F.lit(False))).drop("_dk", "_dh", "_rep"))
 

@@ -99,3 +99,12 @@ def test_segment_text_modes(spark):
     df = spark.createDataFrame([("Premier avis\nSuite\n\nSecond avis",)], "text string")
     assert segment_text(df, "text", "lines").count() == 3
     assert segment_text(df, "text", "paragraphs").count() == 2
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000], ids=["shuffle-join", "broadcast"])
+def test_duplicate_paths(spark, monkeypatch, bound):
+    monkeypatch.setattr(X, "BROADCAST_REPEATED_KEYS", bound)
+    df = spark.createDataFrame([(1, "Très  bon"), (2, "tres bon"), (3, "autre"), (4, ""), (5, " ")],
+                               "row_id int, t string")
+    got = {r["row_id"]: r["duplicate"] for r in analyze_reviews(df, "t").collect()}
+    assert got == {1: True, 2: True, 3: False, 4: False, 5: False}
