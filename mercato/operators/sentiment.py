@@ -135,27 +135,37 @@ def themes_by_phrase(normalized: Column, rules: dict) -> Column:
 BROADCAST_REPEATED_KEYS = 1_000_000
 
 
-def flag_duplicates(df: DataFrame, normalized: str = "normalized", out: str = "duplicate") -> DataFrame:
+def duplicate_hash(normalized: Column) -> Column:
+    """SHA-256 of the X09 key; null for an empty key (never a duplicate)."""
+    key = duplicate_key(normalized)
+    return F.when(key != "", F.sha2(key, 256))
+
+
+def flag_duplicates(df: DataFrame, normalized: str = "normalized", out: str = "duplicate",
+                    hash_col: str | None = None) -> DataFrame:
     """Rows whose duplicate key is non-empty and shared by another row
     (over all rows).  Keys are hashed and counted with a map-side combined
     aggregate; no ungrouped window.  The set of repeated hashes is counted
     first (bounded check): when it holds at most BROADCAST_REPEATED_KEYS it is
     broadcast, so the annotated rows are never shuffled; otherwise the flags
-    come from a shuffle join (AQE splits a skewed key)."""
+    come from a shuffle join (AQE splits a skewed key).  ``hash_col`` names a
+    precomputed ``duplicate_hash`` column (e.g. in a written table, so the
+    count reads one narrow column)."""
     from pyspark import StorageLevel
     from mercato.operators.ranks import is_small
-    keyed = df.withColumn("_dk", duplicate_key(F.col(normalized)))
-    keyed = keyed.withColumn("_dh", F.when(F.col("_dk") != "", F.sha2(F.col("_dk"), 256)))
-    repeated = (keyed.select("_dh").filter(F.col("_dh").isNotNull()).groupBy("_dh")
+    if hash_col is None:
+        df = df.withColumn("_dh", duplicate_hash(F.col(normalized)))
+        hash_col = "_dh"
+    repeated = (df.select(hash_col).filter(F.col(hash_col).isNotNull()).groupBy(hash_col)
                 .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select("_dh", F.lit(True).alias("_rep")))
+                .select(hash_col, F.lit(True).alias("_rep")))
     repeated = repeated.persist(StorageLevel.MEMORY_AND_DISK)
     if is_small(repeated, BROADCAST_REPEATED_KEYS):
         repeated = F.broadcast(repeated)
     else:
         repeated.unpersist()
-    return (keyed.join(repeated, "_dh", "left")
-            .withColumn(out, F.coalesce(F.col("_rep"), F.lit(False))).drop("_dk", "_dh", "_rep"))
+    return (df.join(repeated, hash_col, "left")
+            .withColumn(out, F.coalesce(F.col("_rep"), F.lit(False))).drop(hash_col, "_rep"))
 
 
 def rating_conflict(rating: Column, sentiment: Column, scale: int = 5) -> Column:

@@ -6,6 +6,8 @@ themes, rating, duplicates over all rows and, with a scorer, the model path.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from mercato.functions import text as T
 from mercato.operators import sentiment as X
 from mercato.operators.scoring import MODEL_METHOD, LexiconScorer, score_texts
-from mercato.session import table_path
+from mercato.session import checkpoint_dir, table_path
 
 # Fixed values of the fixture: polarity words that occur in the driver's
 # documents, added to the default lexicons.
@@ -37,8 +39,14 @@ def fixture_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None, rating_col: str | None = None,
                     lexicon: X.Lexicon = X.Lexicon(), theme_rules: dict | None = None,
-                    scorer_factory: Callable | None = None) -> DataFrame:
-    """One annotated row per input row (input columns kept)."""
+                    scorer_factory: Callable | None = None, materialize: bool = True) -> DataFrame:
+    """One annotated row per input row (input columns kept).
+
+    Duplicates are judged over all rows, which needs a second look at the
+    data.  With ``materialize`` (default) the annotated rows, with the hash
+    of their duplicate key, are written once as a Parquet table in the shared
+    ``spark.checkpoint.dir``; the repeated hashes are then counted from that
+    one narrow column and joined back, so the texts are processed once."""
     out = (T.with_normalized(df.withColumn("text", T.compose_text(title_col, text_col)), "text", "normalized")
            .withColumn("tokens", T.tokenize(F.col("normalized")))
            .withColumn("_blank", T.is_blank(F.col("text"))))
@@ -70,8 +78,14 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
                .withColumn("method", F.when(F.col("model_sentiment").isNotNull(), F.lit(MODEL_METHOD))
                            .otherwise(F.col("method")))
                .drop("model_sentiment", "_conf", "model_uncertain"))
-    out = out.withColumn("sentiment_initial", F.col("sentiment"))
-    return X.flag_duplicates(out, "normalized", "duplicate").drop("_blank")
+    out = (out.withColumn("sentiment_initial", F.col("sentiment"))
+           .withColumn("_dup_hash", X.duplicate_hash(F.col("normalized"))).drop("_blank"))
+    if materialize:
+        spark = out.sparkSession
+        path = os.path.join(checkpoint_dir(spark), "reviews", f"annotated-{uuid.uuid4().hex[:12]}")
+        out.write.mode("overwrite").parquet(path)
+        out = spark.read.parquet(path)
+    return X.flag_duplicates(out, "normalized", "duplicate", hash_col="_dup_hash")
 
 
 def fixture_analyzed(spark: SparkSession, sf_dir: str, with_model: bool = False) -> DataFrame:
