@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,10 +37,12 @@ def is_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> bool:
 
 
 def _checked(df: DataFrame) -> tuple[DataFrame, bool]:
-    """Persist the input across the size check so its upstream plan runs
-    once: a small input stays cached (bounded by SMALL_TABLE_ROWS); a large
-    one is released by the caller once its checkpoint is written."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Materialize the input once (eager checkpoint in the shared folder) so
+    its upstream plan runs once for both the size check and the ranking.  A
+    checkpoint leaves no entry in the session's cache, which would otherwise
+    be compared against every later plan."""
+    checkpoint_dir(df.sparkSession)
+    kept = df.checkpoint(eager=True)
     return kept, is_small(kept)
 
 
@@ -87,7 +88,6 @@ def global_row_number(df: DataFrame, order: Sequence, out: str = "rank",
     if small:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*_sort_cols(order))))
     part = _partitioned(df, order, partitions)
-    df.unpersist()
     off = _offsets(part, F.count(F.lit(1)), "_offset")
     return (part.join(F.broadcast(off), "_pid")
             .withColumn(out, F.col("_offset") + F.col("_pos") + 1)
@@ -115,7 +115,6 @@ def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
             res = res.withColumn(o, F.sum(v).over(w1))
         return res
     part = _partitioned(df, order, partitions)
-    df.unpersist()
     per = part.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select("_pid", *[F.coalesce(F.sum(f"_t_{o}").over(prior), F.lit(0)).alias(f"_o_{o}")
@@ -138,7 +137,6 @@ def running_min(df: DataFrame, order: Sequence, value: str, out: str,
         w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.min(value).over(w1))
     part = _partitioned(df, order, partitions)
-    df.unpersist()
     per = part.groupBy("_pid").agg(F.min(value).alias("_pmin"))
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select("_pid", F.min("_pmin").over(prior).alias("_omin"))

@@ -151,19 +151,18 @@ def flag_duplicates(df: DataFrame, normalized: str = "normalized", out: str = "d
     come from a shuffle join (AQE splits a skewed key).  ``hash_col`` names a
     precomputed ``duplicate_hash`` column (e.g. in a written table, so the
     count reads one narrow column)."""
-    from pyspark import StorageLevel
     from mercato.operators.ranks import is_small
+    from mercato.session import checkpoint_dir
     if hash_col is None:
         df = df.withColumn("_dh", duplicate_hash(F.col(normalized)))
         hash_col = "_dh"
     repeated = (df.select(hash_col).filter(F.col(hash_col).isNotNull()).groupBy(hash_col)
                 .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
                 .select(hash_col, F.lit(True).alias("_rep")))
-    repeated = repeated.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(df.sparkSession)
+    repeated = repeated.checkpoint(eager=True)     # computed once; no session cache entry
     if is_small(repeated, BROADCAST_REPEATED_KEYS):
         repeated = F.broadcast(repeated)
-    else:
-        repeated.unpersist()
     return (df.join(repeated, hash_col, "left")
             .withColumn(out, F.coalesce(F.col("_rep"), F.lit(False))).drop(hash_col, "_rep"))
 

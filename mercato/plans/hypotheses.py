@@ -1,7 +1,7 @@
 """The hypothesis register (H01-H26): populations, tests, BH correction and
 conclusions, as one DataFrame with one row per hypothesis.
 
-Populations (P06-P08) are persisted once because many tests read them; each
+Populations (P06-P08) are checkpointed once because many tests read them; each
 test reduces its population to one row of sufficient statistics.
 """
 
