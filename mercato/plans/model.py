@@ -190,8 +190,7 @@ def build_customer_cohorts(f: DataFrame, p: StudyParams) -> DataFrame:
     window = p.repeat_window_days
     d = f.filter((F.col("order_status") == "delivered") & (F.col("order_purchase_timestamp") <= end))
     first = first_per_key(d, "customer_unique_id", ["order_purchase_timestamp", "order_id"],
-                          ["order_delivered_customer_date", "customer_state", "item_value",
-                           "is_late", "review_score"])
+                          ["order_delivered_customer_date", "customer_state", "item_value", "is_late"])
     first = (first.withColumnRenamed("order_id", "first_order_id")
              .withColumnRenamed("order_purchase_timestamp", "first_purchase"))
     x = (d.select("customer_unique_id", "order_id", "order_purchase_timestamp")
