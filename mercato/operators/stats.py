@@ -45,6 +45,24 @@ def welch_sufficient(df: DataFrame, flag: Column, metric: str) -> DataFrame:
                  F.var_samp(F.when(b, F.col("_x"))).alias("var_b"))
 
 
+def welch_sufficient_many(df: DataFrame, specs) -> DataFrame:
+    """Sufficient statistics of several Welch tests on one population in a
+    single aggregation pass.  ``specs``: (id, condition or None, flag, metric);
+    the condition restricts a test to a sub-population.  One row per test."""
+    aggs, parts = [], []
+    for i, (hid, cond, flag, metric) in enumerate(specs):
+        x = F.col(metric).cast("double")
+        valid = x.isNotNull() if cond is None else (x.isNotNull() & F.coalesce(cond, F.lit(False)))
+        g = F.coalesce(flag, F.lit(False))
+        a, b = valid & g, valid & ~g
+        aggs += [F.count_if(a).alias(f"_na{i}"), F.count_if(b).alias(f"_nb{i}"),
+                 F.avg(F.when(a, x)).alias(f"_ma{i}"), F.avg(F.when(b, x)).alias(f"_mb{i}"),
+                 F.var_samp(F.when(a, x)).alias(f"_va{i}"), F.var_samp(F.when(b, x)).alias(f"_vb{i}")]
+        parts.append(f"'{hid}', _na{i}, _nb{i}, _ma{i}, _mb{i}, _va{i}, _vb{i}")
+    wide = df.agg(*aggs)
+    return wide.selectExpr(f"stack({len(specs)}, {', '.join(parts)}) AS (id, n_a, n_b, mean_a, mean_b, var_a, var_b)")
+
+
 def welch_close(s: DataFrame) -> DataFrame:
     """Effect, standard error, Welch-Satterthwaite df, 95 % CI and p from the
     sufficient statistics (needs n >= 2 in both groups)."""

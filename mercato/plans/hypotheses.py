@@ -56,12 +56,6 @@ def _desc(df: DataFrame, hid: str, theme: str, observed: Column, supported: Colu
                 conclusion=S.describe(observed, supported))
 
 
-def _welch(df: DataFrame, hid: str, theme: str, flag: Column, metric: str, direction: float) -> DataFrame:
-    w = S.welch_test(df, flag, metric)
-    return _row(w, hid, theme, "Welch, bilateral", direction, n_a=F.col("n_a"), n_b=F.col("n_b"),
-                effect=F.col("effect"), ci_low=F.col("ci_low"), ci_high=F.col("ci_high"), p_value=F.col("p_value"))
-
-
 def _spearman(df: DataFrame, hid: str, theme: str, x: str, y: str, direction: float) -> DataFrame:
     s = S.spearman_test(df, x, y)
     return _row(s, hid, theme, "Spearman, bilateral", direction, n_a=F.col("n"), effect=F.col("rho"),
@@ -134,28 +128,38 @@ def populations(m: Model, persist: bool = True) -> Populations:
 
 
 def welch_specs(P: Populations, hp: HypothesisParams):
+    """(id, theme, base population, sub-population condition, flag, metric, direction)."""
     r = P.rated
     return [
-        ("H10", "Satisfaction", r, F.col("is_late") == 1, "review_score", -1.0),
-        ("H12", "Livraison", r, F.col("delivery_days") > 15, "review_score", -1.0),
-        ("H13", "Geographie", P.single, F.col("same_state") == 0, "delivery_days", 1.0),
-        ("H15", "Prix", r.filter(F.col("freight_share").isNotNull()), F.col("freight_share") > 0.2,
-         "review_score", -1.0),
-        ("H16", "Vendeurs", r.filter(F.col("seller_count").isNotNull()), F.col("seller_count") > 1,
-         "review_score", -1.0),
-        ("H17", "Produits", r.filter(F.col("item_count").isNotNull()), F.col("item_count") > 1,
-         "review_score", -1.0),
-        ("H18", "Paiement", P.payd.filter((F.col("payment_type") == hp.card_type) & (F.col("max_installments") >= 1)),
+        ("H10", "Satisfaction", r, None, F.col("is_late") == 1, "review_score", -1.0),
+        ("H12", "Livraison", r, None, F.col("delivery_days") > 15, "review_score", -1.0),
+        ("H13", "Geographie", P.single, None, F.col("same_state") == 0, "delivery_days", 1.0),
+        ("H15", "Prix", r, F.col("freight_share").isNotNull(), F.col("freight_share") > 0.2, "review_score", -1.0),
+        ("H16", "Vendeurs", r, F.col("seller_count").isNotNull(), F.col("seller_count") > 1, "review_score", -1.0),
+        ("H17", "Produits", r, F.col("item_count").isNotNull(), F.col("item_count") > 1, "review_score", -1.0),
+        ("H18", "Paiement", P.payd, (F.col("payment_type") == hp.card_type) & (F.col("max_installments") >= 1),
          F.col("max_installments") > 1, "gross_value", 1.0),
-        ("H19", "Paiement", P.payd.filter(F.col("payment_type").isin(hp.card_type, hp.boleto_type)),
+        ("H19", "Paiement", P.payd, F.col("payment_type").isin(hp.card_type, hp.boleto_type),
          F.col("payment_type") == hp.card_type, "gross_value", 1.0),
-        ("H23", "Satisfaction", r, F.col("has_comment") == 1, "review_score", -1.0),
-        ("H24", "Fidelisation", P.cohorts.filter((F.col("eligible_postdelivery_90") == 1)
-                                                 & F.col("is_late").isNotNull()),
+        ("H23", "Satisfaction", r, None, F.col("has_comment") == 1, "review_score", -1.0),
+        ("H24", "Fidelisation", P.cohorts, (F.col("eligible_postdelivery_90") == 1) & F.col("is_late").isNotNull(),
          F.col("is_late") == 1, "repeat_after_delivery_90", -1.0),
     ]
 
 
+def welch_stats(P: Populations, hp: HypothesisParams) -> DataFrame:
+    """Sufficient statistics of every Welch hypothesis: one aggregation pass
+    per base population (rated, single-seller, first orders, cohorts)."""
+    groups: dict[int, tuple[DataFrame, list]] = {}
+    for hid, _, base, cond, flag, metric, _ in welch_specs(P, hp):
+        groups.setdefault(id(base), (base, []))[1].append((hid, cond, flag, metric))
+    out = None
+    for base, specs in groups.values():
+        part = S.welch_sufficient_many(base, specs)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def spearman_specs(P: Populations):
     return [
         ("H11", "Satisfaction", P.rated.filter(F.col("is_late") == 1), "delay_days", "review_score", -1.0),
@@ -215,7 +219,15 @@ def hypothesis_register(m: Model, hp: HypothesisParams = HypothesisParams()) ->
     conclusion for every row."""
     P = populations(m)
     rows = descriptive_rows(P, m, hp)
-    rows += [_welch(df, h, th, flag, metric, dr) for h, th, df, flag, metric, dr in welch_specs(P, hp)]
+    spark = m.fact_orders.sparkSession
+    meta = spark.createDataFrame([(h, th, dr) for h, th, _, _, _, _, dr in welch_specs(P, hp)],
+                                 "id string, theme string, direction double")
+    closed = S.welch_close(welch_stats(P, hp)).join(F.broadcast(meta), "id")
+    cols = {"id": F.col("id"), "theme": F.col("theme"), "method": F.lit("Welch, bilateral"),
+            "direction": F.col("direction"), "n_a": F.col("n_a"), "n_b": F.col("n_b"), "effect": F.col("effect"),
+            "ci_low": F.col("ci_low"), "ci_high": F.col("ci_high"), "p_value": F.col("p_value"),
+            "observed": F.lit(None), "conclusion": F.lit(None)}
+    rows.append(closed.select(*[cols[c].cast(_TYPES[c]).alias(c) for c in SCHEMA_COLS]))
     rows += [_spearman(df, h, th, x, y, dr) for h, th, df, x, y, dr in spearman_specs(P)]
     k = S.kruskal_test(P.sr, "category", "review_score", top_k=10)
     rows.append(_row(k, "H20", "Produits", "Kruskal-Wallis, omnibus", 1.0, n_a=F.col("n"), effect=F.col("h"),
@@ -230,17 +242,12 @@ def hypothesis_register(m: Model, hp: HypothesisParams = HypothesisParams()) ->
 def welch_table(m: Model, hp: HypothesisParams = HypothesisParams()) -> DataFrame:
     """Sufficient statistics and Welch df / SE for every Welch hypothesis."""
     P = populations(m)
-    out = None
-    for h, _, df, flag, metric, _ in welch_specs(P, hp):
-        s = S.welch_sufficient(df, flag, metric)
-        vx, vy = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
-        s = s.select(F.lit(h).alias("id"), "n_a", "n_b",
-                     F.round(F.col("mean_a") - F.col("mean_b"), 6).alias("effect"),
+    st = welch_stats(P, hp)
+    vx, vy = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
+    return st.select("id", "n_a", "n_b", F.round(F.col("mean_a") - F.col("mean_b"), 6).alias("effect"),
                      F.round(F.sqrt(vx + vy), 6).alias("se"),
                      F.round(F.pow(vx + vy, 2) / (F.pow(vx, 2) / (F.col("n_a") - 1)
                                                   + F.pow(vy, 2) / (F.col("n_b") - 1)), 4).alias("df"))
-        out = s if out is None else out.unionByName(s)
-    return out
 
 
 def spearman_table(m: Model) -> DataFrame:
