@@ -88,3 +88,16 @@ def test_spearman_and_kruskal_operators(spark):
     c = 1 - ((3 ** 3 - 3) + (2 ** 3 - 2)) / (n ** 3 - n)
     assert k["h"] == pytest.approx(h / c)
     assert k["p_value"] == pytest.approx(T.chi2_sf(h / c, 2))
+
+
+def test_fused_welch_equals_single_tests(spark):
+    rows = [(i % 3 == 0, float((i * 7) % 11), None if i % 5 == 0 else i % 4) for i in range(60)]
+    df = spark.createDataFrame(rows, "g boolean, x double, c int")
+    specs = [("A", None, F.col("g"), "x"), ("B", F.col("c").isNotNull(), F.col("c") > 1, "x")]
+    fused = {r["id"]: r for r in S.welch_sufficient_many(df, specs).collect()}
+    a = S.welch_sufficient(df, F.col("g"), "x").first()
+    b = S.welch_sufficient(df.filter(F.col("c").isNotNull()), F.col("c") > 1, "x").first()
+    for got, want in ((fused["A"], a), (fused["B"], b)):
+        assert got["n_a"] == want["n_a"] and got["n_b"] == want["n_b"]
+        for k in ("mean_a", "mean_b", "var_a", "var_b"):
+            assert got[k] == pytest.approx(want[k])
