@@ -85,7 +85,13 @@ def stream_duplicate_counts(spark: SparkSession, source_dir: str, schema, text_c
 
 
 def flag_with_snapshot(df: DataFrame, snapshot: DataFrame, text_col: str) -> DataFrame:
-    """Join at read: rows whose key is in the duplicate snapshot are flagged."""
+    """Join at read: rows whose key is in the duplicate snapshot are flagged.
+    The snapshot (keys seen more than once) is broadcast when a bounded count
+    proves it small, as in the batch operator; otherwise a shuffle join."""
+    from mercato.operators.ranks import is_small
     keyed = df.withColumn("dup_hash", F.sha2(T.duplicate_key(T.normalize_text(T.compose_text(None, text_col))), 256))
-    return (keyed.join(snapshot.select("dup_hash", F.lit(True).alias("_d")), "dup_hash", "left")
+    snap = snapshot.select("dup_hash", F.lit(True).alias("_d"))
+    if is_small(snap, X.BROADCAST_REPEATED_KEYS):
+        snap = F.broadcast(snap)
+    return (keyed.join(snap, "dup_hash", "left")
             .withColumn("duplicate", F.coalesce("_d", F.lit(False))).drop("_d", "dup_hash"))
