@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +39,31 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application.
+
+    Workers import the functions of Arrow UDFs by module name, and start in
+    folders of their own.  Spark serves the archive from the driver.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="mercato-src-")) / "mercato_src.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
