@@ -7,10 +7,14 @@ columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.jaccard_join import jaccard_classes
+from mercato.llm.decontaminate import without_contaminated
+from mercato.llm.jaccard_join import one_of_each_class
+from mercato.llm.packing import pack
+from mercato.llm.pii_crf import pii_spans
 from mercato.llm.repetition import repetition_figures, verdicts
 from mercato.llm.shared import written
 
@@ -21,7 +25,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return verdicts(figures).filter("kept").select(docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of the n-gram Jaccard join stays."""
+    return one_of_each_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind."""
+    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
+    masked = pii_spans(docs, passed=others, masked=True).withColumnRenamed("_masked", "text")
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.withColumn("n_chars", n_chars).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in training sequences."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", personal_data), ("packing", packing)]
 
 ORACLE_SQL = None
 

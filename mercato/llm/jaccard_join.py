@@ -18,12 +18,14 @@ PartEnum turns that into equal signatures:
   signs with all; one with k or fewer signs with the empty ones too.
 
 Candidates are not all pairs of a signature's holders.  Each holder is first
-compared with one centre; holders found to be in the centre's component need
-no further look at it.  For signatures whose holders are still in several
-components the next 3, 12, 48, ... holders become centres, until no pair of
-different components is left unseen.  A pair is first tested on parity
-sketches (about one bit a shingle; they bound the difference from below, so
-nothing is lost), then exactly, on the shingles of both whole texts.
+compared with one centre, which joins copies to components.  A linked node has its closest
+centre as hub, at a known difference.  Where components still meet in a
+signature their hubs are compared: by the triangle inequality the hubs'
+distance rules out most pairs of hubs with all their nodes; the nodes of the
+others are compared.  In a signature the first 3, the next 12, 48, ... hubs
+meet all later ones, until no pair of different components is left unseen.  A pair is first tested on parity sketches (two to four bits a
+shingle; they bound the difference from below, so nothing is lost), then
+exactly, on the shingles of both whole texts.
 
 Equal sets are one node from the start: the join runs over distinct sets.
 
@@ -44,17 +46,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.llm import vectext as V
-from mercato.llm.shared import written
+from mercato.llm.shared import BitFilter, written
 
 SHINGLE_WORDS = 5
 #: Similarity 4/5 as a fraction.
 NUM, DEN = 4, 5
 BAND_GROWTH = 2.0
 SPARE = 0.10
-#: Bits of the filter that picks the texts to verify; fixed, so its broadcast is.
-FILTER_BITS = 1 << 22
+#: Bits (as a power of 2) of the filter that picks the texts to verify.
+FILTER_LOG_BITS = 23
 
 
 # ---------------------------------------------------------------- bands
@@ -97,8 +100,9 @@ class Sets:
                           + self.size.astype(np.uint64)).view(np.int64)
 
     def sketches(self) -> list[bytes]:
-        """Parity sketch of each set: bit h mod b of its hashes, b a power of two near the size."""
-        bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(self.size, 1))).astype(np.int64))
+        """Parity sketch of each set: bit h mod b of its hashes, b a power of two,
+        two to four times the size."""
+        bits = np.maximum(64, 2 << np.ceil(np.log2(np.maximum(self.size, 1))).astype(np.int64))
         at = np.concatenate([[0], np.cumsum(bits)])
         low = (self.h & (bits[self.row] - 1).astype(np.uint64)).astype(np.int64)
         odd = (np.bincount(at[self.row] + low, minlength=int(at[-1])) & 1).astype(np.uint8)
@@ -221,49 +225,49 @@ def _first_seen(names: np.ndarray, seen: set[int], among: np.ndarray | None = No
 
 # ---------------------------------------------------------------- verification
 
-def _sketch_allows(a: bytes, b: bytes, n: int) -> bool:
-    """False when the sketches prove a difference over n / 9 (n: the sizes' sum)."""
+def _sketch_distance(a: bytes, b: bytes) -> int:
+    """Places in which two sketches differ, the longer one folded; the sets differ
+    in at least as many features."""
     if len(a) > len(b):
         a, b = b, a
     x, y, bits = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
     while bits > 8 * len(a):
         bits //= 2
         y = (y >> bits) ^ (y & ((1 << bits) - 1))
-    return (x ^ y).bit_count() * (DEN + NUM) <= n * (DEN - NUM)
+    return (x ^ y).bit_count()
 
 
-def sketch_filter(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose sizes and sketches allow a link."""
+def bounded_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with their sizes and a lower bound of their difference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = (batch.column("an").to_numpy() + batch.column("bn").to_numpy()).tolist()
-            ok = [_sketch_allows(x, y, s) for x, y, s in
-                  zip(batch.column("asketch").to_pylist(), batch.column("bsketch").to_pylist(), n, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            far = [_sketch_distance(x, y) for x, y in
+                   zip(batch.column("asketch").to_pylist(), batch.column("bsketch").to_pylist(), strict=True)]
+            kept = batch.select(["a", "b", "an", "bn"])
+            far = np.maximum(np.array(far, np.int64), np.abs(kept.column(2).to_numpy() - kept.column(3).to_numpy()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(far)], names=["a", "b", "an", "bn", "least"])
 
     side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(s + "n"), F.col("sketch").alias(s + "sketch"))
-    near = ((F.least("an", "bn") * DEN) >= (F.greatest("an", "bn") * NUM))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter(near)
-    return joined.select("a", "b", "an", "bn", "asketch", "bsketch").mapInArrow(run, "a long, b long")
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "an", "bn", "asketch", "bsketch")
+            .mapInArrow(run, "a long, b long, an long, bn long, least long"))
+
+
+#: Whether a difference (or a lower bound of it) allows a link: 9 d <= a + b at 4/5.
+_ALLOWED = f"least * {DEN + NUM} <= (an + bn) * {DEN - NUM}"
 
 
 def node_texts(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: DataFrame) -> DataFrame:
     """One text for each node in ``wanted``: a fixed-size bit filter picks rows
     inside the scan, the exact match follows as a join."""
-    spark = docs.sparkSession
-    hit = [r[0] for r in wanted.select(F.pmod(F.col("node"), F.lit(FILTER_BITS)).cast("int").alias("p")).distinct().collect()]
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[hit] = True
-    mask = spark.sparkContext.broadcast(np.packbits(bits))
+    bits = BitFilter(wanted, "node", FILTER_LOG_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(mask.value).astype(bool)
         seen: set[int] = set()
         for b in batches:
             for block in V.blocks(b.column("_text")):
                 s = Sets(block, k)
-                keep = _first_seen(s.name, seen, table[s.name % FILTER_BITS])
+                keep = _first_seen(s.name, seen, bits.may_hold(s.name) & (s.size > 0))
                 if keep.any():
                     at = np.flatnonzero(keep)
                     text = b.column("_text").slice(block.first, block.rows).take(pa.array(at))
@@ -273,21 +277,27 @@ def node_texts(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: Data
     return rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
-def exact_links(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """Pairs whose whole shingle sets have 100 * intersection >= 80 * union."""
+def exact_differences(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(a, b, d, linked): the difference of the whole shingle sets, and whether
+    100 * intersection >= 80 * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = np.concatenate([_similar(batch.column("ta").slice(i, 64), batch.column("tb").slice(i, 64), k)
-                                 for i in range(0, batch.num_rows, 64)] or [np.zeros(0, bool)])
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            parts = [_compare(batch.column("ta").slice(i, 64), batch.column("tb").slice(i, 64), k)
+                     for i in range(0, batch.num_rows, 64)]
+            if parts:
+                ok, apart = (np.concatenate(x) for x in zip(*parts, strict=True))
+                kept = batch.select(["a", "b"])
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(apart), pa.array(ok, pa.bool_())],
+                                                 names=["a", "b", "d", "linked"])
 
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, d long, linked boolean")
 
 
-def _similar(left: pa.Array, right: pa.Array, k: int) -> np.ndarray:
+def _compare(left: pa.Array, right: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the texts of each row are linked, and how many shingles they differ in."""
     n = len(left)
     parts = []
     for col in (left, right):
@@ -303,7 +313,7 @@ def _similar(left: pa.Array, right: pa.Array, k: int) -> np.ndarray:
     same = z[order][1:] == z[order][:-1]
     common = np.bincount(row[order[1:][same]], minlength=n)
     union = np.bincount(row, minlength=n) - common
-    return (DEN * common >= NUM * union) & (union > 0)
+    return (DEN * common >= NUM * union) & (union > 0), (union - common).astype(np.int64)
 
 
 # ---------------------------------------------------------------- components
@@ -317,7 +327,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
@@ -346,17 +356,23 @@ class _Join:
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
+    def differences(self, pairs: DataFrame) -> DataFrame:
+        """Exact differences of the pairs, from whole texts."""
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        texts = node_texts(self.docs, self.id_col, self.text_col, self.k, wanted)
+        return written(exact_differences(pairs, texts, self.k), "differences")
+
     def verify(self, pairs: DataFrame) -> None:
         """Tests the pairs and adds the links found."""
-        likely = written(sketch_filter(pairs, self.nodes), "likely")
+        self.verify_likely(written(bounded_pairs(pairs, self.nodes).filter(_ALLOWED).select("a", "b"), "likely"))
+
+    def verify_likely(self, likely: DataFrame) -> None:
         if likely.isEmpty():
             return
-        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-        texts = node_texts(self.docs, self.id_col, self.text_col, self.k, wanted)
-        found = written(exact_links(likely, texts, self.k), "links")
-        if found.isEmpty():
+        links = self.differences(likely).filter("linked").select("a", "b", "d")
+        if links.isEmpty():
             return
-        self.links = found if self.links is None else self.links.union(found)
+        self.links = links if self.links is None else self.links.union(links)
         self.labels = written(components(self.links), "labels")
 
     def split(self, rows: DataFrame, left: str, right: str) -> DataFrame:
@@ -372,46 +388,128 @@ class _Join:
         held = sigs.select("*", F.min("node").over(w).alias("centre"), F.max("node").over(w).alias("_hi"),
                            F.count(F.lit(1)).over(w).alias("cnt"))
         held = written(held.filter("centre <> _hi").drop("_hi"), "held")
-        pairs = written(held.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+        # First each holder's smallest centre alone: one pair a node joins most copies.
+        near = held.filter("node <> centre")
+        pairs = written(near.groupBy("node").agg(F.min("centre").alias("b")).select(F.col("node").alias("a"), "b"), "pairs")
         self.verify(pairs)
-        open_pairs = self.split(pairs, "a", "b").select(F.col("a").alias("node"), F.col("b").alias("centre"))
-        open_sigs = held.join(open_pairs, ["node", "centre"], "left_semi").select("sig").distinct()
-        groups = held.join(open_sigs, "sig", "left_semi").select("sig", "node", "tag", "cnt").distinct()
+        rest = near.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = written(self.split(rest, "a", "b").select("a", "b"), "pairs")
+        if not rest.isEmpty():
+            self.verify(rest)
+        self.finish(held)
+
+    def finish(self, held: DataFrame) -> None:
+        """Compares the components that still meet in a signature."""
+        meeting = self.split(held.filter("node <> centre").select("node", "centre").distinct(), "node", "centre")
+        open_sigs = held.join(meeting, ["node", "centre"], "left_semi").select("sig").distinct()
+        rows = held.join(open_sigs, "sig", "left_semi").drop("centre").distinct()
         # A set with spare signatures disregards its most frequent ones.
         tops = band_tops(1 << 40)
         spare = F.element_at(F.array(*[F.lit(int(x)) for x in spare_of(tops)]), F.shiftright("tag", 1) + 1)
         most = Window.partitionBy("node", "tag").orderBy(F.col("cnt").desc(), "sig")
-        groups = (groups.withColumn("_rn", F.row_number().over(most))
-                  .filter((F.col("tag") % 2 == 0) | (F.col("_rn") > spare)).select("sig", "node"))
-        groups = written(groups.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("node"))), "groups")
-        tested, lo = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), 1
+        rows = rows.withColumn("_rn", F.row_number().over(most)).filter((F.col("tag") % 2 == 0) | (F.col("_rn") > spare))
+        rows = rows.select("sig", "node").join(self.nodes.select("node", "n"), "node")
+        scale = DEN + NUM
+        if self.links is None:
+            rows = rows.withColumn("hub", F.col("node")).withColumn("reach", F.col("n"))
+        else:
+            # A node's hub is the centre that it is closest to; a centre is its own.
+            centres = self.links.select(F.col("b").alias("a")).distinct()
+            best = (self.links.join(centres, "a", "left_anti").groupBy("a").agg(F.min(F.struct("d", "b")).alias("m"))
+                    .select(F.col("a").alias("node"), F.col("m.b").alias("_hub"), F.col("m.d").alias("_d")))
+            rows = (rows.join(best, "node", "left").withColumn("hub", F.coalesce("_hub", "node"))
+                    .withColumn("reach", F.coalesce("_d", F.lit(0)) * scale + F.col("n")).drop("_hub", "_d"))
+        rows = written(rows, "rows")
+        if rows.isEmpty():
+            return
+        reach = rows.groupBy("hub").agg(F.max("reach").alias("reach"))
+        met = rows.select("sig", "hub").distinct()
+        met = written(met.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("hub")))
+                      .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("sig"))), "met")
+        side = lambda c: reach.select(F.col("hub").alias(c), F.col("reach").alias(c + "_reach"))
+        lo = 1
         while True:
-            now = groups if self.labels is None else _labelled(groups, self.labels, "node", "label")
-            label = F.col("label" if self.labels is not None else "node")
-            live = now.groupBy("sig").agg(F.min(label).alias("_a"), F.max(label).alias("_b"), F.max("rank").alias("top"))
-            live = live.filter((F.col("_a") != F.col("_b")) & (F.col("top") > lo)).select("sig")
-            groups = written(groups.join(live, "sig", "left_semi"), "groups")
-            if groups.isEmpty():
+            met = met.filter(F.col("of") > lo)
+            if met.isEmpty():
                 return
-            centres = groups.filter(F.col("rank").between(lo, 4 * lo - 1)).select("sig", F.col("node").alias("_c"), F.col("rank").alias("_cr"))
-            pairs = (groups.join(centres, "sig").filter("rank > _cr")
-                     .select(F.greatest("node", "_c").alias("a"), F.least("node", "_c").alias("b")).distinct()
-                     .join(tested, ["a", "b"], "left_anti"))
-            pairs = written(self.split(pairs, "a", "b").select("a", "b"), "pairs")
-            self.verify(pairs)
-            tested = tested.union(pairs)
+            centres = met.filter(F.col("rank").between(lo, 4 * lo - 1)).select("sig", F.col("hub").alias("_c"), F.col("rank").alias("_cr"))
+            pairs = (met.join(centres, "sig").filter("rank > _cr")
+                     .select(F.greatest("hub", "_c").alias("a"), F.least("hub", "_c").alias("b")).distinct())
+            # H(x, y) >= H(hub, hub') - d(x) - d(y): if 9 times that is over n(x) + n(y) for
+            # all members, no member of one component links to one of the other.
+            bounded = bounded_pairs(self.split(pairs, "a", "b").select("a", "b"), self.nodes).join(side("a"), "a").join(side("b"), "b")
+            unclear = bounded.filter(F.col("least") * scale <= F.col("a_reach") + F.col("b_reach"))
+            unclear = written(unclear.select("a", "b", "an", "bn", "least"), "unclear")
+            # The hubs themselves first: that joins most of what belongs together.
+            self.verify_likely(unclear.filter(_ALLOWED).select("a", "b"))
+            pairs = (self.split(unclear, "a", "b").select("a", "b", "least")
+                     .join(_side(rows, "a", "x"), "a").join(_side(rows, "b", "y"), ["sig", "b"])
+                     .filter(F.col("least") * scale <= F.col("x_reach") + F.col("y_reach"))
+                     .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+            self.verify(written(self.split(pairs, "a", "b").select("a", "b"), "pairs"))
             lo *= 4
 
 
+def _side(rows: DataFrame, hub: str, node: str) -> DataFrame:
+    return rows.select("sig", F.col("hub").alias(hub), F.col("node").alias(node), F.col("reach").alias(node + "_reach"))
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
     """Per input row: the id, n_shingles, and component_id, the smallest id that
     links lead to (each row's own included)."""
+    rows = _classes(docs, id_col, text_col, k)
+    full = rows.filter("n > 0")
+    least = full.groupBy("class").agg(F.min("_id").alias("component_id"))
+    return (full.join(least, "class").unionByName(rows.filter("n = 0").withColumn("component_id", F.col("_id")))
+            .select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """Per input row: _id, n, node, class (the smallest node of its component)."""
     join = _Join(docs, id_col, text_col, k)
     join.run()
     rows = join.rows.select("_id", "n", "node")
-    if join.labels is not None:
-        rows = _labelled(rows, join.labels, "node", "label").drop("node").withColumnRenamed("label", "node")
-    full = rows.filter("n > 0")
-    least = full.groupBy("node").agg(F.min("_id").alias("component_id"))
-    return (full.join(least, "node").unionByName(rows.filter("n = 0").withColumn("component_id", F.col("_id")))
-            .select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id"))
+    if join.labels is None:
+        return rows.withColumn("class", F.col("node"))
+    return _labelled(rows, join.labels, "node", "class")
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
+    """The input rows without near copies: of each class the row with the smallest
+    id stays (no id comes last; equal rows count as one).  Rows without words all
+    stay.  Rows alone in their class pass without a shuffle; a bit filter tells
+    the others, whose texts are then matched exactly."""
+    rows = written(_classes(docs, id_col, text_col, k), "classes")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("node").alias("node")))
+    groups = (rows.filter("n > 0").groupBy("class").agg(first.alias("keep"), F.count(F.lit(1)).alias("rows"))
+              .filter("rows > 1"))
+    groups = written(groups, "groups")
+    shared = rows.join(groups.select("class"), "class", "left_semi").select("node").distinct()
+    bits = BitFilter(shared, "node", FILTER_LOG_BITS)
+    cols = docs.columns
+    place = cols.index(text_col)
+
+    def split(alone: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for block in V.blocks(b.column(place)):
+                    s = Sets(block, k)
+                    near = bits.may_hold(s.name) & (s.size > 0)
+                    at = np.flatnonzero(~near if alone else near)
+                    if len(at):
+                        part = b.slice(block.first, block.rows).take(pa.array(at))
+                        yield part if alone else pa.RecordBatch.from_arrays(
+                            [*part.columns, pa.array(s.name[at])], names=[*b.schema.names, "_node"])
+        return run
+
+    if len(set(cols)) < len(cols):
+        raise ValueError("column names must be unique")
+    alone = docs.mapInArrow(split(True), docs.schema)
+    near = docs.mapInArrow(split(False), T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())]))
+    keep = groups.select(F.col("keep.node").alias("_node"), F.col("keep.id").alias("_keep"), F.lit(True).alias("_winner"))
+    near = near.join(shared.select(F.col("node").alias("_node"), F.lit(True).alias("_shared")), "_node", "left")
+    near = near.join(keep, "_node", "left").filter(
+        F.col("_shared").isNull() | (F.col("_winner") & F.col(id_col).eqNullSafe(F.col("_keep"))))
+    turn = Window.partitionBy("_node", "_shared").orderBy(F.xxhash64(text_col))
+    near = near.withColumn("_rn", F.when(F.col("_shared").isNotNull(), F.row_number().over(turn)).otherwise(1)).filter("_rn = 1")
+    return alone.unionByName(near.select(*cols))

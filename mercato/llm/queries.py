@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mercato.llm.decontaminate import contaminated
 from mercato.llm.jaccard_join import jaccard_classes
+from mercato.llm.packing import pack
+from mercato.llm.pii_crf import pii_spans
 from mercato.llm.repetition import repetition_figures, verdicts
+from mercato.llm.warc_store import archive_and_read
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +30,79 @@ def op8_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "base_failed", "kept", "covered_words", "longest_repeat")
 
 
+def op6_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = archive_and_read(table(spark, sf_dir, "pages"))
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_ngram_jaccard_join, op8_suffix_repetition)}
+    return {f.__name__: f for f in (
+        op3_ngram_jaccard_join, op6_pii_crf, op7_pattern_packing, op8_suffix_repetition, op9_minhash_containment,
+        op10_warc_store)}
+
+
+# Words of the oracles: ASCII letters folded, then the pattern of each contract.
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {}
+
+ORACLES["op3_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\\x20\\x09-\\x0D]+') AS a FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(
+        CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 5 THEN [array_to_string(a, ' ')]
+             ELSE list_transform(range(1, len(a) - 3), lambda i: array_to_string(a[i:i + 4], ' ')) END)) AS g FROM w),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS i
+                        FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * p.i >= 80 * (na.n + nb.n - p.i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+ORACLES["op9_minhash_containment"] = """
+WITH t AS (SELECT 'd' AS k, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT k, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS a FROM t),
+s AS (SELECT k, id, unnest(list_distinct(CASE WHEN len(a) < 5 THEN [] ELSE
+        list_transform(range(1, len(a) - 3), lambda i: array_to_string(a[i:i + 4], ' ')) END)) AS g FROM w),
+n AS (SELECT id, COUNT(*) AS n FROM s WHERE k = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, CAST(n.n AS BIGINT) AS n_shingles, COUNT(*) AS n_shared,
+       COUNT(*) / CAST(n.n AS DOUBLE) AS containment
+FROM s i JOIN s d ON d.g = i.g AND d.k = 'd' AND i.k = 'i' JOIN n ON n.id = i.id
+GROUP BY d.id, i.id, n.n HAVING 5 * COUNT(*) >= 4 * n.n
+"""
+
+ORACLES["op10_warc_store"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT page_id, strlen(h) AS payload_bytes, MAX(page_id) OVER (PARTITION BY h) AS best,
+             array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               CAST((CAST('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT) + 1, 1)), '')
+             AS payload_digest FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
+FROM f
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

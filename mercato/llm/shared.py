@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,3 +47,27 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], out: str, salt
     return (ranked.join(offsets, cond, "left")
             .withColumn(out, (F.col("_rn") - 1 + F.col("_before")).cast("long"))
             .drop("_salt", "_rn", "_s", "_before", *[f"_k_{k}" for k in keys]))
+
+
+class BitFilter:
+    """Fixed-size bit filter over 64-bit hashes: says no only to hashes that were
+    not put in.  Its size, and so its broadcast, does not grow with the data; a
+    full one only lets more rows through to the exact step that follows it."""
+
+    def __init__(self, hashes: DataFrame, column: str, log_bits: int = 24):
+        if not 6 <= log_bits <= 28:
+            raise ValueError("log_bits must be 6 to 28")
+        place = F.col(column).bitwiseAND(F.lit((1 << log_bits) - 1))
+        words = (hashes.filter(F.col(column).isNotNull())
+                 .groupBy(F.shiftright(place, 6).cast("int").alias("w"))
+                 .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")).alias("bits")))
+        rows = words.toPandas()                       # at most 2 ** (log_bits - 6) rows
+        table = np.zeros(1 << (log_bits - 6), np.uint64)
+        table[rows["w"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+        self.log_bits, self.empty = log_bits, len(rows) == 0
+        self._table = hashes.sparkSession.sparkContext.broadcast(table)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        h = hashes.view(np.uint64) & np.uint64((1 << self.log_bits) - 1)
+        word = self._table.value[(h >> np.uint64(6)).astype(np.int64)]
+        return ((word >> (h & np.uint64(63))) & np.uint64(1)).astype(bool)
