@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from mercato.llm.decontaminate import contaminated
 from mercato.llm.jaccard_join import jaccard_classes
+from mercato.llm.license_scan import license_labels
 from mercato.llm.packing import pack
 from mercato.llm.pii_crf import pii_spans
 from mercato.llm.repetition import repetition_figures, verdicts
+from mercato.llm.resharding import reshard
+from mercato.llm.site_templates import article_texts
+from mercato.llm.toxicity import toxicity_scores, train
 from mercato.llm.warc_store import archive_and_read
 
 
@@ -20,6 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SHARDS = 40
+
+
+def op1_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old layout has one shard a source (by a hash), so it is as uneven as the
+    sources are; the new one has equal capacities."""
+    old = F.pmod(F.crc32(F.encode(F.coalesce("source", F.lit("")), "UTF-8")), F.lit(SHARDS)).cast("int")
+    rows, _ = reshard(table(spark, sf_dir, "documents"), old, SHARDS, SHARDS)
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                       F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -30,6 +52,15 @@ def op8_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "base_failed", "kept", "covered_words", "longest_repeat")
 
 
+def op4_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return article_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii_spans(table(spark, sf_dir, "documents"))
     return spans.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
@@ -51,7 +82,7 @@ def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_ngram_jaccard_join, op6_pii_crf, op7_pattern_packing, op8_suffix_repetition, op9_minhash_containment,
+        op1_flow_resharding, op2_license_diagonals, op3_ngram_jaccard_join, op4_site_templates, op5_counterfactual_toxicity, op6_pii_crf, op7_pattern_packing, op8_suffix_repetition, op9_minhash_containment,
         op10_warc_store)}
 
 
