@@ -116,14 +116,8 @@ def chosen_words(rows: DataFrame, max_words: int, min_rows: int) -> list[int]:
 
 
 def swaps(words: list[int], kinds: dict[int, tuple[int, ...]]) -> list[list[int]]:
-    """The sentence with each of its group words swapped for the next of its kind."""
-    out = []
-    for w in words:
-        if w in kinds:
-            kind = kinds[w]
-            other = kind[(kind.index(w) + 1) % len(kind)]
-            out.append([x for x in words if x != w] + [other])
-    return out
+    """The sentence with each of its group words swapped for each other one of its kind."""
+    return [[x for x in words if x != w] + [other] for w in words for other in kinds.get(w, ()) if other != w]
 
 
 def fit(rows: list[tuple[int, list[int]]], words: list[int], swap_weight: float = 1.0, l2: float = 0.5, steps: int = 400,
@@ -173,13 +167,37 @@ def fit(rows: list[tuple[int, list[int]]], words: list[int], swap_weight: float
     return Model(allowed, w, float(bias))
 
 
+def calibrated(rows: list[tuple[int, list[int]]], words: list[int], folds: int = 3) -> Model:
+    """The fitted model with its bias moved so that score 0.5 is where rows that a
+    model has not seen are told apart best (F1 over ``folds`` cross fits)."""
+    model = fit(rows, words)
+    logits, labels = [], []
+    for k in range(folds):
+        part = [r for i, r in enumerate(rows) if i % folds != k]
+        if not {0, 1} <= {y for y, _ in part}:
+            return model
+        own = fit(part, words, steps=200)
+        weight = dict(zip(own.words.tolist(), own.weights, strict=True))
+        for y, ws in rows[k::folds]:
+            logits.append(own.bias + sum(weight.get(w, 0.0) for w in ws))
+            labels.append(y)
+    order = np.argsort(logits)[::-1]
+    z, y = np.array(logits)[order], np.array(labels)[order]
+    hits = np.cumsum(y)
+    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    best = int(f1.argmax())
+    below = z[best + 1] if best + 1 < len(z) else z[best] - 1
+    model.bias -= float(z[best] + below) / 2
+    return model
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> Model:
     rows = written(labelled_words(docs, labels, id_col, text_col, label_col, max_rows), "labelled")
     words = chosen_words(rows, max_words, MIN_ROWS)
     # At most max_rows lists of at most max_words chosen words each.
     data = [(r["label"], r["words"]) for r in _only(rows, words).collect()] if words else []
-    return fit(data, words)
+    return calibrated(data, words)
 
 
 def _only(rows: DataFrame, words: list[int]) -> DataFrame:

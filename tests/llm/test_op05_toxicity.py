@@ -49,7 +49,7 @@ def test_swaps_hold_scores_together():
         scores = [model.scores(block(f"she met a {g} teacher"))[0] for kind in X.GROUPS.values() for g in kind]
         return max(scores) - min(scores), max(scores)
 
-    # The fixed sentences give each group word the same share of abuse; an uneven sample would not.
+    # The fixed sentences give each group word the same share of abuse; this sample does not.
     rows = [(1, X._hash_words(f"those muslim folk {i}")) for i in range(60)] + [(0, X._hash_words(f"those christian folk {i}")) for i in range(60)]
     held, free = (X.fit(rows, [], swap_weight=s) for s in (200.0, 0.0))
     assert spread(held)[0] < 0.5 * spread(free)[0]
