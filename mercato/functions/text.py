@@ -23,11 +23,15 @@ URL_PATTERN = r"(?U)https?://\S+"
 HANDLE_PATTERN = r"(?U)(?<!\w)@\w+"
 
 
+_MARKS = {cp: None for cp in range(0x110000) if unicodedata.combining(chr(cp))}
+
+
 def normalize_py(value: str | None) -> str | None:
-    """Reference definition: lower case, NFKD, combining marks removed."""
+    """What ``normalize_text`` must equal: lower case, compatibility decomposition,
+    then every character of a non-zero combining class deleted."""
     if value is None:
         return None
-    return "".join(c for c in unicodedata.normalize("NFKD", str(value).lower()) if not unicodedata.combining(c))
+    return unicodedata.normalize("NFKD", str(value).lower()).translate(_MARKS)
 
 
 def _latin_table(lo: int = 0x00C0, hi: int = 0x024F) -> tuple[str, str]:
@@ -99,10 +103,16 @@ def compose_text(title, text) -> Column:
     return F.regexp_replace(F.concat_ws(" ", *cleaned), r"(?U)^\s+|\s+$", "")
 
 
+# A rating: digits with an optional fraction (point or comma) and exponent.
+RATING_PATTERN = r"^[+-]?([0-9]+([.,][0-9]*)?|[.,][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def parse_rating(col) -> Column:
-    """Decimal comma accepted; unparseable, NaN and infinite give null."""
-    v = F.trim(F.replace(F.coalesce(_c(col).cast("string"), F.lit("")), F.lit(","), F.lit("."))).try_cast("double")
-    return F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+    """Decimal comma accepted, white space of any script around it dropped;
+    what is not a plain decimal number, and what overflows, gives null."""
+    v = F.regexp_replace(F.coalesce(_c(col).cast("string"), F.lit("")), r"(?U)^\s+|\s+$", "")
+    number = F.replace(F.when(v.rlike(RATING_PATTERN), v), F.lit(","), F.lit(".")).try_cast("double")
+    return F.when(F.abs(number) != F.lit(float("inf")), number)
 
 
 def tokenize(normalized) -> Column:

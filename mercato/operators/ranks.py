@@ -24,26 +24,18 @@ from mercato.session import checkpoint_dir
 
 _LOW_BITS = 33
 
-# Tables with at most this many rows are ranked by a plain window (one task);
-# the size is checked with a bounded count before the plan is chosen.
-SMALL_TABLE_ROWS = 200_000
 
+def is_small(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows; reads at most limit + 1.  For
+    choosing a join strategy only: results never depend on it."""
+    return limit > 0 and df.limit(limit + 1).count() <= limit
 
-def is_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads at most limit + 1."""
-    if limit <= 0:
-        return False
-    return df.limit(limit + 1).count() <= limit
 
-
-def _checked(df: DataFrame) -> tuple[DataFrame, bool]:
-    """Materialize the input once (eager checkpoint in the shared folder) so
-    its upstream plan runs once for both the size check and the ranking.  A
-    checkpoint leaves no entry in the session's cache, which would otherwise
-    be compared against every later plan."""
+def _kept(df: DataFrame) -> DataFrame:
+    """The input, evaluated once: range partitioning reads it twice (a sample for
+    the bounds, then the rows)."""
     checkpoint_dir(df.sparkSession)
-    kept = df.checkpoint(eager=True)
-    return kept, is_small(kept)
+    return df.checkpoint(eager=True)
 
 
 def _sort_cols(order: Sequence) -> list[Column]:
@@ -64,7 +56,7 @@ def _partitioned(df: DataFrame, order: Sequence, partitions: int | None) -> Data
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _sort_cols(order)
     checkpoint_dir(spark)
-    return (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    return (_kept(df).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
             .withColumn("_pid", F.spark_partition_id())
             .withColumn("_pos", F.monotonically_increasing_id()
                         - F.shiftleft(F.col("_pid").cast("long"), _LOW_BITS))
@@ -83,14 +75,12 @@ def global_row_number(df: DataFrame, order: Sequence, out: str = "rank",
 
     ``order`` items are column names (ascending, nulls first), ``(name, asc)``
     tuples (descending puts nulls last) or Columns.  The order must be total
-    (end it with a unique key) for the numbering to be deterministic."""
-    df, small = _checked(df)
-    if small:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*_sort_cols(order))))
+    (end it with a unique key) for the numbering to be deterministic.  The
+    result is a bigint at every size."""
     part = _partitioned(df, order, partitions)
     off = _offsets(part, F.count(F.lit(1)), "_offset")
     return (part.join(F.broadcast(off), "_pid")
-            .withColumn(out, F.col("_offset") + F.col("_pos") + 1)
+            .withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("long"))
             .drop("_pid", "_pos", "_offset"))
 
 
@@ -107,13 +97,6 @@ def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
     partition the sum is a window partitioned by that partition, so no task
     holds more than one range; partition offsets come from a broadcast table
     with one row per partition."""
-    df, small = _checked(df)
-    if small:
-        w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        res = df
-        for o, v in sums.items():
-            res = res.withColumn(o, F.sum(v).over(w1))
-        return res
     part = _partitioned(df, order, partitions)
     per = part.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,10 +115,6 @@ def running_min(df: DataFrame, order: Sequence, value: str, out: str,
     """MIN(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed:
     each range partition starts from the minimum of all earlier partitions
     (a table with one row per partition)."""
-    df, small = _checked(df)
-    if small:
-        w1 = Window.orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.min(value).over(w1))
     part = _partitioned(df, order, partitions)
     per = part.groupBy("_pid").agg(F.min(value).alias("_pmin"))
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -32,10 +32,12 @@ RELATIONSHIPS = [("FactOrders", "purchase_date", "DimDate", "Date"),
 
 
 def seller_labels(sellers: DataFrame, key: str = "seller_id") -> DataFrame:
-    """C21: 'Vendeur 0001', ... by sorted seller id (distributed row number)."""
+    """C21: 'Vendeur 0001', ... by sorted seller id (distributed row number); numbers
+    over 9999 keep all their digits."""
     ids = sellers.select(key).distinct()
-    ranked = global_row_number(ids, [key], "_n")
-    return ranked.select(key, F.concat(F.lit("Vendeur "), F.lpad(F.col("_n").cast("string"), 4, "0")).alias("Vendeur"))
+    number = F.col("_n").cast("string")
+    padded = F.concat(F.repeat(F.lit("0"), 4 - F.length(number)), number)
+    return global_row_number(ids, [key], "_n").select(key, F.concat(F.lit("Vendeur "), padded).alias("Vendeur"))
 
 
 def calendar_dim(start: Column, end: Column, spark) -> DataFrame:

@@ -16,7 +16,7 @@ from mercato.plans.registry import light_model, register
 BI_SQL = RATED_SQL.strip() + """,
 lg AS (SELECT *, analysis_period = 1 AND order_status = 'delivered' AS _lg FROM fact_orders),
 bi_items AS (SELECT i.* FROM fact_items i JOIN lg ON lg.order_id = i.order_id AND lg._lg),
-dim_sellers AS (SELECT seller_id, 'Vendeur ' || lpad(CAST(ROW_NUMBER() OVER (ORDER BY seller_id) AS VARCHAR), 4, '0')
+dim_sellers AS (SELECT seller_id, 'Vendeur ' || printf('%04d', ROW_NUMBER() OVER (ORDER BY seller_id))
                   AS Vendeur FROM s_sellers),
 ra AS (SELECT order_id, review_score,
               CASE WHEN delay_days <= 0 THEN 'A l''heure' WHEN delay_days <= 3 THEN '1-3 jours'

@@ -8,23 +8,43 @@ from pyspark.sql import functions as F
 from mercato.operators import ranks
 
 
-@pytest.fixture(params=[True, False], ids=["distributed", "small-table"])
-def mode(request, monkeypatch):
-    if request.param:
-        monkeypatch.setattr(ranks, "SMALL_TABLE_ROWS", 0)
-    return request.param
-
-
-def test_global_row_number(spark, mode):
+def test_global_row_number(spark):
     data = [(i, (i * 37) % 11) for i in range(300)]
     df = spark.createDataFrame(data, "id int, v int")
     got = ranks.global_row_number(df, [("v", False), ("id", True)], "rank", partitions=5)
     w = Window.orderBy(F.col("v").desc(), F.col("id").asc())
     want = df.withColumn("rank", F.row_number().over(w))
     assert sorted(got.collect()) == sorted(want.collect())
+    assert dict(got.dtypes)["rank"] == "bigint"
+
+
+def test_ranks_come_from_several_partitions(spark, monkeypatch):
+    """The distributed path is the only one: rows are ranked in range partitions."""
+    seen = []
+    plain = ranks._partitioned
+
+    def spy(*args):
+        out = plain(*args)
+        seen.append(out.select("_pid").distinct().count())
+        return out
+
+    monkeypatch.setattr(ranks, "_partitioned", spy)
+    df = spark.range(500).withColumn("v", F.col("id") % 50)
+    ranks.global_row_number(df, ["id"], "rank", partitions=6).count()
+    ranks.running_sums(df, ["id"], {"s": "v"}, partitions=6).count()
+    ranks.running_min(df, ["id"], "v", "m", partitions=6).count()
+    assert len(seen) == 3 and min(seen) > 1
+
+
+def test_seller_numbers_keep_all_digits(spark):
+    from mercato.plans.measures import seller_labels
+    ids = spark.range(10_050).select(F.format_string("s%06d", "id").alias("seller_id"))
+    got = {r["seller_id"]: r["Vendeur"] for r in seller_labels(ids).collect()}
+    assert len(set(got.values())) == 10_050
+    assert got["s000000"] == "Vendeur 0001" and got["s010049"] == "Vendeur 10050"
 
 
-def test_running_sums(spark, mode):
+def test_running_sums(spark):
     df = spark.createDataFrame([(i, float(i % 7)) for i in range(200)], "id int, x double")
     got = ranks.running_sums(df, ["id"], {"cum": "x"}, partitions=4).orderBy("id").collect()
     acc = 0.0
@@ -33,7 +53,7 @@ def test_running_sums(spark, mode):
         assert r["cum"] == pytest.approx(acc)
 
 
-def test_average_rank_matches_pandas(spark, mode):
+def test_average_rank_matches_pandas(spark):
     vals = [3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5, None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v int")
     got = {r["id"]: r["rank"] for r in ranks.average_rank(df, "v", "rank", partitions=3).collect()}
@@ -45,7 +65,7 @@ def test_average_rank_matches_pandas(spark, mode):
             assert got[i] == pytest.approx(v)
 
 
-def test_running_min_descending(spark, mode):
+def test_running_min_descending(spark):
     vals = [(i, float((i * 13) % 17)) for i in range(150)]
     df = spark.createDataFrame(vals, "i int, x double")
     got = {r["i"]: r["m"] for r in ranks.running_min(df, [("i", False)], "x", "m", partitions=4).collect()}
