@@ -6,13 +6,18 @@ Every reader returns an all-string DataFrame plus a source sequence column
 
 from __future__ import annotations
 
+import csv
 import unicodedata
 from collections.abc import Sequence
+from itertools import chain, count
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from mercato.operators.ranks import global_row_number
+
 # Accepted delimiters and encodings, envelope keys, role candidates.
 DELIMITERS = [",", ";", "\t", "|"]
 ENCODINGS = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "utf-16": "UTF-16", "cp1252": "windows-1252",
@@ -25,136 +30,158 @@ RATING_CANDIDATES = ["review_score", "rating", "score", "note", "stars", "etoile
 
 
 def header_names(raw: Sequence[str | None], header: bool = True) -> list[str]:
-    """Blank header cell -> colonne_i; repeats -> name_2, name_3 ..."""
+    """A blank header cell becomes colonne_i; a name met before gets the first
+    free number from 2 on."""
+    places = [f"colonne_{i}" for i in range(1, len(raw) + 1)]
     if not header:
-        return [f"colonne_{i + 1}" for i in range(len(raw))]
-    names, seen = [], set()
-    for i, value in enumerate(raw):
-        base = (value or "").strip() or f"colonne_{i + 1}"
-        name, n = base, 2
-        while name in seen:
-            name, n = f"{base}_{n}", n + 1
-        seen.add(name)
-        names.append(name)
-    return names
-
-
-def detect_encoding(spark: SparkSession, path: str, lines: int = 200) -> str:
-    """Encoding 'auto': a UTF-16 byte-order mark gives UTF-16; text that
-    decodes as UTF-8 (a UTF-8 mark is dropped) stays UTF-8; otherwise
-    windows-1252.  Decided on the first lines read through Spark."""
-    head = spark.read.option("encoding", "UTF-8").text(path).limit(lines)
-    probe = head.agg(
-        F.max(F.when(F.col("value").startswith("\ufffd\ufffd"), 1).otherwise(0)).alias("bom16"),
-        F.max(F.when(F.col("value").contains("\u0000"), 1).otherwise(0)).alias("nul"),
-        F.max(F.when(F.try_validate_utf8(F.col("value")).isNull(), 1).otherwise(0)).alias("bad")).first()
-    if probe is None:
-        return "UTF-8"
-    if probe["bom16"] or probe["nul"]:
-        return "UTF-16"
-    if probe["bad"]:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        return "windows-1252"
-    return "UTF-8"
+        return places
+    taken: dict[str, None] = {}
+    for cell, place in zip(raw, places, strict=True):
+        wanted = (cell or "").strip() or place
+        free = chain([wanted], (f"{wanted}_{i}" for i in count(2)))
+        taken[next(x for x in free if x not in taken)] = None
+    return list(taken)
+
+
+# windows-1252 differs from ISO-8859-1 in the bytes 0x80 to 0x9F alone, so it is read
+# as ISO-8859-1 and those characters are translated; no session setting is needed.
+_UPPER = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+_CP1252_FROM, _CP1252_TO = ("".join(x) for x in zip(*[p for p in _UPPER if p[1]], strict=True))
+
+
+def _cp1252(cell: Column) -> Column:
+    return F.translate(cell, _CP1252_FROM, _CP1252_TO)
+
+
+def detect_encoding(spark: SparkSession, path: str) -> str:
+    """Encoding 'auto', decided on every line: a UTF-16 byte-order mark or a NUL gives
+    UTF-16; text that decodes as UTF-8 (a UTF-8 mark is dropped) stays UTF-8;
+    anything else is windows-1252."""
+    probe = spark.read.option("encoding", "UTF-8").text(path).agg(
+        F.max(F.col("value").startswith("\ufffd\ufffd") | F.col("value").contains("\u0000")).alias("wide"),
+        F.max(F.try_validate_utf8(F.col("value")).isNull()).alias("bad")).first()
+    return "UTF-16" if probe["wide"] else "windows-1252" if probe["bad"] else "UTF-8"
 
 
 def _sniff_delimiter(spark: SparkSession, path: str, encoding: str) -> str:
-    """Auto delimiter: score each candidate on the first lines (DataFrame ops):
-    the candidate giving the same, largest field count on most lines wins."""
-    lines = spark.read.option("encoding", encoding).text(path).limit(200)
-    best, best_score = ",", -1.0
-    for d in DELIMITERS:
-        counts = lines.select((F.size(F.split("value", "\\" + d if d in "|" else d)) - 1).alias("n"))
-        stats = counts.groupBy("n").count().orderBy(F.desc("count"), F.desc("n")).first()
-        if stats is None:
-            continue
-        score = stats["count"] * (1 if stats["n"] > 0 else 0)
-        if score > best_score:
-            best, best_score = d, score
-    return best
-
-
-MAX_COLUMNS = 500
+    """Auto delimiter over all lines: of the candidates, the one whose commonest
+    non-zero count of uses outside quotes holds on most lines."""
+    bare = F.regexp_replace("value", '"[^"]*("|$)', "")
+    uses = F.array(*[F.struct(F.lit(d).alias("d"), (F.length(bare) - F.length(F.replace(bare, F.lit(d), F.lit("")))).alias("n"))
+                     for d in DELIMITERS])
+    seen = (spark.read.option("encoding", encoding).text(path).select(F.explode(uses).alias("u")).select("u.d", "u.n")
+            .filter("n > 0").groupBy("d", "n").count().orderBy(F.desc("count"), F.desc("n")).first())
+    return seen["d"] if seen else ","
+
+
 _NULL_MARK = "\u0000<null>"
 
 
+def _surplus(width: int, delimiter: str):
+    """Whether a raw record has a non-blank cell after ``width`` cells.  Only records
+    that Spark flagged as too long or too short reach it."""
+    @F.pandas_udf("boolean")
+    def check(records: pd.Series) -> pd.Series:
+        def one(record):
+            cells = [] if record is None else [c for row in csv.reader([record], delimiter=delimiter) for c in row]
+            return any(c.strip() for c in cells[width:])
+        return records.map(one)
+    return check
+
+
 def read_reviews_delimited(spark: SparkSession, path: str, delimiter: str = "auto", encoding: str = "utf-8-sig",
-                           header: bool = True, strict: bool = True, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """A05 + A06 + A07: delimited review file -> all-string DataFrame.
-
-    Quoted fields may hold delimiters and newlines, quotes are doubled.  The
-    file is parsed against ``max_columns`` string columns so that cells beyond
-    the header are seen; empty cells read as '' and absent cells as null.
-    Blank rows are dropped, short rows are padded with '' and a row with more
-    non-blank cells than the header raises (``strict``) or is dropped."""
+                           header: bool = True, strict: bool = True, row_id: str = "row_id") -> DataFrame:
+    """A05 + A06 + A07: delimited review files -> all-string DataFrame.
+
+    Quoted fields may hold delimiters and newlines, quotes are doubled.  The width
+    is the first record's.  Every file has its own header record; files whose
+    headers differ raise.  Blank rows are dropped, short rows are padded with ''
+    and a row with a non-blank cell beyond the width raises (``strict``) or is
+    dropped.  ``row_id`` numbers the rows from 1 by file name and place; a column
+    of that name in the files raises.
+
+    A file with quoted line breaks is parsed by one task, row by row."""
     enc = detect_encoding(spark, path) if encoding == "auto" else ENCODINGS.get(encoding, encoding)
-    if enc == "windows-1252":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    latin = enc == "windows-1252"
+    enc = "ISO-8859-1" if latin else enc
     if delimiter == "auto":
         delimiter = _sniff_delimiter(spark, path, enc)
     if delimiter not in DELIMITERS:
         raise ValueError(f"unsupported delimiter: {delimiter!r}")
-    wide = StructType([StructField(f"_c{i}", StringType()) for i in range(max_columns)])
-    raw = (spark.read.schema(wide).option("sep", delimiter).option("encoding", enc).option("multiLine", True)
-           .option("quote", '"').option("escape", '"').option("header", False).option("nullValue", _NULL_MARK)
-           .option("mode", "PERMISSIVE").csv(path))
-    raw = raw.withColumn("_seq", F.monotonically_increasing_id())
-    cells = [f"_c{i}" for i in range(max_columns)]
-    first = raw.orderBy("_seq").first()
-    head_vals = [first[c] for c in cells] if first is not None else []
-    width = max((i + 1 for i, v in enumerate(head_vals) if v is not None), default=0)
-    names = header_names(head_vals[:width], header)
-    body = raw.filter(F.col("_seq") != first["_seq"]) if header and first is not None else raw
-    extra = cells[width:]
-    too_wide = (F.length(F.concat_ws("", *[F.col(c) for c in extra])) > 0) if extra else F.lit(False)
+    files = (spark.read.option("sep", delimiter).option("encoding", enc).option("multiLine", True)
+             .option("quote", '"').option("escape", '"').option("nullValue", _NULL_MARK).option("columnPruning", False))
+    width = len(files.option("header", False).csv(path).columns)
+    cells = [f"_c{i}" for i in range(width)]
+    wide = StructType([StructField(c, StringType()) for c in [*cells, "_over", "_corrupt"]])
+    files = files.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    place = [F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at")]
+    decoded = _cp1252 if latin else (lambda c: c)
+    # One array column up to the end: a file may have very many columns.
+    raw = files.option("header", False).csv(path).select(F.array(*cells).alias("_cells"), "_over", "_corrupt", *place)
+    raw = raw.withColumn("_cells", F.transform("_cells", decoded))
+    first = raw.groupBy("_file").agg(F.min_by("_cells", "_at").alias("h"), F.min("_at").alias("_first"))
+    heads = first.select("h").distinct().limit(2).collect()
+    if header and len(heads) > 1:
+        raise ValueError("the files have different headers")
+    names = header_names(heads[0]["h"] if heads else [], header)
+    if row_id in names:
+        raise ValueError(f"the files have a column {row_id!r}; choose another name for the row number")
+    if header:
+        raw = raw.join(F.broadcast(first.select("_file", "_first")), "_file").filter(F.col("_at") > F.col("_first"))   # one row a file
+    # One cell too many fills _over; of records that Spark flags as too long (or too
+    # short) the raw text is looked at, for an empty _over may hide later cells.
+    surplus = ((F.length(F.regexp_replace(F.coalesce("_over", F.lit("")), r"(?U)\s", "")) > 0)
+               | F.coalesce(_surplus(width, delimiter)(F.col("_corrupt")), F.lit(False)))
     if strict:
-        fail = F.raise_error(F.lit("a row has more values than the header; check the delimiter"))
-        body = body.filter(F.coalesce(F.when(too_wide, fail).cast("boolean"), F.lit(True)))
+        fail = F.raise_error(F.lit("a row has more values than the header; check the delimiter")).cast("boolean")
+        raw = raw.filter(F.when(surplus, fail).otherwise(F.lit(True)))
     else:
-        body = body.filter(~too_wide)
-    out = body.select(F.col("_seq"), *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in zip(cells[:width], names)])
-    joined = F.concat_ws("", *[F.col(n) for n in names]) if names else F.lit("")
-    out = out.filter(F.length(F.regexp_replace(joined, r"(?U)\s", "")) > 0)
-    if _small_enough(out):
-        return out.withColumn("row_id", F.row_number().over(Window.orderBy("_seq"))).drop("_seq")
-    return out.withColumnRenamed("_seq", "row_id")
+        raw = raw.filter(~surplus)
+    full = F.length(F.regexp_replace(F.concat_ws("", "_cells"), r"(?U)\s", "")) > 0
+    out = global_row_number(raw.filter(full).select("_file", "_at", "_cells"), ["_file", "_at"], row_id)
+    return out.select(*[F.coalesce(F.get("_cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)], row_id)
 
 
-def _small_enough(df: DataFrame, limit: int = 1_000_000) -> bool:
-    from mercato.operators.ranks import is_small
-    return is_small(df, limit)
+#: More keys than this are taken for a misread file.
+MAX_KEYS = 10_000
 
 
-def read_reviews_json(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+def read_reviews_json(spark: SparkSession, path: str, lines: bool | None = None, row_id: str = "row_id",
+                      max_keys: int = MAX_KEYS) -> DataFrame:
     """JSON list, JSON lines, or an object holding exactly one list under
-    reviews/avis/data/records.  Values come back as text (nested objects as
-    JSON text, null as ''); the column set is the union of keys."""
+    reviews/avis/data/records.  Values come back as text (nested objects as JSON
+    text, null as ''); the column set is the union of keys, in the order met.
+
+    Malformed JSON, an element that is not an object, more than ``max_keys`` keys and
+    a key named like the row number raise.  A JSON list is read by one task a
+    file; JSON lines are split freely."""
     if lines is None:
         lines = path.endswith((".jsonl", ".ndjson"))
+    blank = F.length(F.regexp_replace("_v", r"(?U)\s", "")) == 0
     if lines:
-        rec = (spark.read.text(path).filter(F.trim("value") != "")
-               .select(F.from_json("value", "map<string,string>").alias("r")))
+        texts = spark.read.text(path).select(F.col("value").alias("_v"), F.col("_metadata.file_path").alias("_file"),
+                                             F.monotonically_increasing_id().alias("_at"), F.lit(0).alias("_pos")).filter(~blank)
     else:
-        doc = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
-        is_list = F.startswith(F.col("v"), F.lit("["))
-        as_list = F.from_json("v", "array<map<string,string>>")
-        env = F.from_json("v", "map<string,string>")
-        picked = None
-        for k in ENVELOPE_KEYS:
-            cand = F.from_json(env[k], "array<map<string,string>>")
-            picked = cand if picked is None else F.coalesce(picked, cand)
-        n_lists = sum(F.when(F.startswith(F.ltrim(env[k]), F.lit("[")), 1).otherwise(0) for k in ENVELOPE_KEYS)
-        arr = F.when(is_list, as_list).when(n_lists == 1, picked).otherwise(F.raise_error(F.lit(
-            "JSON: expected a list of objects, or an object with one list reviews/avis/data/records")))
-        rec = doc.select(F.posexplode(arr).alias("_pos", "r"))
-    rec = rec.withColumn("row_id", F.monotonically_increasing_id())
-    keys = [r[0] for r in rec.select(F.explode(F.map_keys("r"))).distinct().collect()]
-    first_seen = rec.select(F.posexplode(F.map_keys("r")).alias("p", "k"), "row_id")
-    order = {r["k"]: (r["m"], r["p"]) for r in first_seen.groupBy("k").agg(
-        F.min(F.struct("row_id", "p")).alias("s")).select("k", F.col("s.row_id").alias("m"),
-                                                          F.col("s.p").alias("p")).collect()}
-    keys.sort(key=lambda k: order.get(k, (0, 0)))
-    return rec.select("row_id", *[F.coalesce(F.col("r")[k], F.lit("")).alias(k) for k in keys])
+        doc = spark.read.text(path, wholetext=True).select(F.trim("value").alias("_v"), F.col("_metadata.file_path").alias("_file"),
+                                                           F.lit(0).cast("long").alias("_at"))
+        opens = lambda c, mark: F.coalesce(F.startswith(F.ltrim(c), F.lit(mark)), F.lit(False))
+        env = F.from_json("_v", "map<string,string>")
+        held = F.filter(F.array(*[env[k] for k in ENVELOPE_KEYS]), lambda v: opens(v, "["))
+        items = F.when(opens(F.col("_v"), "["), F.col("_v")).when(F.size(held) == 1, F.get(held, F.lit(0)))
+        listed = F.coalesce(F.from_json(items, "array<string>"), F.raise_error(F.lit(
+            "JSON: expected a list of objects, or an object with one list reviews/avis/data/records")).cast("array<string>"))
+        texts = doc.select("_file", "_at", F.posexplode(listed).alias("_pos", "_v"))
+    record = F.when(F.startswith(F.ltrim("_v"), F.lit("{")), F.from_json("_v", "map<string,string>"))
+    bad = F.raise_error(F.concat(F.lit("JSON: not an object: "), F.substring(F.coalesce("_v", F.lit("null")), 1, 80))).cast("map<string,string>")
+    rec = global_row_number(texts.select("_file", "_at", "_pos", F.coalesce(record, bad).alias("r")), ["_file", "_at", "_pos"], row_id)
+    rec = rec.select(row_id, "r")
+    keys = [k["k"] for k in rec.select(F.posexplode(F.map_keys("r")).alias("p", "k"), row_id).groupBy("k")
+            .agg(F.min(F.struct(row_id, "p")).alias("first")).orderBy("first").limit(max_keys + 1).collect()]
+    if len(keys) > max_keys:
+        raise ValueError(f"JSON: more than {max_keys} keys")
+    if row_id in keys:
+        raise ValueError(f"the records have a key {row_id!r}; choose another name for the row number")
+    return rec.select(row_id, *[F.coalesce(F.col("r")[k], F.lit("")).alias(k) for k in keys])
 
 
 def segment_text(df: DataFrame, text: str = "text", mode: str = "lines", key: str | None = None) -> DataFrame:
