@@ -84,13 +84,21 @@ def welch_test(df: DataFrame, flag: Column, metric: str) -> DataFrame:
 
 def spearman_rho(df: DataFrame, x: str, y: str) -> DataFrame:
     """Complete pairs, average ranks (distributed mid-rank, W09), Pearson
-    correlation of the ranks.  One row: n, rho."""
+    correlation of the ranks.  One row: n, rho (null without spread)."""
     xy = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).alias("_x"), F.col(y).alias("_y"))
-    rx = rank_table(xy, "_x", "_rx")
-    ry = rank_table(xy, "_y", "_ry")
-    ranked = xy.join(rx.select("_x", "_rx"), "_x").join(ry.select("_y", "_ry"), "_y")
-    return ranked.agg(F.count(F.lit(1)).alias("n"), F.corr("_rx", "_ry").alias("rho"))
+    # Rows are reduced to counted value pairs first (map-side), so a value that many
+    # rows share is one row a partner in the joins with the rank tables.
+    pairs = xy.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
+    rx, ry = rank_table(xy, "_x", "_rx"), rank_table(xy, "_y", "_ry")
+    ranked = pairs.join(rx.select("_x", "_rx"), "_x").join(ry.select("_y", "_ry"), "_y")
+    # Ranks have mean (n + 1) / 2; the sums close the correlation.
+    c, x, y = F.col("_c"), F.col("_rx"), F.col("_ry")
+    s = ranked.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"), F.sum(c * x * y).alias("_xy"), F.sum(c * x * x).alias("_xx"),
+                   F.sum(c * y * y).alias("_yy"))
+    base = F.col("n") * F.pow((F.col("n") + 1) / 2.0, 2)
+    spread = F.sqrt((F.col("_xx") - base) * (F.col("_yy") - base))
+    return s.select("n", F.when(spread > 0, (F.col("_xy") - base) / spread).alias("rho"))
 
 
 def spearman_test(df: DataFrame, x: str, y: str) -> DataFrame:

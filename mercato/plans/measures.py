@@ -40,13 +40,26 @@ def seller_labels(sellers: DataFrame, key: str = "seller_id") -> DataFrame:
     return global_row_number(ids, [key], "_n").select(key, F.concat(F.lit("Vendeur "), padded).alias("Vendeur"))
 
 
-def calendar_dim(start: Column, end: Column, spark) -> DataFrame:
-    """One row per day with month text, year and year*100+month."""
-    days = spark.range(1).select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("Date"))
+def calendar_dim(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
+    """One row per day from start to end (columns of the one-row ``bounds``)
+    with month text, year and year*100+month."""
+    days = bounds.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("Date"))
     return days.select("Date", F.date_format("Date", "yyyy-MM").alias("Mois"), F.year("Date").alias("Annee"),
                        (F.year("Date") * 100 + F.month("Date")).alias("MoisNumero"))
 
 
+def _combined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join on keys where null equals null, so a null group stays one."""
+    other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = None
+    for k in keys:
+        own = left[k].eqNullSafe(other[f"_r_{k}"])
+        same = own if same is None else same & own
+    both = left.withColumn("_in", F.lit(True)).join(other, same, "full_outer")
+    return both.select(*[F.when(F.col("_in"), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys],
+                       *[c for c in left.columns + right.columns if c not in keys])
+
+
 def bi_tables(m: Model, cohorts: DataFrame | None = None) -> dict[str, DataFrame]:
     """The seven curated BI tables."""
     f, fi = m.fact_orders, m.fact_items
@@ -65,8 +78,8 @@ def bi_tables(m: Model, cohorts: DataFrame | None = None) -> dict[str, DataFrame
         sellers = fi.select("seller_id", "seller_state").distinct()
     sellers = sellers.join(seller_labels(sellers), "seller_id")
     bounds = f.agg(F.trunc(F.min("purchase_date"), "month").alias("a"),
-                   F.last_day(F.max("purchase_date")).alias("b")).first()
-    dates = calendar_dim(F.lit(bounds["a"]), F.lit(bounds["b"]), f.sparkSession)
+                   F.last_day(F.max("purchase_date")).alias("b"))
+    dates = calendar_dim(bounds, F.col("a"), F.col("b"))
     coh = cohorts if cohorts is not None else build_customer_cohorts(f, m.params)
     coh = coh.select("customer_unique_id", "cohort_month", "customer_state", "eligible_90", "repeat_90",
                      "item_value", C.repeat_label().alias("Reachat"))
@@ -244,7 +257,7 @@ class SemanticModel:
             per_table.append(agg)
         out = per_table[0]
         for nxt in per_table[1:]:
-            out = out.join(nxt, keys, "full_outer") if keys else out.crossJoin(nxt)
+            out = _combined(out, nxt, keys) if keys else out.crossJoin(nxt)      # one row each
         cols = {n: F.col(n) for n in base}
         for n in order:
             mdef = MEASURES[n]

@@ -64,13 +64,15 @@ def rsql(body: str, extra: str = "") -> str:
     return f"WITH {ctes}\n{body.strip()}"
 
 
-def analyzed(s, d):
-    return R.fixture_analyzed(s, d)
+def analyzed(s, d, duplicates=False):
+    """Annotated fixture reviews; duplicates need a second look at all rows, so only
+    the queries that show them ask for them."""
+    return R.fixture_analyzed(s, d, duplicates=duplicates)
 
 
 register("reviews_annotated", rsql("""
 SELECT row_id, sentiment, themes, evidence, rating, duplicate, sentiment = 'Indéterminé' AS uncertain FROM annot
-"""))(lambda s, d: analyzed(s, d).select(
+"""))(lambda s, d: analyzed(s, d, True).select(
     "row_id", "sentiment", F.array_join("themes", " | ").alias("themes"),
     F.array_join("evidence", " | ").alias("evidence"), "rating", "duplicate", "uncertain"))
 
@@ -81,7 +83,7 @@ SELECT row_id, len(tk) AS n_tokens, md5(array_to_string(tk, ' ')) AS token_hash
 
 register("review_duplicates", rsql("""
 SELECT COUNT(*) FILTER (WHERE duplicate) AS duplicate_rows, COUNT(*) AS rows FROM annot
-"""))(lambda s, d: analyzed(s, d).agg(F.count_if("duplicate").alias("duplicate_rows"),
+"""))(lambda s, d: analyzed(s, d, True).agg(F.count_if("duplicate").alias("duplicate_rows"),
                                       F.count(F.lit(1)).alias("rows")))
 
 SENT_VALUES = ", ".join(f"('{x}', {i})" for i, x in enumerate(X.SENTIMENTS))

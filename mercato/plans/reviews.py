@@ -39,11 +39,12 @@ def fixture_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None, rating_col: str | None = None,
                     lexicon: X.Lexicon = X.Lexicon(), theme_rules: dict | None = None,
-                    scorer_factory: Callable | None = None, materialize: bool = True) -> DataFrame:
+                    scorer_factory: Callable | None = None, duplicates: bool = True, materialize: bool = True) -> DataFrame:
     """One annotated row per input row (input columns kept).
 
     Duplicates are judged over all rows, which needs a second look at the
-    data.  With ``materialize`` (default) the annotated rows, with the hash
+    data; without ``duplicates`` the plan is lazy, writes nothing and has no such
+    column.  With ``materialize`` (default) the annotated rows, with the hash
     of their duplicate key, are written once as a Parquet table in the shared
     ``spark.checkpoint.dir``; the repeated hashes are then counted from that
     one narrow column and joined back, so the texts are processed once."""
@@ -80,6 +81,8 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
                .drop("model_sentiment", "_conf", "model_uncertain"))
     out = (out.withColumn("sentiment_initial", F.col("sentiment"))
            .withColumn("_dup_hash", X.duplicate_hash(F.col("normalized"))).drop("_blank"))
+    if not duplicates:
+        return out.drop("_dup_hash")
     if materialize:
         spark = out.sparkSession
         path = os.path.join(checkpoint_dir(spark), "reviews", f"annotated-{uuid.uuid4().hex[:12]}")
@@ -88,7 +91,7 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
     return X.flag_duplicates(out, "normalized", "duplicate", hash_col="_dup_hash")
 
 
-def fixture_analyzed(spark: SparkSession, sf_dir: str, with_model: bool = False) -> DataFrame:
+def fixture_analyzed(spark: SparkSession, sf_dir: str, with_model: bool = False, duplicates: bool = False) -> DataFrame:
     lx = FIXTURE_LEXICON
     factory = (lambda: LexiconScorer(lx.positive, lx.negative)) if with_model else None
-    return analyze_reviews(fixture_reviews(spark, sf_dir), "texte", None, "note", lx, None, factory)
+    return analyze_reviews(fixture_reviews(spark, sf_dir), "texte", None, "note", lx, None, factory, duplicates)

@@ -10,32 +10,32 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# File-name parts the study strips to get table names.
+# File-name parts the study strips to get table names.
 NAME_STRIP = ("olist_", "_dataset")
 
 
-def table_name(filename: str) -> str:
+def table_name(filename: str, strip: Iterable[str] = NAME_STRIP) -> str:
     stem = os.path.splitext(os.path.basename(filename))[0]
-    for part in NAME_STRIP:
+    for part in strip:
         stem = stem.replace(part, "")
     return stem
 
 
 def read_raw_tables(spark: SparkSession, directory: str, expected: Iterable[str] | None = None,
-                    fmt: str = "csv") -> dict[str, DataFrame]:
+                    fmt: str = "csv", strip: Iterable[str] = NAME_STRIP) -> dict[str, DataFrame]:
     """Every file of a folder as an all-string DataFrame, keyed by the
     cleaned table name.  CSV is read with header, quoted multi-line fields and
     doubled quotes, without type inference.  ``expected`` asserts the set."""
-    files = sorted(f for f in os.listdir(directory) if f.lower().endswith("." + fmt))
+    # Listed by Spark's own file source (paths only, no bytes), so any store will do.
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").load(directory).select("path").collect())
     out = {}
-    for f in files:
-        path = os.path.join(directory, f)
+    for path in sorted(r["path"] for r in found):
         if fmt == "csv":
             df = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
         else:
             df = spark.read.format(fmt).load(path)
             df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-        out[table_name(f)] = df
+        out[table_name(path, strip)] = df
     if expected is not None:
         missing = set(expected) - set(out)
         if missing:
