@@ -5,8 +5,9 @@ operator finds the maximal repeated word sequences of a document: a suffix
 array over the words (prefix doubling) with its longest-common-prefix values.
 A suffix whose neighbour in the array shares ``l >= min_repeat`` words starts a
 repeated sequence of l words; the union of these spans is the covered part.
-A document is rejected when the covered share or the longest repeat is over
-its limit.
+A document is rejected when the covered share or the longest repeat, in words
+or as a share of the text, is over its limit.  A covered word also lies in a
+3-word window found twice, so the covered limit is below the base limit.
 
 Only documents in which some run of ``min_repeat`` words occurs twice can have
 such a span, so the array is built for those alone; the others get 0.
@@ -31,8 +32,9 @@ from mercato.llm import vectext as V
 #: Characters counted as symbols: fixed values.
 SYMBOLS = b"#*$%&|<>"
 MIN_REPEAT = 10
-MAX_COVERED = 0.50
+MAX_COVERED = 0.35
 MAX_LONGEST = 200
+MAX_LONGEST_SHARE = 0.20
 #: Base limits: fixed values.
 MIN_WORDS = 50
 MAX_REPEAT_WORDS_PERCENT = 50
@@ -185,10 +187,12 @@ def repetition_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, f"{fields}, {SCHEMA}")
 
 
-def verdicts(figures: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
+def verdicts(figures: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST,
+             max_longest_share: float = MAX_LONGEST_SHARE) -> DataFrame:
     """Adds base_failed and kept."""
     base = ((F.col("n_words") < MIN_WORDS)
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_WORDS_PERCENT * F.col("n_words")))
     repeats = ((F.col("covered_words") > F.lit(max_covered) * F.col("n_words"))
-               | (F.col("longest_repeat") > max_longest))
+               | (F.col("longest_repeat") > max_longest)
+               | (F.col("longest_repeat") > F.lit(max_longest_share) * F.col("n_words")))
     return figures.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & ~repeats)

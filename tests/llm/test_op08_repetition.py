@@ -61,3 +61,15 @@ def test_long_and_empty(docs_of, odd_rows):
     r = R.repetition_figures(docs_of([(5, long[0][1] + " " + long[0][1])])).first()
     assert (r["n_words"], r["covered_words"], r["longest_repeat"]) == (120_000, 120_000, 60_000)
     assert R.repetition_figures(docs_of([])).collect() == []
+
+
+def test_method_alone_rejects_at_default_limits(docs_of):
+    fresh = iter(range(100_000))
+    own = lambda n: " ".join(f"v{next(fresh)}" for _ in range(n))
+    part, line = own(150), own(15)
+    rows = [(1, f"{own(200)} {part} {own(100)} {part} {own(100)}"),         # 700 words, 43 % covered
+            (2, "\n".join(f"{own(25)}\n{line}" for _ in range(10))),        # 400 words, 37.5 % covered
+            (3, f"{own(745)} {' '.join([line] * 17)}"),                     # 1,000 words, one repeat of 240
+            (4, f"{own(500)} {line} {own(300)} {line}"), (5, own(700))]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in R.verdicts(R.repetition_figures(docs_of(rows))).collect()}
+    assert got == {1: (False, False), 2: (False, False), 3: (False, False), 4: (False, True), 5: (False, True)}
