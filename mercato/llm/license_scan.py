@@ -6,7 +6,9 @@ template position t votes for the diagonal p - t; votes are summed by (text,
 template, diagonal), diagonals at most GAP apart are merged (words inserted or
 left out), and a merged run of enough votes is a candidate span.  Each span is
 verified on the words themselves: the share of the template that the span holds
-in order must reach COVERED.
+in order must reach COVERED, the words that tell licenses apart (nc, sa, nd, lesser,
+affero, the version, the license's name) must be the template's own, and of
+templates that claim the same words the best one stays.
 
 Base labels are places where a fixed phrase's words stand consecutively.
 
@@ -62,11 +64,55 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
             "the following conditions are met"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
+    ("lgpl-2", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+               "General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("lgpl-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("lgpl-3", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("lgpl-3", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+               "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+               "your option) any later version."),
+    ("agpl-3", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("agpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+               "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+               "your option) any later version."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("cc0", "Licensed under CC0 1.0."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivs 3.0 Unported License."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License."),
 ]
 
 GRAM_WORDS = 3
 GAP = 2
 COVERED = 0.8
+#: Parts of a license, by the first part of its label: words that say it -> part.
+PARTS = {
+    "cc": {("nc",): "nc", ("noncommercial",): "nc", ("non", "commercial"): "nc", ("sa",): "sa", ("sharealike",): "sa",
+           ("share", "alike"): "sa", ("nd",): "nd", ("noderivatives",): "nd", ("noderivs",): "nd", ("no", "derivatives"): "nd",
+           ("no", "derivs"): "nd"},
+    **dict.fromkeys(("gpl", "lgpl", "agpl"), {("lesser",): "lesser", ("affero",): "affero", ("library", "general"): "library"}),
+}
+#: License names; a template that holds one asks for it.
+NAMES = frozenset("mit apache gnu creative cc cc0 mozilla".split())
 FILTER_LOG_BITS = 23
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -172,16 +218,80 @@ def candidate_spans(hashes: DataFrame, positions: DataFrame, lengths: list[int],
     return merged.filter(held * 2 >= length).select("content", "template", "start", "end")
 
 
-def _held_in_order(template: list[str], span: list[str]) -> float:
-    """Longest common subsequence as a share of the template."""
+def _aligned(template: list[str], span: list[str]) -> list[int]:
+    """Places in the span of a longest common subsequence with the template; of the
+    longest ones, one that starts last."""
     codes: dict[str, int] = {}
     a = np.array([codes.setdefault(w, len(codes)) for w in template])
-    best = np.zeros(len(a) + 1, np.int64)
-    for w in span:
+    own = np.array([codes.get(w, -1) for w in span], np.int64)
+    # Length and start in one number, so that no table of a long span is held.
+    big = len(span) + 1
+    best, stop = np.zeros(len(a) + 1, np.int64), 0
+    for i, code in enumerate(own):
+        before = best[:-1]
+        longer = np.where(a == code, np.where(before < big, i, before) + big, 0)
         new = best.copy()
-        new[1:] = np.maximum(new[1:], best[:-1] + (a == codes.get(w, -1)))
-        best = np.maximum.accumulate(new)
-    return int(best[-1]) / len(a)
+        new[1:] = np.maximum(new[1:], longer)
+        new = np.maximum.accumulate(new)
+        if new[-1] > best[-1]:
+            stop = i + 1
+        best = new
+    first = int(best[-1] % big)
+    rows = [np.zeros(len(a) + 1, np.int64)]
+    for code in own[first:stop]:
+        new = rows[-1].copy()
+        new[1:] = np.maximum(new[1:], rows[-1][:-1] + (a == code))
+        rows.append(np.maximum.accumulate(new))
+    out, i, j = [], len(rows) - 1, len(a)
+    while i and j and rows[i][j]:
+        if rows[i][j] == rows[i - 1][j]:
+            i -= 1
+        elif rows[i][j] == rows[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append(first + i)
+    return out[::-1]
+
+
+def deciding(label: str, words: list[str]) -> set[str]:
+    """The parts and, where the label names a version, the versions that the words name."""
+    parts = PARTS.get(label.split("-")[0], {})
+    out = {parts[run] for i in range(len(words)) for run in (tuple(words[i:i + 1]), tuple(words[i:i + 2])) if run in parts}
+    if re.search(r"-\d", label):
+        for i, w in enumerate(words):
+            m = re.fullmatch(r"(?:version|v)(\d*)", w)
+            if m:
+                digits = [m.group(1)] if m.group(1) else []
+                for x in words[i + 1:]:
+                    if not x.isdigit():
+                        break
+                    digits.append(x)
+                while digits and digits[-1] == "0":
+                    digits.pop()
+                out |= {".".join(digits)} - {""}
+    return out
+
+
+def best_spans(own: list[str], found: list[tuple[int, int, int]], templates: list[tuple[str, str]], split: list[list[str]],
+               covered: float) -> dict[str, float]:
+    """label -> share of the verified spans (template, start, end) of a text.  Of spans that
+    claim half of the same words the one with the larger share stays, then the longer one."""
+    passing = []
+    for i, start, end in found:
+        label, low = templates[i][0], max(0, start - GAP)
+        at = [low + p for p in _aligned(split[i], own[low:end + GAP])]
+        if len(at) < covered * len(split[i]):
+            continue
+        if NAMES.intersection(split[i]) <= {own[p] for p in at} and deciding(label, split[i]) == deciding(label, own[at[0]:at[-1] + 1]):
+            passing.append((-len(at) / len(split[i]), -len(at), i, at[0], label, set(at)))
+    best: dict[str, float] = {}
+    taken: list[tuple[str, set[int]]] = []
+    for share, _, _, _, label, at in sorted(passing, key=lambda p: p[:4]):
+        if all(label == other or 2 * len(at & held) < min(len(at), len(held)) for other, held in taken):
+            taken.append((label, at))
+            best[label] = max(-share, best.get(label, 0.0))
+    return best
 
 
 def verified(docs: DataFrame, text_col: str, spans: DataFrame, templates: list[tuple[str, str]], covered: float) -> DataFrame:
@@ -208,12 +318,7 @@ def verified(docs: DataFrame, text_col: str, spans: DataFrame, templates: list[t
         for b in batches:
             out = []
             for content, text, found in zip(*(b.column(c).to_pylist() for c in ("content", "text", "spans")), strict=True):
-                own, best = words_of(text), {}
-                for s in found:
-                    i = s["template"]
-                    share = _held_in_order(split[i], own[max(0, s["start"] - GAP):s["end"] + GAP])
-                    if share >= covered:
-                        best[templates[i][0]] = max(share, best.get(templates[i][0], 0.0))
+                best = best_spans(words_of(text), [(s["template"], s["start"], s["end"]) for s in found], templates, split, covered)
                 out += [(content, label, share) for label, share in best.items()]
             cols = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64())],

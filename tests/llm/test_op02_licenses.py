@@ -33,3 +33,27 @@ def test_odd_rows(docs_of, odd_rows):
     assert len(got) == len(rows)
     assert [(r["labels"], r["first_word"]) for r in got if r["doc_id"] == 70] == [("mit", 60_000)]
     assert L.license_labels(docs_of([])).collect() == []
+
+
+CC = {"cc-by": "", "cc-by-nc": "-NonCommercial", "cc-by-sa": "-ShareAlike", "cc-by-nd": "-NoDerivatives",
+      "cc-by-nc-sa": "-NonCommercial-ShareAlike", "cc-by-nc-nd": "-NonCommercial-NoDerivatives"}
+
+
+def test_each_notice_gets_its_own_label_alone(docs_of):
+    cases = [*L.TEMPLATES]
+    cases += [(label, f"This work is licensed under a Creative Commons Attribution{more} 3.0 Unported License.") for label, more in CC.items()]
+    cases += [("lgpl-2.1", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                           "Public License as published by the Free Software Foundation; either version 2.1 of the License, or later"),
+              ("gpl-2", "the whole work is licensed under the GNU General Public License version 2"),
+              ("", "Released under the BSD License."), ("", "Licensed under the Eclipse License, Version 2.0."),
+              ("", "This work is licensed under the GNU General Public License, version 1.")]
+    got = labels(docs_of, [(i, f"start of it {text} then ends") for i, (_, text) in enumerate(cases)])
+    # The fixed base phrase "cc by nc" stands in the short notices of these too.
+    base = lambda text: {"cc-by-nc"} if "CC BY-NC-" in text else set()
+    assert [(t, set(got[i]["labels"].split(","))) for i, (_, t) in enumerate(cases)] == [(t, {n} | base(t)) for n, t in cases]
+
+
+def test_two_licenses_of_one_text_stay(docs_of):
+    text = "Licensed under the MIT License and the Apache License, Version 2.0. Manual: licensed under CC BY-SA 4.0."
+    got = labels(docs_of, [(1, text), (2, L.TEMPLATES[4][1] + " " + L.TEMPLATES[9][1])])
+    assert got[1]["labels"] == "apache-2,cc-by-sa,mit" and got[2]["labels"] == "cc-by,gpl-3"
