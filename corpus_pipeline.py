@@ -2,7 +2,7 @@
 
 Each stage gets (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and reread as the next stage's docs.  All but the last return the
-columns of ``documents``.
+columns of their docs, whatever others stand beside those of ``documents``.
 """
 
 from __future__ import annotations
@@ -19,28 +19,40 @@ from mercato.llm.repetition import repetition_figures, verdicts
 from mercato.llm.shared import written
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _row: all other columns), so no column's name meets an operator's own."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*quoted).alias("_row"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``packed`` with the columns of ``docs``."""
+    return rows.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the repetition rules reject."""
-    figures = repetition_figures(docs, passed=("text", "lang", "source", "n_chars"))
-    return verdicts(figures).filter("kept").select(docs.columns)
+    figures = repetition_figures(packed(docs), passed=("text", "_row"))
+    return unpacked(verdicts(figures).filter("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of the n-gram Jaccard join stays."""
-    return one_of_each_class(docs)
+    return unpacked(one_of_each_class(packed(docs)), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return unpacked(without_contaminated(packed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")), docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    masked = pii_spans(docs, passed=others, masked=True).withColumnRenamed("_masked", "text")
-    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return masked.withColumn("n_chars", n_chars).select(docs.columns)
+    masked = pii_spans(packed(docs), passed=("_row",), masked=True).withColumnRenamed("_masked", "text")
+    rows = unpacked(masked, docs)
+    if "n_chars" not in docs.columns:
+        return rows
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

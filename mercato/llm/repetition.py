@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.llm import vectext as V
 
@@ -172,7 +173,7 @@ def repetition_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: the id, the columns named in ``passed``, and the figures of SCHEMA."""
     keep = [id_col, *passed]
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -184,7 +185,7 @@ def repetition_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                                  names=keep + names)
 
     rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"{fields}, {SCHEMA}")
+    return rows.mapInArrow(run, schema)
 
 
 def verdicts(figures: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST,

@@ -2,6 +2,7 @@
 
 import corpus_pipeline as C
 import public_tokenizers
+from pyspark.sql import functions as F
 from test_op03_jaccard import brute as classes_of
 from test_op08_repetition import brute as figures_of
 from test_op09_decontaminate import grams, words
@@ -54,3 +55,21 @@ def test_stages(spark, docs_of, sf_small):
 def test_run(spark, sf_small):
     pieces = C.run(spark, sf_small)
     assert {"doc_id", "piece", "start", "length", "sequence_id", "offset"} <= set(pieces.columns) and pieces.count() > 0
+
+
+def test_stages_carry_extra_and_clashing_columns(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").filter("n_chars between 400 and 900").limit(40)
+    clash = ("id n n_words n_symbols n_email base_spans spans base_failed kept _id _text _masked _node _content _shared _keep "
+             "_winner _rn node class a.b").split()
+    for c in clash:
+        docs = docs.withColumn(c, F.concat(F.lit(c + " of "), F.col("doc_id").cast("string")))
+    docs = spark.createDataFrame(docs.withColumn("_row", F.struct(F.col("doc_id").alias("x y"))).toArrow())
+    now = docs
+    for name, stage in C.STAGES:
+        now = spark.createDataFrame(stage(spark, now, sf_small).toArrow())
+        if name != "packing":
+            assert now.columns == docs.columns
+            rows = now.collect()
+            assert rows and all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in clash)
+            assert all(r["_row"]["x y"] == r["doc_id"] and r["n_chars"] == len(r["text"]) for r in rows)
+    assert now.count()
