@@ -115,32 +115,34 @@ def chosen_words(rows: DataFrame, max_words: int, min_rows: int) -> list[int]:
     return [r["w"] for r in counts.withColumn("z", z).orderBy(F.col("z").desc(), "w").limit(max_words).collect()]
 
 
-def swaps(words: list[int], kinds: dict[int, tuple[int, ...]]) -> list[list[int]]:
-    """The sentence with each of its group words swapped for each other one of its kind."""
-    return [[x for x in words if x != w] + [other] for w in words for other in kinds.get(w, ()) if other != w]
+def swaps(words: list[int], kinds: dict[int, tuple[int, ...]]) -> list[tuple[int, int]]:
+    """Each group word of the sentence with each other one of its kind."""
+    return [(w, other) for w in words for other in kinds.get(w, ()) if other != w]
+
+
+def group_kinds() -> dict[int, tuple[int, ...]]:
+    """Hash of each group word -> hashes of its kind."""
+    kinds = [tuple(_hash_words(x)[0] for x in kind) for kind in GROUPS.values()]
+    return {h: kind for kind in kinds for h in kind}
 
 
 def fit(rows: list[tuple[int, list[int]]], words: list[int], swap_weight: float = 1.0, l2: float = 0.5, steps: int = 400,
         rate: float = 0.05) -> Model:
     """Minimises weighted mean log-loss + swap_weight * mean squared score change under swaps +
     l2 / rows * |weights|^2 by Adam from zero; the same each time."""
-    kinds = {h: tuple(_hash_words(x)[0] for x in kind) for kind in GROUPS.values() for h in [_hash_words(x)[0] for x in kind]}
+    kinds = group_kinds()
     sentences = [(label, _hash_words(s.format(g))) for label, forms in ((0, NEUTRAL), (1, HOSTILE)) for s in forms
                  for kind in GROUPS.values() for g in kind]
     allowed = np.array(sorted(set(words) | set(kinds) | {w for _, s in sentences for w in s}), np.int64)
     index = {int(w): i for i, w in enumerate(allowed)}
     data = [(y, [index[w] for w in ws if w in index]) for y, ws in rows] + [(y, [index[w] for w in ws]) for y, ws in sentences]
-    pairs = [(ws, s) for _, ws in [*rows, *sentences] for s in swaps(ws, kinds)]
+    # A swap as (row, group word, the other word): the rest of the sentence is the row's own.
+    pairs = np.array([(i, index[w], index[other]) for i, (_, ws) in enumerate([*rows, *sentences]) for w, other in swaps(ws, kinds)], np.int64)
+    pair_row, left, put = pairs.T
     y = np.array([d[0] for d in data], float)
     at = np.array([i for _, ws in data for i in ws], np.int64)
     row = np.repeat(np.arange(len(data)), [len(ws) for _, ws in data])
 
-    def flat(side: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        kept = [[index[w] for w in ws if w in index] for ws in side]
-        return np.array([i for ws in kept for i in ws], np.int64), np.repeat(np.arange(len(kept)), [len(ws) for ws in kept])
-
-    at_a, row_a = flat([p[0] for p in pairs])
-    at_b, row_b = flat([p[1] for p in pairs])
     n, m, d = len(data), len(pairs), len(allowed)
     # The rarer class counts more, by the root of the ratio.
     ones = max(1.0, y.sum())
@@ -150,14 +152,16 @@ def fit(rows: list[tuple[int, list[int]]], words: list[int], swap_weight: float
     mom, var = np.zeros(d + 1), np.zeros(d + 1)
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for step in range(1, steps + 1):
-        p = sig(np.bincount(row, w[at], n) + bias)
+        z = np.bincount(row, w[at], n) + bias
+        p = sig(z)
         err = weight * (p - y)
         g = np.bincount(at, err[row], d) + l2 / n * w
         gb = err.sum()
-        pa_, pb_ = sig(np.bincount(row_a, w[at_a], m) + bias), sig(np.bincount(row_b, w[at_b], m) + bias)
+        za = z[pair_row]
+        pa_, pb_ = sig(za), sig(za - w[left] + w[put])
         diff = 2 * swap_weight * (pa_ - pb_) / m
         da, db = diff * pa_ * (1 - pa_), diff * pb_ * (1 - pb_)
-        g += np.bincount(at_a, da[row_a], d) - np.bincount(at_b, db[row_b], d)
+        g += np.bincount(at, np.bincount(pair_row, da - db, n)[row], d) + np.bincount(left, db, d) - np.bincount(put, db, d)
         gb += (da - db).sum()
         full = np.append(g, gb)
         mom = 0.9 * mom + 0.1 * full
@@ -195,13 +199,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> Model:
     rows = written(labelled_words(docs, labels, id_col, text_col, label_col, max_rows), "labelled")
     words = chosen_words(rows, max_words, MIN_ROWS)
-    # At most max_rows lists of at most max_words chosen words each.
-    data = [(r["label"], r["words"]) for r in _only(rows, words).collect()] if words else []
+    # At most max_rows lists of at most max_words chosen words and the group words each.
+    data = [(r["label"], r["words"]) for r in _only(rows, [*words, *group_kinds()]).collect()] if words else []
     return calibrated(data, words)
 
 
 def _only(rows: DataFrame, words: list[int]) -> DataFrame:
-    """The rows with the chosen words alone."""
+    """The rows with the given words alone."""
     keep = rows.sparkSession.sparkContext.broadcast(np.sort(np.array(words, np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

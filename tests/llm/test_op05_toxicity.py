@@ -63,3 +63,14 @@ def test_odd_rows(spark, docs_of, odd_rows):
     assert len(got) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in got)
     assert len({r["score"] for r in got if r["doc_id"] in (1, 2, 3)}) == 1
     assert X.toxicity_scores(docs_of([]), model).collect() == []
+
+
+def test_group_words_outside_the_chosen_ones_are_swapped(spark, docs_of, monkeypatch):
+    rows, labels = corpus(300)
+    rows = [(i, t + " muslim") for i, t in rows]
+    seen = {}
+    monkeypatch.setattr(X, "calibrated", lambda data, words: seen.update(data=data, words=words))
+    X.train(docs_of(rows), frame(spark, labels), max_words=3)
+    kinds, word = X.group_kinds(), X._hash_words("muslim")[0]
+    assert word not in seen["words"] and len(seen["data"]) == sum(not X.held_out_of(i) for i, _ in rows)
+    assert all(len(X.swaps(ws, kinds)) == len(kinds[word]) - 1 for _, ws in seen["data"])
