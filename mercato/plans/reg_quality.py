@@ -9,7 +9,7 @@ from mercato.plans import queries as Q
 from mercato.plans.oracle_sql import q as sql
 from mercato.plans.registry import fact_base, register, tables
 from mercato.session import table_path
-from mercato.sources.raw import coerce_types, column_profile, model_catalog
+from mercato.sources.raw import coerce_types, column_profile, model_catalog, parquet_tables
 
 _SQL_TABLE = {"orders": "s_orders", "customers": "s_customers", "products": "s_products",
               "sellers": "s_sellers", "order_items": "s_items", "order_payments": "s_payments",
@@ -119,6 +119,32 @@ def _profile(s, d):
 
 register("column_profile", _profile_sql())(_profile)
 
+# The profile of every table and column of the folder; the oracle names the driver's tables.
+DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+                 "conversations").split()
+
+
+def _profile_all_sql() -> str:
+    parts = []
+    for t in DRIVER_TABLES:
+        counts = " JOIN ".join(f"(UNPIVOT (SELECT COUNT({d}COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME col VALUE {n})"
+                               for d, n in (("", "present"), ("DISTINCT ", "uniq")))
+        parts.append(f"SELECT '{t}' AS \"table\", col AS \"column\", r.n AS rows, r.n - present AS missing, "
+                     f"(r.n - present) / r.n AS missing_rate, uniq AS unique_non_null "
+                     f"FROM {counts} USING (col), (SELECT COUNT(*) AS n FROM {t}) r")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _profile_all(s, d):
+    out = None
+    for t in parquet_tables(s, d):
+        p = column_profile(s.read.parquet(table_path(d, t)), t)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+register("column_profile_all_tables", _profile_all_sql())(_profile_all)
+
 ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double",
                "o_orderdate": "timestamp_ntz"}
 

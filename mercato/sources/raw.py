@@ -43,6 +43,13 @@ def read_raw_tables(spark: SparkSession, directory: str, expected: Iterable[str]
     return out
 
 
+def parquet_tables(spark: SparkSession, directory: str) -> list[str]:
+    """Names of the Parquet tables of a folder, each one file or a folder of files."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+             .load(directory).select(F.regexp_extract("path", r"^.*?/([^/]+)\.parquet(?:/|$)", 1).alias("table")))
+    return sorted(r["table"] for r in files.distinct().collect())
+
+
 def source_manifest(spark: SparkSession, directory: str, glob: str = "*.csv",
                     tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Per file: name, size, SHA-256 of the bytes, and rows/columns when
