@@ -10,9 +10,13 @@ Three things are left out of a page's text:
 * site templates: every element subtree that the first two rules leave is hashed
   (tags and text), Spark counts for each host on how many different pages it
   stands, and a subtree that recurs on at least MIN_PAGES pages and MIN_SHARE of
-  the host's pages is deleted.  Pages with the same html count once, so copies of
-  a page do not make its article a template; paragraphs and headings inside a
-  marked article are its text and never candidates.
+  the host's pages, on SECTION_PAGES and MIN_SHARE of a section's (first folder of
+  the path), or on MANY_PAGES whatever their share is deleted.  Pages with the same
+  html count once, so copies of a page do not make its article a template;
+* paragraphs, headings and the like inside a marked article, under a stricter rule:
+  one of the EDGE first or last, counted by its place there, that recurs in the same
+  place on SECTION_PAGES pages and MIN_SHARE of the host's or section's.  Passages
+  that articles share stand in changing places or on a smaller share, and stay.
 
 A fixed-size bit filter of the recurring (host, subtree) hashes is tested while a
 page is read.  Pages that hit it are joined with the exact list by host and
@@ -45,6 +49,9 @@ from mercato.llm.shared import BitFilter, written
 
 MIN_PAGES = 5
 MIN_SHARE = 0.3
+SECTION_PAGES = 20
+MANY_PAGES = 1000
+EDGE = 3
 FILTER_LOG_BITS = 24
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -155,9 +162,17 @@ def _implied(here: Node, tag: str) -> Node:
     return here
 
 
-def subtree_hashes(root: Node, marked: bool, host: str) -> dict[int, int]:
-    """id of each node that a template may be -> hash of host, tags and text."""
-    out: dict[int, int] = {}
+def _named(host: str, what: str, text: bool) -> int:
+    """A signed hash whose last bit tells text blocks of an article."""
+    whole = xxhash.xxh3_64_intdigest(host + "\0" + what) & ~1 | text
+    return whole - (1 << 64) if whole >= 1 << 63 else whole
+
+
+def subtree_hashes(root: Node, marked: bool, host: str) -> dict[int, tuple[int, ...]]:
+    """id of each node that a template may be -> hashes of host, tags, text and, for a
+    text block of an article, its place from either end."""
+    out: dict[int, tuple[int, ...]] = {}
+    texts: list[Node] = []
     done: dict[int, int] = {}
     order, stack = [], [root]
     while stack:
@@ -181,12 +196,21 @@ def subtree_hashes(root: Node, marked: bool, host: str) -> dict[int, int]:
         done[id(node)] = h.intdigest()
         if (node.tag in BLOCK and node.tag not in ("html", "body", "br") and node.tag not in ARTICLE
                 and (node.inside or not marked) and not (node.inside and node.tag in TEXT_BLOCKS)):
-            whole = xxhash.xxh3_64_intdigest(host + "\0" + str(done[id(node)]))
-            out[id(node)] = whole - (1 << 64) if whole >= 1 << 63 else whole
+            out[id(node)] = (_named(host, str(done[id(node)]), False),)
+    within: set[int] = set()
+    for node in order:
+        if node.inside and (id(node.parent) in within or node.tag in TEXT_BLOCKS):
+            if id(node.parent) not in within and id(node) in done:
+                texts.append(node)
+            within.add(id(node))
+    # ``order`` takes the last child first.
+    for places, side in ((texts[:EDGE], "end"), (texts[::-1][:EDGE], "start")):
+        for i, node in enumerate(places):
+            out[id(node)] = out.get(id(node), ()) + (_named(host, f"{done[id(node)]} {side} {i}", True),)
     return out
 
 
-def text_of(root: Node, marked: bool, gone: dict[int, int] | None = None, recurring: set[int] | None = None) -> str:
+def text_of(root: Node, marked: bool, gone: dict[int, tuple[int, ...]] | None = None, recurring: set[int] | None = None) -> str:
     """Blocks of the article, or of the page where none is marked."""
     blocks: list[str] = []
     line: list[str] = []
@@ -206,7 +230,7 @@ def text_of(root: Node, marked: bool, gone: dict[int, int] | None = None, recurr
         if leaving:
             close()
             continue
-        if node.gone or (gone and recurring and gone.get(id(node)) in recurring):
+        if node.gone or (gone and recurring and not recurring.isdisjoint(gone.get(id(node), ()))):
             if node.tag in BLOCK:
                 close()
             continue
@@ -228,39 +252,57 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
+def section_of(url: str | None) -> str:
+    """The first folder of the path, or "" """
+    m = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]+)/", url or "")
+    return m.group(1) if m else ""
+
+
+def _all_hashes(hashes: dict[int, tuple[int, ...]]) -> set[int]:
+    return {h for own in hashes.values() for h in own}
+
+
 def _rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     return pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.col(html_col).cast("string").alias("_html"))
 
 
 def page_subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, page, subtree): the distinct candidate hashes of every page, page being
+    """(host, section, page, subtree): the distinct candidate hashes of every page, page being
     the hash of its html; a page without candidates gives one row with a null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, names, trees = [], [], []
+            hosts, sections, names, trees = [], [], [], []
             for url, page in zip(b.column("_url").to_pylist(), b.column("_html").to_pylist(), strict=True):
                 page, host = page or "", host_of(url)
                 root, marked = parse(page)
                 name = xxhash.xxh3_64_intdigest(page)
                 name -= (1 << 64) * (name >= 1 << 63)
-                for t in set(subtree_hashes(root, marked, host).values()) or {None}:
+                for t in _all_hashes(subtree_hashes(root, marked, host)) or {None}:
                     hosts.append(host)
+                    sections.append(section_of(url))
                     names.append(name)
                     trees.append(t)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(trees, pa.int64())],
-                                             names=["host", "page", "subtree"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(sections, pa.string()), pa.array(names, pa.int64()),
+                                              pa.array(trees, pa.int64())], names=["host", "section", "page", "subtree"])
 
     rows = pages.select(F.col(url_col).cast("string").alias("_url"), F.col(html_col).cast("string").alias("_html"))
-    return rows.mapInArrow(run, "host string, page long, subtree long")
+    return rows.mapInArrow(run, "host string, section string, page long, subtree long")
+
+
+def recurring_subtrees(subtrees: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+                       section_pages: int = SECTION_PAGES, many_pages: int = MANY_PAGES) -> DataFrame:
+    """(subtree) hashes that recur on many different pages of their host or section."""
+    text = F.col("subtree").bitwiseAND(1) == 1
 
+    def counted(by: list[str], least: int) -> DataFrame:
+        distinct = subtrees.select(*by, "page", "subtree").distinct()
+        pages = subtrees.select(*by, "page").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("pages"))
+        counts = distinct.filter("subtree IS NOT NULL").groupBy(*by, "subtree").agg(F.count(F.lit(1)).alias("n"))
+        return (counts.filter(F.col("n") >= F.when(text, max(least, section_pages)).otherwise(least)).join(pages, by)
+                .filter((F.col("n") >= F.lit(min_share) * F.col("pages")) | (~text & (F.col("n") >= many_pages))).select("subtree"))
 
-def recurring_subtrees(subtrees: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(subtree) hashes that recur on many different pages of their host."""
-    distinct = subtrees.distinct()
-    of_host = distinct.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = distinct.filter("subtree IS NOT NULL").groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    return counts.join(of_host, "host").filter(F.col("n") >= F.lit(min_share) * F.col("pages")).select("subtree").distinct()
+    return counted(["host"], min_pages).unionByName(counted(["host", "section"], max(min_pages, section_pages))).distinct()
 
 
 def article_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -280,7 +322,7 @@ def article_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                 text, left, hits = [], [], []
                 for url, page in zip(b.column("_url").to_pylist(), b.column("_html").to_pylist(), strict=True):
                     root, marked = parse(page or "")
-                    own = np.array(sorted(set(subtree_hashes(root, marked, host_of(url)).values())), np.int64) if not bits.empty else []
+                    own = np.array(sorted(_all_hashes(subtree_hashes(root, marked, host_of(url)))), np.int64) if not bits.empty else []
                     hit = own[bits.may_hold(own)].tolist() if len(own) else []
                     text.append(None if hit else text_of(root, marked))
                     left.append(page if hit else None)

@@ -56,3 +56,22 @@ def test_long_and_empty(spark):
     got = {r["page_id"]: r["text"] for r in S.article_texts(pages_of(spark, [(1, "http://x/", long), (2, "http://x/", deep)])).collect()}
     assert got[1].count("\n") == 59_999 and got[2] == "deep"
     assert S.article_texts(pages_of(spark, [])).collect() == []
+
+
+def test_recurring_text_blocks_of_an_article_go(spark):
+    note = "<p>Get our <b>letter</b></p>"
+    rows = [(i, f"http://a.example/{i}", f"<main><h1>T {i}</h1>{'<p>shared words</p>' if i % 5 == 0 else ''}<p>own {i}</p>"
+                f"{''.join(f'<p>more {i} {k}</p>' for k in range(i % 4))}{note}</main>") for i in range(40)]
+    # A notice of one section, on a tenth of the host's pages.
+    rows += [(1000 + i, f"http://b.example/{'news' if i < 30 else 's%d' % (i % 50)}/{i}", f"<main><p>own {i}</p>{note if i < 30 else ''}</main>")
+             for i in range(300)]
+    got = {r["page_id"]: r["text"] for r in S.article_texts(pages_of(spark, rows)).collect()}
+    for i in range(40):
+        assert got[i] == "\n".join([f"T {i}", *["shared words"] * (i % 5 == 0), f"own {i}", *[f"more {i} {k}" for k in range(i % 4)]])
+    assert all(got[1000 + i] == f"own {i}" for i in range(300))
+
+
+def test_many_pages_suffice_on_a_large_host(spark):
+    trees = [("h", "", i, 10 if i < 1000 else 12 if i < 1999 else None) for i in range(12_000)] + [("h", "", i, 11) for i in range(1000)]
+    df = spark.createDataFrame(trees, "host string, section string, page long, subtree long")
+    assert [r["subtree"] for r in S.recurring_subtrees(df).collect()] == [10]
