@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.decontaminate import contaminated
+from mercato.llm.filter_audit import filter_audit
 from mercato.llm.jaccard_join import jaccard_classes
 from mercato.llm.license_scan import license_labels
 from mercato.llm.packing import pack
@@ -80,10 +81,14 @@ def op10_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_flow_resharding, op2_license_diagonals, op3_ngram_jaccard_join, op4_site_templates, op5_counterfactual_toxicity, op6_pii_crf, op7_pattern_packing, op8_suffix_repetition, op9_minhash_containment,
-        op10_warc_store)}
+        op10_warc_store, op11_filter_audit)}
 
 
 # Words of the oracles: ASCII letters folded, then the pattern of each contract.
@@ -134,6 +139,37 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM f
 """
 
+ORACLES["op11_filter_audit"] = """
+WITH l AS (SELECT doc_id, MAX(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, MAX(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+           FROM labels GROUP BY doc_id),
+w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS a,
+             MIN(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+f AS (SELECT w.part, coalesce(l.good, 0) AS good, coalesce(l.bad, 0) AS bad, [
+        len(a) < 200, 100 * len(list_distinct(a)) < 50 * len(a),
+        100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t),
+        regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > w.least, false)] AS fails
+      FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+m AS (SELECT part, fails, COUNT(*) AS n, SUM(good) AS good, SUM(bad) AS bad FROM f GROUP BY part, fails),
+x AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o.o, x.i AS step, o.o[x.i] AS asked, o.o[1:x.i - 1] AS before FROM o, x),
+r AS (SELECT m.part, s.o, s.step, s.asked, m.n, m.good, m.bad, m.fails[s.asked] AS failed,
+             len(list_filter(s.before, lambda k: m.fails[k])) > 0 AS gone, len(list_filter(m.fails, lambda y: y)) AS n_failed
+      FROM m, s),
+g AS (SELECT part, o, step, asked, SUM(CASE WHEN NOT gone AND NOT failed THEN n ELSE 0 END) AS kept,
+             SUM(CASE WHEN NOT gone AND failed THEN n ELSE 0 END) AS removed, SUM(CASE WHEN gone AND failed THEN n ELSE 0 END) AS redundant,
+             SUM(CASE WHEN failed AND n_failed = 1 THEN n ELSE 0 END) AS unique_fails,
+             SUM(CASE WHEN NOT gone AND failed THEN good ELSE 0 END) AS good_lost,
+             SUM(CASE WHEN NOT gone AND failed THEN bad ELSE 0 END) AS toxic_lost FROM r GROUP BY part, o, step, asked)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step,
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(SUM(removed) OVER (PARTITION BY part, asked) AS BIGINT) AS shapley
+FROM g
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
