@@ -12,6 +12,7 @@ from mercato.llm.decontaminate import contaminated
 from mercato.llm.filter_audit import filter_audit
 from mercato.llm.jaccard_join import jaccard_classes
 from mercato.llm.license_scan import license_labels
+from mercato.llm.merkle import ascii_lower, audit
 from mercato.llm.packing import pack
 from mercato.llm.pii_crf import pii_spans
 from mercato.llm.repetition import repetition_figures, verdicts
@@ -85,10 +86,17 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows, told by the CRC of their ids, come with their texts' A-Z lower-cased."""
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    text = F.when(tampered, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return audit(table(spark, sf_dir, "documents"), {"text": text}).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_flow_resharding, op2_license_diagonals, op3_ngram_jaccard_join, op4_site_templates, op5_counterfactual_toxicity, op6_pii_crf, op7_pattern_packing, op8_suffix_repetition, op9_minhash_containment,
-        op10_warc_store, op11_filter_audit)}
+        op10_warc_store, op11_filter_audit, op12_merkle_climb)}
 
 
 # Words of the oracles: ASCII letters folded, then the pattern of each contract.
@@ -170,6 +178,51 @@ SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)),
 FROM g
 """
 
+# CRC-32 bit by bit: a byte joins with xor, then eight shifts (-1 marks a shift).
+ORACLES["op12_merkle_climb"] = """
+WITH RECURSIVE b AS (
+  SELECT doc_id, lang, source, n_chars, text, flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i:
+           [CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS e FROM documents),
+c AS (SELECT *, 4294967295 - list_reduce(e, lambda r, y: CASE WHEN y >= 0 THEN xor(r, y) WHEN r % 2 = 1 THEN xor(r // 2, 3988292384)
+                                                              ELSE r // 2 END, CAST(4294967295 AS BIGINT)) AS crc FROM b),
+f AS (SELECT doc_id, lang, crc, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text
+      FROM c),
+v AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(text) || ':'
+                  || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed FROM f),
+p AS (SELECT doc_id, lang, leaf, coalesce(changed, leaf) AS present,
+             ROW_NUMBER() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM v),
+t AS (SELECT lang, 0 AS lev, list(leaf ORDER BY pos) AS l FROM p GROUP BY lang
+      UNION ALL
+      SELECT lang, lev + 1, list_transform(range(0, (len(l) + 7) // 8), lambda i: sha256(array_to_string(l[8 * i + 1:8 * i + 8], '')))
+      FROM t WHERE len(l) > 1),
+h AS (SELECT lang, MAX(lev) AS height, ROW_NUMBER() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM t GROUP BY lang),
+r AS (SELECT t.lang, h.tree, l[1] AS subroot FROM t JOIN h ON t.lang IS NOT DISTINCT FROM h.lang AND t.lev = h.height),
+u AS (SELECT 0 AS lev, list(subroot ORDER BY tree) AS l FROM r
+      UNION ALL
+      SELECT lev + 1, list_transform(range(0, (len(l) + 7) // 8), lambda i: sha256(array_to_string(l[8 * i + 1:8 * i + 8], '')))
+      FROM u WHERE len(l) > 1),
+a AS (SELECT p.doc_id, p.lang, p.pos AS row_at, h.height, h.tree, 0 AS lev, p.pos, p.present AS fold, '' AS path
+      FROM p JOIN h ON p.lang IS NOT DISTINCT FROM h.lang
+      UNION ALL
+      SELECT a.doc_id, a.lang, a.row_at, a.height, a.tree, a.lev + 1, a.pos // 8,
+             sha256(array_to_string(t.l[8 * (a.pos // 8) + 1:a.pos], '') || a.fold || array_to_string(t.l[a.pos + 2:8 * (a.pos // 8) + 8], '')),
+             a.path || array_to_string(t.l[8 * (a.pos // 8) + 1:a.pos], '') || array_to_string(t.l[a.pos + 2:8 * (a.pos // 8) + 8], '')
+      FROM a JOIN t ON t.lang IS NOT DISTINCT FROM a.lang AND t.lev = a.lev WHERE a.lev < a.height),
+z AS (SELECT doc_id, lang, row_at, 0 AS lev, tree AS pos, fold, path FROM a WHERE lev = height
+      UNION ALL
+      SELECT z.doc_id, z.lang, z.row_at, z.lev + 1, z.pos // 8,
+             sha256(array_to_string(u.l[8 * (z.pos // 8) + 1:z.pos], '') || z.fold || array_to_string(u.l[z.pos + 2:8 * (z.pos // 8) + 8], '')),
+             z.path || array_to_string(u.l[8 * (z.pos // 8) + 1:z.pos], '') || array_to_string(u.l[z.pos + 2:8 * (z.pos // 8) + 8], '')
+      FROM z JOIN u ON u.lev = z.lev WHERE len(u.l) > 1),
+e AS (SELECT MAX(lev) AS top FROM u),
+d AS (SELECT z.* FROM z JOIN e ON z.lev = e.top),
+q AS (SELECT u.l[1] AS root FROM u JOIN e ON u.lev = e.top)
+SELECT p.doc_id, p.leaf, r.subroot, q.root, sha256(d.path) AS proof_sha256, d.fold AS folded_root, d.fold = q.root AS verified
+FROM p JOIN d ON d.lang IS NOT DISTINCT FROM p.lang AND d.row_at = p.pos JOIN r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN q
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
