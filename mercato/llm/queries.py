@@ -12,6 +12,7 @@ from mercato.llm.decontaminate import contaminated
 from mercato.llm.filter_audit import filter_audit
 from mercato.llm.jaccard_join import jaccard_classes
 from mercato.llm.license_scan import license_labels
+from mercato.llm.line_runs import drop_frequent_lines
 from mercato.llm.merkle import ascii_lower, audit
 from mercato.llm.packing import pack
 from mercato.llm.pii_crf import pii_spans
@@ -93,10 +94,15 @@ def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), {"text": text}).withColumnRenamed("id", "doc_id")
 
 
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_frequent_lines(table(spark, sf_dir, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_flow_resharding, op2_license_diagonals, op3_ngram_jaccard_join, op4_site_templates, op5_counterfactual_toxicity, op6_pii_crf, op7_pattern_packing, op8_suffix_repetition, op9_minhash_containment,
-        op10_warc_store, op11_filter_audit, op12_merkle_climb)}
+        op10_warc_store, op11_filter_audit, op12_merkle_climb, op13_line_runs)}
 
 
 # Words of the oracles: ASCII letters folded, then the pattern of each contract.
@@ -223,6 +229,18 @@ SELECT p.doc_id, p.leaf, r.subroot, q.root, sha256(d.path) AS proof_sha256, d.fo
 FROM p JOIN d ON d.lang IS NOT DISTINCT FROM p.lang AND d.row_at = p.pos JOIN r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN q
 """
 
+ORACLES["op13_line_runs"] = """
+WITH d AS (SELECT doc_id, ROW_NUMBER() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+l AS (SELECT r, unnest(a) AS line, unnest(range(0, len(a))) AS i FROM d),
+k AS (SELECT r, i, line, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING COUNT(DISTINCT r) >= 10),
+g AS (SELECT r, COUNT(*) AS n, list(line ORDER BY i) FILTER (WHERE key NOT IN (SELECT key FROM f)) AS kept FROM k GROUP BY r)
+SELECT doc_id, CAST(len(a) AS BIGINT) AS n_lines, CAST(len(a) - coalesce(len(kept), 0) AS BIGINT) AS n_dropped,
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM d JOIN g ON g.r = d.r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
