@@ -137,7 +137,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             done = at + 1
         at = text.find("@", done)
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         d = _digits(m.group())
@@ -154,7 +154,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def shape(word: str) -> str:
     """Letters become a, A; digits keep their run length (up to 5) as d; others stay."""
     out, n = [], 0
-    for c in word[:64] + "\0":
+    for c in word + "\0":
         if "0" <= c <= "9":
             n += 1
             continue
@@ -179,7 +179,7 @@ def word_features(word: str) -> tuple[str, ...]:
     """Features of one word, trailing punctuation aside."""
     core = word.strip(",;:!?\"'")
     s = shape(core)
-    marks = "".join(sorted({c for c in core if not c.isalnum()}))[:6]
+    marks = "".join(sorted({c for c in core if not c.isalnum()}))
     mail = "@" in core[1:-1] or "(at)" in core or "[at]" in core
     dots = core.count(".")
     quad = bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}([:/][0-9]+)?", core))
@@ -194,7 +194,7 @@ def word_features(word: str) -> tuple[str, ...]:
 
 
 def sequence_features(words: list[str]) -> list[tuple[str, ...]]:
-    own = [word_features(w) for w in words]
+    own = [word_features(w) if len(w) <= 200 else word_features.__wrapped__(w) for w in words]     # no long words in the cache
     pad = ("edge",)
     out = []
     for i, f in enumerate(own):

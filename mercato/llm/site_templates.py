@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,10 +79,8 @@ _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td
 _LIMIT = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"),
           "option": ("select",)}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?"
-    r"|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_MARK = re.compile(r"<(?:(!--)|([!?])|(/)?([a-zA-Z][^\s/>]*+))")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
@@ -102,66 +101,118 @@ def _names_a_part(attrs: str) -> bool:
     return False
 
 
+class _Ends:
+    """Where the start tags of a page end: at the first ``>`` outside quotes, or, where the quotes do
+    not close, at the first ``>``.  Every place of the page is looked at a fixed number of times."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()      # stops from which no open ``>`` is reached
+
+    def after(self, at: int) -> int:
+        """The place of the ``>``, -1 if there is none."""
+        if at > self.last[">"]:
+            return -1
+        seen, place = [], at
+        while stop := _STOP.search(self.page, place):
+            where, mark = stop.start(), stop.group()
+            if where in self.dead:
+                break
+            if mark == ">":
+                return where
+            seen.append(where)
+            if where >= self.last[mark]:
+                break
+            place = self.page.find(mark, where + 1) + 1
+        self.dead.update(seen)
+        return self.page.find(">", at)
+
+
+class _Open:
+    """The elements that are open, with the depths of each tag, so that no close looks through them all."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at, self.blocks = [root], defaultdict(list), []
+
+    def add(self, node: Node) -> None:
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.at[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Closes the element at ``depth`` and all in it."""
+        while len(self.nodes) > depth:
+            self.at[self.nodes.pop().tag].pop()
+        while self.blocks and self.blocks[-1] >= depth:
+            self.blocks.pop()
+
+    def deepest(self, tags: tuple[str, ...]) -> int:
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=0)
+
+    def end_what(self, tag: str) -> None:
+        """Closes what the start of ``tag`` ends: an open paragraph, or the item before."""
+        if tag in ENDS_P and self.blocks and self.nodes[self.blocks[-1]].tag == "p":
+            self.cut(self.blocks[-1])
+        if tag in _SAME:
+            item = self.deepest(_SAME[tag])
+            if item > self.deepest(_LIMIT[tag]):
+                self.cut(item)
+
+
 def parse(page: str) -> tuple[Node, bool]:
     """The page's tree, and whether it marks an article."""
     root = Node("#", None, False, False)
     here, marked, pos, end = root, False, 0, len(page)
-    while pos < end:
-        m = _TOKEN.search(page, pos)
-        if m is None:
-            here.parts.append(page[pos:])
-            break
-        if m.start() > pos:
-            here.parts.append(page[pos:m.start()])
-        pos = m.end()
-        close, tag = m.group(1), m.group(2)
-        if close is not None:
-            close = close.lower()
-            node = here
-            while node is not None and node.tag != close:
-                node = node.parent
-            if node is not None and node.parent is not None:
-                here = node.parent
-            elif close == "br":
+    ends, opened = _Ends(page), _Open(root)
+
+    def text(upto: int) -> None:
+        if upto > pos:
+            here.parts.append(page[pos:upto])
+
+    look = 0
+    while m := _MARK.search(page, look):
+        comment, other, close, tag = m.groups()
+        if comment or other:
+            text(m.start())
+            stop = page.find("-->" if comment else ">", m.end())
+            pos = look = end if stop < 0 else stop + (3 if comment else 1)
+            continue
+        stop = page.find(">", m.end()) if close and m.end() <= ends.last[">"] else -1 if close else ends.after(m.end())
+        if stop < 0 and not close:
+            look = m.end()               # never closed: text
+            continue
+        text(m.start())
+        pos = look = end if stop < 0 else stop + 1
+        tag = tag.lower()
+        if close:
+            if opened.at[tag]:
+                opened.cut(opened.at[tag][-1])
+                here = opened.nodes[-1]
+            elif tag == "br":
                 here.parts.append(Node("br", here, here.gone, here.inside))
-        elif tag is not None:
-            tag, attrs = tag.lower(), m.group(3) or ""
-            if tag in ENDS_P or tag in _SAME:
-                here = _implied(here, tag)
-            gone = here.gone or tag in DROPPED or (tag == "header" and not here.inside) or (
-                "=" in attrs and tag not in ("html", "body") and tag not in ARTICLE and _names_a_part(attrs))
-            own = tag in ARTICLE and not gone
-            marked |= own
-            node = Node(tag, here, gone, here.inside or own)
-            here.parts.append(node)
-            if tag in RAW:
-                stop = _CLOSE[tag].search(page, pos)
-                node.parts.append(page[pos:stop.start() if stop else end])
-                pos = stop.end() if stop else end
-            elif tag not in VOID and not attrs.endswith("/"):
-                here = node
-            elif tag not in VOID and tag in BLOCK:
-                here = node          # a stray slash does not close these
+            continue
+        attrs = page[m.end():stop]
+        opened.end_what(tag)
+        here = opened.nodes[-1]
+        gone = here.gone or tag in DROPPED or (tag == "header" and not here.inside) or (
+            "=" in attrs and tag not in ("html", "body") and tag not in ARTICLE and _names_a_part(attrs))
+        own = tag in ARTICLE and not gone
+        marked |= own
+        node = Node(tag, here, gone, here.inside or own)
+        here.parts.append(node)
+        if tag in RAW:
+            raw = _CLOSE[tag].search(page, pos)
+            node.parts.append(page[pos:raw.start() if raw else end])
+            pos = look = raw.end() if raw else end
+        elif tag not in VOID and (not attrs.endswith("/") or tag in BLOCK):
+            opened.add(node)             # a stray slash does not close a block
+            here = node
+    text(end)
     return root, marked
 
 
-def _implied(here: Node, tag: str) -> Node:
-    """Closes what the start of ``tag`` ends: an open paragraph, or the item before."""
-    if tag in ENDS_P:
-        node = here
-        while node is not None and node.tag not in BLOCK:
-            node = node.parent
-        if node is not None and node.tag == "p" and node.parent is not None:
-            here = node.parent
-    if tag in _SAME:
-        node = here
-        while node is not None and node.tag not in _LIMIT[tag]:
-            if node.tag in _SAME[tag] and node.parent is not None:
-                return node.parent
-            node = node.parent
-    return here
-
-
 def _named(host: str, what: str, text: bool) -> int:
     """A signed hash whose last bit tells text blocks of an article."""
     whole = xxhash.xxh3_64_intdigest(host + "\0" + what) & ~1 | text

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from mercato.llm import site_templates as S
@@ -75,3 +77,19 @@ def test_many_pages_suffice_on_a_large_host(spark):
     trees = [("h", "", i, 10 if i < 1000 else 12 if i < 1999 else None) for i in range(12_000)] + [("h", "", i, 11) for i in range(1000)]
     df = spark.createDataFrame(trees, "host string, section string, page long, subtree long")
     assert [r["subtree"] for r in S.recurring_subtrees(df).collect()] == [10]
+
+
+@pytest.mark.parametrize("page", ["<a" * 50_000, "<a " * 50_000, "<" + "a" * 100_000, '<b ">" ' * 20_000, '<a "' * 30_000, "</x" * 40_000,
+                                  "<div>" * 20_000 + "</x>" * 20_000, "<li><ul>" + "<b>" * 20_000 + "<li></li>" * 10_000,
+                                  "<!--" * 30_000, '<p class="' * 10_000, "<a '>\">" * 15_000])
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    root, marked = S.parse(page)
+    S.subtree_hashes(root, marked, "h")
+    S.text_of(root, marked)
+    assert time.process_time() - start < 2
+
+
+def test_unclosed_quotes_end_at_the_first_bracket():
+    assert read('a < b <a href="x>link</a> end') == "a < b link end"
+    assert read("<p class='a>one</p><p>two") == "one\ntwo"

@@ -76,3 +76,16 @@ def test_rows(docs_of, odd_rows, model):
     assert by_id[71]["spans"] == "ip:3:10,ip:14:21" and by_id[71]["_masked"] == "ip <ip>, é <ip>"
     assert by_id[1]["_masked"] is None and by_id[2]["spans"] == ""
     assert P.pii_spans(docs_of([]), model=model).collect() == []
+
+
+@pytest.mark.parametrize("text", ["1." + "0" * 5000 + ".2.3", "0" * 5000 + "1.2.3.4", "1.2.3." + "9" * 5000])
+def test_long_parts_of_an_address(text, model):
+    good = all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in text.split("."))
+    assert [s for s in P.base_spans(text) if s[0] == "ip"] == ([("ip", 0, len(text))] if good else [])
+
+
+def test_features_see_whole_words():
+    long = "a1" * 200
+    assert P.shape(long) == "ad1" * 200
+    assert P.word_features(long + "@b") != P.word_features(long)
+    assert P.shape("x" * 70 + "9") == "ad1"
