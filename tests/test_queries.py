@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from mercato.plans import registry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -46,8 +47,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = registry.queries(), registry.oracle_sql()
     assert set(q) - set(o) == {"hypothesis_register"}
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", SAMPLE)
