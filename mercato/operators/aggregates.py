@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.operators.quantiles import exact_quantiles
+
 
 def item_totals(items: DataFrame, key: str = "order_id") -> DataFrame:
     """Rows, distinct sellers, sum of price and of freight per order."""
@@ -45,12 +47,17 @@ def geo_median(geo: DataFrame, key: str = "geolocation_zip_code_prefix",
                bbox: tuple[float, float, float, float] = (-34.0, 6.0, -74.0, -34.0),
                exact: bool = True) -> DataFrame:
     """Median latitude and longitude per postal prefix over plausible
-    points only (inside the country box).  ``exact=False`` uses the bounded-
-    memory ``percentile_approx`` for very large prefixes."""
+    points only (inside the country box).  A prefix may hold any number of
+    points; ``exact=False`` uses ``percentile_approx``."""
     lat_lo, lat_hi, lng_lo, lng_hi = bbox
     ok = F.col(lat).between(lat_lo, lat_hi) & F.col(lng).between(lng_lo, lng_hi)
-    med = (lambda c: F.median(c)) if exact else (lambda c: F.percentile_approx(c, 0.5, 10000))
-    return geo.filter(ok).groupBy(key).agg(med(lat).alias(lat), med(lng).alias(lng))
+    if not exact:
+        return geo.filter(ok).groupBy(key).agg(*[F.percentile_approx(c, 0.5, 10000).alias(c) for c in (lat, lng)])
+    # Both coordinates take one pass: (prefix, which, value).
+    both = F.array(F.struct(F.lit(0).alias("_axis"), F.col(lat).cast("double").alias("_x")),
+                   F.struct(F.lit(1).alias("_axis"), F.col(lng).cast("double").alias("_x")))
+    medians = exact_quantiles(geo.filter(ok).select(key, F.inline(both)), [key, "_axis"], "_x", {"_median": 0.5})
+    return medians.groupBy(key).agg(*[F.max(F.when(F.col("_axis") == a, F.col("_median"))).alias(c) for a, c in enumerate((lat, lng))])
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -72,19 +79,15 @@ def money(c: Column) -> Column:
 def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles and 1.5 IQR whiskers per group, outliers dropped.
 
-    Quartiles come from one ``percentile`` pass; whiskers are the extreme
-    observed values inside the fences, found by a second grouped pass."""
-    q = df.groupBy(group).agg(
-        F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(value).alias("n"))
-    q = q.select(group, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
-    fenced = (df.join(q, group)
-              .withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
-              .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-              .filter(F.col(value).between(F.col("_lo"), F.col("_hi")))
-              .groupBy(group).agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high")))
-    return q.join(fenced, group, "left")
+    Quartiles come from a distributed selection; whiskers are the extreme
+    observed values inside the fences, found among the distinct values."""
+    q = exact_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    spread = F.col("q3") - F.col("q1")
+    fences = q.select(F.col(group).alias("_g"), (F.col("q1") - 1.5 * spread).alias("_lo"), (F.col("q3") + 1.5 * spread).alias("_hi"))
+    seen = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    fenced = (seen.join(fences, seen[group].eqNullSafe(fences["_g"])).filter(F.col(value).between(F.col("_lo"), F.col("_hi")))
+              .groupBy("_g").agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high")))
+    return q.join(fenced, q[group].eqNullSafe(fenced["_g"]), "left").drop("_g")
 
 
 def score_distribution(df: DataFrame, score: str = "review_score") -> DataFrame:

@@ -1,28 +1,17 @@
-"""Distributed ranks and prefix sums.
-
-A window with ORDER BY and no PARTITION BY moves every row into one task.
-Here the rows are range-partitioned on the sort key instead, each partition
-is sorted, and the position inside the partition comes from
-``monotonically_increasing_id`` (partition index in the high bits, row number
-in the low 33 bits).  Per-partition counts or sums form a table with one row
-per partition (bounded by the partition count, so it is broadcast), whose
-running total gives every partition its offset.
-
-The partitioned frame is checkpointed to the shared ``spark.checkpoint.dir``
-so the counts and the rows see the same partitioning even if a task is
-retried or an executor is lost.
+"""Distributed ranks and prefix sums.
+
+Rows are dealt into buckets that follow the order (``operators/ordering.py``);
+a window inside each bucket ranks or sums its rows, and a table of one row per
+bucket gives the totals of all buckets before it.  Everything is
+one lazy plan: building it starts no job and writes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.session import checkpoint_dir
-
-_LOW_BITS = 33
+from mercato.operators.ordering import BUCKET, Order, in_buckets, in_cells, offsets, sort_columns
 
 
 def is_small(df: DataFrame, limit: int) -> bool:
@@ -31,118 +20,96 @@ def is_small(df: DataFrame, limit: int) -> bool:
     return limit > 0 and df.limit(limit + 1).count() <= limit
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """The input, evaluated once: range partitioning reads it twice (a sample for
-    the bounds, then the rows)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+def _inside(order: Order) -> Window:
+    return Window.partitionBy(BUCKET).orderBy(*sort_columns(order))
 
-def _sort_cols(order: Sequence) -> list[Column]:
-    cols = []
-    for o in order:
-        if isinstance(o, Column):
-            cols.append(o)
-        elif isinstance(o, tuple):
-            name, asc = o
-            cols.append(F.col(name).asc_nulls_first() if asc else F.col(name).desc_nulls_last())
-        else:
-            cols.append(F.col(o).asc_nulls_first())
-    return cols
 
+def _so_far(order: Order) -> Window:
+    return _inside(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-def _partitioned(df: DataFrame, order: Sequence, partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = _sort_cols(order)
-    checkpoint_dir(spark)
-    return (_kept(df).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_pos", F.monotonically_increasing_id()
-                        - F.shiftleft(F.col("_pid").cast("long"), _LOW_BITS))
-            .checkpoint(eager=True))
 
+def _numbered(rows: DataFrame, order: Order, out: str) -> DataFrame:
+    """Adds the row number to rows in buckets."""
+    counts = rows.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    first = offsets(counts, {"_offset": "_n"})
+    return (rows.withColumn(out, F.row_number().over(_inside(order))).join(first, BUCKET)
+            .withColumn(out, (F.col(out) + F.col("_offset")).cast("long")).drop("_offset"))
 
-def _offsets(part: DataFrame, value: Column, name: str) -> DataFrame:
-    per = part.groupBy("_pid").agg(value.alias("_part_total"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return per.withColumn(name, F.coalesce(F.sum("_part_total").over(w), F.lit(0))).drop("_part_total")
 
-
-def global_row_number(df: DataFrame, order: Sequence, out: str = "rank",
-                      partitions: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: Order, out: str = "rank", partitions: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) without a single-task window.
 
-    ``order`` items are column names (ascending, nulls first), ``(name, asc)``
-    tuples (descending puts nulls last) or Columns.  The order must be total
-    (end it with a unique key) for the numbering to be deterministic.  The
-    result is a bigint at every size."""
-    part = _partitioned(df, order, partitions)
-    off = _offsets(part, F.count(F.lit(1)), "_offset")
-    return (part.join(F.broadcast(off), "_pid")
-            .withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("long"))
-            .drop("_pid", "_pos", "_offset"))
+    ``order`` items are column names (ascending, nulls first) or ``(name, asc)``
+    tuples (descending puts nulls last).  The order must be total (end it with a
+    unique key) for the numbering to be deterministic.  The result is a bigint
+    at every size."""
+    return _numbered(in_buckets(df, order, partitions), order, out).drop(BUCKET)
 
 
-def running_sum(df: DataFrame, order: Sequence, value: str, out: str,
-                partitions: int | None = None) -> DataFrame:
+def running_sum(df: DataFrame, order: Order, value: str, out: str, partitions: int | None = None) -> DataFrame:
     """SUM(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed
     (W08)."""
     return running_sums(df, order, {out: value}, partitions)
 
 
-def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str],
-                 partitions: int | None = None) -> DataFrame:
-    """Several running sums over one sort in a single pass.  Inside a range
-    partition the sum is a window partitioned by that partition, so no task
-    holds more than one range; partition offsets come from a broadcast table
-    with one row per partition."""
-    part = _partitioned(df, order, partitions)
-    per = part.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
-    prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select("_pid", *[F.coalesce(F.sum(f"_t_{o}").over(prior), F.lit(0)).alias(f"_o_{o}")
-                               for o in sums])
-    w = (Window.partitionBy("_pid").orderBy("_pos")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    res = part.join(F.broadcast(off), "_pid")
-    for o, v in sums.items():
-        res = res.withColumn(o, F.col(f"_o_{o}") + F.sum(v).over(w))
-    return res.drop("_pid", "_pos", *[f"_o_{o}" for o in sums])
-
-
-def running_min(df: DataFrame, order: Sequence, value: str, out: str,
-                partitions: int | None = None) -> DataFrame:
-    """MIN(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed:
-    each range partition starts from the minimum of all earlier partitions
-    (a table with one row per partition)."""
-    part = _partitioned(df, order, partitions)
-    per = part.groupBy("_pid").agg(F.min(value).alias("_pmin"))
-    prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select("_pid", F.min("_pmin").over(prior).alias("_omin"))
-    w = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = F.min(value).over(w)
-    return (part.join(F.broadcast(off), "_pid")
-            .withColumn(out, F.when(F.col("_omin").isNull(), local).otherwise(F.least(F.col("_omin"), local)))
-            .drop("_pid", "_pos", "_omin"))
-
-
-def average_rank(df: DataFrame, value: str, out: str = "rank",
-                 partitions: int | None = None) -> DataFrame:
-    """Mid-rank of ``value`` with ties sharing the average rank (as
-    pandas ``rank()``).  Null values get a null rank and do not count.
+def running_sums(df: DataFrame, order: Order, sums: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """Several running sums over one order."""
+    return _running_sums(in_buckets(df, order, partitions), order, sums).drop(BUCKET)
 
-    Values are first counted per distinct value (map-side combined, so a hot
-    value costs one row), ranks are computed on the distinct values, and the
-    result is joined back on the value."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_sum(counts, [value], "_n", "_cum", partitions)
-    ranks = cum.select(value, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias(out))
-    return df.join(ranks, value, "left")
+
+def _running_sums(rows: DataFrame, order: Order, sums: dict[str, str]) -> DataFrame:
+    """Adds running sums to rows in buckets."""
+    totals = rows.groupBy(BUCKET).agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
+    before = offsets(totals, {f"_o_{o}": f"_t_{o}" for o in sums})
+    inside = rows.select("*", *[F.sum(v).over(_so_far(order)).alias(f"_s_{o}") for o, v in sums.items()])
+    kept = [F.col(c) for c in rows.columns if c not in sums]
+    return inside.join(before, BUCKET).select(*kept, *[(F.col(f"_o_{o}") + F.col(f"_s_{o}")).alias(o) for o in sums])
+
+
+def _running_min(rows: DataFrame, order: Order, value: str, out: str, last: bool) -> DataFrame:
+    """Adds the minimum of ``value`` up to each of the rows in buckets, or from it on with ``last``."""
+    least = rows.groupBy(BUCKET).agg(F.min(value).alias("_least"))
+    beyond = offsets(least, {"_beyond": "_least"}, combine=F.min, start=None, last=last)
+    frame = (_inside(order).rowsBetween(Window.currentRow, Window.unboundedFollowing) if last else _so_far(order))
+    return (rows.withColumn("_own", F.min(value).over(frame)).join(beyond, BUCKET)
+            .withColumn(out, F.least("_own", "_beyond")).drop("_own", "_beyond"))
+
+
+def running_min(df: DataFrame, order: Order, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """MIN(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING), distributed."""
+    return _running_min(in_buckets(df, order, partitions), order, value, out, last=False).drop(BUCKET)
+
+
+def counted_values(df: DataFrame, value: str, out: str = "n") -> DataFrame:
+    """Distinct values with their counts, map-side combined, so a hot value is one row a task.  The filter on the count is always
+    true; it makes every reader of the table ask for the same columns, so that they share its shuffle."""
+    return df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 0)
 
 
 def rank_table(df: DataFrame, value: str, out: str = "rank", partitions: int | None = None) -> DataFrame:
     """Distinct values of ``value`` with their mid-rank and count (the small
     side of W09 before it is joined back)."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    cum = running_sum(counts, [value], "n", "_cum", partitions)
+    cum = _running_sums(in_cells(counted_values(df, value), value, partitions), [value], {"_cum": "n"})
     return cum.select(value, "n", (F.col("_cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias(out))
+
+
+def average_rank(df: DataFrame, value: str, out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Mid-rank of ``value`` with ties sharing the average rank (as
+    pandas ``rank()``).  Null values get a null rank and do not count.
+
+    Values are first counted per distinct value (map-side combined, so a hot
+    value costs one row), ranks are computed on the distinct values, and the
+    result is joined back on the value."""
+    return df.join(rank_table(df, value, out, partitions).select(value, out), value, "left")
+
+
+def step_up(df: DataFrame, value: str, expression, out: str, partitions: int | None = None) -> DataFrame:
+    """W10 over the distinct values of ``value``: (value, out), ``out`` being the minimum of ``expression(value, rank, total)`` from
+    each value to the largest one.  ``rank`` is the number of rows up to the value, ties included, ``total`` that of all rows."""
+    rows = in_cells(counted_values(df, value, "_n"), value, partitions)
+    counts = rows.groupBy(BUCKET).agg(F.sum("_n").alias("_m"))
+    before = offsets(counts, {"_before": "_m"})
+    every = counts.agg(F.sum("_m").alias("_all"))
+    ranked = (rows.withColumn("_to", F.sum("_n").over(_so_far([value]))).join(before, BUCKET).crossJoin(F.broadcast(every))      # one row
+              .select(value, BUCKET, expression(F.col(value), F.col("_to") + F.col("_before"), F.col("_all")).alias("_step")))
+    return _running_min(ranked, [value], "_step", out, last=True).select(value, out)

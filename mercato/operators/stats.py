@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 from pyspark.sql import functions as F
 
 from mercato.functions import stat_tails as T
-from mercato.operators.ranks import global_row_number, rank_table, running_min
+from mercato.operators.ranks import rank_table, step_up
 
 
 @F.pandas_udf(DoubleType())
@@ -141,18 +141,14 @@ def kruskal_test(df: DataFrame, group: str, metric: str, top_k: int | None = Non
     return s.withColumn("p_value", chi2_pvalue(F.col("h"), (F.col("k") - 1).cast("double")))
 
 
-def benjamini_hochberg(df: DataFrame, p: str = "p_value", out: str = "q_bh", order: str = "id") -> DataFrame:
+def benjamini_hochberg(df: DataFrame, p: str = "p_value", out: str = "q_bh") -> DataFrame:
     """H-BH: step-up adjusted q, clipped to [0, 1].  Null p stays null and
-    does not count in m.  Ranks and the reverse running minimum use the
-    distributed rank operators, so a table of millions of p-values (one per
-    seller, say) never sits in one task."""
-    tested = df.filter(F.col(p).isNotNull()).select(order, p)
-    m = tested.agg(F.count(F.lit(1)).alias("_m"))
-    ranked = global_row_number(tested, [(p, True), (order, True)], "_i")
-    ranked = ranked.crossJoin(F.broadcast(m)).withColumn("_adj", F.col(p) * F.col("_m") / F.col("_i"))
-    q = running_min(ranked, [("_i", False)], "_adj", "_qmin")
-    q = q.withColumn(out, F.least(F.greatest(F.col("_qmin"), F.lit(0.0)), F.lit(1.0)))
-    return df.join(q.select(order, out), order, "left")
+    does not count in m.  Equal p have equal q, so the steps run over the
+    distinct p with the distributed rank operators; a table of millions of
+    p-values (one per seller, say) never sits in one task."""
+    steps = step_up(df, p, lambda x, rank, m: x * m / rank, "_q")
+    steps = steps.select(F.col(p).alias("_p"), F.least(F.greatest(F.col("_q"), F.lit(0.0)), F.lit(1.0)).alias(out))
+    return df.join(steps, df[p] == steps["_p"], "left").drop("_p")
 
 
 # Conclusions of the register.

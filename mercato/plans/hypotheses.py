@@ -235,7 +235,7 @@ def hypothesis_register(m: Model, hp: HypothesisParams = HypothesisParams()) ->
     reg = rows[0]
     for r in rows[1:]:
         reg = reg.unionByName(r)
-    reg = S.benjamini_hochberg(reg.coalesce(1), "p_value", "q_bh", "id")
+    reg = S.benjamini_hochberg(reg.coalesce(1), "p_value", "q_bh")
     return S.conclude(reg)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import columns as C
 from mercato.operators.aggregates import ratio
+from mercato.operators.quantiles import exact_quantiles
 from mercato.operators.ranks import global_row_number
 from mercato.operators.windows import dense_rank_top
 from mercato.plans.model import Model, StudyParams, build_customer_cohorts, rated_population
@@ -60,6 +61,15 @@ def _combined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
                        *[c for c in left.columns + right.columns if c not in keys])
 
 
+def _with_median(agg: DataFrame, df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """``agg``, one row per ``by``, with the median measure ``name``; null where a group has no value."""
+    x = df.select(*by, MEASURES[name].median_of().alias("_x"))
+    medians = exact_quantiles(x, by, "_x", {name: 0.5}, n="_n").drop("_n")
+    if not by:
+        return agg.crossJoin(medians)
+    return _combined(agg, medians, by)
+
+
 def bi_tables(m: Model, cohorts: DataFrame | None = None) -> dict[str, DataFrame]:
     """The seven curated BI tables."""
     f, fi = m.fact_orders, m.fact_items
@@ -96,6 +106,7 @@ class Measure:
     agg: Callable[[], Column] | None = None
     combine: Callable[[dict[str, Column]], Column] | None = None
     deps: Sequence[str] = ()
+    median_of: Callable[[], Column] | None = None   # exact median of this column
     post_rank: tuple[str, str] | None = None   # (dimension column, base measure) for dense-rank top 10
 
 
@@ -123,7 +134,7 @@ MEASURES: dict[str, Measure] = {m.name: m for m in [
     Measure("late_orders", "FactOrders", lambda: F.sum(F.when(_logistics(), F.col("is_late"))).cast("long")),  # M07
     Measure("late_rate", combine=lambda m: ratio(m["late_orders"], m["deliveries_assessable"]),
             deps=("late_orders", "deliveries_assessable")),                                            # M08
-    Measure("median_delivery_days", "FactOrders", lambda: F.median(F.when(_logistics(), F.col("delivery_days")))),  # M09
+    Measure("median_delivery_days", "FactOrders", median_of=lambda: F.when(_logistics(), F.col("delivery_days"))),  # M09
     Measure("mean_score", "FactOrders",
             lambda: ratio(F.sum(F.when(_logistics(), F.col("review_score"))),
                   F.count(F.when(_logistics(), F.col("review_score"))))),                              # M10
@@ -239,7 +250,7 @@ class SemanticModel:
             order.append(n)
         for n in names:
             visit(n)
-        base = [n for n in order if MEASURES[n].agg is not None]
+        base = [n for n in order if MEASURES[n].table is not None]
         keys = [c for _, c in ctx.group_by]
         per_table: list[DataFrame] = []
         for table in dict.fromkeys(MEASURES[n].table for n in base):
@@ -250,7 +261,12 @@ class SemanticModel:
             own = [(t, c) for t, c in ctx.group_by if t in reach]
             other = [(t, c) for t, c in ctx.group_by if t not in reach]
             df = self.with_columns(table, df, own)
-            agg = df.groupBy(*[c for _, c in own]).agg(*[MEASURES[n].agg().alias(n) for n in ms])
+            by = [c for _, c in own]
+            plain = [MEASURES[n].agg().alias(n) for n in ms if MEASURES[n].agg is not None]
+            agg = df.groupBy(*by).agg(*(plain or [F.count(F.lit(1)).alias("_rows")]))
+            for n in ms:
+                if MEASURES[n].median_of is not None:
+                    agg = _with_median(agg, df, by, n)
             for t, c in other:      # unrelated axis: same value on every member
                 members = self.filtered(t, ctx.filters).select(c).distinct()
                 agg = agg.crossJoin(members)

@@ -102,7 +102,7 @@ def _bh_rates(s, d):
     from mercato.plans.aggregates import sellers
     rates = sellers(light_model(s, d).fact_items).select(
         F.col("seller_id").alias("id"), F.col("late_rate").alias("p_value"))
-    out = S.benjamini_hochberg(rates, "p_value", "q_bh", "id")
+    out = S.benjamini_hochberg(rates, "p_value", "q_bh")
     return out.select("id", F.round("p_value", 9).alias("p_value"), F.round("q_bh", 9).alias("q_bh"))
 
 
