@@ -137,18 +137,92 @@ REFERENCE_CHECKS = [("order_items", "order_id", "orders", "order_id"),
                     ("order_items", "seller_id", "sellers", "seller_id")]
 
 
-def dq_report(t: dict[str, DataFrame], f: DataFrame, geo: DataFrame | None = None) -> DataFrame:
-    """Q-14: every check of the study as rows (check, value)."""
-    parts: list[tuple[str, DataFrame]] = []
+MULTI_CHILD = ("orders with several reviews", "order_reviews", "order_id", "orders")
+REPEATED = ("repeated review_id", "order_reviews", "review_id")
+AMOUNTS = {"order_items": ["price", "freight_value"], "order_payments": ["payment_value"]}
+PRESERVED = [("item value preserved", "order_items", "price", "item_value"), ("freight preserved", "order_items", "freight_value", "freight_value"),
+             ("payments preserved", "order_payments", "payment_value", "payment_total")]
+# What the study does about each check: stop, keep and report, or a rule.
+STOP, KEEP = "stop if not zero", "kept and reported"
+TREATMENTS = {"duplicate keys": STOP, "null keys": STOP, "missing references": STOP,
+              "orders with several reviews": "latest review by answer date, then creation, then review_id, then source order",
+              "repeated review_id": "review_id is not used as a key by itself",
+              "receipt before purchase": "no duration", "carrier before approval": "no duration", "receipt before carrier": "no duration",
+              "delivered without receipt date": "left out of delays", "review answered before receipt": "left out of satisfaction by delay",
+              "payment gap over 0.01": "gap kept as a column", "item value preserved": "stop if zero", "freight preserved": "stop if zero",
+              "payments preserved": "stop if zero", "coordinates outside the box": "left out of medians"}
+
+
+def treatment(check: Column) -> Column:
+    """The rule for a check, by its name or the name's part before ':'."""
+    rules = F.create_map(*[F.lit(x) for pair in TREATMENTS.items() for x in pair])
+    return F.coalesce(rules[check], rules[F.regexp_extract(check, "^([^:]*):", 1)], F.lit(KEEP))
+
+
+def _text_key(columns: Sequence[str]) -> Column:
+    """One text per key: its parts with their lengths, a null part told from an empty one."""
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.concat(*parts)
+
+
+def key_domains() -> dict[str, list[tuple[str, list[str]]]]:
+    """Domain -> (table, columns) that share its keys: a table's key with all references to it; other keys by themselves."""
+    out: dict[str, list[tuple[str, list[str]]]] = {}
     for table, key in KEY_CHECKS:
-        parts.append((f"duplicate keys: {table}", dq_duplicate_keys(t[table], key)))
-        parts.append((f"null keys: {table}", dq_null_keys(t[table], key)))
+        out[f"{table}.{','.join(key)}"] = [(table, key)]
     for child, col, parent, pk in REFERENCE_CHECKS:
-        parts.append((f"missing references: {child}.{col}", dq_orphans(t[child], col, t[parent], pk)))
-    parts.append(("orders with several reviews", dq_multi_child(t["order_reviews"], "order_id")))
-    parts.append(("repeated review_id", dq_duplicate_keys(t["order_reviews"], "review_id")))
+        out[f"{parent}.{pk}"].append((child, [col]))
+    _, table, key = REPEATED
+    out[f"{table}.{key}"] = [(table, [key])]
+    return out
+
+
+def integrity(t: dict[str, DataFrame]) -> DataFrame:
+    """All checks of keys and references as (check_name, value), and the totals of ``AMOUNTS`` as decimals, in one row per name.
+
+    Each table is read once: a row gives one short row (domain, key, table) for each key it holds, counted map-side.  One
+    grouping by (domain, key) then shows every table that knows the key: duplicates, nulls, missing parents and parents of
+    several children are sums over these groups."""
+    domains = key_domains()
+    names = list(dict.fromkeys(table for members in domains.values() for table, _ in members))
+    rows = None
+    for name in names:
+        held = [F.struct(F.lit(d).alias("domain"), _text_key(cols).alias("key"),
+                         F.greatest(*[F.col(c).isNull() for c in cols], F.lit(False)).alias("void"))
+                for d, members in domains.items() for table, cols in members if table == name]
+        amounts = AMOUNTS.get(name, [])
+        total = [F.struct(F.lit(f"sum:{name}.{c}").alias("domain"), F.lit("").alias("key"), F.lit(False).alias("void")) for c in amounts]
+        value = F.lit(None).cast("decimal(38,2)")
+        for c in amounts:
+            value = F.when(F.col("x.domain") == f"sum:{name}.{c}", F.col(c).cast("decimal(38,2)")).otherwise(value)
+        own = t[name].select(*amounts, F.explode(F.array(*held, *total)).alias("x")).select("x.*", F.lit(name).alias("table"), value.alias("value"))
+        own = own.groupBy("domain", "key", "void", "table").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
+        rows = own if rows is None else rows.unionByName(own)
+    counted = {name: F.sum(F.when(F.col("table") == name, F.col("n")).otherwise(0)).alias(f"n_{name}") for name in names}
+    groups = rows.groupBy("domain", "key").agg(*counted.values(), F.max("void").alias("void"), F.sum("value").cast("decimal(38,2)").alias("value"))
+    here = lambda d: F.col("domain") == d
+    sums: list[tuple[str, Column]] = []
+    for table, key in KEY_CHECKS:
+        d, n = f"{table}.{','.join(key)}", F.col(f"n_{table}")
+        sums.append((f"duplicate keys: {table}", F.when(here(d), F.greatest(n - 1, F.lit(0)))))
+        sums.append((f"null keys: {table}", F.when(here(d) & F.col("void"), n)))
+    for child, col, parent, pk in REFERENCE_CHECKS:
+        missing = here(f"{parent}.{pk}") & (F.col("void") | (F.col(f"n_{parent}") == 0))
+        sums.append((f"missing references: {child}.{col}", F.when(missing, F.col(f"n_{child}"))))
+    name, child, key, parent = MULTI_CHILD
+    sums.append((name, F.when(here(f"{parent}.{key}") & (F.col(f"n_{child}") > 1), 1)))
+    name, table, key = REPEATED
+    sums.append((name, F.when(here(f"{table}.{key}"), F.greatest(F.col(f"n_{table}") - 1, F.lit(0)))))
+    totals = [f"sum:{table}.{c}" for table, cols in AMOUNTS.items() for c in cols]
+    wide = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"_c{i}") for i, (_, c) in enumerate(sums)],
+                      *[F.sum(F.when(here(d), F.col("value"))).cast("decimal(38,2)").alias(f"_t{i}") for i, d in enumerate(totals)])
+    stacked = [f"'{n}', _c{i}, cast(null as decimal(38,2))" for i, (n, _) in enumerate(sums)] + [f"'{d}', cast(null as bigint), _t{i}" for i, d in enumerate(totals)]
+    return wide.selectExpr(f"stack({len(stacked)}, {', '.join(stacked)}) AS (check_name, value, total)")
+
+
+def _fact_checks() -> list[tuple[str, Column]]:
     delivered = F.col("order_status") == "delivered"
-    order_checks = [
+    return [
         ("orders without items", F.col("item_count").isNull()),
         ("orders without payment", F.col("payment_total").isNull()),
         ("orders without review", F.col("review_score").isNull()),
@@ -159,20 +233,29 @@ def dq_report(t: dict[str, DataFrame], f: DataFrame, geo: DataFrame | None = Non
         ("review answered before receipt", F.col("review_answer_timestamp") < F.col("order_delivered_customer_date")),
         ("payment gap over 0.01", F.abs(F.col("payment_gap")) > F.lit(0.010001)),
     ]
-    parts.append(("", count_many(f, order_checks)))
-    parts += [
-        ("item value preserved", dq_total_preserved(t["order_items"], "price", f, "item_value")),
-        ("freight preserved", dq_total_preserved(t["order_items"], "freight_value", f, "freight_value")),
-        ("payments preserved", dq_total_preserved(t["order_payments"], "payment_value", f, "payment_total")),
-    ]
+
+
+def dq_report(t: dict[str, DataFrame], f: DataFrame, geo: DataFrame | None = None, treatments: bool = False) -> DataFrame:
+    """Q-14: every check of the study as rows (check_name, value), with ``treatments`` also what is done about it.
+
+    Three passes: all tables for keys, references and totals (``integrity``), the order fact for its checks and totals,
+    and the places."""
+    checks = _fact_checks()
+    facts = f.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(f"_c{i}") for i, (_, c) in enumerate(checks)],
+                  *[F.sum(col).cast("decimal(38,2)").alias(f"_t{i}") for i, (_, _, _, col) in enumerate(PRESERVED)])
+    stacked = [f"'{n}', _c{i}, cast(null as decimal(38,2))" for i, (n, _) in enumerate(checks)]
+    stacked += [f"'sum:{table}.{col}', cast(null as bigint), _t{i}" for i, (_, table, col, _) in enumerate(PRESERVED)]
+    seen = facts.selectExpr(f"stack({len(stacked)}, {', '.join(stacked)}) AS (check_name, value, total)")
+    both = integrity(t).unionByName(seen)
+    counts = both.filter("value IS NOT NULL").select("check_name", "value")
+    # A total comes twice, from its table and from the fact; equal and both null count as preserved.
+    labels = F.create_map(*[F.lit(x) for n, table, col, _ in PRESERVED for x in (f"sum:{table}.{col}", n)])
+    kept = (both.filter(F.col("check_name").startswith("sum:")).groupBy("check_name")
+            .agg(F.min("total").alias("a"), F.max("total").alias("b"), F.count("total").alias("n"))
+            .select(labels[F.col("check_name")].alias("check_name"),
+                    F.when((F.col("n") == 0) | ((F.col("n") == 2) & (F.col("a") == F.col("b"))), 1).otherwise(0).cast("long").alias("value")))
+    out = counts.unionByName(kept)
     if geo is not None:
         ok = F.col("geolocation_lat").between(-34, 6) & F.col("geolocation_lng").between(-74, -34)
-        parts.append(("coordinates outside the box", count_where(geo, ~ok)))
-    out = None
-    for name, frame in parts:
-        if name:
-            row = frame.select(F.lit(name).alias("check_name"), F.col("value").cast("long").alias("value"))
-        else:
-            row = frame
-        out = row if out is None else out.unionByName(row)
-    return out
+        out = out.unionByName(count_where(geo, ~ok).select(F.lit("coordinates outside the box").alias("check_name"), "value"))
+    return out.withColumn("treatment", treatment(F.col("check_name"))) if treatments else out

@@ -60,6 +60,19 @@ def _dq_report(s, d):
 
 register("dq_report", _dq_report_sql())(_dq_report)
 
+
+def _treated(s, d):
+    t = tables(s, d)
+    return Qy.dq_report(t, fact_base(s, d), t["geolocation"], treatments=True)
+
+
+def _treated_sql() -> str:
+    rules = " ".join(f"WHEN check_name = '{k}' OR check_name LIKE '{k}:%' THEN '{v}'" for k, v in Qy.TREATMENTS.items())
+    return f"SELECT check_name, value, CASE {rules} ELSE '{Qy.KEEP}' END AS treatment FROM ({_dq_report_sql()})"
+
+
+register("dq_report_treatments", _treated_sql())(_treated)
+
 register("reconcile_summary_vs_fact", sql("""
 SELECT COUNT(*) AS compared,
        COUNT(*) FILTER (WHERE a.item_count IS DISTINCT FROM b.item_count OR a.seller_count IS DISTINCT FROM b.seller_count

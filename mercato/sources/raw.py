@@ -10,19 +10,33 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# File-name parts the study strips to get table names.
-NAME_STRIP = ("olist_", "_dataset")
+from mercato.sources.records import Delimited, read_records
 
 
-def table_name(filename: str, strip: Iterable[str] = NAME_STRIP) -> str:
+def table_name(filename: str, strip: Iterable[str] = ()) -> str:
+    """The file's name without its ending and the parts ``strip``."""
     stem = os.path.splitext(os.path.basename(filename))[0]
     for part in strip:
         stem = stem.replace(part, "")
     return stem
 
 
+def delimited_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A CSV file or folder with header records as all-string columns, empty cells null; a large file is read by all tasks,
+    whatever line ends its quoted fields hold.  A row with more cells than the header raises."""
+    records = read_records(spark, path, Delimited(sep))
+    head = records.rows(records.first_blocks()).filter("number = 0").select("cells").distinct().limit(2).collect()
+    if len(head) > 1:
+        raise ValueError(f"the files of {path} have different headers")
+    names = head[0]["cells"] if head else []
+    fits = F.when(F.size("cells") <= len(names), F.lit(True)).otherwise(
+        F.raise_error(F.lit("a row has more values than the header")).cast("boolean"))
+    rows = records.rows().filter("number > 0").filter(fits)
+    return rows.select(*[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
+
+
 def read_raw_tables(spark: SparkSession, directory: str, expected: Iterable[str] | None = None,
-                    fmt: str = "csv", strip: Iterable[str] = NAME_STRIP) -> dict[str, DataFrame]:
+                    fmt: str = "csv", strip: Iterable[str] = ()) -> dict[str, DataFrame]:
     """Every file of a folder as an all-string DataFrame, keyed by the
     cleaned table name.  CSV is read with header, quoted multi-line fields and
     doubled quotes, without type inference.  ``expected`` asserts the set."""
@@ -31,7 +45,7 @@ def read_raw_tables(spark: SparkSession, directory: str, expected: Iterable[str]
     out = {}
     for path in sorted(r["path"] for r in found):
         if fmt == "csv":
-            df = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
+            df = delimited_table(spark, path)
         else:
             df = spark.read.format(fmt).load(path)
             df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
@@ -51,7 +65,7 @@ def parquet_tables(spark: SparkSession, directory: str) -> list[str]:
 
 
 def source_manifest(spark: SparkSession, directory: str, glob: str = "*.csv",
-                    tables: dict[str, DataFrame] | None = None) -> DataFrame:
+                    tables: dict[str, DataFrame] | None = None, strip: Iterable[str] = ()) -> DataFrame:
     """Per file: name, size, SHA-256 of the bytes, and rows/columns when
     the parsed table is given.  Hashing is per file (one task per file)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
@@ -64,29 +78,64 @@ def source_manifest(spark: SparkSession, directory: str, glob: str = "*.csv",
         row = df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table"), "rows", F.lit(len(df.columns)).alias("columns"))
         counts = row if counts is None else counts.unionByName(row)
-    strip = F.col("file")
-    for part in NAME_STRIP:
-        strip = F.replace(strip, F.lit(part), F.lit(""))
-    files = files.withColumn("table", F.regexp_replace(strip, r"\.[^.]+$", ""))
+    name = F.col("file")
+    for part in strip:
+        name = F.replace(name, F.lit(part), F.lit(""))
+    files = files.withColumn("table", F.regexp_replace(name, r"\.[^.]+$", ""))
     return files.join(counts, "table", "left")
 
 
+def _cells(df: DataFrame) -> DataFrame:
+    """(column, h1, h2): a 128-bit hash of every non-null value, and one row of column -1 per row of ``df``.
+
+    The values themselves, texts and vectors, stay where they are read."""
+    cells = [F.struct(F.lit(-1).alias("column"), F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"))]
+    for i, c in enumerate(df.columns):
+        value = F.col(f"`{c}`")
+        cells.append(F.when(value.isNotNull(), F.struct(F.lit(i).alias("column"), F.xxhash64(value).alias("h1"),
+                                                        F.xxhash64(F.lit(1), value).alias("h2"))))
+    return df.select(F.explode(F.array(*cells)).alias("x")).filter("x IS NOT NULL").select("x.*")
+
+
+def _profile_rows(counts: DataFrame, columns: list[str], table: str) -> DataFrame:
+    """Counts (column, present, distinct) to one row per column; a column without values has no count."""
+    names = counts.sparkSession.createDataFrame(list(enumerate(columns)), "column int, name string")
+    rows = counts.filter("column = -1").agg(F.coalesce(F.max("present"), F.lit(0)).alias("rows"))
+    out = names.join(counts, "column", "left").crossJoin(F.broadcast(rows))      # one row
+    missing = F.col("rows") - F.coalesce("present", F.lit(0))
+    return out.select(F.lit(table).alias("table"), F.col("name").alias("column"), "rows", missing.alias("missing"),
+                      F.try_divide(missing, F.col("rows")).alias("missing_rate"), F.coalesce("distinct", F.lit(0)).alias("unique_non_null"))
+
+
 def column_profile(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
     """Per column: rows, missing, missing rate, distinct non-null values.
 
-    One aggregation pass for all columns, then ``stack`` to one row per
-    column.  ``approx=True`` uses HyperLogLog (bounded memory per column)."""
-    distinct = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(df.columns):
-        aggs += [F.count(F.col(c)).alias(f"_n{i}"), distinct(F.col(c)).alias(f"_d{i}")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', _n{i}, _d{i}" for i, c in enumerate(df.columns))
-    long = wide.selectExpr("_rows", f"stack({len(df.columns)}, {stack}) AS (column, present, unique_non_null)")
-    return long.select(F.lit(table).alias("table"), "column", F.col("_rows").alias("rows"),
-                       (F.col("_rows") - F.col("present")).alias("missing"),
-                       ((F.col("_rows") - F.col("present")) / F.col("_rows")).alias("missing_rate"),
-                       F.col("unique_non_null").cast("long").alias("unique_non_null"))
+    One pass: (column, 128-bit hash) pairs are counted map-side, so only one short
+    row per distinct value is shuffled.  ``approx=True`` counts by sketches."""
+    if approx:
+        return profile_of_sketches(column_sketches(df), list(df.columns), table)
+    seen = _cells(df).groupBy("column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    counts = seen.groupBy("column").agg(F.sum("n").alias("present"), F.count(F.lit(1)).alias("distinct"))
+    return _profile_rows(counts, list(df.columns), table)
+
+
+def column_sketches(df: DataFrame, log_buckets: int = 14) -> DataFrame:
+    """(column, present, sketch): a profile to store and add to.  Sketches of more rows of the same table are united with
+    these by ``united_sketches``; a column is known by its place."""
+    return _cells(df).groupBy("column").agg(F.count(F.lit(1)).alias("present"), F.hll_sketch_agg("h1", F.lit(log_buckets)).alias("sketch"))
+
+
+def united_sketches(*sketches: DataFrame) -> DataFrame:
+    rows = sketches[0]
+    for more in sketches[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("column").agg(F.sum("present").alias("present"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def profile_of_sketches(sketches: DataFrame, columns: list[str], table: str) -> DataFrame:
+    """A03 from stored sketches: counts exact, distinct values estimated."""
+    counts = sketches.select("column", "present", F.hll_sketch_estimate("sketch").alias("distinct"))
+    return _profile_rows(counts, columns, table)
 
 
 def coerce_types(df: DataFrame, types: dict[str, str], policy: str = "raise",
@@ -102,12 +151,10 @@ def coerce_types(df: DataFrame, types: dict[str, str], policy: str = "raise",
     typed = df.select(*[conv.get(c, F.col(c)).alias(c) for c in df.columns])
     if policy == "raise":
         return typed, None
-    rejects = None
     keep = [F.col(row_id)] if row_id else []
-    for c, t in types.items():
-        bad = df.filter(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).select(
-            *keep, F.lit(c).alias("column"), F.col(c).alias("value"))
-        rejects = bad if rejects is None else rejects.unionByName(bad)
+    bad = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("value")))
+           for c, t in types.items()]
+    rejects = df.select(*keep, F.explode(F.array(*bad)).alias("_bad")).filter("_bad IS NOT NULL").select(*keep, "_bad.column", "_bad.value")
     return typed, rejects
 
 

@@ -6,17 +6,15 @@ Every reader returns an all-string DataFrame plus a source sequence column
 
 from __future__ import annotations
 
-import csv
 import unicodedata
 from collections.abc import Sequence
 from itertools import chain, count
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from mercato.operators.ranks import global_row_number
+from mercato.operators.ranks import global_row_number, running_sum
+from mercato.sources.records import Delimited, Paragraphs, read_records, read_utf16_records
 
 # Accepted delimiters and encodings, envelope keys, role candidates.
 DELIMITERS = [",", ";", "\t", "|"]
@@ -43,16 +41,6 @@ def header_names(raw: Sequence[str | None], header: bool = True) -> list[str]:
     return list(taken)
 
 
-# windows-1252 differs from ISO-8859-1 in the bytes 0x80 to 0x9F alone, so it is read
-# as ISO-8859-1 and those characters are translated; no session setting is needed.
-_UPPER = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
-_CP1252_FROM, _CP1252_TO = ("".join(x) for x in zip(*[p for p in _UPPER if p[1]], strict=True))
-
-
-def _cp1252(cell: Column) -> Column:
-    return F.translate(cell, _CP1252_FROM, _CP1252_TO)
-
-
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """Encoding 'auto', decided on every line: a UTF-16 byte-order mark or a NUL gives
     UTF-16; text that decodes as UTF-8 (a UTF-8 mark is dropped) stays UTF-8;
@@ -74,72 +62,62 @@ def _sniff_delimiter(spark: SparkSession, path: str, encoding: str) -> str:
     return seen["d"] if seen else ","
 
 
-_NULL_MARK = "\u0000<null>"
-
-
-def _surplus(width: int, delimiter: str):
-    """Whether a raw record has a non-blank cell after ``width`` cells.  Only records
-    that Spark flagged as too long or too short reach it."""
-    @F.pandas_udf("boolean")
-    def check(records: pd.Series) -> pd.Series:
-        def one(record):
-            cells = [] if record is None else [c for row in csv.reader([record], delimiter=delimiter) for c in row]
-            return any(c.strip() for c in cells[width:])
-        return records.map(one)
-    return check
+def numbered_rows(rows: DataFrame, files: DataFrame, row_id: str) -> DataFrame:
+    """Adds ``row_id``, from 1 by file name and number.  ``files``: file, records, heads (header records, left out)."""
+    own = files.withColumn("own", F.col("records") - F.col("heads"))
+    before = running_sum(own, ["file"], "own", "_to").select(F.col("file").alias("_f"), (F.col("_to") - F.col("own") - F.col("heads")).alias("_before"),
+                                                             F.col("heads").alias("_heads"))
+    return (rows.join(before, rows["file"] == before["_f"]).filter(F.col("number") >= F.col("_heads"))
+            .withColumn(row_id, F.col("number") + F.col("_before") + 1))
 
 
 def read_reviews_delimited(spark: SparkSession, path: str, delimiter: str = "auto", encoding: str = "utf-8-sig",
-                           header: bool = True, strict: bool = True, row_id: str = "row_id") -> DataFrame:
+                           header: bool | str = True, strict: bool = True, row_id: str = "row_id") -> DataFrame:
     """A05 + A06 + A07: delimited review files -> all-string DataFrame.
 
-    Quoted fields may hold delimiters and newlines, quotes are doubled.  The width
+    Quoted fields may hold delimiters and line ends, quotes are doubled.  The width
     is the first record's.  Every file has its own header record; files whose
-    headers differ raise.  Blank rows are dropped, short rows are padded with ''
+    headers differ raise.  ``header="first"``: only the first file by name has one
+    (a document written in parts).  Blank rows are dropped, short rows are padded with ''
     and a row with a non-blank cell beyond the width raises (``strict``) or is
     dropped.  ``row_id`` numbers the rows from 1 by file name and place; a column
     of that name in the files raises.
 
-    A file with quoted line breaks is parsed by one task, row by row."""
+    One large file is read by all tasks, whatever its quoted fields hold
+    (``sources/records.py``); UTF-16 files are read by one task each."""
     enc = detect_encoding(spark, path) if encoding == "auto" else ENCODINGS.get(encoding, encoding)
-    latin = enc == "windows-1252"
-    enc = "ISO-8859-1" if latin else enc
     if delimiter == "auto":
-        delimiter = _sniff_delimiter(spark, path, enc)
+        delimiter = _sniff_delimiter(spark, path, "UTF-16" if enc == "UTF-16" else "ISO-8859-1")
     if delimiter not in DELIMITERS:
         raise ValueError(f"unsupported delimiter: {delimiter!r}")
-    files = (spark.read.option("sep", delimiter).option("encoding", enc).option("multiLine", True)
-             .option("quote", '"').option("escape", '"').option("nullValue", _NULL_MARK).option("columnPruning", False))
-    width = len(files.option("header", False).csv(path).columns)
-    cells = [f"_c{i}" for i in range(width)]
-    wide = StructType([StructField(c, StringType()) for c in [*cells, "_over", "_corrupt"]])
-    files = files.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-    place = [F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at")]
-    decoded = _cp1252 if latin else (lambda c: c)
-    # One array column up to the end: a file may have very many columns.
-    raw = files.option("header", False).csv(path).select(F.array(*cells).alias("_cells"), "_over", "_corrupt", *place)
-    raw = raw.withColumn("_cells", F.transform("_cells", decoded))
-    first = raw.groupBy("_file").agg(F.min_by("_cells", "_at").alias("h"), F.min("_at").alias("_first"))
-    heads = first.select("h").distinct().limit(2).collect()
-    if header and len(heads) > 1:
+    if enc == "UTF-16":
+        rows = read_utf16_records(spark, path, delimiter)
+        first, files = rows.filter("number = 0"), rows.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
+    else:
+        records = read_records(spark, path, Delimited(delimiter, enc))
+        rows, first, files = records.rows(), records.rows(records.first_blocks()).filter("number = 0"), records.files.filter("records > 0")
+    by_file = first.orderBy("file").limit(1)
+    heads = first.select("cells").distinct().limit(2).collect() if header is True else by_file.select("cells").collect()
+    if len(heads) > 1:
         raise ValueError("the files have different headers")
-    names = header_names(heads[0]["h"] if heads else [], header)
+    names = header_names(heads[0]["cells"] if heads else [], bool(header))
     if row_id in names:
         raise ValueError(f"the files have a column {row_id!r}; choose another name for the row number")
-    if header:
-        raw = raw.join(F.broadcast(first.select("_file", "_first")), "_file").filter(F.col("_at") > F.col("_first"))   # one row a file
-    # One cell too many fills _over; of records that Spark flags as too long (or too
-    # short) the raw text is looked at, for an empty _over may hide later cells.
-    surplus = ((F.length(F.regexp_replace(F.coalesce("_over", F.lit("")), r"(?U)\s", "")) > 0)
-               | F.coalesce(_surplus(width, delimiter)(F.col("_corrupt")), F.lit(False)))
+    if header == "first":
+        top = by_file.select(F.col("file").alias("_top"), F.lit(1).alias("_heads"))
+    else:
+        top = files.select(F.col("file").alias("_top"), F.lit(int(header)).alias("_heads"))
+    files = files.join(top, files["file"] == top["_top"], "left").select("file", "records", F.coalesce("_heads", F.lit(0)).alias("heads"))
+    out = numbered_rows(rows, files, row_id)
+    blank = lambda c: F.length(F.regexp_replace(c, r"(?U)\s", "")) == 0
+    surplus = F.exists(F.slice("cells", len(names) + 1, F.greatest(F.size("cells"), F.lit(1))), lambda c: ~blank(c))
     if strict:
         fail = F.raise_error(F.lit("a row has more values than the header; check the delimiter")).cast("boolean")
-        raw = raw.filter(F.when(surplus, fail).otherwise(F.lit(True)))
+        out = out.filter(F.when(surplus, fail).otherwise(F.lit(True)))
     else:
-        raw = raw.filter(~surplus)
-    full = F.length(F.regexp_replace(F.concat_ws("", "_cells"), r"(?U)\s", "")) > 0
-    out = global_row_number(raw.filter(full).select("_file", "_at", "_cells"), ["_file", "_at"], row_id)
-    return out.select(*[F.coalesce(F.get("_cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)], row_id)
+        # The rows that go leave no gap in the numbers.
+        out = global_row_number(out.filter(~surplus).drop(row_id), ["file", "number"], row_id)
+    return out.select(*[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)], row_id)
 
 
 #: More keys than this are taken for a misread file.
@@ -194,10 +172,12 @@ def segment_text(df: DataFrame, text: str = "text", mode: str = "lines", key: st
     return cleaned.filter(F.col("texte") != "")
 
 
-def read_text(spark: SparkSession, path: str, mode: str = "lines") -> DataFrame:
-    """A09 for a file: whole text read once, then split."""
-    whole = spark.read.text(path, wholetext=True)
-    return segment_text(whole, "value", mode)
+def read_text(spark: SparkSession, path: str, mode: str = "lines", encoding: str = "utf-8") -> DataFrame:
+    """A09 for files of any size: their lines, or their blank-line separated paragraphs, as ``texte``.  Paragraphs
+    may cross the blocks that tasks read."""
+    if mode == "lines":
+        return segment_text(spark.read.text(path), "value", mode)
+    return read_records(spark, path, Paragraphs(encoding)).rows().select(F.get("cells", F.lit(0)).alias("texte"))
 
 
 def _norm(s: str) -> str:

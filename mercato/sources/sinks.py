@@ -62,9 +62,10 @@ def annotation_struct(rows: DataFrame, analysed: Column, imported: Column) -> Co
                     analysed.alias("avis_analyses"), imported.alias("avis_importes"))
 
 
-def export_cells(rows: DataFrame, source_columns: Sequence[str], imported: DataFrame | None = None) -> DataFrame:
+def export_cells(rows: DataFrame, source_columns: Sequence[str], imported: DataFrame | None = None,
+                 carried: Sequence[str] = ()) -> DataFrame:
     """B02 cells: source columns then the 11 annotation columns as text; lists
-    joined with ' | ', formulas neutralized, nulls as ''."""
+    joined with ' | ', formulas neutralized, nulls as ''.  ``carried`` columns go along, untouched, as _<name>."""
     n_rows = rows.agg(F.count(F.lit(1)).alias("_analysed"))
     n_imp = (imported if imported is not None else rows).agg(F.count(F.lit(1)).alias("_imported"))
     base = rows.crossJoin(F.broadcast(n_rows)).crossJoin(F.broadcast(n_imp))
@@ -78,18 +79,33 @@ def export_cells(rows: DataFrame, source_columns: Sequence[str], imported: DataF
         if isinstance(field.dataType, ArrayType):
             v = F.array_join(v, LIST_SEPARATOR)
         cells.append(v.cast("string").alias(name))
-    out = base.select(*cells)
-    return out.select(*[neutralize_formulas(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in out.columns])
+    kept = [F.col(c).alias(f"_{c}") for c in carried]
+    out = base.select(*cells, *kept)
+    shown = [c for c in out.columns if c not in {f"_{x}" for x in carried}]
+    return out.select(*[neutralize_formulas(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in shown], *[f"_{c}" for c in carried])
+
+
+def export_lines(cells: DataFrame, order: Sequence[str], path: str, sep: str = ";", mark: bool = True) -> str:
+    """Writes all-string ``cells`` as text files that make one document when joined by name: one header record, at the start
+    and after a UTF-8 byte-order mark; every field quoted, quotes doubled; records end with CR LF and follow ``order``, the
+    columns of which are not written."""
+    shown = [c for c in cells.columns if c not in order]
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    rows = cells.select(F.lit(1).alias("_part"), *order, F.concat_ws(sep, *[quoted(F.coalesce(F.col(f"`{c}`"), F.lit(""))) for c in shown]).alias("value"))
+    head = sep.join('"' + c.replace('"', '""') + '"' for c in shown)
+    first = cells.sparkSession.range(1).select(F.lit(0).alias("_part"), *[F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in order],
+                                               F.lit(("\ufeff" if mark else "") + head).alias("value"))
+    lines = first.unionByName(rows).repartitionByRange("_part", *order).sortWithinPartitions("_part", *order).select("value")
+    lines.write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    return path
 
 
 def export_reviews_csv(rows: DataFrame, source_columns: Sequence[str], path: str,
-                       imported: DataFrame | None = None) -> str:
-    """B02: ';' separated, every field quoted, quotes doubled, UTF-8, spaces kept."""
-    (export_cells(rows, source_columns, imported).write.mode("overwrite")
-     .option("header", True).option("sep", ";").option("quoteAll", True).option("quote", '"')
-     .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("lineSep", "\n").option("encoding", "UTF-8").csv(path))
-    return path
+                       imported: DataFrame | None = None, order: str = "row_id") -> str:
+    """B02: ';' separated, every field quoted, quotes doubled, UTF-8 with its mark, CR LF, one header, in the order of ``order``
+    (``export_lines``)."""
+    cells = export_cells(rows, source_columns, imported, carried=[order])
+    return export_lines(cells, [f"_{order}"], path)
 
 
 def export_reviews_json(rows: DataFrame, source_columns: Sequence[str], path: str,

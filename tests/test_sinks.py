@@ -24,8 +24,11 @@ def test_csv_and_json_export(spark, tmp_path):
     df = spark.createDataFrame([(1, "=1+1 super", "5"), (2, 'dit "bad"', "1")], "row_id int, texte string, note string")
     rows = analyze_reviews(df, "texte", None, "note")
     out = sinks.export_reviews_csv(rows, ["texte", "note"], str(tmp_path / "csv"))
-    text = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "csv").glob("part-*.csv")))
-    assert text.startswith('"texte";"note";"analyse_sentiment"')
+    data = b"".join(p.read_bytes() for p in sorted((tmp_path / "csv").glob("part-*.txt")))
+    assert data.startswith(b"\xef\xbb\xbf") and data.endswith(b"\r\n")
+    text = data.decode("utf-8-sig")
+    assert text.startswith('"texte";"note";"analyse_sentiment"') and text.count('"texte"') == 1
+    assert [line.split(";")[1] for line in text.split("\r\n")[:3]] == ['"note"', '"5"', '"1"']
     assert "\"'=1+1 super\"" in text and '"dit ""bad"""' in text
     sinks.export_reviews_json(rows, ["texte", "note"], str(tmp_path / "json"))
     objs = [json.loads(line) for p in (tmp_path / "json").glob("part-*.json") for line in p.read_text().splitlines()]

@@ -130,14 +130,14 @@ def test_guess_roles():
 
 
 def test_raw_tables_manifest_profile_and_typing(spark, tmp_path):
-    (tmp_path / "olist_orders_dataset.csv").write_text("order_id,price\n1,2.5\n2,\n3,x\n", encoding="utf-8")
-    (tmp_path / "olist_items_dataset.csv").write_text('order_id,note\n1,"a\nb"\n', encoding="utf-8")
-    t = raw.read_raw_tables(spark, str(tmp_path), expected=["orders", "items"])
+    (tmp_path / "shop_orders_dataset.csv").write_text("order_id,price\n1,2.5\n2,\n3,x\n", encoding="utf-8")
+    (tmp_path / "shop_items_dataset.csv").write_text('order_id,note\n1,"a\nb"\n', encoding="utf-8")
+    t = raw.read_raw_tables(spark, str(tmp_path), expected=["orders", "items"], strip=("shop_", "_dataset"))
     assert set(t) == {"orders", "items"}
     assert t["items"].first()["note"] == "a\nb"
-    man = {r["table"]: r for r in raw.source_manifest(spark, str(tmp_path), "*.csv", t).collect()}
+    man = {r["table"]: r for r in raw.source_manifest(spark, str(tmp_path), "*.csv", t, ("shop_", "_dataset")).collect()}
     import hashlib
-    assert man["orders"]["sha256"] == hashlib.sha256((tmp_path / "olist_orders_dataset.csv").read_bytes()).hexdigest()
+    assert man["orders"]["sha256"] == hashlib.sha256((tmp_path / "shop_orders_dataset.csv").read_bytes()).hexdigest()
     assert man["orders"]["rows"] == 3 and man["orders"]["columns"] == 2
     prof = {r["column"]: r for r in raw.column_profile(t["orders"], "orders").collect()}
     assert prof["price"]["missing"] == 1 and prof["price"]["unique_non_null"] == 2
