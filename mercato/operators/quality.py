@@ -88,9 +88,36 @@ def enforce(report: DataFrame, policy: str = "report", stop_checks: Sequence[str
     return report
 
 
-def reconcile(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str], tol: float = 0.0) -> DataFrame:
+#: Ranges of key hashes that two builds are compared by first.
+RANGES = 4096
+
+
+def range_digests(df: DataFrame, key: str, cols: Sequence[str], ranges: int = RANGES) -> DataFrame:
+    """(range, rows, s1, s2): per range of key hashes the row count and two sums of 64-bit row hashes, exact and free of any
+    order: at most ``ranges`` rows, to keep beside a build and compare later ones with."""
+    row = [F.col(key), *[F.col(c) for c in cols]]
+    s1, s2 = F.xxhash64(*row), F.xxhash64(F.lit(1), *row)
+    return (df.groupBy(F.pmod(F.xxhash64(key), F.lit(ranges)).alias("range"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(s1.cast("decimal(38,0)")).alias("s1"), F.sum(s2.cast("decimal(38,0)")).alias("s2")))
+
+
+def differing_ranges(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str], ranges: int = RANGES) -> DataFrame:
+    """The ranges in which two builds differ, from one aggregate a side."""
+    x = range_digests(a, key, cols, ranges).select("range", F.struct("rows", "s1", "s2").alias("x"))
+    y = range_digests(b, key, cols, ranges).select("range", F.struct("rows", "s1", "s2").alias("y"))
+    return x.join(y, "range", "full_outer").filter(~F.col("x").eqNullSafe(F.col("y"))).select("range")
+
+
+def reconcile(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str], tol: float = 0.0, ranges: int = RANGES) -> DataFrame:
     """Q-15: per-key comparison of two builds; null equals null; numeric
-    columns within ``tol``.  Returns the mismatching keys with a flag per column."""
+    columns within ``tol``.  Returns the mismatching keys with a flag per column.
+
+    Digests per range of key hashes come first; only rows of differing ranges
+    are joined, so equal builds move no rows.  Both sides need the same column types."""
+    apart = F.broadcast(differing_ranges(a, b, key, cols, ranges))      # ``ranges`` rows at most
+    kept = lambda df: (df.select(key, *cols).withColumn("range", F.pmod(F.xxhash64(key), F.lit(ranges)))
+                       .join(apart, "range", "left_semi").drop("range"))
+    a, b = kept(a), kept(b)
     j = a.select(key, *[F.col(c).alias(f"a_{c}") for c in cols]).join(
         b.select(key, *[F.col(c).alias(f"b_{c}") for c in cols]), key, "full_outer")
     flags = []

@@ -7,15 +7,16 @@ Spark combines map-side before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import columns as C
 from mercato.operators.aggregates import boxplot_stats, mean_exact, money
 from mercato.operators.quantiles import exact_quantiles
 from mercato.operators.ranks import running_sums
-from mercato.plans.model import (StudyParams, main_population, rated_population,
+from mercato.plans.model import (Model, StudyParams, dim_products, main_population, rated_of, rated_population,
                                  review_after_receipt, single_seller_population)
+from mercato.session import scratch_path
 
 
 def monthly(f: DataFrame) -> DataFrame:                                     # G05
@@ -99,6 +100,64 @@ def concentration_curve(fi: DataFrame) -> DataFrame:                        # G1
         .alias("cum_gmv_pct")))
 
 
+STUDY_TABLES = ("monthly", "states", "categories", "sellers", "review_delay", "review_sensitivity")
+
+
+def study_aggregates(m: Model) -> DataFrame:                               # P05
+    """G05 to G10 in one call: (name, key, orders, items, gmv, aov, late_n, late_rate, review_n, review_score,
+    bad_review_rate, delivery_days), the columns a table does not have null.
+
+    The delivered population is built once and written, narrow, to the shared folder.  An order then gives one row for
+    each table and key it counts in, an item likewise, first summed per order so that distinct orders are exact; one
+    grouping by (name, key), combined map-side, makes all six tables."""
+    d = main_population(m.fact_orders_base).select(
+        "order_id", "customer_unique_id", "order_purchase_timestamp", "order_delivered_customer_date", "review_answer_timestamp",
+        "purchase_month", "customer_state", "item_value", "is_late", "review_score", "bad_review", "delivery_days", "delay_days")
+    path = scratch_path(d.sparkSession, "study-population")
+    d.write.parquet(path)
+    d = d.sparkSession.read.schema(d.schema).parquet(path)
+    first = rated_of(d).groupBy("customer_unique_id").agg(F.min(F.struct("order_purchase_timestamp", "order_id")).alias("_f"))
+    first = first.select(F.col("_f.order_id").alias("_first"))
+    d = d.join(first, d["order_id"] == first["_first"], "left")
+    after = F.coalesce(F.col("review_answer_timestamp") >= F.col("order_delivered_customer_date"), F.lit(False))
+    judged = F.col("is_late").isNotNull() & F.col("review_score").isNotNull()
+    rated = F.col("_first").isNotNull()
+
+    def cell(name: str, key: Column, when: Column | None = None) -> Column:
+        c = F.struct(F.lit(name).alias("name"), key.cast("string").alias("key"))
+        return c if when is None else F.when(when, c)
+
+    def population(label: str) -> Column:
+        return F.concat(F.lit(label + "|"), F.col("is_late").cast("string"))
+
+    cells = [cell("monthly", F.col("purchase_month")), cell("states", F.col("customer_state")), cell("review_delay", C.delay_bucket(), rated)]
+    cells += [cell("review_sensitivity", population(label), judged & when)
+              for label, when in zip(SENSITIVITY_LABELS, (F.lit(True), after, rated))]
+    measures = ["is_late", "review_score", "bad_review", "delivery_days"]
+    orders = d.select(F.explode(F.array(*cells)).alias("x"), F.lit(0).cast("long").alias("items"), F.col("item_value").alias("gmv"), *measures)
+    orders = orders.filter("x IS NOT NULL").select("x.*", "items", "gmv", *measures)
+    items = (m.tables["order_items"].join(dim_products(m.tables).select("product_id", "category"), "product_id", "left")
+             .join(d.select("order_id", *measures), "order_id"))
+    both = F.array(cell("categories", F.col("category")), cell("sellers", F.col("seller_id")))
+    items = (items.select("order_id", "price", *measures, F.explode(both).alias("x"))
+             .groupBy("x.name", "x.key", "order_id").agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("gmv"),
+                                                         *[F.max(c).alias(c) for c in measures]).drop("order_id"))
+    rows = orders.unionByName(items)
+    has = lambda c, *names: F.when(F.col("name").isin(*names), c)
+    judged_tables = ("review_delay", "review_sensitivity")
+    return rows.groupBy("name", "key").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("items").alias("_items"), F.sum("gmv").alias("_gmv"), F.count("gmv").alias("_gmv_n"),
+        F.count("is_late").alias("_late_n"), mean_exact(F.col("is_late")).alias("_late"), F.count("review_score").alias("_review_n"),
+        mean_exact(F.col("review_score")).alias("_review"), mean_exact(F.col("bad_review")).alias("_bad"), F.avg("delivery_days").alias("_days")).select(
+        "name", "key", "orders", has(F.col("_items"), "categories", "sellers").alias("items"),
+        has(money(F.col("_gmv")), "monthly", "states", "categories", "sellers").alias("gmv"),
+        has(F.try_divide(money(F.col("_gmv")), F.col("_gmv_n").cast("double")), "monthly").alias("aov"),
+        has(F.col("_late_n"), "sellers").alias("late_n"), has(F.col("_late"), "monthly", "states", "sellers").alias("late_rate"),
+        has(F.col("_review_n"), "sellers").alias("review_n"),
+        has(F.col("_review"), "monthly", "states", "sellers", *judged_tables).alias("review_score"),
+        has(F.col("_bad"), *judged_tables).alias("bad_review_rate"), has(F.round("_days", 6), "states").alias("delivery_days"))
+
+
 def calendar_days(start: str, end: str, spark) -> DataFrame:
     """Days of [start, end) with their weekday (Mon = 0); one row per day."""
     return (spark.range(1).select(F.explode(F.sequence(

@@ -167,6 +167,12 @@ MEASURES: dict[str, Measure] = {m.name: m for m in [
             deps=("eligible_customers", "repeat_rate_90")),                                            # M27
 ]}
 
+
+def support_measure(name: str, rate: str, count: str, least: int) -> None:
+    """Adds a measure: ``rate`` where ``count`` is at least ``least``, as M14 and M27 with another support."""
+    MEASURES[name] = Measure(name, combine=lambda m: F.when(m[count] >= least, m[rate]), deps=(count, rate))
+
+
 # Items measures carry the logistics filter on FactOrders (it reaches FactItems).
 TABLE_FILTERS = {"FactItems": [("FactOrders", _logistics)]}
 

@@ -65,10 +65,10 @@ def build_fact_orders_base(t: dict[str, DataFrame], p: StudyParams) -> DataFrame
 
 def dim_products(t: dict[str, DataFrame]) -> DataFrame:
     """J03 + C14: products with their category (translation, else original,
-    else ``unknown``).  The translation table is a small dimension (one row
-    per category name)."""
+    else ``unknown``).  The translation table has one row per category name;
+    Spark broadcasts it where its size allows."""
     tr = t["product_category_name_translation"]
-    return (t["products"].join(F.broadcast(tr), "product_category_name", "left")
+    return (t["products"].join(tr, "product_category_name", "left")
             .withColumn("category", C.category()))
 
 
@@ -162,10 +162,12 @@ def first_per_customer(f: DataFrame, columns: list[str] | None = None) -> DataFr
 def rated_population(f: DataFrame) -> DataFrame:
     """Delivered in period, scored, lateness known, review after receipt,
     first such order per customer."""
-    r = (main_population(f)
-         .filter(F.col("review_score").isNotNull() & F.col("is_late").isNotNull())
-         .transform(review_after_receipt))
-    return first_per_customer(r)
+    return first_per_customer(rated_of(main_population(f)))
+
+
+def rated_of(d: DataFrame) -> DataFrame:
+    """The orders of the main population that the rated one picks from."""
+    return review_after_receipt(d.filter(F.col("review_score").isNotNull() & F.col("is_late").isNotNull()))
 
 
 def single_seller_population(f: DataFrame) -> DataFrame:

@@ -323,3 +323,56 @@ register("confusion_matrix", rsql("SELECT CASE quality WHEN 1 THEN 'Positif' ELS
     lambda s, d: X.confusion_matrix(
         analyzed(s, d).filter(F.col("quality").isNotNull())
         .withColumn("expected", F.when(F.col("quality") == 1, "Positif").otherwise("Négatif"))))
+
+
+# Every filter of the review list, alone and combined: rows and the sum of their numbers.
+_FILTERS = {
+    "theme": (X.ReviewFilter(theme=next(iter(LX.themes))), f"list_contains(string_split(themes, ' | '), '{next(iter(LX.themes))}')"),
+    "no theme": (X.ReviewFilter(theme=X.NO_THEME), "themes = ''"),
+    "duplicates": (X.ReviewFilter(duplicates=True), "duplicate"),
+    "uncertain": (X.ReviewFilter(uncertain=True), "uncertain"),
+    "corrected": (X.ReviewFilter(corrected=True), "corrected"),
+    "conflict": (X.ReviewFilter(conflict=True), "((rating = 1 AND sentiment = 'Positif') OR (rating = 5 AND sentiment = 'Négatif'))"),
+    "exact rating": (X.ReviewFilter(rating=5.0), "rating = 5"),
+    "rating range": (X.ReviewFilter(rating_min=1.0, rating_max=4.0), "rating BETWEEN 1 AND 4"),
+    "language and corrected": (X.ReviewFilter(language="en", corrected=True), "langue = 'en' AND corrected"),
+    "search and duplicates": (X.ReviewFilter(search="Ème", duplicates=True), "contains(nt, 'eme') AND duplicate"),
+}
+_CORRECTED_SQL = """
+fixed AS (SELECT a.* EXCLUDE (sentiment), coalesce(c.manual, a.sentiment) AS sentiment, c.manual IS NOT NULL AS corrected,
+                 CASE WHEN c.manual IS NOT NULL THEN false ELSE a.sentiment = 'Indéterminé' END AS uncertain
+          FROM annot a LEFT JOIN (SELECT row_id, CASE quality WHEN 1 THEN 'Positif' ELSE 'Négatif' END AS manual FROM annot
+                                  WHERE quality IS NOT NULL AND sentiment <> 'Sans texte' AND row_id % 3 = 0) c USING (row_id))"""
+
+
+def _corrected(s, d, duplicates):
+    rows = analyzed(s, d, duplicates).withColumnRenamed("langue", "language")
+    manual = rows.filter(F.col("quality").isNotNull() & (F.col("sentiment") != "Sans texte") & (F.col("row_id") % 3 == 0))
+    return X.apply_corrections(rows, manual.select("row_id", F.when(F.col("quality") == 1, "Positif").otherwise("Négatif").alias("sentiment")))
+
+
+def _all_filters(s, d):
+    """One pass: a row counts in each filter that it passes."""
+    met = F.array(*[F.when(F.coalesce(f.predicate(), F.lit(False)), F.lit(name)) for name, (f, _) in _FILTERS.items()])
+    hits = _corrected(s, d, True).select("row_id", F.explode(F.array_compact(met)).alias("filter"))
+    return hits.groupBy("filter").agg(F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("row_ids"))
+
+
+register("review_filters", rsql("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS filter, COUNT(*) AS n, CAST(SUM(row_id) AS BIGINT) AS row_ids FROM fixed WHERE {cond} HAVING COUNT(*) > 0"
+    for name, (_, cond) in _FILTERS.items()), _CORRECTED_SQL))(_all_filters)
+
+
+def _sort_modes(s, d):
+    rows = _corrected(s, d, False)
+    out = None
+    for mode in ("original", "long", "low", "high"):
+        part = X.page(rows, 2, 20, mode).select(F.lit(mode).alias("mode"), "row_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register("review_sort_modes", rsql("\nUNION ALL\n".join(
+    f"(SELECT '{mode}' AS mode, row_id FROM fixed ORDER BY {order} LIMIT 20 OFFSET 40)" for mode, order in (
+        ("original", "row_id"), ("long", "length(text) DESC, row_id"), ("low", "rating NULLS LAST, row_id"),
+        ("high", "rating DESC NULLS LAST, row_id"))), _CORRECTED_SQL))(_sort_modes)

@@ -8,7 +8,7 @@ from mercato.plans import aggregates as A
 from mercato.plans.model import (first_order_population, rated_population,
                                  single_seller_population)
 from mercato.plans.oracle_sql import q as sql
-from mercato.plans.registry import cohorts, fact_base, full_model, light_model, params, register
+from mercato.plans.registry import REGISTRY, cohorts, fact_base, full_model, light_model, params, register
 
 FIRST_YEAR = int(params().period_start[:4])
 
@@ -222,3 +222,19 @@ SELECT order_id, customer_unique_id, payment_type, CAST(gross_value AS DOUBLE) A
   FROM main_pop) WHERE r = 1
 """))(lambda s, d: first_order_population(fact_base(s, d)).select(
     "order_id", "customer_unique_id", "payment_type", F.col("gross_value").cast("double").alias("gross_value")))
+
+
+def _lattice_sql() -> str:
+    """The six tables by their own statements, side by side."""
+    parts = {
+        "monthly": ("purchase_month", "orders, NULL AS items, gmv, aov, NULL AS late_n, late_rate, NULL AS review_n, review_score, NULL AS bad_review_rate, NULL AS delivery_days"),
+        "states": ("customer_state", "orders, NULL, gmv, NULL, NULL, late_rate, NULL, review_score, NULL, delivery_days"),
+        "categories": ("category", "orders, items, gmv, NULL, NULL, NULL, NULL, NULL, NULL, NULL"),
+        "sellers": ("seller_id", "orders, items, gmv, NULL, late_n, late_rate, review_n, review_score, NULL, NULL"),
+        "review_delay": ("delay_bucket", "orders, NULL, NULL, NULL, NULL, NULL, NULL, review_score, bad_review_rate, NULL"),
+        "review_sensitivity": ("population || '|' || is_late", "n, NULL, NULL, NULL, NULL, NULL, NULL, review_score, bad_review_rate, NULL")}
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS name, CAST({key} AS VARCHAR) AS key, {cols} FROM ({REGISTRY[name].oracle})"
+                                for name, (key, cols) in parts.items())
+
+
+register("study_aggregates", _lattice_sql())(lambda s, d: A.study_aggregates(light_model(s, d)))

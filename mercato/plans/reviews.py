@@ -39,8 +39,10 @@ def fixture_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None, rating_col: str | None = None,
                     lexicon: X.Lexicon = X.Lexicon(), theme_rules: dict | None = None,
-                    scorer_factory: Callable | None = None, duplicates: bool = True, materialize: bool = True) -> DataFrame:
-    """One annotated row per input row (input columns kept).
+                    scorer_factory: Callable | None = None, duplicates: bool = True, materialize: bool = True,
+                    most_chars: int | None = None) -> DataFrame:
+    """One annotated row per input row (input columns kept).  A text over
+    ``most_chars`` characters fails the job (X24); None sets no limit.
 
     Duplicates are judged over all rows, which needs a second look at the
     data; without ``duplicates`` the plan is lazy, writes nothing and has no such
@@ -48,7 +50,10 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
     of their duplicate key, are written once as a Parquet table in the shared
     ``spark.checkpoint.dir``; the repeated hashes are then counted from that
     one narrow column and joined back, so the texts are processed once."""
-    out = (T.with_normalized(df.withColumn("text", T.compose_text(title_col, text_col)), "text", "normalized")
+    composed = df.withColumn("text", T.compose_text(title_col, text_col))
+    if most_chars is not None:
+        composed, _ = X.reject_oversize(composed, "text", most_chars, raise_error=True)
+    out = (T.with_normalized(composed, "text", "normalized")
            .withColumn("tokens", T.tokenize(F.col("normalized")))
            .withColumn("_blank", T.is_blank(F.col("text"))))
     themes = (X.themes_by_phrase(F.col("normalized"), theme_rules) if theme_rules
