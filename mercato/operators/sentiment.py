@@ -130,15 +130,15 @@ def themes_by_phrase(normalized: Column, rules: dict) -> Column:
     return F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
 
 
-# Largest set of repeated keys that is broadcast to the rows (64-character
-# hashes: about 100 MB at this bound); beyond it the flags use a shuffle join.
+# Largest set of repeated keys that is broadcast to the rows (32-byte
+# hashes: about 60 MB at this bound); beyond it the flags use a shuffle join.
 BROADCAST_REPEATED_KEYS = 1_000_000
 
 
 def duplicate_hash(normalized: Column) -> Column:
-    """SHA-256 of the X09 key; null for an empty key (never a duplicate)."""
+    """The 32 bytes of the SHA-256 of the X09 key; null for an empty key (never a duplicate)."""
     key = duplicate_key(normalized)
-    return F.when(key != "", F.sha2(key, 256))
+    return F.when(key != "", F.unhex(F.sha2(key, 256)))
 
 
 def flag_duplicates(df: DataFrame, normalized: str = "normalized", out: str = "duplicate",

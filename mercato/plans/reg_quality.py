@@ -9,7 +9,7 @@ from mercato.plans import queries as Q
 from mercato.plans.oracle_sql import q as sql
 from mercato.plans.registry import fact_base, register, tables
 from mercato.session import table_path
-from mercato.sources.raw import coerce_types, column_profile, model_catalog, parquet_tables
+from mercato.sources.raw import coerce_types, model_catalog, parquet_tables, profile_tables
 
 _SQL_TABLE = {"orders": "s_orders", "customers": "s_customers", "products": "s_products",
               "sellers": "s_sellers", "order_items": "s_items", "order_payments": "s_payments",
@@ -123,11 +123,7 @@ def _profile_sql() -> str:
 
 
 def _profile(s, d):
-    out = None
-    for t in PROFILE_COLUMNS:
-        p = column_profile(s.read.parquet(table_path(d, t)).select(*PROFILE_COLUMNS[t]), t)
-        out = p if out is None else out.unionByName(p)
-    return out
+    return profile_tables({t: s.read.parquet(table_path(d, t)).select(*columns) for t, columns in PROFILE_COLUMNS.items()})
 
 
 register("column_profile", _profile_sql())(_profile)
@@ -149,11 +145,7 @@ def _profile_all_sql() -> str:
 
 
 def _profile_all(s, d):
-    out = None
-    for t in parquet_tables(s, d):
-        p = column_profile(s.read.parquet(table_path(d, t)), t)
-        out = p if out is None else out.unionByName(p)
-    return out
+    return profile_tables({t: s.read.parquet(table_path(d, t)) for t in parquet_tables(s, d)})
 
 
 register("column_profile_all_tables", _profile_all_sql())(_profile_all)

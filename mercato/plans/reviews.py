@@ -46,10 +46,11 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
 
     Duplicates are judged over all rows, which needs a second look at the
     data; without ``duplicates`` the plan is lazy, writes nothing and has no such
-    column.  With ``materialize`` (default) the annotated rows, with the hash
-    of their duplicate key, are written once as a Parquet table in the shared
-    ``spark.checkpoint.dir``; the repeated hashes are then counted from that
-    one narrow column and joined back, so the texts are processed once."""
+    column.  With ``materialize`` (default) the annotations, with the hash
+    of their duplicate key and the input columns, are written once as a Parquet
+    table in the shared ``spark.checkpoint.dir``, without the texts derived from
+    them; the repeated hashes are then counted from one narrow column and joined
+    back."""
     composed = df.withColumn("text", T.compose_text(title_col, text_col))
     if most_chars is not None:
         composed, _ = X.reject_oversize(composed, "text", most_chars, raise_error=True)
@@ -91,8 +92,15 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
     if materialize:
         spark = out.sparkSession
         path = os.path.join(checkpoint_dir(spark), "reviews", f"annotated-{uuid.uuid4().hex[:12]}")
-        out.write.mode("overwrite").parquet(path)
-        out = spark.read.parquet(path)
+        # The derived texts are not written: what reads them later derives them again, for the rows it still has.
+        given = "text" in (text_col, title_col)
+        stored = out.drop("normalized", "tokens", *([] if given else ["text"]))
+        stored.write.mode("overwrite").parquet(path)
+        back = spark.read.schema(stored.schema).parquet(path)
+        if not given:
+            back = back.withColumn("text", T.compose_text(title_col, text_col))
+        back = T.with_normalized(back, "text", "normalized").withColumn("tokens", T.tokenize(F.col("normalized")))
+        out = back.select(*out.columns)
     return X.flag_duplicates(out, "normalized", "duplicate", hash_col="_dup_hash")
 
 

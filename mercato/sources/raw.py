@@ -7,7 +7,7 @@ import os
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.sources.records import Delimited, read_records
@@ -85,8 +85,8 @@ def source_manifest(spark: SparkSession, directory: str, glob: str = "*.csv",
     return files.join(counts, "table", "left")
 
 
-def _cells(df: DataFrame) -> DataFrame:
-    """(column, h1, h2): a 128-bit hash of every non-null value, and one row of column -1 per row of ``df``.
+def _cells(df: DataFrame, table: str) -> DataFrame:
+    """(table, column, h1, h2): a 128-bit hash of every non-null value, and one row of column -1 per row of ``df``.
 
     The values themselves, texts and vectors, stay where they are read."""
     cells = [F.struct(F.lit(-1).alias("column"), F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"))]
@@ -94,48 +94,60 @@ def _cells(df: DataFrame) -> DataFrame:
         value = F.col(f"`{c}`")
         cells.append(F.when(value.isNotNull(), F.struct(F.lit(i).alias("column"), F.xxhash64(value).alias("h1"),
                                                         F.xxhash64(F.lit(1), value).alias("h2"))))
-    return df.select(F.explode(F.array(*cells)).alias("x")).filter("x IS NOT NULL").select("x.*")
+    return df.select(F.explode(F.array(*cells)).alias("x")).filter("x IS NOT NULL").select(F.lit(table).alias("table"), "x.*")
 
 
-def _profile_rows(counts: DataFrame, columns: list[str], table: str) -> DataFrame:
-    """Counts (column, present, distinct) to one row per column; a column without values has no count."""
-    names = counts.sparkSession.createDataFrame(list(enumerate(columns)), "column int, name string")
-    rows = counts.filter("column = -1").agg(F.coalesce(F.max("present"), F.lit(0)).alias("rows"))
-    out = names.join(counts, "column", "left").crossJoin(F.broadcast(rows))      # one row
+def _united(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _profile_rows(counts: DataFrame, tables: dict[str, list[str]]) -> DataFrame:
+    """Counts (table, column, present, distinct) to one row per column; a column without values has no count.  Both sides
+    have one row a column."""
+    places = [(t, i, c) for t, columns in tables.items() for i, c in enumerate(columns)]
+    names = counts.sparkSession.createDataFrame(places, "table string, column int, name string")
+    of_table = F.max(F.when(F.col("column") == -1, F.col("present"))).over(Window.partitionBy("table"))
+    whole = names.join(counts, ["table", "column"], "full_outer").withColumn("rows", F.coalesce(of_table, F.lit(0)))
     missing = F.col("rows") - F.coalesce("present", F.lit(0))
-    return out.select(F.lit(table).alias("table"), F.col("name").alias("column"), "rows", missing.alias("missing"),
-                      F.try_divide(missing, F.col("rows")).alias("missing_rate"), F.coalesce("distinct", F.lit(0)).alias("unique_non_null"))
+    return whole.filter("column >= 0").select(
+        "table", F.col("name").alias("column"), "rows", missing.alias("missing"), F.try_divide(missing, F.col("rows")).alias("missing_rate"),
+        F.coalesce("distinct", F.lit(0)).alias("unique_non_null"))
 
 
-def column_profile(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
-    """Per column: rows, missing, missing rate, distinct non-null values.
+def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """A03 of several tables: per table and column: rows, missing, missing rate, distinct non-null values.
 
-    One pass: (column, 128-bit hash) pairs are counted map-side, so only one short
-    row per distinct value is shuffled.  ``approx=True`` counts by sketches."""
+    One pass over each table and one shuffle for all: (table, column, 128-bit hash) is counted map-side, so only one short
+    row per distinct value is moved."""
+    cells = _united([_cells(df, name) for name, df in tables.items()])
+    seen = cells.groupBy("table", "column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    counts = seen.groupBy("table", "column").agg(F.sum("n").alias("present"), F.count(F.lit(1)).alias("distinct"))
+    return _profile_rows(counts, {name: list(df.columns) for name, df in tables.items()})
+
+
+def column_profile(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
+    """A03 of one table; ``approx=True`` counts distinct values by sketches."""
     if approx:
-        return profile_of_sketches(column_sketches(df), list(df.columns), table)
-    seen = _cells(df).groupBy("column", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-    counts = seen.groupBy("column").agg(F.sum("n").alias("present"), F.count(F.lit(1)).alias("distinct"))
-    return _profile_rows(counts, list(df.columns), table)
+        return profile_of_sketches(column_sketches(df, table), {table: list(df.columns)})
+    return profile_tables({table: df})
 
 
-def column_sketches(df: DataFrame, log_buckets: int = 14) -> DataFrame:
-    """(column, present, sketch): a profile to store and add to.  Sketches of more rows of the same table are united with
-    these by ``united_sketches``; a column is known by its place."""
-    return _cells(df).groupBy("column").agg(F.count(F.lit(1)).alias("present"), F.hll_sketch_agg("h1", F.lit(log_buckets)).alias("sketch"))
+def column_sketches(df: DataFrame, table: str, log_buckets: int = 14) -> DataFrame:
+    """(table, column, present, sketch): a profile to store and add to.  Sketches of more rows of the same table are united
+    with these by ``united_sketches``; a column is known by its place."""
+    return _cells(df, table).groupBy("table", "column").agg(F.count(F.lit(1)).alias("present"), F.hll_sketch_agg("h1", F.lit(log_buckets)).alias("sketch"))
 
 
 def united_sketches(*sketches: DataFrame) -> DataFrame:
-    rows = sketches[0]
-    for more in sketches[1:]:
-        rows = rows.unionByName(more)
-    return rows.groupBy("column").agg(F.sum("present").alias("present"), F.hll_union_agg("sketch").alias("sketch"))
+    return _united(list(sketches)).groupBy("table", "column").agg(F.sum("present").alias("present"), F.hll_union_agg("sketch").alias("sketch"))
 
 
-def profile_of_sketches(sketches: DataFrame, columns: list[str], table: str) -> DataFrame:
+def profile_of_sketches(sketches: DataFrame, tables: dict[str, list[str]]) -> DataFrame:
     """A03 from stored sketches: counts exact, distinct values estimated."""
-    counts = sketches.select("column", "present", F.hll_sketch_estimate("sketch").alias("distinct"))
-    return _profile_rows(counts, columns, table)
+    return _profile_rows(sketches.select("table", "column", "present", F.hll_sketch_estimate("sketch").alias("distinct")), tables)
 
 
 def coerce_types(df: DataFrame, types: dict[str, str], policy: str = "raise",
