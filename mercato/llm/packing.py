@@ -10,7 +10,8 @@ most ``length`` entries, whatever the corpus; the plan is made from it alone:
 2. Counts are rounded down, and the buckets' lengths are dealt to the patterns,
    long against short.  Short pieces (up to FILLER ids) are kept back.
 3. Residual pieces are packed best-fit, longest first, into the space that the
-   patterns leave and into new sequences.
+   patterns leave and into new sequences.  Pattern sequences that are filled badly
+   are taken apart first where that makes fewer sequences.
 
 The plan is a table of (length, first rank, sequences, offset); pieces of one
 length are interchangeable, so each piece finds its place by its rank among the
@@ -25,6 +26,7 @@ Columns other than the id and the text are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -52,58 +54,62 @@ _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ſ]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+")
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that a byte-level vocabulary writes for each byte: printable ones as they are, the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer merges inside words only, so what stands between white space is
-    encoded once and kept, as are the words in it (each up to CACHE_WORDS).
+    encoded once and kept, as are the words in it.  When CACHE_WORDS are kept they
+    become the older half: what is met again moves to the new one, the rest goes.
     Texts with characters outside Latin scripts go through the tokenizer whole.
     """
 
+    _SIGNS = _byte_signs()
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
-        vocab = self._tok.get_vocab()
-        self._closes = np.zeros(max(vocab.values()) + 1, bool)     # ids that end a word
-        self._closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self._chunks: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._tok.encode(text, add_special_tokens=False).ids, "<u4")
+        self._merge = self._tok.model.tokenize
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if _PLAIN.fullmatch(text) is None:
-            return self._ids(text).tobytes()
+            return np.array(self._tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         chunks = text.lower().split()
-        known = self._chunks
+        known = self._known
         try:
             return b"".join(map(known.__getitem__, chunks))
         except KeyError:
             if len(known) > CACHE_WORDS:
-                known.clear()
-            self._learn({c for c in chunks if c not in known})
+                self._older, self._known = known, {}
+                known = self._known
+            for c in chunks:
+                if c not in known:
+                    known[c] = self._older.get(c) or (self._word(c) if c.isalpha() else self._parts(c))
             return b"".join(map(known.__getitem__, chunks))
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
-        cut = {c: _PIECE.findall(c) for c in chunks}
-        new = list({w for ws in cut.values() for w in ws if w not in self._words})
-        if new:
-            ids = self._ids(" ".join(new))
-            ends = np.flatnonzero(self._closes[ids]) + 1
-            if len(ends) == len(new):
-                data, lo = ids.tobytes(), 0
-                for w, hi in zip(new, (4 * ends).tolist(), strict=True):
-                    self._words[w] = data[lo:hi]
-                    lo = hi
-            else:
-                for w in new:
-                    self._words[w] = self._ids(w).tobytes()
-        for c, ws in cut.items():
-            self._chunks[c] = b"".join([self._words[w] for w in ws])
+    def _parts(self, chunk: str) -> bytes:
+        out, known = [], self._known
+        for w in _PIECE.findall(chunk):
+            ids = known.get(w)
+            if ids is None:
+                ids = known[w] = self._older.get(w) or self._word(w)
+            out.append(ids)
+        return b"".join(out)
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self._SIGNS)
+        ids = [t.id for t in self._merge(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -298,12 +304,34 @@ def best_fit(hist: np.ndarray, length: int, opened: list[tuple[tuple[int, ...],
     return [(p, c) for free in space for p, c in free.items()]
 
 
+#: Free ids up to which a pattern's sequences stay closed to the residual step, in the order tried; -1 opens all.
+REOPENED = (SEQUENCE_IDS, 8, 2, 0, -1)
+
+
 def plan(hist: np.ndarray, length: int = SEQUENCE_IDS, bucket: int = BUCKET,
          filler: int = FILLER) -> list[tuple[tuple[int, ...], int]]:
-    """(piece lengths, repeat count) of all sequences; ``hist[n]`` pieces have n ids."""
-    hist = hist.astype(np.int64).copy()
-    opened = fit(hist, length, bucket, filler)
-    return best_fit(hist, length, opened)
+    """(piece lengths, repeat count) of all sequences; ``hist[n]`` pieces have n ids.
+
+    The worst-filled pattern sequences are taken apart and packed with the residual
+    pieces where that saves sequences, so there are never more than best-fit makes by itself."""
+    rest = hist.astype(np.int64).copy()
+    least = -(-int(np.arange(length + 1) @ hist) // length)
+    opened = fit(rest, length, bucket, filler)
+    best, fewest = [], None
+    for free in REOPENED:
+        left, kept = rest.copy(), []
+        for parts, count in opened:
+            if length - sum(parts) <= free:
+                kept.append((parts, count))
+            else:
+                np.add.at(left, list(parts), count)
+        packed = best_fit(left, length, kept)
+        n = sum(count for _, count in packed)
+        if fewest is None or n < fewest:
+            best, fewest = packed, n
+        if fewest == least:
+            break
+    return best
 
 
 def places(sequences: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
