@@ -91,10 +91,10 @@ def test_never_more_sequences_than_best_fit_alone(seed):
     hist = np.zeros(2049, np.int64)
     sizes = np.clip(rng.lognormal(5.8, 0.9, 4000).astype(int), 1, 2048)
     np.add.at(hist, sizes, rng.integers(1, 30, len(sizes)))
-    made = P.plan(hist)
+    made = K.plan(hist)
     used = np.zeros(2049, np.int64)
     for parts, count in made:
         assert sum(parts) <= 2048
         np.add.at(used, list(parts), count)
     assert (used == hist).all()
-    assert sum(c for _, c in made) <= sum(c for _, c in P.best_fit(hist.copy(), 2048, []))
+    assert sum(c for _, c in made) <= sum(c for _, c in K.best_fit(hist.copy(), 2048, []))
