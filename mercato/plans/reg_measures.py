@@ -247,18 +247,18 @@ FROM customer_cohorts
 
 # The cards of three pages under their slicers.
 _SLICES = {
-    "page_performance_cards": ([("DimDate", F.col("Mois").between("1997-02", "1997-09")), ("FactOrders", F.col("customer_state") >= "NATION_1")], f"""
+    "page_performance_cards": (lambda: [("DimDate", F.col("Mois").between("1997-02", "1997-09")), ("FactOrders", F.col("customer_state") >= "NATION_1")], f"""
 SELECT {OD} AS orders_delivered, {GMV} AS gmv, {GMV} / CAST({OD} AS DOUBLE) AS avg_basket,
        CAST(NULLIF(COUNT(*) FILTER (WHERE analysis_period = 1 AND order_status = 'canceled'), 0) AS DOUBLE)
        / CAST(NULLIF(COUNT(*) FILTER (WHERE analysis_period = 1), 0) AS DOUBLE) AS cancel_rate
 FROM lg WHERE purchase_month BETWEEN '1997-02' AND '1997-09' AND customer_state >= 'NATION_1'"""),
-    "page_offer_cards": ([("DimProducts", F.col("category") >= "m"), ("DimSellers", F.col("seller_state") >= "NATION_1"),
+    "page_offer_cards": (lambda: [("DimProducts", F.col("category") >= "m"), ("DimSellers", F.col("seller_state") >= "NATION_1"),
                           ("DimDate", F.col("Mois").between("1997-02", "1997-09"))], """
 SELECT CAST(SUM(i.price) AS DOUBLE) AS gmv_items, NULLIF(COUNT(*), 0) AS items_delivered, NULLIF(COUNT(DISTINCT i.order_id), 0) AS orders_with_items,
        NULLIF(COUNT(DISTINCT i.seller_id), 0) AS active_sellers
 FROM bi_items i JOIN lg ON lg.order_id = i.order_id JOIN s_sellers s ON s.seller_id = i.seller_id
 WHERE i.category >= 'm' AND s.seller_state >= 'NATION_1' AND lg.purchase_month BETWEEN '1997-02' AND '1997-09'"""),
-    "page_retention_cards": ([("Cohorts", F.col("cohort_month").between("1996-02", "1997-09")), ("Cohorts", F.col("customer_state") >= "NATION_1")], """
+    "page_retention_cards": (lambda: [("Cohorts", F.col("cohort_month").between("1996-02", "1997-09")), ("Cohorts", F.col("customer_state") >= "NATION_1")], """
 SELECT NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS eligible_customers,
        CAST(SUM(repeat_90) FILTER (WHERE eligible_90 = 1) AS BIGINT) AS repeat_customers,
        CAST(SUM(repeat_90) FILTER (WHERE eligible_90 = 1) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE eligible_90 = 1), 0) AS repeat_rate_90,
@@ -269,7 +269,7 @@ FROM customer_cohorts WHERE cohort_month BETWEEN '1996-02' AND '1997-09' AND cus
 
 
 def _sliced(name):
-    return lambda s, d: _dbl(MS.visual(MS.semantic_model(light_model(s, d)), name, _SLICES[name][0]))
+    return lambda s, d: _dbl(MS.visual(MS.semantic_model(light_model(s, d)), name, _SLICES[name][0]()))
 
 
 for _name, (_, _sql) in _SLICES.items():
