@@ -1,3 +1,6 @@
+import random
+import re
+
 from mercato.llm import license_scan as L
 
 MIT = next(t for label, t in L.TEMPLATES if label == "mit" and len(t) > 100)
@@ -57,3 +60,23 @@ def test_two_licenses_of_one_text_stay(docs_of):
     text = "Licensed under the MIT License and the Apache License, Version 2.0. Manual: licensed under CC BY-SA 4.0."
     got = labels(docs_of, [(1, text), (2, L.TEMPLATES[4][1] + " " + L.TEMPLATES[9][1])])
     assert got[1]["labels"] == "apache-2,cc-by-sa,mit" and got[2]["labels"] == "cc-by,gpl-3"
+
+
+def plain_base(text):
+    """Words, places of the fixed phrases, first and last of them, labels: one word after the other."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places = [(i, label) for label, phrase in (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
+              for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
+    at = [i for i, _ in places]
+    return (len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+
+
+def test_base_columns_equal_a_plain_count(spark, docs_of, odd_rows):
+    rng = random.Random(11)
+    parts = ["under the MIT license", "Apache License, Version 2.0", "apache license version 2", "CC BY-NC", "cc by nc cc by nc", "under the", "mit",
+             "license version", "\u00e9t\u00e9", "x1", "\n", "under the mit", "apache", "cc-by", "nc.", "the word"]
+    rows = odd_rows + [(100 + i, " ".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 4, 30])))) for i in range(150)]
+    got = sorted(((r["doc_id"], (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]))
+                  for r in L.license_labels(docs_of(rows)).collect()), key=str)
+    assert got == sorted(((i, plain_base(t)) for i, t in rows), key=str)

@@ -1,3 +1,6 @@
+import html
+import random
+import re
 import time
 
 import pytest
@@ -93,3 +96,27 @@ def test_hostile_pages_take_linear_time(page):
 def test_unclosed_quotes_end_at_the_first_bracket():
     assert read('a < b <a href="x>link</a> end') == "a < b link end"
     assert read("<p class='a>one</p><p>two") == "one\ntwo"
+
+
+def test_articles_equal_the_blocks_they_were_made_of(spark):
+    """Pages written from known blocks and known surroundings give the blocks back."""
+    rng = random.Random(6)
+    word = lambda: rng.choice(["one", "zwei", "tr\u00e8s", "x &amp; y", "&lt;b&gt;", "caf&#233;", "<b>bold</b>", "<i>two\n words</i>"])
+    pages, want = [], {}
+    for i in range(120):
+        blocks, texts = [], []
+        for _ in range(rng.randrange(1, 9)):
+            tag = rng.choice(["p", "h2", "li", "blockquote", "pre", "div"])
+            inside = f"{i} " + rng.choice([" ", "\n  "]).join(word() for _ in range(rng.randrange(1, 12)))
+            blocks.append(f"<{tag}>{inside}</{tag}>")
+            texts.append(" ".join(html.unescape(re.sub(r"</?[bi]>", "", inside)).split()))
+        body = "".join(blocks)
+        marked = rng.random() < 0.7
+        outer = rng.choice(["<article>%s</article>", "<main>%s</main>"]) % body if marked else f"<div class='content'>{body}</div>"
+        around = ("<header>site</header>", "<nav>a b</nav>", "<aside>ads</aside>", "<footer>f</footer>", "<div class='cookie-notice'>c</div>",
+                  "<form>f <input></form>", "<script>var x = '<p>';</script>", "<style>p{}</style>", "<div id='comments'><p>c</p></div>", "<!-- <p>n</p> -->")
+        page = "".join(rng.sample(around, 4)) + outer + "".join(rng.sample(around, 3))
+        pages.append((i, f"http://h{i % 40}/s/{i}", f"<html><head><title>t</title></head><body>{page}</body></html>"))
+        want[i] = "\n".join(texts)
+    got = {r["page_id"]: r["text"] for r in S.article_texts(pages_of(spark, pages)).collect()}
+    assert got == want

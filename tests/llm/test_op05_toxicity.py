@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 from mercato.llm import toxicity as X
 
@@ -74,3 +76,21 @@ def test_group_words_outside_the_chosen_ones_are_swapped(spark, docs_of, monkeyp
     kinds, word = X.group_kinds(), X._hash_words("muslim")[0]
     assert word not in seen["words"] and len(seen["data"]) == sum(not X.held_out_of(i) for i, _ in rows)
     assert all(len(X.swaps(ws, kinds)) == len(kinds[word]) - 1 for _, ws in seen["data"])
+
+
+def test_scores_equal_a_plain_sum(spark, docs_of, odd_rows):
+    """Every whole text's score is the logistic function of the bias and the weights of its distinct words."""
+    rows, labels = corpus(300)
+    rows = rows + [(1000 + (i or 0), t) for i, t in odd_rows] + [(2000, "Vile1 VILE1, vile2; w3 w3")]
+    docs = docs_of(rows)
+    model = X.train(docs, frame(spark, labels))
+    weight = dict(zip(model.words.tolist(), model.weights.tolist()))
+    for r in X.toxicity_scores(docs, model).collect():
+        texts = [t for i, t in rows if i == r["doc_id"]]
+        wanted = []
+        for t in texts:
+            low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+            words = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low))
+            z = model.bias + sum(weight.get(h, 0.0) for w in words for h in X._hash_words(w))
+            wanted.append(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))))
+        assert any(abs(r["score"] - x) < 1e-9 for x in wanted)
