@@ -21,8 +21,8 @@ Equal texts are searched once.
 
 Defined results.  Null or empty texts and items without words match nothing.
 Repeated rows and repeated items give their pair once per distinct (id, item
-id).  Null ids are kept as they are.  An empty table on either side gives an
-empty result.  Other columns are ignored.
+id).  Null ids are kept as they are.  A very long text is searched whole.  An
+empty table on either side gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations

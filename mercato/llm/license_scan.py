@@ -17,7 +17,8 @@ texts are scanned once.
 
 Defined results.  Null or empty text: no words, no labels, score 0, null
 first_word and last_word.  Repeated rows give equal results.  Null ids are kept.
-A very long text is scanned whole.  Other columns are ignored.
+A very long text is scanned whole.  An empty table gives an empty result.  Other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ such words; all other words are O by definition.  Nothing is cut off.
 
 Defined results.  Null or empty text: no spans.  Repeated rows are treated one
 by one.  A very long text is searched whole (each pattern is written to run in
-linear time).  Other columns are ignored, clashing names do no harm.  Offsets
-are code points, end exclusive.
+linear time).  Null ids are kept.  An empty table gives an empty result.  Other
+columns are ignored, clashing names do no harm.  Offsets are code points, end
+exclusive.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ such a span, so the array is built for those alone; the others get 0.
 Defined results.  Null or empty text: no words, all counts 0, base_failed.
 Repeated rows are judged one by one.  A very long text is one block and is
 read whole.  Columns other than the id and the text are ignored, so clashing
-names do no harm.  A null id stays null.
+names do no harm.  A null id stays null.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ shard, in slot order, and leaves the others to their old files.
 
 Defined results.  Null text: no bytes.  Null ids come first in the order; equal
 rows are placed one by one.  A row with a null old shard counts as one of shard
-0.  An empty table gives an empty result.  Other columns are ignored.
+0.  A very long text is one row, so a shard may pass its capacity by part of it.
+An empty table gives an empty result.  Other columns are ignored.  Equal texts are
+placed by their rows, not as a group: the law balances bytes.
 """
 
 from __future__ import annotations

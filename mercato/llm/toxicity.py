@@ -15,8 +15,8 @@ Scores use the whole text and nothing but the text.
 Defined results.  Null or empty text: the score of a text without known words.
 Repeated rows get equal scores.  A label that is null, or whose document is not
 there, is not used.  Without labelled rows of both classes the fixed sentences
-alone are fitted.  Null ids are kept and count as not held out.  Other columns
-are ignored.
+alone are fitted.  Null ids are kept and count as not held out.  A very long text
+is read whole.  An empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
