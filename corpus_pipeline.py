@@ -3,6 +3,12 @@
 Each stage gets (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and reread as the next stage's docs.  All but the last return the
 columns of their docs, whatever others stand beside those of ``documents``.
+
+Defined results.  Null and empty texts fail the quality rules.  A null id comes
+last where one document of a group stays; rows of one id are documents of their
+own in every stage but the deduplication, where equal rows count as one.  Ties
+and repeated rows are decided by id, then text.  Very long texts are read whole.
+An empty table passes every stage and gives no pieces.
 """
 
 from __future__ import annotations
