@@ -7,15 +7,17 @@ PartEnum turns that into equal signatures:
 * Sizes fall into bands.  A pair is looked for in the band of its larger set,
   so a set signs in its own band and in each higher band that a partner of up
   to 5/4 of its size can be in.
-* A band of largest size R has m partitions of the feature domain, more than
-  the largest difference 2R/9.  The enumerated subsets are the single
+* A band of largest size R has m partitions of the feature domain, three times
+  as many as the largest difference 2R/9.  The enumerated subsets are the single
   partitions: a set's signature there is the hash of its features inside.  Two
   sets that differ in at most k features agree in all but k partitions.
-* Signatures have one global order, so a set signs with its first k + 1 + x
-  filled partitions only (prefix filter), richest in features first.  The x
-  spare ones allow it to disregard its x most frequent signatures later,
-  still without losing a pair.  A set with fewer filled partitions than that
-  signs with all; one with k or fewer signs with the empty ones too.
+* Signatures have one global order, so a set signs with its first k + 1 filled
+  partitions only (prefix filter).  Any order that all sets share loses no pair;
+  this one puts signatures of few sets first, by a table of fixed size that counts
+  the signatures of all sets by hash.  Copies that were changed in more than k
+  places sign with their own changes alone, and a passage that many documents
+  hold is a signature only of documents that hold little else.  A set with k or
+  fewer filled partitions signs with the empty ones too.
 
 Candidates are not all pairs of a signature's holders.  Each holder is first
 compared with one centre, which joins copies to components.  A linked node has its closest
@@ -41,8 +43,10 @@ probability N^2 / 2^65.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,7 +59,12 @@ SHINGLE_WORDS = 5
 #: Similarity 4/5 as a fraction.
 NUM, DEN = 4, 5
 BAND_GROWTH = 2.0
-SPARE = 0.10
+#: Partitions for each difference that a band allows.
+SLACK = 3
+#: Cells (as a power of 2) of the table of signature counts.
+COUNT_LOG_CELLS = 20
+#: Cells that come to the driver as one row of bytes.
+_RUN = 4096
 #: Bits (as a power of 2) of the filter that picks the texts to verify.
 FILTER_LOG_BITS = 23
 
@@ -78,12 +87,7 @@ def difference_bound(size: np.ndarray, top: np.ndarray) -> np.ndarray:
 
 def partitions_of(top: np.ndarray) -> np.ndarray:
     k = difference_bound(top, top)
-    return np.ceil(1.25 * (k + 1)).astype(np.int64) + 2
-
-
-def spare_of(top: np.ndarray) -> np.ndarray:
-    k = difference_bound(top, top)
-    return np.ceil(SPARE * (k + 1)).astype(np.int64)
+    return SLACK * (k + 1)
 
 
 # ---------------------------------------------------------------- sets
@@ -118,9 +122,22 @@ def _sums(slot: np.ndarray, values: np.ndarray, slots: int) -> np.ndarray:
     return (high << np.uint64(32)) + low
 
 
-def signatures(sets: Sets, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, row, tag) of the wanted rows; tag is 2 * band + 1 where the
-    set has its spare signatures, else 2 * band."""
+def _cells(sig: np.ndarray) -> np.ndarray:
+    return (sig >> np.uint64(64 - COUNT_LOG_CELLS)).astype(np.int64)
+
+
+@dataclass
+class Slots:
+    """Every partition of every instance (row, band): its signature and whether it holds features."""
+    row: np.ndarray      # per instance
+    k: np.ndarray        # per instance: the largest difference looked for
+    inst: np.ndarray     # per slot
+    sig: np.ndarray
+    filled: np.ndarray
+
+
+def slots_of(sets: Sets, wanted: np.ndarray) -> Slots | None:
+    """The partitions of the wanted rows, in their own band and each higher one that a partner can be in."""
     tops = band_tops(int(sets.size.max(initial=1)) * DEN // NUM + 1)
     own = np.searchsorted(tops, sets.size)
     inst_row, inst_band = [], []
@@ -134,16 +151,15 @@ def signatures(sets: Sets, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             break
         inst_row.append(np.flatnonzero(ok))
         inst_band.append(band[ok])
-    empty = np.zeros(0, np.int64)
     if not inst_row:
-        return empty, empty, empty.astype(np.int32)
+        return None
     row, band = np.concatenate(inst_row), np.concatenate(inst_band)
     top = tops[band]
     k = difference_bound(sets.size[row], top)
     some = k > 0          # k = 0 asks for equal sets, which are one node already
     row, band, top, k = row[some], band[some], top[some], k[some]
     if not len(row):
-        return empty, empty, empty.astype(np.int32)
+        return None
     m = partitions_of(top)
     base = np.concatenate([[0], np.cumsum(m)])
     slots = int(base[-1])
@@ -155,27 +171,31 @@ def signatures(sets: Sets, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     h = V.mix(sets.h[at] + np.uint64(0x2545F4914F6CDD1D))
     part = ((h >> np.uint64(32)) * m[inst].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
     slot = base[inst] + part
-    filled = np.bincount(slot, minlength=slots)
+    filled = np.bincount(slot, minlength=slots) > 0
     total = _sums(slot, V.mix(h), slots)
     slot_inst = np.repeat(np.arange(len(row)), m)
     place = (np.arange(slots) - base[slot_inst]).astype(np.uint64)
     sig = V.mix(total ^ V.mix(place + (band[slot_inst].astype(np.uint64) << np.uint64(40)) + np.uint64(1)))
-    have = np.bincount(slot_inst[filled > 0], minlength=len(row))
-    spare = spare_of(top)
-    strong = have >= k + 1 + spare
-    weak = have <= k
-    use = np.flatnonzero((filled > 0) | weak[slot_inst])
-    # Global order of signatures: richest first, then by value; inside its instance.
-    key = ((slot_inst[use].astype(np.uint64) << np.uint64(43))
-           | ((255 - np.minimum(filled[use], 255)).astype(np.uint64) << np.uint64(35))
-           | (sig[use] >> np.uint64(29)))
+    return Slots(row, k, slot_inst, sig, filled)
+
+
+def signatures(sets: Sets, wanted: np.ndarray, scarce: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, row) of the wanted rows.  ``scarce``: the place in the order (0 to 4095) of each cell of signatures."""
+    s = slots_of(sets, wanted)
+    if s is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    have = np.bincount(s.inst[s.filled], minlength=len(s.row))
+    weak = have <= s.k
+    use = np.flatnonzero(s.filled | weak[s.inst])
+    # The order of signatures, scarce ones first, then by value; inside its instance.
+    key = ((s.inst[use].astype(np.uint64) << np.uint64(44)) | (scarce[_cells(s.sig[use])].astype(np.uint64) << np.uint64(32))
+           | (s.sig[use] & np.uint64(0xFFFFFFFF)))
     use = use[np.argsort(key)]
-    by = slot_inst[use]
-    held = np.bincount(by, minlength=len(row))
+    by = s.inst[use]
+    held = np.bincount(by, minlength=len(s.row))
     rank = np.arange(len(use)) - (np.cumsum(held) - held)[by]
-    use = use[~strong[by] | (rank < (k + 1 + spare)[by])]
-    by = slot_inst[use]
-    return (sig[use].view(np.int64), row[by], (2 * band[by] + strong[by]).astype(np.int32))
+    use = use[weak[by] | (rank < (s.k + 1)[by])]
+    return s.sig[use].view(np.int64), s.row[s.inst[use]]
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -197,20 +217,50 @@ def _id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
 
 
+def signature_counts(docs: DataFrame, id_col: str, text_col: str, k: int) -> np.ndarray:
+    """The order of signatures: for each cell of signature hashes its count over all sets, on a logarithmic scale of 0 to 4095.
+
+    The table has a fixed size; in a full one a signature of many sets still stands out from the others of its cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        counts = np.zeros(1 << COUNT_LOG_CELLS, np.int64)
+        for b in batches:
+            for block in V.blocks(b.column("_text")):
+                sets = Sets(block, k)
+                s = slots_of(sets, _first_seen(sets.name, seen))
+                if s is not None:
+                    counts += np.bincount(_cells(s.sig[s.filled]), minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["cell", "n"])
+
+    def packed(cells: pd.DataFrame) -> pd.DataFrame:
+        """The scaled counts of one run of cells as bytes."""
+        scaled = np.zeros(_RUN, "<u2")
+        scaled[cells["cell"].to_numpy() % _RUN] = np.minimum(4095, 128 * np.log2(1.0 + cells["n"].to_numpy()))
+        return pd.DataFrame({"run": [cells["cell"].iloc[0] // _RUN], "scaled": [scaled.tobytes()]})
+
+    counts = _id_text(docs, id_col, text_col).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    runs = counts.groupBy(F.floor(F.col("cell") / _RUN)).applyInPandas(packed, "run int, scaled binary").collect()     # 2 MB in all
+    table = np.zeros((1 << COUNT_LOG_CELLS) // _RUN * _RUN, "<u2").reshape(-1, _RUN)
+    for r in runs:
+        table[r["run"]] = np.frombuffer(r["scaled"], "<u2")
+    return table.reshape(-1)
+
+
 def signature_rows(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(sig, node, tag) of every set; a task signs a set that it meets again once only."""
+    """(sig, node) of every set; a task signs a set that it meets again once only."""
+    scarce = docs.sparkSession.sparkContext.broadcast(signature_counts(docs, id_col, text_col, k))     # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
             for block in V.blocks(b.column("_text")):
                 s = Sets(block, k)
-                wanted = _first_seen(s.name, seen)
-                sig, row, tag = signatures(s, wanted)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(s.name[row]), pa.array(tag)],
-                                                 names=["sig", "node", "tag"])
+                sig, row = signatures(s, _first_seen(s.name, seen), scarce.value)
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(s.name[row])], names=["sig", "node"])
 
-    return _id_text(docs, id_col, text_col).mapInArrow(run, "sig long, node long, tag int")
+    return _id_text(docs, id_col, text_col).mapInArrow(run, "sig long, node long")
 
 
 def _first_seen(names: np.ndarray, seen: set[int], among: np.ndarray | None = None) -> np.ndarray:
@@ -385,8 +435,7 @@ class _Join:
     def run(self) -> None:
         sigs = signature_rows(self.docs, self.id_col, self.text_col, self.k)
         w = Window.partitionBy("sig")
-        held = sigs.select("*", F.min("node").over(w).alias("centre"), F.max("node").over(w).alias("_hi"),
-                           F.count(F.lit(1)).over(w).alias("cnt"))
+        held = sigs.select("*", F.min("node").over(w).alias("centre"), F.max("node").over(w).alias("_hi"))
         held = written(held.filter("centre <> _hi").drop("_hi"), "held")
         # First each holder's smallest centre alone: one pair a node joins most copies.
         near = held.filter("node <> centre")
@@ -403,11 +452,6 @@ class _Join:
         meeting = self.split(held.filter("node <> centre").select("node", "centre").distinct(), "node", "centre")
         open_sigs = held.join(meeting, ["node", "centre"], "left_semi").select("sig").distinct()
         rows = held.join(open_sigs, "sig", "left_semi").drop("centre").distinct()
-        # A set with spare signatures disregards its most frequent ones.
-        tops = band_tops(1 << 40)
-        spare = F.element_at(F.array(*[F.lit(int(x)) for x in spare_of(tops)]), F.shiftright("tag", 1) + 1)
-        most = Window.partitionBy("node", "tag").orderBy(F.col("cnt").desc(), "sig")
-        rows = rows.withColumn("_rn", F.row_number().over(most)).filter((F.col("tag") % 2 == 0) | (F.col("_rn") > spare))
         rows = rows.select("sig", "node").join(self.nodes.select("node", "n"), "node")
         scale = DEN + NUM
         if self.links is None:
