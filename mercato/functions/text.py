@@ -21,6 +21,8 @@ from pyspark.sql.types import StringType
 TOKEN_PATTERN = r"[a-z]+|[.!?,;:]"
 URL_PATTERN = r"(?U)https?://\S+"
 HANDLE_PATTERN = r"(?U)(?<!\w)@\w+"
+# The characters of (?U)\s.
+WHITE_SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 _MARKS = {cp: None for cp in range(0x110000) if unicodedata.combining(chr(cp))}
@@ -31,7 +33,8 @@ def normalize_py(value: str | None) -> str | None:
     then every character of a non-zero combining class deleted."""
     if value is None:
         return None
-    return unicodedata.normalize("NFKD", str(value).lower()).translate(_MARKS)
+    value = str(value)
+    return value.lower() if value.isascii() else unicodedata.normalize("NFKD", value.lower()).translate(_MARKS)
 
 
 def _latin_table(lo: int = 0x00C0, hi: int = 0x024F) -> tuple[str, str]:
@@ -65,10 +68,20 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _trimmed(c: Column) -> Column:
+    """White space of any script dropped at both ends."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
+
+
+def _fast_normal(c: Column) -> Column:
+    """Lower case without Latin accents; ASCII texts need no look at single characters."""
+    return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(F.lower(c), LATIN_SRC, LATIN_DST))
+
+
 def normalize_text(col) -> Column:
     """Lower, NFKD, drop combining marks (exact)."""
     c = F.coalesce(_c(col), F.lit(""))
-    fast = F.translate(F.lower(c), LATIN_SRC, LATIN_DST)
+    fast = _fast_normal(c)
     rest = F.translate(fast, LATIN_STABLE, "")          # stable characters removed: the rest must be ASCII
     exact = F.length(rest) == F.octet_length(rest)
     slow = _normalize_udf(F.when(~exact, c))
@@ -81,16 +94,25 @@ def with_normalized(df, col, out: str = "normalized"):
     twice in a separate projection), then only rows that still need exact
     NFKD send their text to the Arrow UDF."""
     c = F.coalesce(_c(col), F.lit(""))
-    staged = (df.withColumn("_nf_fast", F.translate(F.lower(c), LATIN_SRC, LATIN_DST))
-              .withColumn("_nf_rest", F.translate(F.col("_nf_fast"), LATIN_STABLE, "")))
-    exact = F.length("_nf_rest") == F.octet_length("_nf_rest")
-    return (staged.withColumn(out, F.when(exact, F.col("_nf_fast")).otherwise(_normalize_udf(F.when(~exact, c))))
-            .drop("_nf_fast", "_nf_rest"))
+    fast = F.col("_nf_fast")
+    rest = F.translate(fast, LATIN_STABLE, "")
+    ascii_only = F.length(fast) == F.octet_length(fast)
+    staged = (df.withColumn("_nf_fast", _fast_normal(c))
+              .withColumn("_nf_exact", F.when(ascii_only, F.lit(True)).otherwise(F.length(rest) == F.octet_length(rest))))
+    exact = F.col("_nf_exact")
+    return (staged.withColumn(out, F.when(exact, fast).otherwise(_normalize_udf(F.when(~exact, c))))
+            .drop("_nf_fast", "_nf_exact"))
+
+
+def computed_once(value: Column) -> Column:
+    """``value`` behind a condition that always holds and that Spark takes for one that may vary, which keeps Spark from writing its expression into
+    filters and projections above, where it would be evaluated once a mention.  A column that nothing reads is still dropped."""
+    return F.when(F.spark_partition_id() >= 0, value)
 
 
 def is_blank(col) -> Column:
     """True when the text is empty or whitespace only (null counts as blank)."""
-    return F.length(F.regexp_replace(F.coalesce(_c(col), F.lit("")), r"(?U)\s", "")) == 0
+    return _trimmed(F.coalesce(_c(col), F.lit(""))) == ""
 
 
 def compose_text(title, text) -> Column:
@@ -99,8 +121,8 @@ def compose_text(title, text) -> Column:
         parts = [text]
     else:
         parts = [title, text]
-    cleaned = [F.regexp_replace(F.coalesce(_c(p), F.lit("")), r"(?U)^\s+|\s+$", "") for p in parts]
-    return F.regexp_replace(F.concat_ws(" ", *cleaned), r"(?U)^\s+|\s+$", "")
+    cleaned = [_trimmed(F.coalesce(_c(p), F.lit(""))) for p in parts]
+    return cleaned[0] if len(cleaned) == 1 else _trimmed(F.concat_ws(" ", *cleaned))
 
 
 # A rating: digits with an optional fraction (point or comma) and exponent.
@@ -127,7 +149,7 @@ def mask_handles_urls(col) -> Column:
 
 def whitespace_tokens(col) -> Column:
     """Default model tokenizer: split on whitespace, empty pieces dropped."""
-    return F.filter(F.split(F.coalesce(_c(col), F.lit("")), r"(?U)\s+"), lambda t: t != "")
+    return F.array_remove(F.split(F.coalesce(_c(col), F.lit("")), r"(?U)\s+"), "")
 
 
 def duplicate_key(normalized) -> Column:

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.text import duplicate_key, normalize_py, normalize_text
+from mercato.functions.text import computed_once, duplicate_key, normalize_py, tokenize
 
 # Default lexicons, negators, breakers and themes of the rules.
 POSITIVE = ("excellent parfait parfaite super satisfait satisfaite recommande rapide genial impeccable adore "
@@ -53,34 +53,22 @@ def _arr(words: Sequence[str]) -> Column:
 
 
 def polarities(tokens: Column, lx: Lexicon = Lexicon()) -> Column:
-    """Per token: +1 / -1 for a polarity word (flipped when a negator occurs in
-    the previous three tokens before any breaker), 0 otherwise.
-
-    The token array is zipped with its copies shifted by one, two and three
-    places, so the lambda only reads fields of the zipped element: an
-    expensive ``tokens`` expression is never re-evaluated per element."""
-    pos, neg, negators, breakers = _arr(lx.positive), _arr(lx.negative), _arr(lx.negators), _arr(lx.breakers)
-    pad = F.array(*[F.lit(None).cast("string")] * LOOK_BACK)
-    padded = F.concat(pad, tokens)
-    n = F.size(tokens)
-    shifted = [F.slice(padded, F.lit(LOOK_BACK + 1 - k), F.greatest(n, F.lit(0))) for k in range(LOOK_BACK + 1)]
-    zipped = F.arrays_zip(*[x.alias(f"s{k}") for k, x in enumerate(shifted)])
-
-    def one(z):
-        t = z["s0"]
-        base = F.when(F.array_contains(pos, t), 1).when(F.array_contains(neg, t), -1).otherwise(0)
+    """+1 / -1 of each polarity word in text order, flipped when a negator occurs in
+    the previous three tokens before any breaker.
+
+    ``tokens`` must be a column, not an expression: the look-back reads it at three
+    places a polarity word."""
+    places = F.filter(F.transform(tokens, lambda t, i: F.when(t.isin(*lx.positive, *lx.negative), i)), lambda i: i.isNotNull())
+
+    def one(i):
         negated = F.lit(False)
         for k in range(LOOK_BACK, 0, -1):          # built inside out: nearest token is tested first
-            w = z[f"s{k}"]
-            hit = w.isNotNull() & F.array_contains(negators, w)
-            stop = w.isNull() | F.array_contains(breakers, w)
-            negated = F.when(stop, F.lit(False)).otherwise(hit | negated)
-        # the look-back is only evaluated for polarity words (CASE short-circuits)
-        return F.when(base == 0, F.lit(0)).when(negated, -base).otherwise(base)
-    words = _arr(list(lx.positive) + list(lx.negative))
-    # documents without any polarity word skip the fold (hash-based overlap test)
-    return (F.when((n > 0) & F.coalesce(F.arrays_overlap(tokens, words), F.lit(False)), F.transform(zipped, one))
-            .otherwise(F.array().cast("array<int>")))
+            w = F.get(tokens, i - k)
+            stop = w.isNull() | w.isin(*lx.breakers)
+            negated = F.when(stop, F.lit(False)).otherwise(w.isin(*lx.negators) | negated)
+        base = F.when(F.get(tokens, i).isin(*lx.positive), 1).otherwise(-1)
+        return F.when(negated, -base).otherwise(base)
+    return F.transform(places, one)
 
 
 def _counts(p: Column) -> Column:
@@ -89,22 +77,14 @@ def _counts(p: Column) -> Column:
                                                          (acc["nn"] + F.when(x < 0, 1).otherwise(0)).alias("nn")))
 
 
-def lexicon_sentiment(tokens: Column, blank: Column, lx: Lexicon = Lexicon()) -> Column:
-    """Mixte / Positif / Négatif / Indéterminé; blank text -> Sans texte."""
-    c = _counts(polarities(tokens, lx))
+def lexicon_sentiment(signs: Column, blank: Column) -> Column:
+    """X05 on ``polarities``: Mixte / Positif / Négatif / Indéterminé; blank text -> Sans texte."""
+    c = _counts(signs)
     code = F.when(blank, 4).otherwise(F.signum(c["np"]).cast("int") * 2 + F.signum(c["nn"]).cast("int"))
     labels = F.array(F.lit(UNDETERMINED), F.lit(NEG), F.lit(POS), F.lit(MIXED), F.lit(NO_TEXT))
     return F.element_at(labels, code + 1)
 
 
-def evidence_words(tokens: Column, lx: Lexicon = Lexicon()) -> Column:
-    """Polarity words in order of first appearance."""
-    words = _arr(list(lx.positive) + list(lx.negative))
-    hits = F.array_distinct(F.filter(tokens, lambda t: F.array_contains(words, t)))
-    return F.when(F.coalesce(F.arrays_overlap(tokens, words), F.lit(False)), hits).otherwise(
-        F.array().cast("array<string>"))
-
-
 def themes_by_token(tokens: Column, themes: dict | None = None) -> Column:
     """A theme when its word set meets the token set (theme order kept)."""
     themes = THEMES if themes is None else themes
@@ -112,6 +92,22 @@ def themes_by_token(tokens: Column, themes: dict | None = None) -> Column:
     return F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
 
 
+def with_rules(df: DataFrame, blank: Column, lx: Lexicon = Lexicon(), themes: Column | None = None) -> DataFrame:
+    """X04-X07 on a ``normalized`` column: adds tokens, sentiment, themes and evidence.  The text is cut into tokens
+    once and compared once with all words of the rules; the rules read what was found
+    (evidence, X06: polarity words in order of first appearance).  ``themes`` replaces X07."""
+    polar = [*lx.positive, *lx.negative]
+    named = [w for words in lx.themes.values() for w in words]
+    found, signs = F.col("_found"), F.col("_signs")
+    out = (df.withColumn("tokens", computed_once(tokenize("normalized")))
+           .withColumn("_found", computed_once(F.array_intersect("tokens", _arr(list(dict.fromkeys(polar + named))))))
+           .withColumn("_signs", computed_once(F.when(F.arrays_overlap(found, _arr(polar)), polarities(F.col("tokens"), lx))
+                                               .otherwise(F.array().cast("array<int>")))))
+    return (out.withColumn("sentiment", lexicon_sentiment(signs, blank))
+            .withColumn("themes", themes_by_token(found, lx.themes) if themes is None else themes)
+            .withColumn("evidence", F.array_intersect(found, _arr(polar))).drop("_found", "_signs"))
+
+
 def phrase_pattern(terms: Sequence[str]) -> str | None:
     """Whole-word alternation of normalized, quoted terms (Unicode word bounds)."""
     cleaned = [normalize_py(t).strip() for t in terms if t.strip()]

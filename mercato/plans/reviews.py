@@ -54,14 +54,9 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
     composed = df.withColumn("text", T.compose_text(title_col, text_col))
     if most_chars is not None:
         composed, _ = X.reject_oversize(composed, "text", most_chars, raise_error=True)
-    out = (T.with_normalized(composed, "text", "normalized")
-           .withColumn("tokens", T.tokenize(F.col("normalized")))
-           .withColumn("_blank", T.is_blank(F.col("text"))))
-    themes = (X.themes_by_phrase(F.col("normalized"), theme_rules) if theme_rules
-              else X.themes_by_token(F.col("tokens"), lexicon.themes))
-    out = (out.withColumn("sentiment", X.lexicon_sentiment(F.col("tokens"), F.col("_blank"), lexicon))
-           .withColumn("themes", themes)
-           .withColumn("evidence", X.evidence_words(F.col("tokens"), lexicon))
+    out = T.with_normalized(composed, "text", "normalized").withColumn("_blank", T.is_blank(F.col("text")))
+    themes = X.themes_by_phrase(F.col("normalized"), theme_rules) if theme_rules else None
+    out = (X.with_rules(out, F.col("_blank"), lexicon, themes)
            .withColumn("rating", T.parse_rating(F.col(rating_col)) if rating_col else F.lit(None).cast("double"))
            .withColumn("method", F.lit(X.RULES_METHOD))
            .withColumn("confidence", F.lit(None).cast("double"))
@@ -86,7 +81,7 @@ def analyze_reviews(df: DataFrame, text_col: str, title_col: str | None = None,
                            .otherwise(F.col("method")))
                .drop("model_sentiment", "_conf", "model_uncertain"))
     out = (out.withColumn("sentiment_initial", F.col("sentiment"))
-           .withColumn("_dup_hash", X.duplicate_hash(F.col("normalized"))).drop("_blank"))
+           .withColumn("_dup_hash", T.computed_once(X.duplicate_hash(F.col("normalized")))).drop("_blank"))
     if not duplicates:
         return out.drop("_dup_hash")
     if materialize:

@@ -36,12 +36,8 @@ def stage_as_files(df: DataFrame, path: str, files: int = 8, key: str = "row_id"
 
 def rules_columns(df: DataFrame, text_col: str, rating_col: str | None, lexicon: X.Lexicon) -> DataFrame:
     """The stateless part of X18."""
-    out = (T.with_normalized(df.withColumn("text", T.compose_text(None, text_col)), "text", "normalized")
-           .withColumn("tokens", T.tokenize(F.col("normalized"))))
-    blank = T.is_blank(F.col("text"))
-    return (out.withColumn("sentiment", X.lexicon_sentiment(F.col("tokens"), blank, lexicon))
-            .withColumn("themes", X.themes_by_token(F.col("tokens"), lexicon.themes))
-            .withColumn("evidence", X.evidence_words(F.col("tokens"), lexicon))
+    out = T.with_normalized(df.withColumn("text", T.compose_text(None, text_col)), "text", "normalized")
+    return (X.with_rules(out, T.is_blank(F.col("text")), lexicon)
             .withColumn("rating", T.parse_rating(F.col(rating_col)) if rating_col else F.lit(None).cast("double"))
             .withColumn("uncertain", F.col("sentiment") == X.UNDETERMINED))
 
@@ -63,6 +59,13 @@ def stream_analyze_reviews(spark: SparkSession, source_dir: str, schema, text_co
     return out_dir
 
 
+def _keyed(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds the hash of the duplicate key (null for an empty key)."""
+    key = T.duplicate_key(F.col("_nk"))
+    hashed = T.computed_once(F.when(key != "", F.sha2(key, 256)))
+    return T.with_normalized(df, T.compose_text(None, text_col), "_nk").withColumn("dup_hash", hashed).drop("_nk")
+
+
 def stream_duplicate_counts(spark: SparkSession, source_dir: str, schema, text_col: str,
                             files_per_trigger: int = 2, out_dir: str | None = None) -> str:
     """ST2: running count per duplicate key (hash of the normalized,
@@ -71,8 +74,7 @@ def stream_duplicate_counts(spark: SparkSession, source_dir: str, schema, text_c
     out_dir = out_dir or _work_dir(spark, "dup-keys")
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
-    keyed = stream.select(T.duplicate_key(T.normalize_text(T.compose_text(None, text_col))).alias("_k"))
-    counts = (keyed.filter(F.col("_k") != "").groupBy(F.sha2("_k", 256).alias("dup_hash"))
+    counts = (_keyed(stream, text_col).select("dup_hash").filter(F.col("dup_hash").isNotNull()).groupBy("dup_hash")
               .agg(F.count(F.lit(1)).alias("n")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
@@ -89,7 +91,7 @@ def flag_with_snapshot(df: DataFrame, snapshot: DataFrame, text_col: str) -> Dat
     The snapshot (keys seen more than once) is broadcast when a bounded count
     proves it small, as in the batch operator; otherwise a shuffle join."""
     from mercato.operators.ranks import is_small
-    keyed = df.withColumn("dup_hash", F.sha2(T.duplicate_key(T.normalize_text(T.compose_text(None, text_col))), 256))
+    keyed = _keyed(df, text_col)
     snap = snapshot.select("dup_hash", F.lit(True).alias("_d"))
     if is_small(snap, X.BROADCAST_REPEATED_KEYS):
         snap = F.broadcast(snap)
