@@ -1,7 +1,7 @@
 """The hypothesis register (H01-H26): populations, tests, BH correction and
 conclusions, as one DataFrame with one row per hypothesis.
 
-Populations (P06-P08) are checkpointed once because many tests read them; each
+Populations (P06-P08) are written once because many tests read them; each
 test reduces its population to one row of sufficient statistics.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators import stats as S
 from mercato.operators.aggregates import mean_exact
-from mercato.session import checkpoint_dir
+from mercato.session import scratch_path
 from mercato.plans import aggregates as A
 from mercato.plans.model import (Model, StudyParams, build_customer_cohorts, first_order_population,
                                  main_population, rated_population, single_seller_population)
@@ -62,36 +62,46 @@ def _spearman(df: DataFrame, hid: str, theme: str, x: str, y: str, direction: fl
                 p_value=F.col("p_value"))
 
 
+# Columns of the facts that the register reads.
+ORDER_COLUMNS = ["order_id", "customer_unique_id", "order_status", "order_purchase_timestamp", "analysis_period",
+                 "order_delivered_customer_date", "review_answer_timestamp", "review_score", "has_comment", "is_late",
+                 "delivery_days", "delay_days", "handoff_days", "item_count", "seller_count", "same_state", "distance_km",
+                 "customer_state", "item_value", "gross_value", "freight_share", "payment_gap", "payment_type",
+                 "max_installments"]
+GEO_COLUMNS = ["same_state", "distance_km"]
+ITEM_COLUMNS = ["order_id", "seller_id", "category", "price", "freight_value", "item_count", "review_score",
+                "product_weight_g", "product_photos_qty"]
+
+
 class Populations:
-    """The study populations, built on first use.  With ``persist`` each one
-    is checkpointed to the shared ``spark.checkpoint.dir`` when first read:
-    a dozen tests read each of them, and the cut lineage keeps the 26-branch
-    register plan small (and recoverable from the checkpoint when an
-    executor is lost).  Populations a query does not read are never built."""
+    """The study populations, built on first use.  With ``persist`` the order fact, the delivered items and each
+    population that picks one order a customer are written once as Parquet tables in the shared
+    ``spark.checkpoint.dir``, with the columns that the register reads: a dozen tests read each of them, and the cut
+    lineage keeps the 26-branch register plan small.  Filters of a written table are read from it, not written again.
+    Populations a query does not read are never built; without ``geo`` the order fact is built without its places."""
 
-    def __init__(self, m: Model, persist: bool = True):
+    def __init__(self, m: Model, persist: bool = True, geo: bool = True):
         self.m, self.persist = m, persist
-        if persist:
-            checkpoint_dir(m.fact_orders.sparkSession)
+        self.columns = [c for c in ORDER_COLUMNS if geo or c not in GEO_COLUMNS]
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.persist else df
+        if not self.persist:
+            return df
+        path = scratch_path(df.sparkSession, "population")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     @cached_property
     def f(self) -> DataFrame:
-        return self._keep(self.m.fact_orders)
-
-    @cached_property
-    def fi(self) -> DataFrame:
-        return self._keep(self.m.fact_items)
+        return self._keep(self.m.fact_orders.select(*self.columns))
 
     @cached_property
     def d(self) -> DataFrame:
-        return self._keep(main_population(self.f))
+        return main_population(self.f)
 
     @cached_property
     def di(self) -> DataFrame:
-        return self._keep(main_population(self.fi))
+        return self._keep(main_population(self.m.fact_items).select(*ITEM_COLUMNS))
 
     @cached_property
     def rated(self) -> DataFrame:
@@ -123,8 +133,8 @@ class Populations:
         return self.di.filter(F.col("item_count") == 1).join(self.payd.select("order_id"), "order_id", "left_semi")
 
 
-def populations(m: Model, persist: bool = True) -> Populations:
-    return Populations(m, persist)
+def populations(m: Model, persist: bool = True, geo: bool = True) -> Populations:
+    return Populations(m, persist, geo)
 
 
 def welch_specs(P: Populations, hp: HypothesisParams):
@@ -260,6 +270,6 @@ def spearman_table(m: Model) -> DataFrame:
 
 
 def kruskal_table(m: Model) -> DataFrame:
-    P = populations(m)
+    P = populations(m, geo=False)
     return S.kruskal_statistic(P.sr, "category", "review_score", top_k=10).select(
         "n", "k", F.round("h", 6).alias("h"))
