@@ -23,8 +23,9 @@ Candidates are not all pairs of a signature's holders.  Each holder is first
 compared with one centre, which joins copies to components.  A linked node has its closest
 centre as hub, at a known difference.  Where components still meet in a
 signature their hubs are compared: by the triangle inequality the hubs'
-distance rules out most pairs of hubs with all their nodes; the nodes of the
-others are compared.  In a signature the first 3, the next 12, 48, ... hubs
+distance rules out most pairs of hubs with all their nodes.  Of the others each
+node is compared with the other hub, and nodes with nodes only where that leaves
+a link possible.  In a signature the first 3, the next 12, 48, ... hubs
 meet all later ones, until no pair of different components is left unseen.  A pair is first tested on parity sketches (two to four bits a
 shingle; they bound the difference from below, so nothing is lost), then
 exactly, on the shingles of both whole texts.
@@ -486,13 +487,37 @@ class _Join:
             unclear = written(unclear.select("a", "b", "an", "bn", "least"), "unclear")
             # The hubs themselves first: that joins most of what belongs together.
             self.verify_likely(unclear.filter(_ALLOWED).select("a", "b"))
-            pairs = (self.split(unclear, "a", "b").select("a", "b", "least")
-                     .join(_side(rows, "a", "x"), "a").join(_side(rows, "b", "y"), ["sig", "b"])
-                     .filter(F.col("least") * scale <= F.col("x_reach") + F.col("y_reach"))
-                     .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+            hubs = self.split(unclear, "a", "b").select("a", "b", "least")
+            pairs = self.unclear_nodes(hubs, rows, met, reach)
             self.verify(written(self.split(pairs, "a", "b").select("a", "b"), "pairs"))
             lo *= 4
 
+    def unclear_nodes(self, hubs: DataFrame, rows: DataFrame, met: DataFrame, reach: DataFrame) -> DataFrame:
+        """Pairs (a, b) of nodes that may still link, of the pairs (a, b, least) of hubs.
+
+        Each node is first compared with the other hub, which makes one pair a node and hub: a link there joins the
+        components, and H(x, y) >= H(x, hub') - d(y) rules most of the others out before nodes meet nodes."""
+        scale = DEN + NUM
+        both = hubs.union(hubs.select(F.col("b").alias("a"), F.col("a").alias("b"), "least"))
+        beyond = reach.select(F.col("hub").alias("b"), F.col("reach").alias("b_reach"))
+        members = rows.select(F.col("hub").alias("a"), F.col("node").alias("x"), "reach").distinct()
+        near = (both.join(beyond, "b").join(members, "a").filter(F.col("least") * scale <= F.col("reach") + F.col("b_reach")).select("x", "b")
+                .join(rows.select(F.col("node").alias("x"), "sig"), "x")
+                .join(met.select("sig", F.col("hub").alias("b")), ["sig", "b"], "left_semi")
+                .select(F.col("x").alias("a"), "b").distinct())
+        far = bounded_pairs(near, self.nodes).join(beyond, "b").filter(F.col("least") * scale <= F.col("an") + F.col("b_reach"))
+        far = written(far.select("a", "b", "an", "bn", "least"), "far")
+        self.verify_likely(far.join(hubs.select("a", "b").union(hubs.select("b", "a")), ["a", "b"], "left_anti").filter(_ALLOWED).select("a", "b"))
+        far = self.split(far, "a", "b").select(F.col("a").alias("x"), F.col("b").alias("to"), "least")
+        held = rows.select("sig", "hub", F.col("node").alias("x"), "reach", "n").join(far, "x")
+        held = held.join(met.select("sig", F.col("hub").alias("to")), ["sig", "to"], "left_semi")
+        left = held.filter("hub < to").select("sig", F.col("hub").alias("a"), F.col("to").alias("b"), "x", "n", "reach", "least")
+        right = held.filter("hub > to").select("sig", F.col("to").alias("a"), F.col("hub").alias("b"), F.col("x").alias("y"),
+                                               F.col("n").alias("yn"), F.col("reach").alias("y_reach"), F.col("least").alias("y_least"))
+        return (left.join(right, ["sig", "a", "b"])
+                .filter((F.col("least") * scale <= F.col("n") + F.col("y_reach")) & (F.col("y_least") * scale <= F.col("yn") + F.col("reach")))
+                .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+
 
 def _side(rows: DataFrame, hub: str, node: str) -> DataFrame:
     return rows.select("sig", F.col("hub").alias(hub), F.col("node").alias(node), F.col("reach").alias(node + "_reach"))

@@ -142,3 +142,24 @@ def test_sketch_never_exceeds_the_difference():
             s.rows, s.row, s.h, s.size = 1, np.zeros(len(h), np.int64), h, np.array([len(h)])
             sketches.append(s.sketches()[0])
         assert J._sketch_distance(*sketches) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_nodes_meet_nodes_only_where_their_hubs_leave_it_open(docs_of, monkeypatch):
+    """Two groups of copies around texts that are a little too far apart: each node meets the other hub, not all its nodes."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    other = list(base)
+    for p in (40, 80, 120, 146):
+        other[p] = f"v{p}"
+    rows = []
+    for i in range(240):
+        t = list(base if i % 2 else other)
+        if i > 1:
+            t[rng.randrange(2)] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    met = []
+    bounded = J.bounded_pairs
+    monkeypatch.setattr(J, "bounded_pairs", lambda pairs, nodes: met.append(pairs.count()) or bounded(pairs, nodes))
+    got = sorted(map(tuple, J.jaccard_classes(docs_of(rows)).collect()))
+    assert got == sorted(brute(rows)[0])
+    assert sum(met) < 8 * len(rows), met
