@@ -207,40 +207,49 @@ def key_domains() -> dict[str, list[tuple[str, list[str]]]]:
 def integrity(t: dict[str, DataFrame]) -> DataFrame:
     """All checks of keys and references as (check_name, value), and the totals of ``AMOUNTS`` as decimals, in one row per name.
 
-    Each table is read once: a row gives one short row (domain, key, table) for each key it holds, counted map-side.  One
-    grouping by (domain, key) then shows every table that knows the key: duplicates, nulls, missing parents and parents of
-    several children are sums over these groups."""
+    Each table is read once: a row gives one short row (code of the domain, key, place of the table in the domain) for each key
+    it holds.  One grouping by (code, key), combined map-side and shuffled once, then shows every table that knows the key:
+    duplicates, nulls, missing parents and parents of several children are sums over these groups.  Tasks hold a group for each
+    key, so a group is kept small: a number in place of names, and as many counts as the widest domain has tables."""
     domains = key_domains()
+    totals = [f"sum:{table}.{c}" for table, cols in AMOUNTS.items() for c in cols]
+    code = {d: 2 * i for i, d in enumerate([*domains, *totals])}          # the next number for keys with a null part
+    place = {(d, table): i for d, members in domains.items() for i, (table, _) in enumerate(members)}
     names = list(dict.fromkeys(table for members in domains.values() for table, _ in members))
+    no_value = F.lit(None).cast("decimal(38,2)")
+    held = lambda at, key, slot, value: F.struct(at.alias("code"), key.alias("key"), F.lit(slot).alias("slot"), value.alias("value"))
     rows = None
     for name in names:
-        held = [F.struct(F.lit(d).alias("domain"), _text_key(cols).alias("key"),
-                         F.greatest(*[F.col(c).isNull() for c in cols], F.lit(False)).alias("void"))
-                for d, members in domains.items() for table, cols in members if table == name]
-        amounts = AMOUNTS.get(name, [])
-        total = [F.struct(F.lit(f"sum:{name}.{c}").alias("domain"), F.lit("").alias("key"), F.lit(False).alias("void")) for c in amounts]
-        value = F.lit(None).cast("decimal(38,2)")
-        for c in amounts:
-            value = F.when(F.col("x.domain") == f"sum:{name}.{c}", F.col(c).cast("decimal(38,2)")).otherwise(value)
-        own = t[name].select(*amounts, F.explode(F.array(*held, *total)).alias("x")).select("x.*", F.lit(name).alias("table"), value.alias("value"))
-        own = own.groupBy("domain", "key", "void", "table").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
+        keys = []
+        for d, members in domains.items():
+            for table, cols in members:
+                if table == name:
+                    void = F.greatest(*[F.col(c).isNull() for c in cols], F.lit(False))
+                    keys.append(held(F.lit(code[d]) + void.cast("int"), _text_key(cols), place[d, name], no_value))
+        amounts = [held(F.lit(code[f"sum:{name}.{c}"]), F.lit(""), 0, F.col(c).cast("decimal(38,2)")) for c in AMOUNTS.get(name, [])]
+        own = t[name].select(F.explode(F.array(*keys, *amounts)).alias("x")).select("x.*")
         rows = own if rows is None else rows.unionByName(own)
-    counted = {name: F.sum(F.when(F.col("table") == name, F.col("n")).otherwise(0)).alias(f"n_{name}") for name in names}
-    groups = rows.groupBy("domain", "key").agg(*counted.values(), F.max("void").alias("void"), F.sum("value").cast("decimal(38,2)").alias("value"))
-    here = lambda d: F.col("domain") == d
+    counted = [F.count_if(F.col("slot") == i).alias(f"n_{i}") for i in range(1 + max(place.values()))]
+    groups = rows.groupBy("code", "key").agg(*counted, F.sum("value").cast("decimal(38,2)").alias("value"))
+    here = lambda d: F.col("code").isin(code[d], code[d] + 1)
+    held_by = lambda d, table: F.col(f"n_{place[d, table]}")
+    void = F.col("code") % 2 == 1
     sums: list[tuple[str, Column]] = []
     for table, key in KEY_CHECKS:
-        d, n = f"{table}.{','.join(key)}", F.col(f"n_{table}")
+        d = f"{table}.{','.join(key)}"
+        n = held_by(d, table)
         sums.append((f"duplicate keys: {table}", F.when(here(d), F.greatest(n - 1, F.lit(0)))))
-        sums.append((f"null keys: {table}", F.when(here(d) & F.col("void"), n)))
+        sums.append((f"null keys: {table}", F.when(here(d) & void, n)))
     for child, col, parent, pk in REFERENCE_CHECKS:
-        missing = here(f"{parent}.{pk}") & (F.col("void") | (F.col(f"n_{parent}") == 0))
-        sums.append((f"missing references: {child}.{col}", F.when(missing, F.col(f"n_{child}"))))
+        d = f"{parent}.{pk}"
+        missing = here(d) & (void | (held_by(d, parent) == 0))
+        sums.append((f"missing references: {child}.{col}", F.when(missing, held_by(d, child))))
     name, child, key, parent = MULTI_CHILD
-    sums.append((name, F.when(here(f"{parent}.{key}") & (F.col(f"n_{child}") > 1), 1)))
+    d = f"{parent}.{key}"
+    sums.append((name, F.when(here(d) & (held_by(d, child) > 1), 1)))
     name, table, key = REPEATED
-    sums.append((name, F.when(here(f"{table}.{key}"), F.greatest(F.col(f"n_{table}") - 1, F.lit(0)))))
-    totals = [f"sum:{table}.{c}" for table, cols in AMOUNTS.items() for c in cols]
+    d = f"{table}.{key}"
+    sums.append((name, F.when(here(d), F.greatest(held_by(d, table) - 1, F.lit(0)))))
     wide = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"_c{i}") for i, (_, c) in enumerate(sums)],
                       *[F.sum(F.when(here(d), F.col("value"))).cast("decimal(38,2)").alias(f"_t{i}") for i, d in enumerate(totals)])
     stacked = [f"'{n}', _c{i}, cast(null as decimal(38,2))" for i, (n, _) in enumerate(sums)] + [f"'{d}', cast(null as bigint), _t{i}" for i, d in enumerate(totals)]

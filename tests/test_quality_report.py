@@ -72,3 +72,12 @@ def test_queries_are_listed_without_a_session():
     from pathlib import Path
     code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1], timeout=120)
+
+
+def test_keys_are_grouped_once_and_by_numbers(broken):
+    """A task holds its groups in memory: one grouping of all tables, whose groups carry no names."""
+    rows = Q.integrity(broken)
+    lines = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = [line for line in lines if "Aggregate [" in line]
+    assert len(grouped) == 2                     # the groups, and the one row of their sums
+    assert "Aggregate [code" in grouped[1] and "domain" not in grouped[1] and "table" not in grouped[1]
