@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from mercato.functions import columns as C
 from mercato.operators.aggregates import geo_median, item_totals, payment_totals
 from mercato.operators.windows import first_per_key, latest_review
+from mercato.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -143,6 +144,24 @@ def build_light_model(t: dict[str, DataFrame], p: StudyParams) -> Model:
     return Model(fact_orders=base, fact_items=items, fact_orders_base=base, geo=None, params=p, tables=t)
 
 
+# Columns of the order fact that the BI tables read, and those that decide between orders of the same id.
+BI_ORDER_COLUMNS = {"order_id", "customer_unique_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
+                    "order_estimated_delivery_date", "customer_zip_code_prefix", "customer_city", "customer_state", "item_count",
+                    "seller_count", "item_value", "freight_value", "payment_total", "payment_type", "max_installments",
+                    "review_answer_timestamp", "review_score", "purchase_date", "purchase_month", "gross_value", "delivery_days",
+                    "delay_days", "is_late", "bad_review", "analysis_period"}
+
+
+def with_written_orders(m: Model) -> Model:
+    """A light model whose order fact is written once as a Parquet table in the shared folder, with the columns that the BI
+    tables read: facts, cohorts, ratings and items all read it, and each would build it again from the children of all orders."""
+    f = m.fact_orders.select(*[c for c in m.fact_orders.columns if c in BI_ORDER_COLUMNS])
+    path = scratch_path(f.sparkSession, "orders")
+    f.write.parquet(path)
+    f = f.sparkSession.read.schema(f.schema).parquet(path)
+    return Model(fact_orders=f, fact_items=build_fact_items(m.tables, f, with_geo=False), fact_orders_base=f, geo=None, params=m.params, tables=m.tables)
+
+
 def main_population(f: DataFrame) -> DataFrame:
     """In the analysis period and delivered."""
     return f.filter((F.col("analysis_period") == 1) & (F.col("order_status") == "delivered"))

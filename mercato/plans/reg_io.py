@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mercato.plans import measures as MS
 from mercato.plans import reviews as R
+from mercato.plans.model import with_written_orders
 from mercato.plans.oracle_sql import q as sql
 from mercato.plans.reg_reviews import analyzed, rsql
 from mercato.plans.reg_study import RATED_SQL
@@ -128,7 +129,7 @@ SELECT row_id, langue, sentiment, themes, duplicate AS texte_repete, COUNT(*) OV
 def _model(s, d):
     """Facts and BI tables written side by side, the order fact by month, and read back."""
     path = scratch_path(s, "model")
-    m = light_model(s, d)
+    m = with_written_orders(light_model(s, d))
     names = sinks.write_model({"fact_orders": m.fact_orders.select("order_id", "purchase_month", "item_value")}, path,
                               partition_by={"fact_orders": ["purchase_month"]})
     star = MS.bi_tables(m)

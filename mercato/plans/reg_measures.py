@@ -9,6 +9,7 @@ from pyspark.sql.types import DecimalType
 
 from mercato.operators import quality as Qy
 from mercato.plans import measures as MS
+from mercato.plans.model import with_written_orders
 from mercato.plans.oracle_sql import q as sql
 from mercato.plans.reg_study import RATED_SQL
 from mercato.plans.registry import light_model, register
@@ -182,7 +183,7 @@ HAVING eligible_customers IS NOT NULL OR GROUPING(cohort_month) = 1
 
 
 def _all_measures(s, d):
-    sm = MS.semantic_model(light_model(s, d))
+    sm = MS.semantic_model(with_written_orders(light_model(s, d)))
     return _dbl(sm.evaluate(MS.ALL_MEASURES))
 
 

@@ -2,7 +2,7 @@
 
 from pathlib import Path
 
-from mercato.plans import hypotheses as H, registry as G
+from mercato.plans import hypotheses as H, model as M, registry as G
 
 
 def test_populations_are_written_with_the_columns_that_are_read(spark, sf_small):
@@ -20,3 +20,11 @@ def test_kruskal_builds_no_places(spark, sf_small):
     columns = H.populations(m, geo=False).columns
     assert "geolocation" not in m.fact_orders.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
     assert len(H.kruskal_table(m).collect()) == 1
+
+
+def test_bi_tables_read_one_written_order_fact(spark, sf_small):
+    measures = G.queries()["measures_all"](spark, sf_small)
+    assert "c_custkey" not in measures._jdf.queryExecution().optimizedPlan().toString()      # orders are not built again
+    m = M.with_written_orders(G.light_model(spark, sf_small))
+    assert set(m.fact_orders.columns) == M.BI_ORDER_COLUMNS
+    assert m.fact_orders.count() == G.fact_base(spark, sf_small).count()
