@@ -44,7 +44,6 @@ probability N^2 / 2^65.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -59,9 +58,6 @@ from mercato.llm.shared import BitFilter, written
 SHINGLE_WORDS = 5
 #: Similarity 4/5 as a fraction.
 NUM, DEN = 4, 5
-BAND_GROWTH = 2.0
-#: Partitions for each difference that a band allows.
-SLACK = 3
 #: Cells (as a power of 2) of the table of signature counts.
 COUNT_LOG_CELLS = 20
 #: Cells that come to the driver as one row of bytes.
@@ -70,27 +66,6 @@ _RUN = 4096
 FILTER_LOG_BITS = 23
 
 
-# ---------------------------------------------------------------- bands
-
-def band_tops(largest: int) -> np.ndarray:
-    """Largest size of each band, up to one that holds ``largest``."""
-    tops = [8]
-    while tops[-1] < largest:
-        tops.append(int(tops[-1] * BAND_GROWTH))
-    return np.array(tops, np.int64)
-
-
-def difference_bound(size: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Largest symmetric difference of a set with any partner in a band of that top."""
-    partner = np.minimum(top, size * DEN // NUM)
-    return (size + partner) * (DEN - NUM) // (DEN + NUM)
-
-
-def partitions_of(top: np.ndarray) -> np.ndarray:
-    k = difference_bound(top, top)
-    return SLACK * (k + 1)
-
-
 # ---------------------------------------------------------------- sets
 
 class Sets:
@@ -127,76 +102,21 @@ def _cells(sig: np.ndarray) -> np.ndarray:
     return (sig >> np.uint64(64 - COUNT_LOG_CELLS)).astype(np.int64)
 
 
-@dataclass
-class Slots:
-    """Every partition of every instance (row, band): its signature and whether it holds features."""
-    row: np.ndarray      # per instance
-    k: np.ndarray        # per instance: the largest difference looked for
-    inst: np.ndarray     # per slot
-    sig: np.ndarray
-    filled: np.ndarray
-
-
-def slots_of(sets: Sets, wanted: np.ndarray) -> Slots | None:
-    """The partitions of the wanted rows, in their own band and each higher one that a partner can be in."""
-    tops = band_tops(int(sets.size.max(initial=1)) * DEN // NUM + 1)
-    own = np.searchsorted(tops, sets.size)
-    inst_row, inst_band = [], []
-    for up in range(len(tops)):
-        band = own + up
-        ok = wanted & (sets.size > 0) & (band < len(tops))
-        # A higher band matters when its smallest size is within reach.
-        reach = sets.size * DEN // NUM
-        ok &= (up == 0) | (reach > tops[np.clip(band - 1, 0, len(tops) - 1)])
-        if not ok.any():
-            break
-        inst_row.append(np.flatnonzero(ok))
-        inst_band.append(band[ok])
-    if not inst_row:
-        return None
-    row, band = np.concatenate(inst_row), np.concatenate(inst_band)
-    top = tops[band]
-    k = difference_bound(sets.size[row], top)
-    some = k > 0          # k = 0 asks for equal sets, which are one node already
-    row, band, top, k = row[some], band[some], top[some], k[some]
-    if not len(row):
-        return None
-    m = partitions_of(top)
-    base = np.concatenate([[0], np.cumsum(m)])
-    slots = int(base[-1])
-    # Features of each instance: the instance's row span in the set arrays.
-    first = np.concatenate([[0], np.cumsum(sets.size)])
-    n = sets.size[row]
-    inst = np.repeat(np.arange(len(row)), n)
-    at = np.arange(len(inst)) - np.repeat(np.cumsum(n) - n, n) + first[row][inst]
-    h = V.mix(sets.h[at] + np.uint64(0x2545F4914F6CDD1D))
-    part = ((h >> np.uint64(32)) * m[inst].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-    slot = base[inst] + part
-    filled = np.bincount(slot, minlength=slots) > 0
-    total = _sums(slot, V.mix(h), slots)
-    slot_inst = np.repeat(np.arange(len(row)), m)
-    place = (np.arange(slots) - base[slot_inst]).astype(np.uint64)
-    sig = V.mix(total ^ V.mix(place + (band[slot_inst].astype(np.uint64) << np.uint64(40)) + np.uint64(1)))
-    return Slots(row, k, slot_inst, sig, filled)
-
-
-def signatures(sets: Sets, wanted: np.ndarray, scarce: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) of the wanted rows.  ``scarce``: the place in the order (0 to 4095) of each cell of signatures."""
-    s = slots_of(sets, wanted)
-    if s is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    have = np.bincount(s.inst[s.filled], minlength=len(s.row))
-    weak = have <= s.k
-    use = np.flatnonzero(s.filled | weak[s.inst])
-    # The order of signatures, scarce ones first, then by value; inside its instance.
-    key = ((s.inst[use].astype(np.uint64) << np.uint64(44)) | (scarce[_cells(s.sig[use])].astype(np.uint64) << np.uint64(32))
-           | (s.sig[use] & np.uint64(0xFFFFFFFF)))
-    use = use[np.argsort(key)]
-    by = s.inst[use]
-    held = np.bincount(by, minlength=len(s.row))
-    rank = np.arange(len(use)) - (np.cumsum(held) - held)[by]
-    use = use[weak[by] | (rank < (s.k + 1)[by])]
-    return s.sig[use].view(np.int64), s.row[s.inst[use]]
+def signatures(sets: Sets, wanted: np.ndarray, scarce: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, row, place) of the wanted rows.  ``scarce``: the place in the order (0 to 4095) of each cell of signatures."""
+    # A set that no larger set can link to links with equal ones only, which are one node already.
+    signs = wanted & (sets.size * DEN // NUM > sets.size)
+    prefix = np.where(signs, sets.size * (DEN - NUM) // DEN + 1, 0)
+    use = np.flatnonzero(signs[sets.row])
+    row, sig = sets.row[use], sets.h[use]
+    # The order of signatures, scarce ones first, then by value; inside its row.
+    order = np.argsort((scarce[_cells(sig)].astype(np.uint64) << np.uint64(52)) | (sig & np.uint64((1 << 52) - 1)))
+    order = order[np.argsort(row[order], kind="stable")]
+    row, sig = row[order], sig[order]
+    held = np.bincount(row, minlength=sets.rows)
+    place = np.arange(len(row)) - (np.cumsum(held) - held)[row]
+    kept = place < prefix[row]
+    return sig[kept].view(np.int64), row[kept], place[kept]
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -229,20 +149,21 @@ def signature_counts(docs: DataFrame, id_col: str, text_col: str, k: int) -> np.
         for b in batches:
             for block in V.blocks(b.column("_text")):
                 sets = Sets(block, k)
-                s = slots_of(sets, _first_seen(sets.name, seen))
-                if s is not None:
-                    counts += np.bincount(_cells(s.sig[s.filled]), minlength=len(counts))
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["cell", "n"])
-
-    def packed(cells: pd.DataFrame) -> pd.DataFrame:
-        """The scaled counts of one run of cells as bytes."""
-        scaled = np.zeros(_RUN, "<u2")
-        scaled[cells["cell"].to_numpy() % _RUN] = np.minimum(4095, 128 * np.log2(1.0 + cells["n"].to_numpy()))
-        return pd.DataFrame({"run": [cells["cell"].iloc[0] // _RUN], "scaled": [scaled.tobytes()]})
-
-    counts = _id_text(docs, id_col, text_col).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    runs = counts.groupBy(F.floor(F.col("cell") / _RUN)).applyInPandas(packed, "run int, scaled binary").collect()     # 2 MB in all
+                counts += np.bincount(_cells(sets.h[_first_seen(sets.name, seen)[sets.row]]), minlength=len(counts))
+        runs = counts.reshape(-1, _RUN)
+        at = np.flatnonzero(runs.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([runs[i].astype("<u4").tobytes() for i in at], pa.binary())],
+                                         names=["run", "counts"])
+
+    def scaled(parts: pd.DataFrame) -> pd.DataFrame:
+        """The scaled sums of one run of cells as bytes."""
+        total = np.zeros(_RUN, np.int64)
+        for part in parts["counts"]:
+            total += np.frombuffer(part, "<u4")
+        return pd.DataFrame({"run": [parts["run"].iloc[0]], "scaled": [np.minimum(4095, 128 * np.log2(1.0 + total)).astype("<u2").tobytes()]})
+
+    counts = _id_text(docs, id_col, text_col).mapInArrow(run, "run int, counts binary")
+    runs = counts.groupBy("run").applyInPandas(scaled, "run int, scaled binary").collect()     # 2 MB in all
     table = np.zeros((1 << COUNT_LOG_CELLS) // _RUN * _RUN, "<u2").reshape(-1, _RUN)
     for r in runs:
         table[r["run"]] = np.frombuffer(r["scaled"], "<u2")
@@ -250,7 +171,7 @@ def signature_counts(docs: DataFrame, id_col: str, text_col: str, k: int) -> np.
 
 
 def signature_rows(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(sig, node) of every set; a task signs a set that it meets again once only."""
+    """(sig, node, n, place) of every set; a task signs a set that it meets again once only."""
     scarce = docs.sparkSession.sparkContext.broadcast(signature_counts(docs, id_col, text_col, k))     # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,10 +179,11 @@ def signature_rows(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataF
         for b in batches:
             for block in V.blocks(b.column("_text")):
                 s = Sets(block, k)
-                sig, row = signatures(s, _first_seen(s.name, seen), scarce.value)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(s.name[row])], names=["sig", "node"])
+                sig, row, place = signatures(s, _first_seen(s.name, seen), scarce.value)
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(s.name[row]), pa.array(s.size[row]), pa.array(place)],
+                                                 names=["sig", "node", "n", "place"])
 
-    return _id_text(docs, id_col, text_col).mapInArrow(run, "sig long, node long")
+    return _id_text(docs, id_col, text_col).mapInArrow(run, "sig long, node long, n long, place long")
 
 
 def _first_seen(names: np.ndarray, seen: set[int], among: np.ndarray | None = None) -> np.ndarray:
@@ -404,20 +326,21 @@ class _Join:
         self.docs, self.id_col, self.text_col, self.k = docs, id_col, text_col, k
         self.rows = written(document_sets(docs, id_col, text_col, k), "sets")
         self.nodes = self.rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        self.texts: DataFrame | None = None
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def differences(self, pairs: DataFrame) -> DataFrame:
         """Exact differences of the pairs, from whole texts."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = node_texts(self.docs, self.id_col, self.text_col, self.k, wanted)
-        return written(exact_differences(pairs, texts, self.k), "differences")
+        return written(exact_differences(pairs, self.texts.join(wanted, "node", "left_semi"), self.k), "differences")
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Tests the pairs and adds the links found."""
-        self.verify_likely(written(bounded_pairs(pairs, self.nodes).filter(_ALLOWED).select("a", "b"), "likely"))
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, least) whose sketches allow a link."""
+        return written(bounded_pairs(pairs, self.nodes).filter(_ALLOWED).select("a", "b", "least"), "likely")
 
-    def verify_likely(self, likely: DataFrame) -> None:
+    def verify(self, likely: DataFrame) -> None:
+        """Tests the pairs exactly and adds the links found."""
         if likely.isEmpty():
             return
         links = self.differences(likely).filter("linked").select("a", "b", "d")
@@ -435,26 +358,31 @@ class _Join:
 
     def run(self) -> None:
         sigs = signature_rows(self.docs, self.id_col, self.text_col, self.k)
+        sigs = sigs.withColumn("room", (DEN + NUM) * (F.col("n") - F.col("place")) - NUM * F.col("n"))
         w = Window.partitionBy("sig")
-        held = sigs.select("*", F.min("node").over(w).alias("centre"), F.max("node").over(w).alias("_hi"))
-        held = written(held.filter("centre <> _hi").drop("_hi"), "held")
-        # First each holder's smallest centre alone: one pair a node joins most copies.
-        near = held.filter("node <> centre")
-        pairs = written(near.groupBy("node").agg(F.min("centre").alias("b")).select(F.col("node").alias("a"), "b"), "pairs")
-        self.verify(pairs)
-        rest = near.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        rest = written(self.split(rest, "a", "b").select("a", "b"), "pairs")
-        if not rest.isEmpty():
-            self.verify(rest)
-        self.finish(held)
+        several = lambda rows: (rows.withColumn("_lo", F.min("node").over(w)).withColumn("_hi", F.max("node").over(w))
+                                .filter("_lo <> _hi").drop("_lo", "_hi"))
+        # Holders that some size and room in the signature allows to link, if two are left.
+        held = several(sigs.withColumn("_n", F.min("n").over(w)).withColumn("_room", F.max("room").over(w)))
+        held = several(held.filter(f"room >= {NUM} * _n and _room >= {NUM} * n").drop("_n", "_room"))
+        held = held.withColumn("centre", F.min(F.struct("place", "node", "n", "room")).over(w))
+        held = written(held.select("sig", "node", "n", "room", "centre"), "held")
+        self.texts = written(node_texts(self.docs, self.id_col, self.text_col, self.k, held.select("node").distinct()), "texts")
+        # First each holder's centres alone, and of those the closest one first: one pair a node joins most copies.
+        near = held.filter("node <> centre.node").filter(_meet("room", "n", "centre.room", "centre.n"))
+        likely = self.likely(near.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct())
+        first = likely.groupBy("a").agg(F.min(F.struct("least", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        first = written(first, "pairs")
+        self.verify(first)
+        rest = written(self.split(likely.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "b"), "pairs")
+        self.verify(rest)
+        self.finish(held.drop("centre"))
 
     def finish(self, held: DataFrame) -> None:
         """Compares the components that still meet in a signature."""
-        meeting = self.split(held.filter("node <> centre").select("node", "centre").distinct(), "node", "centre")
-        open_sigs = held.join(meeting, ["node", "centre"], "left_semi").select("sig").distinct()
-        rows = held.join(open_sigs, "sig", "left_semi").drop("centre").distinct()
-        rows = rows.select("sig", "node").join(self.nodes.select("node", "n"), "node")
         scale = DEN + NUM
+        rows = held.withColumn("class", F.col("node")) if self.labels is None else _labelled(held, self.labels, "node", "class")
+        rows = open_holders(rows.distinct())
         if self.links is None:
             rows = rows.withColumn("hub", F.col("node")).withColumn("reach", F.col("n"))
         else:
@@ -468,7 +396,7 @@ class _Join:
         if rows.isEmpty():
             return
         reach = rows.groupBy("hub").agg(F.max("reach").alias("reach"))
-        met = rows.select("sig", "hub").distinct()
+        met = rows.groupBy("sig", "hub").agg(F.max("room").alias("room"), F.min("n").alias("n"))
         met = written(met.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("hub")))
                       .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("sig"))), "met")
         side = lambda c: reach.select(F.col("hub").alias(c), F.col("reach").alias(c + "_reach"))
@@ -477,20 +405,23 @@ class _Join:
             met = met.filter(F.col("of") > lo)
             if met.isEmpty():
                 return
-            centres = met.filter(F.col("rank").between(lo, 4 * lo - 1)).select("sig", F.col("hub").alias("_c"), F.col("rank").alias("_cr"))
-            pairs = (met.join(centres, "sig").filter("rank > _cr")
+            centres = (met.filter(F.col("rank").between(lo, 4 * lo - 1))
+                       .select("sig", F.col("hub").alias("_c"), F.col("rank").alias("_cr"), F.col("room").alias("_room"), F.col("n").alias("_n")))
+            pairs = (met.join(centres, "sig").filter("rank > _cr").filter(_meet("room", "n", "_room", "_n"))
                      .select(F.greatest("hub", "_c").alias("a"), F.least("hub", "_c").alias("b")).distinct())
             # H(x, y) >= H(hub, hub') - d(x) - d(y): if 9 times that is over n(x) + n(y) for
             # all members, no member of one component links to one of the other.
             bounded = bounded_pairs(self.split(pairs, "a", "b").select("a", "b"), self.nodes).join(side("a"), "a").join(side("b"), "b")
             unclear = bounded.filter(F.col("least") * scale <= F.col("a_reach") + F.col("b_reach"))
             unclear = written(unclear.select("a", "b", "an", "bn", "least"), "unclear")
+            lo *= 4
+            if unclear.isEmpty():
+                continue
             # The hubs themselves first: that joins most of what belongs together.
-            self.verify_likely(unclear.filter(_ALLOWED).select("a", "b"))
+            self.verify(unclear.filter(_ALLOWED).select("a", "b"))
             hubs = self.split(unclear, "a", "b").select("a", "b", "least")
             pairs = self.unclear_nodes(hubs, rows, met, reach)
-            self.verify(written(self.split(pairs, "a", "b").select("a", "b"), "pairs"))
-            lo *= 4
+            self.verify(self.likely(self.split(pairs, "a", "b").select("a", "b")).select("a", "b"))
 
     def unclear_nodes(self, hubs: DataFrame, rows: DataFrame, met: DataFrame, reach: DataFrame) -> DataFrame:
         """Pairs (a, b) of nodes that may still link, of the pairs (a, b, least) of hubs.
@@ -500,27 +431,36 @@ class _Join:
         scale = DEN + NUM
         both = hubs.union(hubs.select(F.col("b").alias("a"), F.col("a").alias("b"), "least"))
         beyond = reach.select(F.col("hub").alias("b"), F.col("reach").alias("b_reach"))
-        members = rows.select(F.col("hub").alias("a"), F.col("node").alias("x"), "reach").distinct()
-        near = (both.join(beyond, "b").join(members, "a").filter(F.col("least") * scale <= F.col("reach") + F.col("b_reach")).select("x", "b")
-                .join(rows.select(F.col("node").alias("x"), "sig"), "x")
-                .join(met.select("sig", F.col("hub").alias("b")), ["sig", "b"], "left_semi")
+        members = rows.select("sig", F.col("hub").alias("a"), F.col("node").alias("x"), "n", "room", "reach")
+        others = met.select("sig", F.col("hub").alias("b"), F.col("room").alias("_room"), F.col("n").alias("_n"))
+        near = (members.join(others, "sig").filter("a <> b").filter(_meet("room", "n", "_room", "_n"))
+                .groupBy("a", "b", "x").agg(F.first("reach").alias("reach"))
+                .join(both, ["a", "b"]).join(beyond, "b").filter(F.col("least") * scale <= F.col("reach") + F.col("b_reach"))
                 .select(F.col("x").alias("a"), "b").distinct())
         far = bounded_pairs(near, self.nodes).join(beyond, "b").filter(F.col("least") * scale <= F.col("an") + F.col("b_reach"))
         far = written(far.select("a", "b", "an", "bn", "least"), "far")
-        self.verify_likely(far.join(hubs.select("a", "b").union(hubs.select("b", "a")), ["a", "b"], "left_anti").filter(_ALLOWED).select("a", "b"))
+        self.verify(far.join(hubs.select("a", "b").union(hubs.select("b", "a")), ["a", "b"], "left_anti").filter(_ALLOWED).select("a", "b"))
         far = self.split(far, "a", "b").select(F.col("a").alias("x"), F.col("b").alias("to"), "least")
-        held = rows.select("sig", "hub", F.col("node").alias("x"), "reach", "n").join(far, "x")
-        held = held.join(met.select("sig", F.col("hub").alias("to")), ["sig", "to"], "left_semi")
-        left = held.filter("hub < to").select("sig", F.col("hub").alias("a"), F.col("to").alias("b"), "x", "n", "reach", "least")
-        right = held.filter("hub > to").select("sig", F.col("to").alias("a"), F.col("hub").alias("b"), F.col("x").alias("y"),
-                                               F.col("n").alias("yn"), F.col("reach").alias("y_reach"), F.col("least").alias("y_least"))
-        return (left.join(right, ["sig", "a", "b"])
+        held = rows.select("sig", "hub", F.col("node").alias("x"), "reach", "n", "room").join(far, "x")
+        held = held.join(others.withColumnRenamed("b", "to"), ["sig", "to"]).filter(_meet("room", "n", "_room", "_n"))
+        left = held.filter("hub < to").select("sig", F.col("hub").alias("a"), F.col("to").alias("b"), "x", "n", "room", "reach", "least")
+        right = held.filter("hub > to").select("sig", F.col("to").alias("a"), F.col("hub").alias("b"), F.col("x").alias("y"), F.col("n").alias("yn"),
+                                               F.col("room").alias("y_room"), F.col("reach").alias("y_reach"), F.col("least").alias("y_least"))
+        return (left.join(right, ["sig", "a", "b"]).filter(_meet("room", "n", "y_room", "yn"))
                 .filter((F.col("least") * scale <= F.col("n") + F.col("y_reach")) & (F.col("y_least") * scale <= F.col("yn") + F.col("reach")))
                 .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
-def _side(rows: DataFrame, hub: str, node: str) -> DataFrame:
-    return rows.select("sig", F.col("hub").alias(hub), F.col("node").alias(node), F.col("reach").alias(node + "_reach"))
+def _meet(room: str, n: str, other_room: str, other_n: str) -> str:
+    """Whether two holders of a signature can link if it is the first that they share."""
+    return f"{room} >= {NUM} * {other_n} and {other_room} >= {NUM} * {n}"
+
+
+def open_holders(rows: DataFrame) -> DataFrame:
+    """The holders (sig, node, n, room, class) of signatures in which holders of two classes still meet."""
+    w = Window.partitionBy("sig")
+    rows = rows.withColumn("_lo", F.min("class").over(w)).withColumn("_hi", F.max("class").over(w))
+    return rows.filter("_lo <> _hi").drop("_lo", "_hi", "class")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
