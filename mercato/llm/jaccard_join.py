@@ -1,26 +1,23 @@
-"""N-gram Jaccard join by PartEnum signatures (operator 3).
+"""N-gram Jaccard join by prefixes of the scarcest shingles (operator 3).
 
 Documents are sets of word shingles.  Two sets of sizes a and b have Jaccard
-similarity >= 4/5 only if their symmetric difference is at most (a + b) / 9.
-PartEnum turns that into equal signatures:
-
-* Sizes fall into bands.  A pair is looked for in the band of its larger set,
-  so a set signs in its own band and in each higher band that a partner of up
-  to 5/4 of its size can be in.
-* A band of largest size R has m partitions of the feature domain, three times
-  as many as the largest difference 2R/9.  The enumerated subsets are the single
-  partitions: a set's signature there is the hash of its features inside.  Two
-  sets that differ in at most k features agree in all but k partitions.
-* Signatures have one global order, so a set signs with its first k + 1 filled
-  partitions only (prefix filter).  Any order that all sets share loses no pair;
-  this one puts signatures of few sets first, by a table of fixed size that counts
-  the signatures of all sets by hash.  Copies that were changed in more than k
-  places sign with their own changes alone, and a passage that many documents
-  hold is a signature only of documents that hold little else.  A set with k or
-  fewer filled partitions signs with the empty ones too.
+similarity >= 4/5 only if 9 times their intersection is at least 4 (a + b), so
+either holds four fifths of the other.
+
+* All shingles have one global order, and a set signs with its first a / 5 + 1
+  (prefix filter): two linked sets share a signature.  Any order that all sets
+  share loses no pair; this one puts shingles of few sets first, by a table of
+  fixed size that counts the shingles of all sets by hash.  Copies that were
+  changed in too many places sign with their own changes alone, and a passage
+  that many documents hold is a signature only of documents that hold little else.
+* A signature goes with its place in the set.  If it is the first that two sets
+  share, they share nothing before it, so the rest of each set must be large
+  enough for the intersection (positional filter).  A linked pair passes at the
+  first signature that it shares.
 
 Candidates are not all pairs of a signature's holders.  Each holder is first
-compared with one centre, which joins copies to components.  A linked node has its closest
+compared with one centre, the holder with the earliest place, which joins copies
+to components.  A linked node has its closest
 centre as hub, at a known difference.  Where components still meet in a
 signature their hubs are compared: by the triangle inequality the hubs'
 distance rules out most pairs of hubs with all their nodes.  Of the others each
@@ -231,8 +228,8 @@ _ALLOWED = f"least * {DEN + NUM} <= (an + bn) * {DEN - NUM}"
 
 
 def node_texts(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: DataFrame) -> DataFrame:
-    """One text for each node in ``wanted``: a fixed-size bit filter picks rows
-    inside the scan, the exact match follows as a join."""
+    """A text for each node in ``wanted``, once from each task that meets it: a fixed-size
+    bit filter picks rows inside the scan, the exact match follows as a join."""
     bits = BitFilter(wanted, "node", FILTER_LOG_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +244,7 @@ def node_texts(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: Data
                     yield pa.RecordBatch.from_arrays([pa.array(s.name[at]), text], names=["node", "text"])
 
     rows = _id_text(docs, id_col, text_col).select("_text").mapInArrow(run, "node long, text string")
-    return rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    return rows.join(wanted, "node", "left_semi")
 
 
 def exact_differences(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
@@ -333,7 +330,8 @@ class _Join:
     def differences(self, pairs: DataFrame) -> DataFrame:
         """Exact differences of the pairs, from whole texts."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        return written(exact_differences(pairs, self.texts.join(wanted, "node", "left_semi"), self.k), "differences")
+        texts = self.texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+        return written(exact_differences(pairs, texts, self.k), "differences")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, least) whose sketches allow a link."""
@@ -362,12 +360,16 @@ class _Join:
         w = Window.partitionBy("sig")
         several = lambda rows: (rows.withColumn("_lo", F.min("node").over(w)).withColumn("_hi", F.max("node").over(w))
                                 .filter("_lo <> _hi").drop("_lo", "_hi"))
-        # Holders that some size and room in the signature allows to link, if two are left.
-        held = several(sigs.withColumn("_n", F.min("n").over(w)).withColumn("_room", F.max("room").over(w)))
-        held = several(held.filter(f"room >= {NUM} * _n and _room >= {NUM} * n").drop("_n", "_room"))
+        held = several(sigs.withColumn("_room", F.max("room").over(w)))
+        # Holders that another's size and some room in the signature allow to link, if two are left.
+        by_size = w.orderBy("n")
+        other = F.when(F.row_number().over(by_size) == 1, F.lead("n").over(by_size)).otherwise(F.first("n").over(by_size))
+        held = several(held.withColumn("_n", other).filter(f"room >= {NUM} * _n and _room >= {NUM} * n").drop("_n", "_room"))
         held = held.withColumn("centre", F.min(F.struct("place", "node", "n", "room")).over(w))
         held = written(held.select("sig", "node", "n", "room", "centre"), "held")
-        self.texts = written(node_texts(self.docs, self.id_col, self.text_col, self.k, held.select("node").distinct()), "texts")
+        # Only what holders need is read from here on.
+        self.nodes = written(self.nodes.join(held.select("node").distinct(), "node", "left_semi"), "nodes")
+        self.texts = written(node_texts(self.docs, self.id_col, self.text_col, self.k, self.nodes.select("node")), "texts")
         # First each holder's centres alone, and of those the closest one first: one pair a node joins most copies.
         near = held.filter("node <> centre.node").filter(_meet("room", "n", "centre.room", "centre.n"))
         likely = self.likely(near.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct())
@@ -457,7 +459,7 @@ def _meet(room: str, n: str, other_room: str, other_n: str) -> str:
 
 
 def open_holders(rows: DataFrame) -> DataFrame:
-    """The holders (sig, node, n, room, class) of signatures in which holders of two classes still meet."""
+    """The holders (sig, node, n, room) of signatures in which holders of two classes still meet."""
     w = Window.partitionBy("sig")
     rows = rows.withColumn("_lo", F.min("class").over(w)).withColumn("_hi", F.max("class").over(w))
     return rows.filter("_lo <> _hi").drop("_lo", "_hi", "class")

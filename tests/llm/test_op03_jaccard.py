@@ -163,3 +163,16 @@ def test_nodes_meet_nodes_only_where_their_hubs_leave_it_open(docs_of, monkeypat
     got = sorted(map(tuple, J.jaccard_classes(docs_of(rows)).collect()))
     assert got == sorted(brute(rows)[0])
     assert sum(met) < 8 * len(rows), met
+
+
+def test_holders_of_a_passage_meet_only_where_a_link_has_room(docs_of, monkeypatch):
+    """Texts that hold one passage and a little too much of their own: no pair of them is compared."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"o{i}_{j}" for j in range(8)) + " " + passage) for i in range(150)]
+    rows += [(1000 + i, f"{passage} tail{i}") for i in range(3)]
+    met = []
+    bounded = J.bounded_pairs
+    monkeypatch.setattr(J, "bounded_pairs", lambda pairs, nodes: met.append(pairs.count()) or bounded(pairs, nodes))
+    got = sorted(map(tuple, J.jaccard_classes(docs_of(rows)).collect()))
+    assert got == sorted(brute(rows)[0])
+    assert sum(met) < 2 * len(rows), met
