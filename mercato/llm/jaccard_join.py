@@ -384,7 +384,7 @@ class _Join:
         """Compares the components that still meet in a signature."""
         scale = DEN + NUM
         rows = held.withColumn("class", F.col("node")) if self.labels is None else _labelled(held, self.labels, "node", "class")
-        rows = open_holders(rows.distinct())
+        rows = open_holders(rows.repartition("sig").distinct())
         if self.links is None:
             rows = rows.withColumn("hub", F.col("node")).withColumn("reach", F.col("n"))
         else:
@@ -398,7 +398,7 @@ class _Join:
         if rows.isEmpty():
             return
         reach = rows.groupBy("hub").agg(F.max("reach").alias("reach"))
-        met = rows.groupBy("sig", "hub").agg(F.max("room").alias("room"), F.min("n").alias("n"))
+        met = rows.select("sig", "hub", "room", "n").repartition("sig").groupBy("sig", "hub").agg(F.max("room").alias("room"), F.min("n").alias("n"))
         met = written(met.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("hub")))
                       .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("sig"))), "met")
         side = lambda c: reach.select(F.col("hub").alias(c), F.col("reach").alias(c + "_reach"))
@@ -421,7 +421,9 @@ class _Join:
                 continue
             # The hubs themselves first: that joins most of what belongs together.
             self.verify(unclear.filter(_ALLOWED).select("a", "b"))
-            hubs = self.split(unclear, "a", "b").select("a", "b", "least")
+            hubs = written(self.split(unclear, "a", "b").select("a", "b", "least"), "hubs")
+            if hubs.isEmpty():
+                continue
             pairs = self.unclear_nodes(hubs, rows, met, reach)
             self.verify(self.likely(self.split(pairs, "a", "b").select("a", "b")).select("a", "b"))
 
@@ -435,6 +437,9 @@ class _Join:
         beyond = reach.select(F.col("hub").alias("b"), F.col("reach").alias("b_reach"))
         members = rows.select("sig", F.col("hub").alias("a"), F.col("node").alias("x"), "n", "room", "reach")
         others = met.select("sig", F.col("hub").alias("b"), F.col("room").alias("_room"), F.col("n").alias("_n"))
+        # Few hubs are unclear: only their holders are dealt by signature.
+        members = members.join(both.select("a").distinct(), "a", "left_semi")
+        others = others.join(both.select("b").distinct(), "b", "left_semi")
         near = (members.join(others, "sig").filter("a <> b").filter(_meet("room", "n", "_room", "_n"))
                 .groupBy("a", "b", "x").agg(F.first("reach").alias("reach"))
                 .join(both, ["a", "b"]).join(beyond, "b").filter(F.col("least") * scale <= F.col("reach") + F.col("b_reach"))
