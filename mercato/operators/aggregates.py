@@ -14,13 +14,21 @@ from pyspark.sql import functions as F
 from mercato.operators.quantiles import exact_quantiles
 
 
-def item_totals(items: DataFrame, key: str = "order_id") -> DataFrame:
-    """Rows, distinct sellers, sum of price and of freight per order."""
-    return items.groupBy(key).agg(
+def item_totals(items: DataFrame, key: str = "order_id", only_seller: bool = False) -> DataFrame:
+    """Rows, distinct sellers, sum of price and of freight per order; with
+    ``only_seller`` also the seller of orders that have one.
+
+    The sellers of an order are gathered with ``collect_set``, in one shuffle of
+    rows combined map-side; ``count_distinct`` moves a row per order and seller
+    twice.  A set holds the distinct sellers of one order."""
+    totals = items.groupBy(key).agg(
         F.count(F.lit(1)).alias("item_count"),
-        F.count_distinct("seller_id").alias("seller_count"),
+        F.collect_set("seller_id").alias("_sellers"),
         F.sum("price").alias("item_value"),
         F.sum("freight_value").alias("freight_value"))
+    seller_count = F.size("_sellers").cast("long")
+    only = [F.when(seller_count == 1, F.col("_sellers")[0]).alias("only_seller")] if only_seller else []
+    return totals.select(key, "item_count", seller_count.alias("seller_count"), "item_value", "freight_value", *only)
 
 
 def payment_totals(payments: DataFrame, key: str = "order_id") -> DataFrame:

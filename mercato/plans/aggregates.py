@@ -213,7 +213,12 @@ def cohort_table_with_total(cohorts: DataFrame) -> DataFrame:               # G1
 
 
 def top_share(fi: DataFrame, key: str = "category", top: int = 10) -> DataFrame:  # T02
-    g = main_population(fi).groupBy(key).agg(F.sum("price").alias("gmv"))
+    return top_share_of(main_population(fi), key, top)
+
+
+def top_share_of(di: DataFrame, key: str = "category", top: int = 10) -> DataFrame:
+    """T02 over items of the main population."""
+    g = di.groupBy(key).agg(F.sum("price").alias("gmv"))
     head = g.orderBy(F.col("gmv").desc(), F.col(key).asc()).limit(top).agg(F.sum("gmv").alias("_top"))
     tot = g.agg(F.sum("gmv").alias("_all"))
     return head.crossJoin(tot).select(

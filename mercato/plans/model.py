@@ -32,10 +32,11 @@ class StudyParams:
         return cls(**{k: v for k, v in d.items() if k in cls.__dataclass_fields__})
 
 
-def build_fact_orders_base(t: dict[str, DataFrame], p: StudyParams) -> DataFrame:
-    """P01 without the single-seller geography: one row per order."""
+def build_fact_orders_base(t: dict[str, DataFrame], p: StudyParams, only_seller: bool = False) -> DataFrame:
+    """P01 without the single-seller geography: one row per order.  With
+    ``only_seller`` it tells the seller of orders that have one."""
     orders, customers = t["orders"], t["customers"]
-    items = item_totals(t["order_items"])
+    items = item_totals(t["order_items"], only_seller=only_seller)
     pays = payment_totals(t["order_payments"])
     latest = latest_review(t["order_reviews"], payload=("review_score", "has_comment"))
     f = (orders
@@ -92,23 +93,47 @@ def build_fact_items(t: dict[str, DataFrame], f_base: DataFrame, geo: DataFrame
                 .withColumn("same_state", C.same_state())
                 .withColumn("distance_km", F.lit(None).cast("double")))
     geo = geo if geo is not None else geo_median(t["geolocation"])
+    return with_distance(t["order_items"]
+                         .join(dim_products(t), "product_id", "left")
+                         .join(t["sellers"], "seller_id", "left")
+                         .join(f_base.select(*ORDER_COLUMNS_FOR_ITEMS), "order_id", "inner")
+                         .withColumn("same_state", C.same_state()), geo)
+
+
+def with_distance(d: DataFrame, geo: DataFrame) -> DataFrame:
+    """Adds the postal-prefix medians of customer and seller and the distance between them."""
     cust_geo = geo.select(F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
                           F.col("geolocation_lat").alias("customer_lat"),
                           F.col("geolocation_lng").alias("customer_lng"))
     sell_geo = geo.select(F.col("geolocation_zip_code_prefix").alias("seller_zip_code_prefix"),
                           F.col("geolocation_lat").alias("seller_lat"),
                           F.col("geolocation_lng").alias("seller_lng"))
-    d = (t["order_items"]
-         .join(dim_products(t), "product_id", "left")
-         .join(t["sellers"], "seller_id", "left")
-         .join(f_base.select(*ORDER_COLUMNS_FOR_ITEMS), "order_id", "inner")
-         .withColumn("same_state", C.same_state())
-         .join(cust_geo, "customer_zip_code_prefix", "left")
+    d = (d.join(cust_geo, "customer_zip_code_prefix", "left")
          .join(sell_geo, "seller_zip_code_prefix", "left"))
     return d.withColumn("distance_km", C.haversine_km("customer_lat", "customer_lng",
                                                       "seller_lat", "seller_lng"))
 
 
+def items_of_orders(t: dict[str, DataFrame], orders: DataFrame) -> DataFrame:
+    """P02 without geography, for some orders: ``orders`` has their ids and the order columns wanted.  Items meet the orders
+    first, so those of other orders are never moved to products and sellers."""
+    return (t["order_items"].join(orders, "order_id", "inner")
+            .join(dim_products(t), "product_id", "left")
+            .join(t["sellers"], "seller_id", "left"))
+
+
+def single_seller_places(t: dict[str, DataFrame], orders: DataFrame, geo: DataFrame) -> DataFrame:
+    """J06 for some orders, from one row an order in place of its items: ``orders`` has order_id, seller_count and
+    only_seller.  An order id that comes twice has the places of all its rows."""
+    one = (orders.filter(F.col("seller_count") == 1).groupBy("order_id")
+           .agg(F.max("seller_count").alias("seller_count"), F.max("only_seller").alias("seller_id")))
+    d = (t["orders"].select("order_id", "customer_id").join(one, "order_id", "inner")
+         .join(t["customers"], "customer_id", "left")
+         .join(t["sellers"], "seller_id", "left")
+         .withColumn("same_state", C.same_state()))
+    return single_seller_geo(with_distance(d, geo))
+
+
 def single_seller_geo(fact_items: DataFrame) -> DataFrame:
     """same_state and distance for single-seller orders (one per order)."""
     return (fact_items.filter(F.col("seller_count") == 1)

@@ -14,7 +14,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -91,5 +91,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder.  The shuffle files of the job that writes it are removed at its end:
+    nothing reads them again, and they would stay on disk until the driver happens to collect its garbage."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    was = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_FREE_SHUFFLES) if was is None else spark.conf.set(_FREE_SHUFFLES, was)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
