@@ -8,6 +8,7 @@ test reduces its population to one row of sufficient statistics.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -73,6 +74,10 @@ ORDER_COLUMNS = ["order_id", "customer_unique_id", "order_status", "order_purcha
 GEO_COLUMNS = ["same_state", "distance_km"]
 ITEM_COLUMNS = ["order_id", "seller_id", "category", "price", "freight_value", "item_count", "review_score",
                 "product_weight_g", "product_photos_qty"]
+# Those that the rank correlations read.  Of orders all before ``customer_state``: rows of one customer, time and order id
+# are told apart by their columns from the left.
+SPEARMAN_ORDERS = ORDER_COLUMNS[:ORDER_COLUMNS.index("customer_state")]
+SPEARMAN_ITEMS = ["order_id", "freight_value", "item_count", "review_score", "product_weight_g", "product_photos_qty"]
 
 
 class Populations:
@@ -82,11 +87,14 @@ class Populations:
     lineage keeps the 26-branch register plan small.  Each is built from those written before it, so the children of
     orders are aggregated once; the shuffles of a table are gone before the next one is built.  Filters of a written
     table are read from it, not written again.  Populations a query does not read are never built; without ``geo`` the
-    orders are built without their places."""
+    orders are built without their places.  A query that reads less of the facts names the columns of orders and items,
+    and with ``one_item`` it has no items of orders of several (``sr`` and ``one`` read no others)."""
 
-    def __init__(self, m: Model, persist: bool = True, geo: bool = True):
+    def __init__(self, m: Model, persist: bool = True, geo: bool = True, orders: Sequence[str] = ORDER_COLUMNS,
+                 items: Sequence[str] = ITEM_COLUMNS, one_item: bool = False):
         self.m, self.persist, self.geo = m, persist, geo
-        self.columns = [c for c in ORDER_COLUMNS if geo or c not in GEO_COLUMNS]
+        self.columns = [c for c in orders if geo or c not in GEO_COLUMNS]
+        self.item_columns, self.one_item = list(items), one_item
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return written_once(df, "population") if self.persist else df
@@ -116,7 +124,10 @@ class Populations:
 
     @cached_property
     def di(self) -> DataFrame:
-        return self._keep(items_of_orders(self.m.tables, self.d.select("order_id", "review_score", "item_count")).select(*ITEM_COLUMNS))
+        orders = self.d.select("order_id", "review_score", "item_count")
+        if self.one_item:
+            orders = orders.filter(F.col("item_count") == 1)
+        return self._keep(items_of_orders(self.m.tables, orders).select(*self.item_columns))
 
     @cached_property
     def rated(self) -> DataFrame:
@@ -148,8 +159,8 @@ class Populations:
         return self.di.filter(F.col("item_count") == 1).join(self.payd.select("order_id"), "order_id", "left_semi")
 
 
-def populations(m: Model, persist: bool = True, geo: bool = True) -> Populations:
-    return Populations(m, persist, geo)
+def populations(m: Model, persist: bool = True, geo: bool = True, **narrow) -> Populations:
+    return Populations(m, persist, geo, **narrow)
 
 
 def welch_specs(P: Populations, hp: HypothesisParams):
@@ -278,7 +289,7 @@ def welch_table(m: Model, hp: HypothesisParams = HypothesisParams()) -> DataFram
 
 
 def spearman_table(m: Model) -> DataFrame:
-    P = populations(m)
+    P = populations(m, orders=SPEARMAN_ORDERS, items=SPEARMAN_ITEMS, one_item=True)
     out = None
     for h, _, df, x, y, _ in spearman_specs(P):
         s = S.spearman_rho(df, x, y).select(F.lit(h).alias("id"), "n", F.round("rho", 9).alias("rho"))

@@ -132,3 +132,26 @@ def test_register_corrects_p_values_that_are_written(spark, sf_small):
     assert all("/register-" in f for f in register.inputFiles())
     rows = register.collect()
     assert len(rows) == 26 and all((r["p_value"] is None) == (r["q_bh"] is None) for r in rows)
+
+
+def _written(monkeypatch) -> list:
+    frames, keep = [], H.written_once
+
+    def seen(df, name):
+        frames.append(df)
+        return keep(df, name)
+    monkeypatch.setattr(H, "written_once", seen)
+    return frames
+
+
+def test_rank_correlations_write_what_they_read(spark, sf_small, monkeypatch):
+    """Whole populations give the same statistics."""
+    m, written = G.full_model(spark, sf_small), _written(monkeypatch)
+    got = _rows(H.spearman_table(m))
+    orders = written[0]
+    assert set(orders.columns) == set(H.SPEARMAN_ORDERS) - set(H.GEO_COLUMNS) | {"only_seller"}
+    plan = orders._jdf.queryExecution().optimizedPlan().toString()
+    assert "payment" not in plan and "sum(" not in plan
+    assert [f.columns for f in written if "product_weight_g" in f.columns] == [H.SPEARMAN_ITEMS]
+    monkeypatch.setattr(H, "populations", lambda m, **_: H.Populations(m))
+    assert got == _rows(H.spearman_table(m))
