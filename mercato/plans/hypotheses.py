@@ -78,6 +78,10 @@ ITEM_COLUMNS = ["order_id", "seller_id", "category", "price", "freight_value", "
 # are told apart by their columns from the left.
 SPEARMAN_ORDERS = ORDER_COLUMNS[:ORDER_COLUMNS.index("customer_state")]
 SPEARMAN_ITEMS = ["order_id", "freight_value", "item_count", "review_score", "product_weight_g", "product_photos_qty"]
+# The Kruskal test reads of orders which are rated, of items the score by category.
+KRUSKAL_ORDERS = ["order_id", "customer_unique_id", "order_status", "order_purchase_timestamp", "analysis_period",
+                  "order_delivered_customer_date", "review_answer_timestamp", "review_score", "is_late", "item_count"]
+KRUSKAL_ITEMS = ["order_id", "category", "item_count", "review_score"]
 
 
 class Populations:
@@ -298,6 +302,6 @@ def spearman_table(m: Model) -> DataFrame:
 
 
 def kruskal_table(m: Model) -> DataFrame:
-    P = populations(m, geo=False)
+    P = populations(m, geo=False, orders=KRUSKAL_ORDERS, items=KRUSKAL_ITEMS, one_item=True)
     return S.kruskal_statistic(P.sr, "category", "review_score", top_k=10).select(
         "n", "k", F.round("h", 6).alias("h"))

@@ -155,3 +155,15 @@ def test_rank_correlations_write_what_they_read(spark, sf_small, monkeypatch):
     assert [f.columns for f in written if "product_weight_g" in f.columns] == [H.SPEARMAN_ITEMS]
     monkeypatch.setattr(H, "populations", lambda m, **_: H.Populations(m))
     assert got == _rows(H.spearman_table(m))
+
+
+def test_kruskal_writes_what_it_reads(spark, sf_small, monkeypatch):
+    """Whole populations give the same statistic."""
+    m, written = G.full_model(spark, sf_small), _written(monkeypatch)
+    got = _rows(H.kruskal_table(m))
+    by_columns = {tuple(f.columns): f._jdf.queryExecution().optimizedPlan().toString() for f in written}
+    orders = by_columns[tuple(H.KRUSKAL_ORDERS)]
+    assert "collect_set" not in orders and "sum(" not in orders      # neither payments nor sellers nor sums
+    assert tuple(H.KRUSKAL_ITEMS) in by_columns
+    monkeypatch.setattr(H, "populations", lambda m, **_: H.Populations(m))
+    assert got == _rows(H.kruskal_table(m))
