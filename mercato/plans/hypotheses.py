@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators import stats as S
 from mercato.operators.aggregates import mean_exact
-from mercato.session import written_once
+from mercato.session import remove_written, written_once
 from mercato.functions import columns as C
 from mercato.plans import aggregates as A
 from mercato.plans.model import (Model, StudyParams, build_customer_cohorts, build_fact_orders_base, first_order_population,
@@ -89,7 +89,7 @@ class Populations:
     population that picks one order a customer are written once as Parquet tables in the shared
     ``spark.checkpoint.dir``, with the columns that the register reads: a dozen tests read each of them, and the cut
     lineage keeps the 26-branch register plan small.  Each is built from those written before it, so the children of
-    orders are aggregated once; the shuffles of a table are gone before the next one is built.  Filters of a written
+    orders are aggregated once, one after the other; the shuffles of a table are gone before the next one is built.  Filters of a written
     table are read from it, not written again.  Populations a query does not read are never built; without ``geo`` the
     orders are built without their places.  A query that reads less of the facts names the columns of orders and items,
     and with ``one_item`` it has no items of orders of several (``sr`` and ``one`` read no others)."""
@@ -106,8 +106,17 @@ class Populations:
     @cached_property
     def _written(self) -> DataFrame:
         """The delivered orders without places, with the seller that ``f`` looks up: no population holds others."""
-        base = build_fact_orders_base(self.m.tables, self.m.params, only_seller=self.geo).filter(F.col("order_status") == "delivered")
-        return self._keep(base.select(*[c for c in self.columns if c not in GEO_COLUMNS], *(["only_seller"] if self.geo else [])))
+        columns = [c for c in self.columns if c not in GEO_COLUMNS] + (["only_seller"] if self.geo else [])
+        children: list[DataFrame] = []
+
+        def keep(child: DataFrame) -> DataFrame:
+            children.append(written_once(child, "children"))
+            return children[-1]
+        base = build_fact_orders_base(self.m.tables, self.m.params, self.geo, columns, keep if self.persist else None)
+        orders = self._keep(base.filter(F.col("order_status") == "delivered").select(*columns))
+        for child in children:
+            remove_written(child)
+        return orders
 
     @cached_property
     def orders(self) -> DataFrame:

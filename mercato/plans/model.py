@@ -9,6 +9,7 @@ the order or customer key, so Spark can keep one hash partitioning on
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -32,13 +33,34 @@ class StudyParams:
         return cls(**{k: v for k, v in d.items() if k in cls.__dataclass_fields__})
 
 
-def build_fact_orders_base(t: dict[str, DataFrame], p: StudyParams, only_seller: bool = False) -> DataFrame:
+# Columns of the order fact that are computed from columns of its children.
+FROM_CHILDREN = {"gross_value": {"item_value", "freight_value"}, "freight_share": {"item_value", "freight_value"},
+                 "payment_gap": {"payment_total", "item_value", "freight_value"}, "bad_review": {"review_score"}}
+
+
+def _kept_child(child: DataFrame, columns: Sequence[str], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``columns`` of the order fact read of a child, kept; its other columns are null."""
+    wanted = set(columns).union(*[FROM_CHILDREN.get(c, ()) for c in columns])
+    used = [c for c in child.columns if c in wanted and c != "order_id"]
+    if not used:
+        return child
+    kept = keep(child.filter(F.col("order_id").isNotNull()).select("order_id", *used))
+    return kept.select(*[F.col(c) if c in kept.columns else F.lit(None).cast(child.schema[c].dataType).alias(c) for c in child.columns])
+
+
+def build_fact_orders_base(t: dict[str, DataFrame], p: StudyParams, only_seller: bool = False, columns: Sequence[str] = (),
+                           keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """P01 without the single-seller geography: one row per order.  With
-    ``only_seller`` it tells the seller of orders that have one."""
+    ``only_seller`` it tells the seller of orders that have one.  ``keep``
+    writes each child's totals before they meet the orders, so that the
+    shuffles of one child are gone when the next is aggregated; only
+    ``columns`` of the result are valid then."""
     orders, customers = t["orders"], t["customers"]
     items = item_totals(t["order_items"], only_seller=only_seller)
     pays = payment_totals(t["order_payments"])
     latest = latest_review(t["order_reviews"], payload=("review_score", "has_comment"))
+    if keep:
+        items, pays, latest = [_kept_child(c, columns, keep) for c in (items, pays, latest)]
     f = (orders
          .join(customers, "customer_id", "left")
          .join(items, "order_id", "left")

@@ -113,17 +113,34 @@ def test_written_populations_leave_no_shuffle_files(spark, sf_small):
     assert _files_on_disk(spark) <= before
 
 
-def test_items_meet_the_written_orders(spark, sf_small, monkeypatch):
-    """No child of the orders is aggregated a second time for the items."""
-    written, keep = [], H.written_once
+def _written(monkeypatch) -> list:
+    frames, keep = [], H.written_once
 
     def seen(df, name):
-        written.append(df._jdf.queryExecution().optimizedPlan().toString())
+        frames.append(df)
         return keep(df, name)
     monkeypatch.setattr(H, "written_once", seen)
+    return frames
+
+
+def test_items_meet_the_written_orders(spark, sf_small, monkeypatch):
+    """No child of the orders is aggregated a second time for the items."""
+    written = _written(monkeypatch)
     P = H.populations(G.full_model(spark, sf_small), geo=False)
     P.di
-    assert len(written) == 2 and "o_orderdate" in written[0] and "o_orderdate" not in written[1]
+    plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in written]
+    assert [("o_orderdate" in x) for x in plans] == [False, False, False, True, False]      # three children, orders, items
+
+
+def test_children_are_written_alone_and_removed(spark, sf_small, monkeypatch):
+    """The shuffles of all children together stood on disk when the orders were joined."""
+    written, kept = _written(monkeypatch), []
+    monkeypatch.setattr(H, "remove_written", lambda df, f=H.remove_written: (kept.extend(df.inputFiles()), f(df)))
+    P = H.populations(G.full_model(spark, sf_small), geo=False)
+    assert P.orders.count() == P.f.count() > 0
+    assert [len(f.columns) for f in written[:3]] == [5, 4, 4]
+    assert len({str(Path(f).parent) for f in kept}) == 3 and not any(Path(f.removeprefix("file://")).exists() for f in kept)
+    assert all(Path(f.removeprefix("file://")).exists() for f in P.f.inputFiles())
 
 
 def test_register_corrects_p_values_that_are_written(spark, sf_small):
@@ -134,24 +151,16 @@ def test_register_corrects_p_values_that_are_written(spark, sf_small):
     assert len(rows) == 26 and all((r["p_value"] is None) == (r["q_bh"] is None) for r in rows)
 
 
-def _written(monkeypatch) -> list:
-    frames, keep = [], H.written_once
-
-    def seen(df, name):
-        frames.append(df)
-        return keep(df, name)
-    monkeypatch.setattr(H, "written_once", seen)
-    return frames
-
-
 def test_rank_correlations_write_what_they_read(spark, sf_small, monkeypatch):
     """Whole populations give the same statistics."""
     m, written = G.full_model(spark, sf_small), _written(monkeypatch)
     got = _rows(H.spearman_table(m))
-    orders = written[0]
-    assert set(orders.columns) == set(H.SPEARMAN_ORDERS) - set(H.GEO_COLUMNS) | {"only_seller"}
-    plan = orders._jdf.queryExecution().optimizedPlan().toString()
-    assert "payment" not in plan and "sum(" not in plan
+    orders = set(H.SPEARMAN_ORDERS) - set(H.GEO_COLUMNS) | {"only_seller"}
+    upto = [set(f.columns) for f in written].index(orders)
+    assert [f.columns for f in written[:upto]] == [["order_id", "item_count", "seller_count", "only_seller"],
+                                                   ["order_id", "review_answer_timestamp", "review_score", "has_comment"]]
+    plans = "".join(f._jdf.queryExecution().optimizedPlan().toString() for f in written[:upto])
+    assert "payment" not in plans and "sum(" not in plans
     assert [f.columns for f in written if "product_weight_g" in f.columns] == [H.SPEARMAN_ITEMS]
     monkeypatch.setattr(H, "populations", lambda m, **_: H.Populations(m))
     assert got == _rows(H.spearman_table(m))
@@ -161,9 +170,11 @@ def test_kruskal_writes_what_it_reads(spark, sf_small, monkeypatch):
     """Whole populations give the same statistic."""
     m, written = G.full_model(spark, sf_small), _written(monkeypatch)
     got = _rows(H.kruskal_table(m))
-    by_columns = {tuple(f.columns): f._jdf.queryExecution().optimizedPlan().toString() for f in written}
-    orders = by_columns[tuple(H.KRUSKAL_ORDERS)]
-    assert "collect_set" not in orders and "sum(" not in orders      # neither payments nor sellers nor sums
-    assert tuple(H.KRUSKAL_ITEMS) in by_columns
+    columns = [f.columns for f in written]
+    upto = columns.index(H.KRUSKAL_ORDERS)
+    assert columns[:upto] == [["order_id", "item_count"], ["order_id", "review_answer_timestamp", "review_score"]]
+    plans = "".join(f._jdf.queryExecution().optimizedPlan().toString() for f in written[:upto])
+    assert "collect_set" not in plans and "sum(" not in plans      # neither payments nor sellers nor sums
+    assert H.KRUSKAL_ITEMS in columns
     monkeypatch.setattr(H, "populations", lambda m, **_: H.Populations(m))
     assert got == _rows(H.kruskal_table(m))
