@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -281,13 +281,14 @@ def hypothesis_register(m: Model, hp: HypothesisParams = HypothesisParams()) ->
     k = S.kruskal_test(P.sr, "category", "review_score", top_k=10)
     rows.append(_row(k, "H20", "Produits", "Kruskal-Wallis, omnibus", 1.0, n_a=F.col("n"), effect=F.col("h"),
                      p_value=F.col("p_value")))
-    reg = rows[0]
-    for r in rows[1:]:
-        reg = reg.unionByName(r)
+    # One small job a part: the plan of all parts together fills the driver, and their shuffles the disk.
+    parts = [written_once(r.coalesce(1), "part") for r in rows]
     # The correction reads the p-values twice and joins them on their value: sums of doubles may differ in the last
     # digits when rows are added in another order, so the tests run once and their rows are written.
-    reg = S.benjamini_hochberg(written_once(reg.coalesce(1), "register"), "p_value", "q_bh")
-    return S.conclude(reg)
+    reg = written_once(reduce(DataFrame.unionByName, parts).coalesce(1), "register")
+    for part in parts:
+        remove_written(part)
+    return S.conclude(S.benjamini_hochberg(reg, "p_value", "q_bh"))
 
 
 def welch_table(m: Model, hp: HypothesisParams = HypothesisParams()) -> DataFrame:
